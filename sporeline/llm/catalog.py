@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import quality
+from sporeline.llm import quality, secrets
 
-MODULES = (quality,)
+MODULES = (quality, secrets)
 
 
 def queries() -> dict:
