@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import quality, secrets
+from sporeline.llm import decontam, quality, secrets
 
-MODULES = (quality, secrets)
+MODULES = (decontam, quality, secrets)
 
 
 def queries() -> dict:
