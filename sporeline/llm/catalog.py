@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import decontam, quality, secrets
+from sporeline.llm import decontam, quality, secrets, simhash
 
-MODULES = (decontam, quality, secrets)
+MODULES = (decontam, quality, secrets, simhash)
 
 
 def queries() -> dict:
