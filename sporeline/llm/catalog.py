@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import bpe, decontam, quality, secrets, simhash
+from sporeline.llm import bpe, decontam, quality, secrets, simhash, tokenfile
 
-MODULES = (bpe, decontam, quality, secrets, simhash)
+MODULES = (bpe, decontam, quality, secrets, simhash, tokenfile)
 
 
 def queries() -> dict:
