@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import bpe, decontam, ppm, quality, secrets, simhash, tokenfile
+from sporeline.llm import bpe, decontam, ppm, quality, secrets, simhash, tokenfile, toxicity
 
-MODULES = (bpe, decontam, ppm, quality, secrets, simhash, tokenfile)
+MODULES = (bpe, decontam, ppm, quality, secrets, simhash, tokenfile, toxicity)
 
 
 def queries() -> dict:
