@@ -26,12 +26,12 @@ BROADCAST_ROWS = 200_000
 
 def lowered(word: Column) -> Column:
     """A-Z in lower case, other letters as they are. Most words are ASCII, for which lower() does it faster."""
-    return F.when(word.rlike(r"[^\x00-\x7F]"), F.translate(word, UPPER, LOWER)).otherwise(F.lower(word))
+    return F.when(F.octet_length(word) != F.length(word), F.translate(word, UPPER, LOWER)).otherwise(F.lower(word))
 
 
 def _words(text: str) -> str:
     """SQL: the words of a text before they are lowered."""
-    return rf"regexp_extract_all({text}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', 0)"
+    return rf"array_remove(split({text}, '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), '')"
 
 
 def windows(items: DataFrame, size: int) -> DataFrame:
@@ -72,10 +72,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
     pre = _small(pre, pre.count())
     keyed = docs.select(*[c for c in docs.columns if c not in RESULT], F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"))
     # Every word of every text, with its place; only those that are some window's prefix go on.
-    words = docs.select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"), F.expr(f"size({_words('text')})").alias("_n"),
-        F.posexplode_outer(F.expr(_words("text"))).alias("pos", "w"),
-    ).select("doc_id", "_key", "_n", "pos", lowered(F.col("w")).alias("word"))
+    # The words are made once per text, before they are dealt out: Spark evaluates what stands beside a generator per row.
+    split = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"), F.expr(_words("text")).alias("_w"))
+    words = split.select("doc_id", "_key", F.size("_w").alias("_n"), "_w").select("doc_id", "_key", "_n", F.posexplode_outer("_w").alias("pos", "w"))
+    words = words.select("doc_id", "_key", "_n", "pos", lowered(F.col("w")).alias("word"))
     proposed = (
         words.join(pre, "word")
         .select("doc_id", "_key", "_n", "pos", F.explode("at").alias("a"))
@@ -90,14 +90,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
     proposed = proposed.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "_c")
     out = keyed.join(_small(proposed, proposed.count()), keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
     out = out.withColumn("_w", F.expr(_words("text")))
-    # The words are lowered only where something was proposed.
-    out = out.withColumn("_l", F.when(F.col("_c").isNotNull(), F.transform("_w", lowered)))
-    out = out.withColumn(
-        "_hit",
-        F.expr(
-            "coalesce(filter(_c, c -> array_join(slice(_l, c.start + 1, size(split(c.win, ' '))), ' ') = c.win), array())"
-        ),
-    )
+    # Only the words at a proposed place are lowered.
+    def verified(c: Column) -> Column:
+        at = F.slice("_w", c["start"] + 1, F.size(F.split(c["win"], " ")))
+        return F.array_join(F.transform(at, lowered), " ") == c["win"]
+
+    out = out.withColumn("_hit", F.coalesce(F.filter("_c", verified), F.array()))
     covered = """aggregate(_hit, named_struct('upto', 0, 'n', 0L),
         (a, c) -> named_struct('upto', greatest(a.upto, c.start + size(split(c.win, ' '))),
             'n', a.n + greatest(0, c.start + size(split(c.win, ' ')) - greatest(a.upto, c.start))),

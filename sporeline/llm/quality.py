@@ -42,7 +42,7 @@ class Rules:
     #: Widths of the fences in interquartile ranges.
     reach: int = 6
     #: Least spread by metric, for groups in which most documents have the same value.
-    spread: dict = field(default_factory=lambda: {"symbols": 15, "dup_lines": 100, "word_len": 250, "upper": 40})
+    spread: dict = field(default_factory=lambda: {"symbols": 15, "dup_lines": 100, "word_len": 1000, "upper": 40})
     #: Metrics that also have a lower fence.
     two_sided: tuple = ("word_len",)
     #: Copies of each group's thresholds over which a hot group's documents are dealt.
