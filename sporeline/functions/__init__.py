@@ -1,0 +1 @@
+"""Column functions on sequences, qualities and names."""

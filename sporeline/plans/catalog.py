@@ -1,11 +1,668 @@
-"""Registry of the engine's queries and their SQL counterparts."""
+"""Registry of the engine's queries and their SQL counterparts. Each query runs over its whole tables."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import functions as F
+
+from sporeline.functions import seq as S
+from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, otu, summary, tagjump, tags
+from sporeline.plans import bind
+from sporeline.plans.bind import CELLS, DOCS, HITS, SCORED, cells, docs, hits, scored, table
+
+_queries: dict[str, Callable] = {}
+_oracles: dict[str, str] = {}
+RC_FROM, RC_TO = S.COMPLEMENT_FROM, S.COMPLEMENT_TO
+SOURCES = [f"src{i}" for i in range(20)]
+
+
+def query(sql: str | None = None):
+    def put(f):
+        _queries[f.__name__] = f
+        if sql is not None:
+            _oracles[f.__name__] = sql
+        return f
+
+    return put
+
 
 def queries() -> dict:
-    return {}
+    return dict(_queries)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(_oracles)
+
+
+# Tag jumps -------------------------------------------------------------------------------------------------------------
+
+_TJ = f"""WITH {CELLS}, a AS (SELECT OTU, SampleID, sum(Abundance)::BIGINT AS Abundance FROM cells GROUP BY ALL),
+t AS (SELECT *, (sum(Abundance) OVER (PARTITION BY OTU))::BIGINT AS Total, (SELECT count(DISTINCT SampleID) FROM a) AS n FROM a),
+s AS (SELECT OTU, SampleID, Abundance, Total, 2.0::DOUBLE / (1 + pow(exp(Abundance / (0.1::DOUBLE * Total / n)), 1.0)) AS Score FROM t)"""
+
+
+@query(f"{_TJ} SELECT OTU, SampleID, Abundance, Total, round(Score, 9) AS Score, Score >= 0.1 AS TagJump FROM s")
+def tagjump_scores(spark, d):
+    return tagjump.scores(cells(spark, d), f=0.1).withColumn("Score", F.round("Score", 9))
+
+
+@query(f"{_TJ} SELECT OTU, SampleID, Abundance FROM s WHERE NOT Score >= 0.1")
+def tagjump_filtered(spark, d):
+    return tagjump.filtered(tagjump.scores(cells(spark, d), f=0.1))
+
+
+@query(f"""{_TJ} SELECT sum(Abundance)::BIGINT AS total_reads, count(*) FILTER (Score >= 0.1) AS events,
+coalesce(sum(Abundance) FILTER (Score >= 0.1), 0)::BIGINT AS tj_reads, (10000 * coalesce(sum(Abundance) FILTER (Score >= 0.1), 0) // sum(Abundance))::BIGINT AS tj_bp FROM s""")
+def tagjump_stats(spark, d):
+    return tagjump.stats(tagjump.scores(cells(spark, d), f=0.1))
+
+
+@query(f"{_TJ} SELECT l_orderkey, l_linenumber, s.OTU, s.SampleID, Score >= 0.1 AS TagJump FROM lineitem JOIN s ON s.OTU = l_partkey AND s.SampleID = l_suppkey")
+def tagjump_flag_rows(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("OTU"), F.col("l_suppkey").alias("SampleID"), "l_orderkey", "l_linenumber")
+    return tagjump.flag(rows, tagjump.scores(cells(spark, d), f=0.1))
+
+
+@query(f"""{_TJ.replace("cells AS (", "cells AS (SELECT OTU, SampleID, sum(Abundance)::BIGINT AS Abundance FROM (").replace("FROM lineitem)", "FROM lineitem WHERE l_suppkey BETWEEN 1 AND 10) GROUP BY ALL)")}
+SELECT OTU, 'S' || SampleID AS SampleID, Abundance, round(Score, 9) AS Score FROM s WHERE Abundance > 0""")
+def tagjump_wide_legacy(spark, d):
+    few = cells(spark, d).filter("SampleID between 1 and 10")
+    names = [str(i) for i in range(1, 11)]
+    wide = otu.wide_table(few.withColumn("SampleID", F.col("SampleID").cast("string")), names)
+    wide = wide.withColumnsRenamed({n: f"S{n}" for n in names})
+    long = tagjump.from_wide(wide, "OTU", [f"S{n}" for n in names])
+    return tagjump.scores(long, f=0.1).select("OTU", "SampleID", "Abundance", F.round("Score", 9).alias("Score"))
+
+
+# Aggregation, chimeras -------------------------------------------------------------------------------------------------
+
+
+def _rows(spark, d):
+    return scored(spark, d).select("SeqID", "SampleID", F.lit(1).cast("long").alias("Abundance"), F.col("text").alias("Sequence"), F.col("score").alias("DeNovo_Chimera_Score"))
+
+
+_ROWS = f"WITH {SCORED}, r AS (SELECT SeqID, SampleID, 1::BIGINT AS Abundance, text AS Sequence, score FROM scored)"
+_CHIM = """, put AS (SELECT * FROM r WHERE score >= 0.3), clean AS (SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM put WHERE put.SeqID = r.SeqID AND put.SampleID = r.SampleID)),
+bad AS (SELECT DISTINCT Sequence FROM put WHERE NOT EXISTS (SELECT 1 FROM clean WHERE clean.Sequence = put.Sequence))"""
+
+
+@query(f"{_ROWS} SELECT count(*) AS n_rows, count(DISTINCT SeqID) AS n_seqs, count(DISTINCT SampleID) AS n_samples, sum(Abundance)::BIGINT AS n_reads, max(score) AS max_score FROM r")
+def aggregate_stats(spark, d):
+    return otu.aggregate_stats(_rows(spark, d))
+
+
+@query(f"{_ROWS} SELECT SeqID, SampleID, score AS DeNovo_Chimera_Score FROM r WHERE score < 0.5 OR score IS NULL")
+def chimera_filter_plain(spark, d):
+    return chimera.remove(_rows(spark, d), 0.5, recover=False).select("SeqID", "SampleID", "DeNovo_Chimera_Score")
+
+
+@query(f"{_ROWS} SELECT SeqID, SampleID FROM r WHERE score >= 0.3")
+def chimera_select(spark, d):
+    return chimera.at_score(_rows(spark, d), 0.3).select("SeqID", "SampleID")
+
+
+@query(f"{_ROWS}{_CHIM} SELECT SeqID, SampleID, score AS DeNovo_Chimera_Score FROM r WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.Sequence = r.Sequence)")
+def chimera_recover(spark, d):
+    return chimera.remove(_rows(spark, d), 0.3).select("SeqID", "SampleID", "DeNovo_Chimera_Score")
+
+
+@query(f"{_ROWS}{_CHIM} SELECT sha1(Sequence) AS SeqID FROM bad")
+def chimera_true(spark, d):
+    return chimera.true_chimeras(_rows(spark, d), 0.3).select(F.sha1("Sequence").alias("SeqID"))
+
+
+@query(f"{_ROWS}{_CHIM} SELECT DISTINCT sha1(Sequence) AS SeqID FROM put WHERE EXISTS (SELECT 1 FROM clean WHERE clean.Sequence = put.Sequence)")
+def chimera_recovered(spark, d):
+    return chimera.recovered(_rows(spark, d), 0.3).select(F.sha1("Sequence").alias("SeqID"))
+
+
+@query(f"WITH {DOCS} SELECT doc_id, SeqID FROM docs WHERE text IN (SELECT text FROM docs GROUP BY text HAVING count(*) > 2)")
+def chimera_rescue(spark, d):
+    return chimera.rescue(docs(spark, d), 2, "text").select("doc_id", "SeqID")
+
+
+@query(f"WITH {DOCS} SELECT SampleID, SeqID, lang, CASE WHEN lang = 'de' THEN doc_id END AS extra FROM docs")
+def union_runs(spark, d):
+    own = docs(spark, d)
+    runs = []
+    for lang in ("en", "fr", "es", "de"):
+        r = own.filter(F.col("lang") == lang)
+        runs.append(r.select("SampleID", "SeqID", "lang", F.col("doc_id").alias("extra")) if lang == "de" else r.select("SeqID", "SampleID", "lang"))
+    return otu.union_runs(runs)
+
+
+# Sequences -------------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {DOCS} SELECT doc_id, reverse(translate(seq, '{RC_FROM}', '{RC_TO}')) AS rc, sha1(upper(seq)) AS hash FROM docs")
+def revcomp_and_sha1(spark, d):
+    return docs(spark, d).select("doc_id", S.revcomp(F.col("seq")).alias("rc"), S.seq_id(F.col("seq")).alias("hash"))
+
+
+@query(f"""WITH {DOCS}, h AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN SeqID ELSE SeqID || ';sample=' || SampleID || ';size=' || doc_id END AS header FROM docs)
+SELECT doc_id, regexp_replace(header, ';size=.*$', '') AS id, TRY_CAST(nullif(regexp_extract(header, ';size=([0-9]+)', 1), '') AS INTEGER) AS size, split_part(header, ';', 2) AS second FROM h""")
+def header_parse(spark, d):
+    h = docs(spark, d).withColumn("header", F.when(F.col("doc_id") % 3 == 0, F.col("SeqID")).otherwise(F.concat("SeqID", F.lit(";sample="), "SampleID", F.lit(";size="), "doc_id")))
+    return h.select("doc_id", S.header_id(F.col("header")).alias("id"), S.header_size(F.col("header")).alias("size"), F.split_part("header", F.lit(";"), F.lit(2)).alias("second"))
+
+
+_CODE = "translate(sha1(text), '0123456789abcdef', 'ACGTRYSWKMBDHVNA')"
+
+
+@query(f"WITH p AS (SELECT doc_id, substring({_CODE}, 1, 6) AS primer FROM documents) SELECT doc_id, " + "".join("replace(" for k, v in S.IUPAC.items() if len(v) > 1 and k != "I")
+       + "translate(primer, 'RYSWKMBDHVN', '0123456789x')" + "".join(f", '{c}', '[{S.IUPAC[k]}]')" for k, c in zip("RYSWKMBDHVN", "0123456789x")) + " AS pattern FROM p")
+def iupac_pattern(spark, d):
+    p = table(spark, d, "documents").select("doc_id", F.substring(F.translate(F.sha1("text"), bind.HEX, "ACGTRYSWKMBDHVNA"), 1, 6).alias("primer"))
+    return p.select("doc_id", S.iupac_regex(F.col("primer")).alias("pattern"))
+
+
+@query("WITH p AS (SELECT doc_id, substring(" + _CODE + ", 1, 4) AS primer FROM documents), m AS (SELECT unnest(['A','C','G','T','R','R','Y','Y','S','S','W','W','K','K','M','M','B','B','B','D','D','D','H','H','H','V','V','V','N','N','N','N']) AS c, "
+       "unnest(['A','C','G','T','A','G','C','T','C','G','A','T','G','T','A','C','C','G','T','A','G','T','A','C','T','A','C','G','A','C','G','T']) AS b) "
+       "SELECT doc_id, m1.b || m2.b || m3.b || m4.b AS concrete FROM p JOIN m m1 ON m1.c = primer[1] JOIN m m2 ON m2.c = primer[2] JOIN m m3 ON m3.c = primer[3] JOIN m m4 ON m4.c = primer[4]")
+def iupac_expand(spark, d):
+    p = table(spark, d, "documents").select("doc_id", F.substring(F.translate(F.sha1("text"), bind.HEX, "ACGTRYSWKMBDHVNA"), 1, 4).alias("primer"))
+    return p.select("doc_id", F.explode(S.iupac_variants(F.col("primer"), 4)).alias("concrete"))
+
+
+_COLLAPSE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, 'A+', 'A', 'g'), 'C+', 'C', 'g'), 'G+', 'G', 'g'), 'T+', 'T', 'g')"
+
+
+@query(f"WITH {DOCS}, k AS (SELECT {_COLLAPSE.format('substring(seq, 1, 8)')} AS seq_key, doc_id FROM docs) SELECT seq_key, count(*) AS size, count(*) AS n_members, min(doc_id) AS first_id FROM k GROUP BY seq_key")
+def homopolymer_collapse(spark, d):
+    reads = docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 8).alias("seq"), F.lit(1).cast("long").alias("size"))
+    return derep.dereplicate(reads, S.homopolymer_collapse(F.col("seq")))
+
+
+@query(f"""WITH {DOCS}, k AS (SELECT {_COLLAPSE.format('substring(seq, 1, 8)')} AS key, doc_id, substring(seq, 1, 8) AS seq FROM docs)
+SELECT min(doc_id) AS id, arg_min(seq, doc_id) AS seq, count(*) AS size FROM k GROUP BY key""")
+def homopolymer_correct(spark, d):
+    reads = docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 8).alias("seq"), F.lit(1).cast("long").alias("size"))
+    return derep.correct_homopolymers(reads)
+
+
+_CAP = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(seq, 'A{2,}', 'AA', 'g'), 'C{2,}', 'CC', 'g'), 'G{2,}', 'GG', 'g'), 'T{2,}', 'TT', 'g')"
+
+
+@query(f"WITH {DOCS} SELECT doc_id, {_CAP} AS capped FROM docs")
+def homopolymer_cap(spark, d):
+    return docs(spark, d).select("doc_id", S.homopolymer_cap(F.col("seq"), 2).alias("capped"))
+
+
+@query(f"WITH {DOCS} SELECT doc_id FROM docs WHERE NOT regexp_matches(seq, 'A{{5}}|C{{5}}|G{{5}}|T{{5}}')")
+def homopolymer_filter(spark, d):
+    return docs(spark, d).filter(~S.has_homopolymer(F.col("seq"), 5)).select("doc_id")
+
+
+_EE = "list_sum(list_transform(range(1, 41), lambda i: pow(10.0::DOUBLE, -(ascii(qual[i]) - 33) / 10.0::DOUBLE)))"
+
+
+@query(f"""WITH {DOCS}, e AS (SELECT doc_id, {_EE} AS ee, list_sum(list_transform(range(1, 41), lambda i: ascii(qual[i]) - 33)) / 40.0::DOUBLE AS q FROM docs)
+SELECT doc_id, round(ee, 6) AS MaxEE, round(100 * ee / 40, 6) AS MEEP, round(q, 6) AS AvgPhredScore FROM e WHERE ee / 40 <= 0.02""")
+def expected_errors(spark, d):
+    ee = S.expected_errors(F.col("qual"))
+    rows = docs(spark, d).select("doc_id", ee.alias("ee"), S.mean_phred(F.col("qual")).alias("q")).filter(F.col("ee") / 40 <= 0.02)
+    return rows.select("doc_id", F.round("ee", 6).alias("MaxEE"), F.round(S.meep(F.col("ee"), F.lit(40)), 6).alias("MEEP"), F.round("q", 6).alias("AvgPhredScore"))
+
+
+@query(f"""WITH {DOCS}, e AS (SELECT doc_id, seq, {_EE} AS ee FROM docs) SELECT doc_id FROM e WHERE ee <= 0.8 AND ee / 40 <= 0.03
+AND NOT regexp_matches(seq, 'A{{6}}|C{{6}}|G{{6}}|T{{6}}') AND length(seq) BETWEEN 60 AND 90""")
+def quality_control(spark, d):
+    kept = derep.quality_filter(docs(spark, d), max_ee=0.8, max_rate=0.03, max_run=6)
+    return derep.length_band(kept, 60, 90).filter(S.pure_acgt(F.col("seq"))).select("doc_id")
+
+
+@query(f"""WITH {DOCS}, q AS (SELECT SampleID, i - 1 AS pos, ascii(qual[i]) - 33 AS q FROM docs, unnest(range(1, 41)) t(i))
+SELECT SampleID AS seq, pos::INTEGER AS pos, round(sum(q) / count(*)::DOUBLE, 6) AS mean_q FROM q GROUP BY ALL""")
+def mean_quality(spark, d):
+    reads = docs(spark, d).select(F.col("SampleID").alias("seq"), "qual", F.lit(1).alias("size"))
+    return derep.mean_quality(reads).withColumn("mean_q", F.round("mean_q", 6))
+
+
+@query(f"WITH {DOCS} SELECT seq AS seq_key, count(*) AS size, count(*) AS n_members, min(doc_id) AS first_id FROM docs GROUP BY seq")
+def dereplicate(spark, d):
+    return derep.dereplicate(docs(spark, d).select(F.col("doc_id").alias("id"), "seq", F.lit(1).cast("long").alias("size")))
+
+
+@query(f"""WITH {DOCS}, s AS (SELECT doc_id, substring(seq, 1, 6) AS s FROM docs)
+SELECT least(s, reverse(translate(s, 'ACGT', 'TGCA'))) AS seq_key, count(*) AS size, count(*) AS n_members, min(doc_id) AS first_id FROM s GROUP BY 1""")
+def dereplicate_both_strands(spark, d):
+    return derep.both_strands(docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 6).alias("seq"), F.lit(1).cast("long").alias("size")))
+
+
+@query(f"WITH {DOCS} SELECT SampleID, count(*) AS num_seqs, sum(length(text))::BIGINT AS sum_len FROM docs GROUP BY SampleID")
+def sequences_per_file(spark, d):
+    return derep.per_file(docs(spark, d).select("SampleID", F.col("text").alias("seq")))
+
+
+@query(f"WITH {DOCS}, x AS (SELECT count(*) AS n FROM docs GROUP BY seq) SELECT count(*) AS n_seqs, count(*) FILTER (n < 2) AS n_singletons, sum(n)::BIGINT AS n_reads FROM x")
+def singleton_stats(spark, d):
+    return derep.singleton_stats(dereplicate(spark, d))
+
+
+@query("SELECT sum(doc_id)::BIGINT AS reads FROM documents")
+def count_reads(spark, d):
+    return derep.total_size(docs(spark, d).select(F.concat("SeqID", F.lit(";size="), "doc_id").alias("header")))
+
+
+@query(f"WITH {DOCS} SELECT doc_id, seq || 'NNNNNNNN' || reverse(translate(substring(seq, 1, 20), 'ACGT', 'TGCA')) AS joined, qual || 'IIIIIIII' || reverse(substring(qual, 1, 20)) AS q FROM docs")
+def pair_join(spark, d):
+    r = docs(spark, d)
+    return r.select("doc_id", S.join_pair(F.col("seq"), F.substring("seq", 1, 20)).alias("joined"), S.join_quality(F.col("qual"), F.substring("qual", 1, 20)).alias("q"))
+
+
+@query(f"WITH {DOCS} SELECT doc_id AS id, seq FROM docs")
+def pair_merge(spark, d):
+    """The two ends of a sequence overlap by 30 bases and merge to it again, unless a longer stretch fits by chance."""
+    r = docs(spark, d)
+    pairs = r.select(F.col("doc_id").alias("id"), F.substring("seq", 1, 55).alias("r1"), S.revcomp(F.substring("seq", 26, 55)).alias("r2"))
+    return cluster.merge_pairs(pairs, least=25, most_diff=0, percent=0.0)
+
+
+# Membership and OTU tables ---------------------------------------------------------------------------------------------
+
+
+def _maps(spark, d):
+    r = docs(spark, d)
+    derep_map = r.select(F.col("SeqID").alias("query"), S.canonical(F.col("seq")).alias("target"))
+    clust = derep_map.select(F.col("target").alias("query"), F.substring("target", 1, 2).alias("target"))
+    return derep_map, clust
+
+
+_MAPS = f"""WITH {DOCS}, dm AS (SELECT SeqID AS q, min(least(seq, reverse(translate(seq, 'ACGT', 'TGCA')))) AS t FROM docs GROUP BY 1)"""
+
+
+@query(f"{_MAPS} SELECT q AS SeqID, t AS DerepID, substring(t, 1, 2) AS OTU FROM dm")
+def membership_compose(spark, d):
+    return membership.compose(*_maps(spark, d))
+
+
+@query(f"{_MAPS} SELECT q AS SeqID, t AS DerepID, substring(t, 1, 4) AS PreclusterID, substring(t, 1, 2) AS OTU FROM dm")
+def membership_compose3(spark, d):
+    dm, _ = _maps(spark, d)
+    pre = dm.select(F.col("target").alias("query"), F.substring("target", 1, 4).alias("target"))
+    clust = pre.select(F.col("target").alias("query"), F.substring("target", 1, 2).alias("target"))
+    return membership.compose(dm, clust, pre)
+
+
+@query(f"{_MAPS} SELECT q AS SeqID, CASE WHEN t < 'C' THEN substring(t, 1, 2) END AS OTU FROM dm")
+def membership_nullable(spark, d):
+    dm, clust = _maps(spark, d)
+    return membership.merge_nullable(dm, clust.filter("query < 'C'"))
+
+
+@query(f"WITH {DOCS} SELECT DISTINCT SeqID AS query, substring(SeqID, 1, 3) AS target FROM docs")
+def uc_parse(spark, d):
+    row = [F.lit("H"), *[F.lit("*")] * 7, F.concat("SeqID", F.lit(";size=1")), F.concat(F.substring("SeqID", 1, 3), F.lit(";size=9"))]
+    return membership.parse_uc(docs(spark, d).select(F.concat_ws("\t", *row).alias("value")))
+
+
+def _joined(spark, d):
+    ee = S.meep(S.expected_errors(F.col("qual")), F.length("qual"))
+    tab = docs(spark, d).select("SeqID", "SampleID", "RunSample", F.lit(1).cast("long").alias("Abundance"), ee.alias("MEEP"))
+    uc = membership.compose(*_maps(spark, d))
+    return otu.mapped(tab, uc)
+
+
+@query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, SampleID, count(*) AS Abundance FROM docs JOIN dm ON q = SeqID GROUP BY ALL")
+def otu_long(spark, d):
+    return otu.long_table(_joined(spark, d))
+
+
+@query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, CASE WHEN strpos(RunSample, '__') > 0 THEN split_part(RunSample, '__', 2) END AS SampleID, count(*) AS Abundance FROM docs JOIN dm ON q = SeqID GROUP BY ALL")
+def otu_long_merged(spark, d):
+    return otu.long_table(_joined(spark, d).drop("SampleID").withColumnRenamed("RunSample", "SampleID"), merge_replicates=True)
+
+
+@query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, " + ", ".join(f"count(*) FILTER (SampleID = '{s}') AS {s}" for s in SOURCES) + " FROM docs JOIN dm ON q = SeqID GROUP BY 1")
+def otu_wide(spark, d):
+    return otu.wide_table(otu.long_table(_joined(spark, d)), SOURCES)
+
+
+@query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, SampleID, count(*) AS Abundance FROM docs JOIN dm ON q = SeqID GROUP BY ALL")
+def unpivot_long(spark, d):
+    return tagjump.from_wide(otu_wide(spark, d), "OTU", SOURCES).select("OTU", "SampleID", "Abundance")
+
+
+@query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, count(*) AS total FROM docs JOIN dm ON q = SeqID GROUP BY ALL")
+def otu_order(spark, d):
+    return otu.ranked(otu.long_table(_joined(spark, d)))
+
+
+def _own(spark, d):
+    ee = S.meep(S.expected_errors(F.col("qual")), F.length("qual"))
+    meep = F.when(F.col("doc_id") % 7 != 0, ee)
+    return docs(spark, d).select("SeqID", F.col("SeqID").alias("OTU"), "SampleID", F.lit(1).cast("long").alias("Abundance"), meep.alias("MEEP"))
+
+
+_OWN = f"WITH {DOCS}, j AS (SELECT SeqID, SeqID AS OTU, SampleID, CASE WHEN doc_id % 7 <> 0 THEN 100 * {_EE} / 40 END AS MEEP FROM docs), s AS (SELECT OTU FROM j GROUP BY OTU HAVING count(*) < 2)"
+
+
+@query(f"{_OWN} SELECT SeqID, SampleID FROM j WHERE OTU NOT IN (SELECT s.OTU FROM s JOIN j ON j.SeqID = s.OTU WHERE j.MEEP > 1.5)")
+def singleton_filter(spark, d):
+    return otu.drop_singletons(_own(spark, d), 1.5).select("SeqID", "SampleID")
+
+
+@query(f"{_OWN} SELECT SeqID, SampleID FROM j WHERE OTU NOT IN (SELECT OTU FROM s)")
+def singleton_filter_strict(spark, d):
+    return otu.drop_singletons(_own(spark, d), None).select("SeqID", "SampleID")
+
+
+@query(f"""WITH {SCORED}, q AS (SELECT SeqID, SampleID, list_sum(list_transform(range(1, 41), lambda i: ascii(qual[i]) - 33)) / 40.0::DOUBLE AS p, {_EE} AS ee FROM scored),
+b AS (SELECT SeqID, arg_min(p, (-p, SampleID)) AS p, arg_min(ee, (-p, SampleID)) AS ee FROM q GROUP BY SeqID),
+c AS (SELECT SeqID, SampleID, max(score) AS score FROM scored WHERE score IS NOT NULL GROUP BY ALL),
+a AS (SELECT SeqID, SampleID, count(*) AS n FROM scored GROUP BY ALL), s AS (SELECT SeqID, min(seq) AS seq FROM scored GROUP BY ALL)
+SELECT a.SeqID || '___' || a.SampleID AS SeqID___SampleID, a.SampleID, a.SeqID, n AS Abundance, length(seq)::INTEGER AS SeqLen, round(p, 6) AS PhredScore, round(ee, 6) AS MaxEE,
+round(100 * ee / 40, 6) AS MEEP, score IS NOT NULL AS DeNovo_Chimera, score AS DeNovo_Chimera_Score, seq AS Sequence
+FROM a LEFT JOIN b ON b.SeqID = a.SeqID LEFT JOIN c ON c.SeqID = a.SeqID AND c.SampleID = a.SampleID LEFT JOIN s ON s.SeqID = a.SeqID""")
+def seq_table_assembly(spark, d):
+    r = scored(spark, d)
+    ee = S.expected_errors(F.col("qual"))
+    quality = r.select("SeqID", "SampleID", S.mean_phred(F.col("qual")).alias("PhredScore"), ee.alias("MaxEE"), S.meep(ee, F.length("qual")).alias("MEEP"))
+    found = r.filter("score is not null").groupBy("SeqID", "SampleID").agg(F.max("score").alias("DeNovo_Chimera_Score"))
+    amounts = r.groupBy("SeqID", "SampleID").agg(F.count("*").alias("Abundance"))
+    seqs = r.groupBy("SeqID").agg(F.min("seq").alias("Sequence"))
+    return otu.assemble(amounts, quality, found, seqs).withColumns({c: F.round(c, 6) for c in ("PhredScore", "MaxEE", "MEEP")})
+
+
+@query(f"WITH {DOCS}, k AS (SELECT DISTINCT SeqID FROM docs), h AS (SELECT DISTINCT SeqID FROM docs WHERE lang <> 'de') SELECT count(*) AS requested, count(h.SeqID) AS exported, (count(*) - count(h.SeqID)) AS missing FROM k LEFT JOIN h USING (SeqID)")
+def export_check(spark, d):
+    r = docs(spark, d)
+    return otu.export_check(r.select("SeqID").distinct(), r.filter("lang <> 'de'"))
+
+
+@query(f"WITH {DOCS} SELECT SeqID, count(*) AS n FROM docs GROUP BY SeqID HAVING count(*) > 1")
+def duplicate_ids(spark, d):
+    return otu.duplicate_ids(docs(spark, d))
+
+
+@query(f"WITH {DOCS} SELECT SeqID, min(doc_id) AS doc_id, arg_min(SampleID, doc_id) AS SampleID FROM docs GROUP BY SeqID")
+def unique_first(spark, d):
+    return otu.unique_by_id(docs(spark, d).select("SeqID", "SampleID", "doc_id"), "doc_id")
+
+
+# Summaries -------------------------------------------------------------------------------------------------------------
+
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+@query("WITH e AS (SELECT user_id AS file, event_type, count(*) AS n FROM events WHERE value > 100 GROUP BY ALL) SELECT file, "
+       + ", ".join(f"coalesce(max(n) FILTER (event_type = '{k}'), 0) AS {k}" for k in _KINDS) + f" FROM e WHERE event_type IN {_KINDS} GROUP BY file")
+def per_sample_summary(spark, d):
+    e = table(spark, d, "events").filter("value > 100")
+    counts = {k: e.filter(F.col("event_type") == k).groupBy(F.col("user_id").alias("file")).agg(F.count("*").alias("n")) for k in _KINDS}
+    return summary.fold(counts)
+
+
+@query("WITH e AS (SELECT count(*) FILTER (event_type = 'view') AS v, count(*) FILTER (event_type = 'click') AS c, user_id FROM events GROUP BY user_id) "
+       "SELECT count(*) AS n_samples, sum(v)::BIGINT AS view, sum(c)::BIGINT AS click, floor(10000 * sum(c) / sum(v))::BIGINT AS click_bp FROM e")
+def per_run_summary(spark, d):
+    e = table(spark, d, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "view").alias("view"), F.count_if(F.col("event_type") == "click").alias("click"))
+    return summary.per_run(e, ["view", "click"], "view")
+
+
+@query(f"WITH {DOCS} SELECT SampleID, count(*) AS n_queries, count(DISTINCT substring(SeqID, 1, 1)) AS n_targets FROM docs GROUP BY SampleID")
+def targets_per_sample(spark, d):
+    return summary.targets(docs(spark, d).select("SampleID", F.col("SeqID").alias("Query"), F.substring("SeqID", 1, 1).alias("Target")))
+
+
+@query(f"{_TJ} SELECT SampleID, sum(Abundance)::BIGINT AS reads, count(*) AS rows, coalesce(sum(Abundance) FILTER (Score >= 0.1), 0)::BIGINT AS tj_reads, count(*) FILTER (Score >= 0.1) AS tj_rows FROM s GROUP BY SampleID")
+def sample_totals(spark, d):
+    return summary.sample_totals(tagjump.scores(cells(spark, d), f=0.1))
+
+
+@query("SELECT doc_id, source AS name FROM documents")
+def sample_names(spark, d):
+    file = F.concat(F.lit("/runs/x/"), "source", F.element_at(F.array(*[F.lit(x) for x in (".fastq.gz", "_NoChimera.fa", "_PrimerChecked.fq.gz", ".fasta")]), (F.col("doc_id") % 4 + 1).cast("int")))
+    return table(spark, d, "documents").select("doc_id", summary.sample_name(file).alias("name"))
+
+
+# Intervals, regions ----------------------------------------------------------------------------------------------------
+
+_ISL = f"""WITH {HITS}, o AS (SELECT *, max("end") OVER (PARTITION BY id ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM hits),
+i AS (SELECT *, sum(CASE WHEN m IS NULL OR "start" > m THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS k FROM o),
+isl AS (SELECT id, min("start") AS "start", max("end") AS "end", count(*) AS n FROM i GROUP BY id, k)"""
+
+
+@query(f"{_ISL} SELECT * FROM isl")
+def interval_merge(spark, d):
+    return intervals.merge(hits(spark, d))
+
+
+@query(f"{_ISL} SELECT id, count(*) AS islands FROM isl GROUP BY id HAVING count(*) > 1")
+def multi_hit_ids(spark, d):
+    return intervals.multi_hit(hits(spark, d))
+
+
+def _positions(spark, d):
+    i = F.col("doc_id")
+    def r(label, start, end, odd):
+        good = F.concat(F.lit(f"{label}: "), start.cast("string"), F.lit("-"), end.cast("string"))
+        return F.when(i % odd == 0, F.lit(f"{label}: Not found")).when(i % (odd + 6) == 1, F.lit(f"{label}: No end")).when(i % (odd + 8) == 2, F.lit(f"{label}: x-9")).otherwise(good)
+    return docs(spark, d).select(
+        i.alias("id"), "seq", F.when(i % 11 == 0, F.lit("? bp.")).otherwise(F.concat(F.lit(80).cast("string"), F.lit(" bp."))).alias("length"),
+        r("SSU", F.lit(1), F.lit(10) + i % 3, 5).alias("SSU"), r("ITS1", F.lit(11) + i % 4, F.lit(30), 7).alias("ITS1"), r("5.8S", F.lit(31), F.lit(45) + i % 9, 9).alias("S58"),
+        r("ITS2", F.lit(50), F.lit(70), 13).alias("ITS2"), r("LSU", F.lit(71), F.lit(80) + F.when(i % 17 == 0, 5).otherwise(0), 10).alias("LSU"),
+    )
+
+
+def _pos_sql():
+    def r(label, start, end, odd):
+        return f"CASE WHEN doc_id % {odd} = 0 THEN NULL WHEN doc_id % {odd + 6} = 1 THEN NULL WHEN doc_id % {odd + 8} = 2 THEN NULL ELSE [{start}, {end}] END"
+    parts = {"SSU": ("1", "10 + doc_id % 3", 5), "ITS1": ("11 + doc_id % 4", "30", 7), "S58": ("31", "45 + doc_id % 9", 9), "ITS2": ("50", "70", 13), "LSU": ("71", "80 + CASE WHEN doc_id % 17 = 0 THEN 5 ELSE 0 END", 10)}
+    cols = ", ".join(f"{r('', *v)} AS {k}, (doc_id % {v[2]} <> 0 AND doc_id % {v[2] + 6} <> 1 AND doc_id % {v[2] + 8} = 2) AS {k}_bad" for k, v in parts.items())
+    reasons = ["CASE WHEN doc_id % 11 = 0 THEN 'bad_length' END"]
+    for k in parts:
+        reasons += [f"CASE WHEN {k}_bad THEN '{k}_malformed' END", f"CASE WHEN doc_id % 11 <> 0 AND {k}[2] > 80 THEN '{k}_beyond_end' END"]
+    names = list(parts)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            reasons.append(f"CASE WHEN {a}[1] >= {b}[1] THEN '{a}_{b}_out_of_order' WHEN {a}[2] >= {b}[1] THEN '{a}_{b}_overlap' END")
+    incomplete = " OR ".join(f"{k} IS NULL" for k in names)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id AS id, doc_id, seq, {cols} FROM docs), x AS (SELECT *, array_to_string(list_filter([{', '.join(reasons)}], lambda z: z IS NOT NULL), ';') AS reasons FROM p),
+a AS (SELECT *, CASE WHEN reasons <> '' THEN 'invalid' WHEN {incomplete} THEN 'partial' ELSE 'ok' END AS status FROM x)"""
+
+
+@query(f"{_pos_sql()} SELECT id, reasons, status FROM a")
+def region_audit(spark, d):
+    return intervals.audit(_positions(spark, d)).select("id", "reasons", "status")
+
+
+@query(f"{_pos_sql()} SELECT id, substring(seq, ITS1[1], ITS2[2] - ITS1[1] + 1) AS region_seq FROM a WHERE status <> 'invalid' AND ITS1 IS NOT NULL AND ITS2 IS NOT NULL")
+def region_extract(spark, d):
+    return intervals.extract(intervals.audit(_positions(spark, d)), "ITS")
+
+
+@query(f"{_pos_sql()} SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ';')) AS reason FROM a WHERE reasons <> '') GROUP BY reason")
+def reason_histogram(spark, d):
+    return intervals.reason_histogram(intervals.audit(_positions(spark, d)))
+
+
+# Tags ------------------------------------------------------------------------------------------------------------------
+
+
+def _tags(spark, d):
+    c, h = table(spark, d, "customer"), F.sha1("c_name")
+    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("sample"), F.substring(h, 1, 2).alias("tag1"), F.substring(h, 3, 2).alias("tag2"))
+
+
+_TAGS = "WITH t AS (SELECT c_custkey AS id, c_name AS sample, substring(sha1(c_name), 1, 2) AS tag1, substring(sha1(c_name), 3, 2) AS tag2 FROM customer)"
+
+
+@query(f"{_TAGS} SELECT * FROM (SELECT DISTINCT tag1 FROM t), (SELECT DISTINCT tag2 FROM t) EXCEPT SELECT tag1, tag2 FROM t")
+def tag_unknown_combos(spark, d):
+    return tags.unknown_combinations(_tags(spark, d))
+
+
+@query(f"""{_TAGS} SELECT least(tag1, tag2) || '|' || greatest(tag1, tag2) AS pair, count(DISTINCT sample) AS n_samples, string_agg(DISTINCT sample, ', ' ORDER BY sample) AS samples FROM t GROUP BY 1 HAVING count(DISTINCT sample) > 1""")
+def tag_swapped_pairs(spark, d):
+    return tags.swapped_pairs(_tags(spark, d))
+
+
+@query("SELECT c_custkey AS id, c_mktsegment AS name, CASE WHEN count(*) OVER (PARTITION BY c_mktsegment) > 1 THEN c_mktsegment || '_' || row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) ELSE c_mktsegment END AS unique_name FROM customer")
+def dup_suffix(spark, d):
+    return tags.unique_names(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("name")))
+
+
+@query("SELECT c_custkey AS id, 'Run_' || c_nationkey || '__' || replace(replace(c_name, '#', '_'), ' ', '_') || '_x' AS name FROM customer")
+def name_sanitise(spark, d):
+    c = table(spark, d, "customer")
+    return c.select(F.col("c_custkey").alias("id"), S.safe_name(F.concat(F.lit("  Run-"), "c_nationkey", F.lit("__"), "c_name", F.lit("__x "))).alias("name"))
+
+
+@query(f"{_TAGS}, u AS (SELECT DISTINCT tag1 AS seq FROM t) SELECT seq, 'bc' || lpad((row_number() OVER (ORDER BY seq))::VARCHAR, 4, '0') AS id FROM u")
+def barcode_ids(spark, d):
+    return tags.barcode_ids(_tags(spark, d).select(F.col("tag1").alias("seq")))
+
+
+_SITE = "list_sum(list_transform(range(1, 9), lambda j: (substring(seq, i + j - 1, 1) <> substring('{0}', j, 1))::INTEGER))"
+
+
+@query(f"""WITH {DOCS}, p AS (SELECT doc_id, seq, unnest(range(1, 74)) AS i FROM docs), h AS (SELECT doc_id AS id, '+' AS strand, i AS "start", {_SITE.format('ACGTTGCA')} AS errors FROM p
+UNION ALL SELECT doc_id, '-', i, {_SITE.format('TGCAACGT')} FROM p) SELECT id, strand, "start"::INTEGER AS "start", errors::INTEGER AS errors, ("start" + 7)::INTEGER AS "end" FROM h WHERE errors <= 1""")
+def primer_sites(spark, d):
+    reads = docs(spark, d).select(F.col("doc_id").alias("id"), "seq")
+    return tags.find_sites(reads, spark.createDataFrame([("ACGTTGCA",)], "primer string"), 8, 1)
+
+
+@query(f"""WITH {DOCS}, b AS (SELECT unnest(['s1','s2','s3','s4']) AS sample, unnest(['ACGTAC','TTGACA','GGCATC','CATGCA']) AS tag),
+r AS (SELECT doc_id, seq AS s FROM docs UNION ALL SELECT doc_id, reverse(translate(seq, 'ACGT', 'TGCA')) FROM docs),
+w AS (SELECT doc_id, i - 1 AS "at", substring(s, i, 6) AS w FROM (SELECT doc_id, s, unnest(range(1, 26)) AS i FROM r)),
+h AS (SELECT doc_id, sample, "at", list_sum(list_transform(range(1, 7), lambda j: (w[j] <> tag[j])::INTEGER)) AS errors FROM w, b)
+SELECT doc_id AS id, arg_min(sample, (errors, "at", sample)) AS sample, arg_min("at", (errors, "at", sample))::INTEGER AS "at", min(errors)::INTEGER AS errors FROM h WHERE errors <= 1 GROUP BY doc_id""")
+def demultiplex(spark, d):
+    codes = spark.createDataFrame([("s1", "ACGTAC"), ("s2", "TTGACA"), ("s3", "GGCATC"), ("s4", "CATGCA")], "sample string, tag string")
+    return tags.demultiplex(docs(spark, d).select(F.col("doc_id").alias("id"), "seq"), codes, 6)
+
+
+@query(f"""WITH {DOCS} SELECT doc_id AS id, substring(seq, 1, 30) AS seq FROM docs""")
+def primer_trim(spark, d):
+    s = F.substring("seq", 1, 30)
+    whole = F.concat(F.lit("TTACGNNCGTT"), s, S.revcomp(F.lit("GGACNNCAGG")), F.lit("AA"))
+    turned = F.when(F.col("doc_id") % 2 == 0, whole).otherwise(S.revcomp(whole))
+    bare = docs(spark, d).select(F.col("doc_id").alias("id"), turned.alias("seq"))
+    return tags.trim_linked(bare, "TTACGNNCGTT", "GGACNNCAGG", 0, 10)
+
+
+# Buckets, samples ------------------------------------------------------------------------------------------------------
+
+
+def _clusters(spark, d):
+    return docs(spark, d).select(F.substring("SeqID", 1, 2).alias("Cluster"), F.col("text").alias("seq"))
+
+
+@query(f"WITH {DOCS} SELECT substring(SeqID, 1, 2) AS Cluster, count(*) AS num_seqs, sum(length(text))::BIGINT AS sum_len FROM docs GROUP BY 1")
+def cluster_stats(spark, d):
+    return buckets.cluster_stats(_clusters(spark, d))
+
+
+@query()
+def bucket_lpt(spark, d):
+    stats = buckets.cluster_stats(_clusters(spark, d))
+    return buckets.bucket_summary(stats, buckets.pack(stats, 8))
+
+
+@query(f"WITH {DOCS}, n AS (SELECT SampleID, count(*) AS reads FROM docs GROUP BY 1) SELECT SampleID, reads, least(1.0::DOUBLE, greatest(0.001::DOUBLE, 1.0::DOUBLE / reads)) AS fraction FROM n")
+def error_subset_fractions(spark, d):
+    return buckets.fractions(docs(spark, d), "SampleID", 0.001)
+
+
+@query("""WITH c AS (SELECT doc_id, n_chars, sum(n_chars) OVER (ORDER BY n_chars DESC, doc_id ROWS UNBOUNDED PRECEDING) - n_chars AS before FROM documents)
+SELECT doc_id, n_chars FROM c WHERE before < 1000000""")
+def budget_subsample(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "n_chars")
+    return buckets.within_budget(rows, [-F.col("n_chars"), F.col("doc_id")], "n_chars", 1_000_000)
+
+
+@query("SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // 100)::BIGINT AS chunk FROM documents")
+def chunk_rows(spark, d):
+    return buckets.chunks(table(spark, d, "documents").select("doc_id"), "doc_id", 100)
+
+
+# Similarity ------------------------------------------------------------------------------------------------------------
+
+
+def _short(spark, d, n):
+    return docs(spark, d).select(F.substring("seq", 1, n).alias("seq")).distinct()
+
+
+@query(f"""WITH {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 8) AS s FROM docs), k AS (SELECT DISTINCT s, substring(s, i, 4) AS k FROM s, unnest(range(1, 6)) t(i))
+SELECT a.s AS u, b.s AS v, count(*) AS shared FROM k a JOIN k b ON a.k = b.k AND a.s < b.s GROUP BY ALL HAVING count(*) >= 3""")
+def kmer_candidates(spark, d):
+    return graph.kmer_links(_short(spark, d, 8), 4, 3)
+
+
+@query(f"""WITH {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 8) AS s FROM docs), k AS (SELECT DISTINCT s, substring(s, i, 4) AS k FROM s, unnest(range(1, 6)) t(i)),
+c AS (SELECT a.s AS u, b.s AS v FROM k a JOIN k b ON a.k = b.k AND a.s < b.s GROUP BY ALL HAVING count(*) >= 2)
+SELECT u, v, 1.0::DOUBLE - levenshtein(u, v) / 8.0::DOUBLE AS identity FROM c WHERE levenshtein(u, v) <= 2""")
+def match_list(spark, d):
+    return graph.similar(_short(spark, d, 8), 4, 2, 0.75)
+
+
+@query(f"WITH {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 6) AS s FROM docs) SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON a.s < b.s AND levenshtein(a.s, b.s) = 1")
+def d1_edges(spark, d):
+    return graph.deletion_links(_short(spark, d, 6))
+
+
+@query(f"""WITH RECURSIVE {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 8) AS s FROM docs), e AS (SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON levenshtein(a.s, b.s) = 1),
+r AS (SELECT s AS node, s AS root FROM s UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node) SELECT node, min(root) AS root FROM r GROUP BY node""")
+def d1_components(spark, d):
+    own = _short(spark, d, 8)
+    return graph.components(own.select(F.col("seq").alias("node")), graph.deletion_links(own))
+
+
+def _sized(spark, d, n):
+    return docs(spark, d).groupBy(F.substring("seq", 1, n).alias("seq")).agg(F.count("*").alias("size"))
+
+
+@query()
+def greedy_cluster(spark, d):
+    return cluster.greedy(_sized(spark, d, 8), 0.75, 4, 2)
+
+
+@query()
+def unoise(spark, d):
+    return cluster.unoise(_sized(spark, d, 5), alpha=0.5, k=3)
+
+
+@query()
+def swarm_d1(spark, d):
+    return cluster.swarm(_sized(spark, d, 8))
+
+
+@query()
+def linclust(spark, d):
+    return cluster.linclust(_sized(spark, d, 10).select("seq"), 5, 3, 0.6)
+
+
+@query()
+def denovo_chimeras(spark, d):
+    own = docs(spark, d).groupBy("SampleID", F.substring("seq", 1, 40).alias("seq")).agg(F.count("*").alias("size"))
+    return cluster.denovo_chimeras(own, abskew=1.0)
+
+
+def _lulu(spark, d):
+    c = cells(spark, d).withColumn("OTU", F.col("OTU") % 200).groupBy("OTU", "SampleID").agg(F.sum("Abundance").alias("Abundance"))
+    a = c.select(F.col("OTU").alias("query")).distinct()
+    pairs = a.select("query", F.explode(F.array(*[((F.col("query") + k) % 200).alias("p") for k in (1, 2, 3)])).alias("parent"))
+    return c, pairs.withColumn("identity", F.lit(0.97) - (F.col("parent") % 3) / 100)
+
+
+_LULU = """WITH c AS (SELECT l_partkey % 200 AS OTU, l_suppkey AS SampleID, sum(CAST(l_quantity AS BIGINT))::BIGINT AS n FROM lineitem GROUP BY ALL),
+p AS (SELECT OTU AS query, (OTU + k) % 200 AS parent FROM (SELECT DISTINCT OTU FROM c), (SELECT unnest([1, 2, 3]) AS k)),
+t AS (SELECT OTU, sum(n)::BIGINT AS total FROM c GROUP BY OTU)
+SELECT p.query, p.parent, count(*) AS query_spread, count(b.n) AS overlap, round(min(b.n / a.n::DOUBLE), 6) AS min_ratio, round(max(b.n / a.n::DOUBLE), 6) AS max_ratio,
+round(sum(b.n / a.n::DOUBLE) / count(b.n), 6) AS avg_ratio, any_value(tq.total) AS query_total, any_value(tp.total) AS parent_total, round(count(b.n) / count(*)::DOUBLE, 6) AS cooccurrence
+FROM p JOIN c a ON a.OTU = p.query LEFT JOIN c b ON b.OTU = p.parent AND b.SampleID = a.SampleID JOIN t tq ON tq.OTU = p.query JOIN t tp ON tp.OTU = p.parent GROUP BY p.query, p.parent"""
+
+
+@query(_LULU)
+def lulu_pair_stats(spark, d):
+    c, pairs = _lulu(spark, d)
+    return cluster.pair_stats(c, pairs.select("query", "parent")).withColumns({k: F.round(k, 6) for k in ("min_ratio", "max_ratio", "avg_ratio", "cooccurrence")})
+
+
+@query()
+def lulu_curate(spark, d):
+    c, pairs = _lulu(spark, d)
+    return cluster.merge_curated(c, cluster.curate(c, pairs, 0.5, 0.01))

@@ -1,0 +1 @@
+"""Structured Streaming: an extension; the batch operators do not need it."""
