@@ -139,7 +139,7 @@ dw AS (SELECT doc_id, i, k, array_to_string(w[i:i+k-1], ' ') AS win
        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
 h AS (SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON bw.win = dw.win),
 p AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS x FROM h) GROUP BY doc_id),
-it AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id)
+it AS (SELECT doc_id, count(item_id) AS n, string_agg(item_id, ',' ORDER BY item_id) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(p.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
        sha256(coalesce(it.s, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN p ON p.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id"""

@@ -1,8 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 First pass: each page's containers are scored by the running text in them; a container's path is its chain of tags and
-classes, with digits generalised, and the page gives each path a vote between 0 and 1. Spark adds up the votes per host
-and path, and the path with most votes wins its host. Second pass: each page is extracted from the containers at its
+classes, with digits generalised, and the page votes for the path of its best container. Spark adds up the votes per
+host and path, and the path with most votes wins its host. Second pass: each page is extracted from the containers at its
 host's winning path; where a page has none, or no text in them, from the container that it scores best itself. Menus,
 notices, adverts, comments and the like are left out wherever they stand.
 
@@ -177,23 +177,22 @@ class Page:
             own[self.containers[k][1]] += own[k]
         return [x * bonus * (1 + 0.001 * path.count("/")) for x, (path, _, bonus) in zip(own, self.containers)]
 
-    def votes(self) -> dict[str, float]:
+    def best(self) -> int:
+        """The container with the best score, the deepest of equals."""
         scores = self.scores()
-        best = max(scores)
-        found: dict[str, float] = {}
-        if best > 0:
-            for x, (path, _, _) in zip(scores, self.containers):
-                if x > 0:
-                    found[path] = max(found.get(path, 0.0), x / best)
-        return found
+        return max(range(len(scores)), key=lambda k: (scores[k], k))
+
+    def vote(self) -> str | None:
+        """The path of the best container; none for a page without running text."""
+        k = self.best()
+        return self.containers[k][0] if self.scores()[k] > 0 else None
 
     def text(self, path: str | None) -> str:
         """The text of the containers at the path, or else of the container that the page scores best."""
         found = self._within([p == path for p, _, _ in self.containers]) if path is not None else ""
         if not found:
-            scores = self.scores()
-            best = max(range(len(scores)), key=lambda k: (scores[k], k))
-            found = self._within([k == best for k in range(len(scores))])
+            best = self.best()
+            found = self._within([k == best for k in range(len(self.containers))])
         return found
 
     def _within(self, chosen: list[bool]) -> str:
@@ -203,13 +202,14 @@ class Page:
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, votes), added up over the task's pages. Votes are millionths, so that sums don't depend on order."""
+    """(host, path, votes), added up over the task's pages."""
     sums: dict[tuple[str, str], int] = {}
     for b in batches:
         for url, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             host = host_of(url)
-            for path, vote in Page(source or "").votes().items():
-                sums[host, path] = sums.get((host, path), 0) + round(vote * 1_000_000)
+            path = Page(source or "").vote()
+            if path is not None:
+                sums[host, path] = sums.get((host, path), 0) + 1
         if len(sums) > 200_000:
             yield _sums(sums)
             sums = {}
