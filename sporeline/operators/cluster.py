@@ -28,7 +28,8 @@ def _greedy(accept):
 
 
 def _clustered(seqs: DataFrame, links: DataFrame, accept) -> DataFrame:
-    both = links.select("u", "v", "how").union(links.select("v", "u", "how"))
+    seqs, links = graph.settled(seqs), graph.settled(links.select("u", "v", "how"))  # both are read several times
+    both = links.union(links.select("v", "u", "how"))
     near = both.groupBy(F.col("u").alias("seq")).agg(F.collect_list(F.struct("v", "how")).alias("l"))
     roots = graph.components(seqs.select(F.col("seq").alias("node")), links)
     linked = seqs.join(near, "seq").join(roots.withColumnRenamed("node", "seq"), "seq")
@@ -54,7 +55,7 @@ def unoise(seqs: DataFrame, alpha: float = 6.0, k: int = 4, least_shared: int =
 
 def swarm(seqs: DataFrame) -> DataFrame:
     """(seq, centroid): components of one-edit links among pure ACGT sequences; the most abundant member represents."""
-    pure = seqs.filter(F.col("seq").rlike("^[ACGT]*$"))
+    pure = graph.settled(seqs.filter(F.col("seq").rlike("^[ACGT]*$")))
     roots = graph.components(pure.select(F.col("seq").alias("node")), graph.deletion_links(pure.select("seq"))).withColumnRenamed("node", "seq")
     own = pure.join(roots, "seq")
     best = own.groupBy("root").agg(F.min(F.struct((-F.col("size")).alias("s"), "seq"))["seq"].alias("centroid"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sporeline.functions import seq as S
 
 
-def _settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame) -> DataFrame:
     """df, written once to the checkpoint folder that all executors share, and read from there."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/sporeline-checkpoints"
@@ -58,13 +58,13 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     Each round takes the least root among neighbours and follows roots of roots, so rounds number about the logarithm of
     the longest path; a round's result is written, which also cuts lineage.
     """
-    both = _settled(links.select("u", "v").union(links.select(F.col("v"), F.col("u"))).distinct())
-    now = _settled(nodes.select("node", F.col("node").alias("root")))
+    both = settled(links.select("u", "v").union(links.select(F.col("v"), F.col("u"))).distinct())
+    now = settled(nodes.select("node", F.col("node").alias("root")))
     while True:
         near = both.join(now.select(F.col("node").alias("v"), "root"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("near"))
         step = now.join(near, "node", "left").select("node", F.col("root").alias("was"), F.least("root", F.coalesce("near", "root")).alias("root"))
         jump = now.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        new = _settled(step.join(jump, "root").select("node", "was", F.least("root", "far").alias("root")))
+        new = settled(step.join(jump, "root").select("node", "was", F.least("root", "far").alias("root")))
         if new.filter("root <> was").isEmpty():
             return new.select("node", "root")
         now = new.select("node", "root")
