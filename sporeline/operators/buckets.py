@@ -24,8 +24,8 @@ def cluster_stats(members: DataFrame) -> DataFrame:
 def pack(stats: DataFrame, n: int) -> DataFrame:
     """(Cluster, BucketID): the largest cluster left goes to the lightest bucket, the lowest number among equals.
 
-    The rule is sequential over clusters (not sequences), so the sizes, three numbers each, pass through the driver in
-    order; clusters are far fewer than sequences, and are streamed, not collected at once.
+    The rule is sequential over clusters (not sequences): their sizes are streamed to the driver in order, which holds
+    two numbers for each cluster, its id and its bucket.
     """
     order = stats.orderBy(F.desc("sum_len"), F.desc("num_seqs"), "Cluster").select("Cluster", "sum_len")
     heap = [(0, b) for b in range(1, n + 1)]
