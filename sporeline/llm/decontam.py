@@ -45,7 +45,8 @@ def windows(items: DataFrame, size: int) -> DataFrame:
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
-    """df, to be broadcast if it has been counted to have few rows; otherwise Spark joins by a shuffle."""
+    """A table made from the benchmark alone, to be broadcast if it has been counted to have few rows; otherwise Spark
+    joins by a shuffle."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
@@ -88,7 +89,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
         .agg(F.sort_array(F.collect_set(F.struct("start", "win", "items"))).alias("_c"))
     )
     proposed = proposed.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "_c")
-    out = keyed.join(_small(proposed, proposed.count()), keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
+    # What is proposed grows with the corpus, so this join shuffles (Spark itself may still broadcast a small table).
+    out = keyed.join(proposed, keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
     out = out.withColumn("_w", F.expr(_words("text")))
     # Only the words at a proposed place are lowered.
     def verified(c: Column) -> Column:
