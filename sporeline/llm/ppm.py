@@ -8,8 +8,9 @@ probability c / (T + D). Otherwise the context is escaped with D / (T + D), and
 ruled out are excluded: T and D are lessened by the longer context's E and D. A context that was never seen costs
 nothing; below order 0 all bytes left are equally likely. The model is learnt from the training rows and fixed.
 
-Nothing is broadcast: each block of texts asks for the distinct words and (ORDER + 1)-grams that occur in it, these
-are looked up once each by joins, and the answers meet the block's texts in one task. A block has a bounded number of
+Nothing is broadcast: each block of texts counts the distinct words and (ORDER + 1)-grams that occur in it, the counts of
+training texts are added up over all blocks, each block's own are looked up in the model by joins, and the answers meet
+the block's texts in one task. A block has a bounded number of
 bytes (besides one text), and with it what it asks for.
 
 Defined cases: a null text is an empty text with the end alone; repeated rows are scored alike; a null doc_id is in the
@@ -33,9 +34,9 @@ from sporeline.llm.common import fold, settle, table
 #: Bytes of context; at most 6, as context and symbol are held in a long.
 ORDER = 5
 #: Text bytes in a block, about: it bounds what one task holds.
-BLOCK_BYTES = 40_000_000
+BLOCK_BYTES = 28_000_000
 #: Bytes whose grams are made at once.
-PART = 2_000_000
+PART = 500_000
 #: Kinds of keys: a word by its 64-bit hash, or a gram by its bytes.
 WORD_KEY, GRAM_KEY = 0, 1
 END_KEY = -1
@@ -49,17 +50,19 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
+def _codes(padded: bytes, order: int, n: int) -> np.ndarray:
+    """Grams of the last n bytes of padded, which has 7 bytes more before them: eight bytes read at every place."""
+    whole = np.ndarray((n,), ">u8", padded, 0, (1,)).astype(np.uint64)
+    return (whole & np.uint64((1 << 8 * (order + 1)) - 1)).view(np.int64)
+
+
 def grams(text: bytes, order: int) -> np.ndarray:
     """For each byte of the text, it and the ``order`` bytes before it in one integer; before the text are line feeds."""
-    a = np.frombuffer(b"\n" * order + text, np.uint8).astype(np.int64)
-    out = np.zeros(len(text), np.int64)
-    for k in range(order + 1):
-        out = (out << 8) | a[k : k + len(text)]
-    return out
+    return _codes(b"\n" * 7 + text, order, len(text))
 
 
-def _texts(words_by_row: list[list[bytes]], order: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first row, number of rows, grams by part) - many short texts at once, a long text in several parts."""
+def _texts(words_by_row: list[list[bytes]]) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) - many short texts at once, a long text alone or last."""
     lot, size = [], 0
     for i, words in enumerate(words_by_row):
         lot.append(b" ".join(words) + b"\n")
@@ -69,23 +72,61 @@ def _texts(words_by_row: list[list[bytes]], order: int) -> Iterator[tuple[int, i
             lot, size = [], 0
 
 
-def _lot_grams(lot: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(grams, row within the lot) of a lot of texts in parts."""
-    pad = b"\n" * order
+def _lot_grams(lot: list[bytes], order: int, with_rows: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """(grams, row within the lot if asked for) of a lot of texts, in parts of some PART bytes.
+
+    The texts stand in one string with seven line feeds before each, so no gram reaches into the text before. A place
+    belongs to a text unless it and the one before are line feeds; the one place of a text without words is added.
+    """
     if len(lot) == 1 and len(lot[0]) > 2 * PART:
-        text = lot[0]
-        for at in range(0, len(text), PART):
-            before = (pad + text[:at])[-order:] if at < order else text[at - order : at]
-            piece = before + text[at : at + PART]
-            yield grams(piece, order)[order:], np.zeros(len(piece) - order, np.int64)
+        text = b"\n" * 7 + lot[0]
+        for at in range(0, len(lot[0]), PART):
+            code = _codes(text[at : at + PART + 7], order, min(PART, len(lot[0]) - at))
+            yield code, np.zeros(len(code), np.int64) if with_rows else None
         return
-    joined = pad.join([b"", *lot])
-    code = grams(joined, order)
-    lengths = np.array([len(x) + order for x in lot])
-    row = np.repeat(np.arange(len(lot)), lengths)
-    first = np.cumsum(lengths) - lengths
-    own = np.arange(len(joined)) - first[row] >= order
-    yield code[own], row[own]
+    joined = (b"\n" * 7).join([b"", *lot])
+    code = _codes(joined, order, len(joined) - 7)
+    a = np.frombuffer(joined, np.uint8)[6:]
+    own = (a[1:] != 10) | (a[:-1] != 10)
+    empty = np.flatnonzero([x == b"\n" for x in lot])
+    blank = np.full(len(empty), int.from_bytes(b"\n" * (order + 1), "big"), np.int64)
+    rows = None
+    if with_rows:
+        rows = np.concatenate([np.repeat(np.arange(len(lot)), [len(x) if x != b"\n" else 0 for x in lot]), empty])
+    yield np.concatenate([code[own], blank]), rows
+
+
+class Lookup:
+    """Values by integer key for whole arrays: open addressing at a load of at most a half."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots, self.values, self.used = np.zeros(1 << bits, np.int64), np.zeros(1 << bits), np.zeros(1 << bits, bool)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[~self.used[at[left]]]
+            first = free[np.unique(at[free], return_index=True)[1]]
+            self.slots[at[first]], self.values[at[first]], self.used[at[first]] = keys[first], values[first], True
+            left = left[(self.slots[at[left]] != keys[left])]
+            at[left] = (at[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slot(keys)
+        out = self.values[at]
+        left = np.flatnonzero((self.slots[at] != keys) | ~self.used[at])
+        while len(left):
+            if not self.used[at[left]].all():
+                raise ValueError("a key was not answered")
+            at[left] = (at[left] + 1) & self.mask
+            hit = self.slots[at[left]] == keys[left]
+            hit &= self.used[at[left]]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit]
+        return out
 
 
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,60 +134,50 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k, np.bincount(inverse, np.concatenate(counts), len(k)).astype(np.int64)
 
 
-def _rows(kind: int, keys: np.ndarray, n: np.ndarray | None = None) -> pa.RecordBatch:
-    columns = [pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys)]
-    names = ["kind", "key"]
-    if n is not None:
-        columns.append(pa.array(n))
-        names.append("n")
-    return pa.RecordBatch.from_arrays(columns, names)
+def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(n)], ["kind", "key", "n"])
 
 
-def _count(order: int):
-    """Words and grams of a partition's training texts, added up as far as memory is bounded, as (kind, key, n)."""
+def _ask(order: int):
+    """The distinct words and grams of a block, and how often each stands in its training texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(block: pa.Table) -> pa.Table:
+        number = block.column("block")[0].as_py()
         words: Counter = Counter()
+        asked: set[bytes] = set()
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal keys, counts
-            if words:
-                w = list(words)
-                yield _rows(WORD_KEY, word_keys(w), np.fromiter(words.values(), np.int64, len(w)))
-                words.clear()
-            if keys:
-                yield _rows(GRAM_KEY, *_merge(keys, counts))
-                keys, counts = [], []
-
         ends = 0
-        for b in batches:
+        for b in block.select(["text", "held_out"]).to_batches(max_chunksize=300):
             split = [words_of(t) for t in b.column(0).to_pylist()]
-            ends += len(split)
-            for w in split:
-                words.update(w)
-            for _, lot in _texts(split, order):
-                for code, _ in _lot_grams(lot, order):
-                    k, n = np.unique(code, return_counts=True)
-                    keys.append(k)
-                    counts.append(n)
-            if len(keys) > 8:
+            held = b.column(1).to_pylist()
+            for w, h in zip(split, held):
+                (asked if h else words).update(w)
+            ends += len(held) - sum(held)
+            for part in (False, True):
+                for _, lot in _texts([w for w, h in zip(split, held) if h == part]):
+                    for code, _ in _lot_grams(lot, order):
+                        k, n = np.unique(code, return_counts=True)
+                        keys.append(k)
+                        counts.append(np.zeros(len(k), np.int64) if part else n)
+            if len(keys) > 40:
                 merged = _merge(keys, counts)
                 keys, counts = [merged[0]], [merged[1]]
-            if len(words) > 1_000_000 or (keys and len(keys[0]) > 4_000_000):
-                yield from flush()
-        yield from flush()
-        if ends:
-            yield _rows(WORD_KEY, np.array([END_KEY], np.int64), np.array([ends], np.int64))
+        asked.difference_update(words)
+        own = [*words, *asked]
+        n = np.concatenate([np.fromiter(words.values(), np.int64, len(words)), np.zeros(len(asked), np.int64)])
+        del words, asked
+        out = [_rows(WORD_KEY, word_keys(own), n), _rows(GRAM_KEY, *_merge(keys, counts)), _rows(WORD_KEY, np.array([END_KEY]), np.array([ends]))]
+        out = pa.Table.from_batches(out)
+        pa.default_memory_pool().release_unused()
+        return out.append_column("block", pa.array(np.full(out.num_rows, number, np.int32)))
 
     return run
 
 
-def train(texts: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """words (key, n), edges (ord, code, c) and nodes (ord, ctx, t, d, e) learnt from texts(text), all settled."""
-    counted = texts.select("text").mapInArrow(_count(order), "kind byte, key long, n long")
-    counted = settle(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")))
+def train(asked: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """words (key, n), edges (ord, code, c) and nodes (ord, ctx, t, d, e) from the blocks' counts, all settled."""
+    counted = settle(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")).filter("n > 0"))
     words = counted.filter(F.col("kind") == WORD_KEY).select("key", "n")
     mask = F.expr("shiftleft(1L, 8 * (ord + 1)) - 1")
     edges = settle(
@@ -194,69 +225,35 @@ def gram_scores(wanted: DataFrame, edges: DataFrame, nodes: DataFrame, order: in
     return seen.union(levels.select("key", F.expr(walk).alias("value")))
 
 
-def _ask(order: int):
-    """The distinct words and grams of a block."""
-
-    def run(block: pa.Table) -> pa.Table:
-        number = block.column("block")[0].as_py()
-        words: set[bytes] = set()
-        keys: list[np.ndarray] = []
-        for b in block.select(["text"]).to_batches(max_chunksize=1_000):
-            split = [words_of(t) for t in b.column(0).to_pylist()]
-            for w in split:
-                words.update(w)
-            for _, lot in _texts(split, order):
-                keys += [np.unique(code) for code, _ in _lot_grams(lot, order)]
-            if len(keys) > 8:
-                keys = [np.unique(np.concatenate(keys))]
-        out = [_rows(WORD_KEY, np.unique(word_keys(list(words)))), _rows(GRAM_KEY, np.unique(np.concatenate(keys)))]
-        out = pa.Table.from_batches(out)
-        return out.append_column("block", pa.array(np.full(out.num_rows, number, np.int32)))
-
-    return run
-
-
 def _score(order: int, total: int, distinct: int, ends: int):
     """A block's texts with the answers: words' counts and grams' log10 probabilities."""
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         kind = answers.column("kind").to_numpy()
         key, value = answers.column("key").to_numpy(), answers.column("value").to_numpy()
-        of = {}
-        for k in (WORD_KEY, GRAM_KEY):
-            own = np.flatnonzero(kind == k)
-            own = own[np.argsort(key[own])]
-            of[k] = key[own], value[own]
+        count_of, logp_of = (Lookup(key[kind == k], value[kind == k]) for k in (WORD_KEY, GRAM_KEY))
+        del kind, key, value
+        pa.default_memory_pool().release_unused()
         whole = total + 0.5 * (distinct + 1)
-        counts = of[WORD_KEY][1]
-        base_of, known_of = np.log10((counts + 0.5) / whole), counts > 0
         end_base, end_known = float(np.log10((ends + 0.5) / whole)), int(ends > 0)
         out = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
-        place: dict[bytes, int] = {}
-        for b in block.select(["text"]).to_batches(max_chunksize=1_000):
+        held_counts: dict[bytes, float] = {}
+        for b in block.select(["text"]).to_batches(max_chunksize=300):
             split = [words_of(t) for t in b.column(0).to_pylist()]
-            new = list(set().union(*split).difference(place))
-            if len(place) > 1_000_000:
-                place.clear()
-                new = list(set().union(*split))
-            at = np.searchsorted(of[WORD_KEY][0], keys := word_keys(new))
-            if len(new) and (of[WORD_KEY][0][np.minimum(at, len(counts) - 1)] != keys).any():
-                raise ValueError("a block's words were not all answered")
-            place.update(zip(new, at.tolist()))
+            if len(held_counts) > 100_000:
+                held_counts.clear()
+            new = list(set().union(*split).difference(held_counts))
+            held_counts.update(zip(new, count_of(word_keys(new)).tolist()))
             n = np.array([len(w) for w in split])
-            flat = np.fromiter((place[x] for w in split for x in w), np.int64, int(n.sum()))
+            flat = np.fromiter((held_counts[x] for w in split for x in w), np.float64, int(n.sum()))
             row = np.repeat(np.arange(len(split)), n)
             out["n_tokens"].append(n + 1)
-            out["n_known"].append(np.bincount(row, known_of[flat], len(split)).astype(np.int64) + end_known)
-            out["base_score"].append(np.bincount(row, base_of[flat], len(split)) + end_base)
+            out["n_known"].append(np.bincount(row, flat > 0, len(split)).astype(np.int64) + end_known)
+            out["base_score"].append(np.bincount(row, np.log10((flat + 0.5) / whole), len(split)) + end_base)
             scores = np.zeros(len(split))
-            for first, lot in _texts(split, order):
-                for code, within in _lot_grams(lot, order):
-                    u, inverse = np.unique(code, return_inverse=True)
-                    at = np.searchsorted(of[GRAM_KEY][0], u)
-                    if (of[GRAM_KEY][0][np.minimum(at, len(of[GRAM_KEY][0]) - 1)] != u).any():
-                        raise ValueError("a block's grams were not all answered")
-                    scores[first : first + len(lot)] += np.bincount(within, of[GRAM_KEY][1][at][inverse], len(lot))
+            for first, lot in _texts(split):
+                for code, within in _lot_grams(lot, order, True):
+                    scores[first : first + len(lot)] += np.bincount(within, logp_of(code), len(lot))
             out["score"].append(scores)
         held = block.column("held_out")
         columns = [block.column("doc_id"), held, *(pa.array(np.concatenate(out[n])) for n in ("n_tokens", "n_known"))]
@@ -270,15 +267,14 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of docs(doc_id, text)."""
     held = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out"))
-    words, edges, nodes = train(rows.filter(~F.col("held_out")), order)
-    total, distinct, ends = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max(F.when(F.col("key") == END_KEY, F.col("n"))), F.lit(0))
-    ).first()
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // block_bytes))
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n)).cast("int")).repartition(int(n), "block")
-    asked = blocked.groupBy("block").applyInArrow(_ask(order), "kind byte, key long, block int")
-    asked = settle(asked)
+    asked = settle(blocked.groupBy("block").applyInArrow(_ask(order), "kind byte, key long, n long, block int"))
+    words, edges, nodes = train(asked, order)
+    total, distinct, ends = words.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max(F.when(F.col("key") == END_KEY, F.col("n"))), F.lit(0))
+    ).first()
     wanted = asked.filter(F.col("kind") == GRAM_KEY).select("key").distinct()
     model = settle(
         gram_scores(wanted, edges, nodes, order).select(F.lit(GRAM_KEY).cast("byte").alias("kind"), "key", "value")

@@ -185,6 +185,15 @@ def test_ppm_is_brute_force(spark, odd):
                 assert math.isclose(r.score, brute_ppm(train, t, order), rel_tol=1e-9, abs_tol=1e-9), i
 
 
+def test_ppm_lookup():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(-(2**62), 2**62, 5_000))
+    found = ppm.Lookup(keys, keys.astype(float))
+    assert (found(rng.permutation(keys)) != 0).all() and (found(keys) == keys.astype(float)).all()
+    with pytest.raises(ValueError):
+        found(np.array([12345]))
+
+
 def test_ppm_parts_of_a_long_text():
     text = bytes(np.random.default_rng(1).integers(97, 101, 5 * ppm.PART // 2).astype(np.uint8).tolist()) + b"\n"
     code = np.concatenate([c for c, _ in ppm._lot_grams([text], 5)])
