@@ -9,8 +9,8 @@ principle alone gives 16. The chain of three and the whole distance are checked
 Copies of one fingerprint are a single row throughout (a representative and membership), however many there are.
 
 Defined cases: a null or wordless text has fingerprint zero, linked like any other; a null doc_id is never a
-component's id where another is there; repeated rows are equal members, and of rows that repeat a kept id
-``keep_one`` keeps one; an empty table gives an empty result; extra columns stay in ``keep_one``.
+component's id where another is there; repeated rows are equal members; ``keep_one`` tells components apart by their
+fingerprints, so texts that share an id, or have none, stay if they differ; an empty table gives an empty result; extra columns stay in ``keep_one``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sporeline.llm.common import settle, table
 from sporeline.llm.components import roots
@@ -73,33 +74,44 @@ def links(prints: DataFrame) -> DataFrame:
     return looked.join(filed.hint("shuffle_hash"), on).select("u", "v").distinct()
 
 
+@F.arrow_udf(T.LongType())
+def _print(texts: pa.Array) -> pa.Array:
+    return pa.array([fingerprint(t) for t in texts.to_pylist()], pa.int64())
+
+
 def group(signed: DataFrame) -> DataFrame:
-    """signed(doc_id, fp), settled, with component_id: the smallest doc_id that links reach."""
+    """signed(doc_id, fp), settled, with component_id, the smallest doc_id that links reach, and root, its least fp."""
     prints = settle(signed.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = roots(links(prints.select("fp")))
     # Only fingerprints with a link need more than their own smallest id.
     linked = prints.join(found.withColumnRenamed("node", "fp"), "fp")
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = linked.join(ids, "root").select("fp", "component_id")
-    of = settle(prints.join(of, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
+    of = linked.join(ids, "root").select("fp", "root", "component_id")
+    own = F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id"))
+    of = settle(prints.join(of, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), own.alias("component_id")))
     # A fingerprint with very many copies is a skewed key here; Spark splits it, as this join is followed by nothing.
     return signed.join(of, "fp")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs(doc_id, text)."""
+    """(doc_id, fp, root, component_id) for each row of docs(doc_id, text)."""
     return group(settle(signatures(docs)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without all but one row of each component: the one with the smallest doc_id."""
-    members = near_duplicates(docs)
-    kept = settle(members.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")))
-    rows = kept.groupBy("_id").count()
-    out = docs.join(rows.select("_id"), docs.doc_id.eqNullSafe(F.col("_id")), "left_semi")
-    if rows.filter("count > 1").isEmpty():
-        return out
-    return out.dropDuplicates(["doc_id"])
+    """docs without all but one row of each component: the one with the smallest doc_id, then fingerprint.
+
+    Ids name the rows to keep where no id is repeated. Otherwise the texts are signed again, as only id and fingerprint
+    together tell which component a row is of.
+    """
+    signed = settle(signatures(docs))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("m")
+    kept = settle(group(signed).groupBy("root").agg(first).select(F.col("m.doc_id").alias("_id"), F.col("m.fp").alias("_fp")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    if signed.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs.join(kept.select("_id"), same, "left_semi")
+    rows = docs.withColumn("_own", _print("text")).join(kept, (F.col("_own") == F.col("_fp")) & same, "left_semi")
+    return rows.dropDuplicates(["doc_id", "_own"]).drop("_own")
 
 
 def op8_simhash_near_dedup(spark, sf_dir):

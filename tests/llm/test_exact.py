@@ -140,6 +140,13 @@ def test_keep_one_of_repeated_rows(spark):
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [1, 3]
 
 
+def test_keep_one_tells_texts_apart_that_share_an_id(spark):
+    rows = [(None, "a b c d"), (None, "x y z"), (None, "x y z"), (1, "a b c d"), (5, "k l m"), (5, "o p q r"), (6, "o p q r"), (4, "k l m"), (4, "t u v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()), key=repr)
+    assert kept == sorted([(None, "x y z"), (1, "a b c d"), (4, "k l m"), (4, "t u v"), (5, "o p q r")], key=repr)
+
+
 def brute_ppm(train, text, order):
     """log10 probability by a trie of dictionaries."""
     pad = b"\n" * order
