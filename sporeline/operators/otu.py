@@ -38,9 +38,24 @@ def long_table(joined: DataFrame, merge_replicates: bool = False) -> DataFrame:
     return joined.groupBy("OTU", sample.alias("SampleID")).agg(F.sum("Abundance").alias("Abundance"))
 
 
-def wide_table(long: DataFrame, samples: list[str]) -> DataFrame:
+#: The wide table's column of rows without a sample, as a pivot calls it.
+NO_SAMPLE = "null"
+
+
+def sample_names(long: DataFrame) -> list[str | None]:
+    """All samples in order, None last. Columns have to differ in more than case, so names that don't are refused."""
+    names = sorted((r.SampleID for r in long.select("SampleID").distinct().collect()), key=lambda s: (s is None, s or ""))
+    columns = ["otu", *[(NO_SAMPLE if s is None else s).lower() for s in names]]
+    if len(set(columns)) < len(columns):
+        raise ValueError("samples' names clash as columns of a wide table")
+    return names
+
+
+def wide_table(long: DataFrame, samples: list[str | None]) -> DataFrame:
     """One column for each sample, 0 where it lacks the OTU."""
-    return long.groupBy("OTU").pivot("SampleID", samples).agg(F.sum("Abundance")).fillna(0, samples)
+    wide = long.groupBy("OTU").pivot("SampleID", samples).agg(F.sum("Abundance"))
+    own = wide.toDF("OTU", *[f"c{i}" for i in range(len(samples))])
+    return own.select("OTU", *[F.coalesce(f"c{i}", F.lit(0)).alias(NO_SAMPLE if s is None else s) for i, s in enumerate(samples)])
 
 
 def ranked(long: DataFrame) -> DataFrame:

@@ -45,5 +45,6 @@ def stats(scored: DataFrame) -> DataFrame:
 
 def from_wide(wide: DataFrame, otu: str, samples: list[str]) -> DataFrame:
     """A wide table as cells with a positive abundance."""
-    long = wide.unpivot(otu, samples, "SampleID", "Abundance")
+    quoted = ["`" + s.replace("`", "``") + "`" for s in samples]
+    long = wide.unpivot(otu, quoted, "SampleID", "Abundance")
     return long.filter("Abundance > 0").withColumnRenamed(otu, "OTU")

@@ -126,8 +126,9 @@ def chimera_rescue(spark, d):
 def union_runs(spark, d):
     own = docs(spark, d)
     runs = []
-    for lang in ("en", "fr", "es", "de"):
-        r = own.filter(F.col("lang") == lang)
+    # Every language there is, null included, is a run; that of 'de' also stands for its column where it has no rows.
+    for lang in sorted({r.lang for r in own.select("lang").distinct().collect()} | {"de"}, key=lambda x: (x is None, x or "")):
+        r = own.filter(F.col("lang").eqNullSafe(F.lit(lang)))
         runs.append(r.select("SampleID", "SeqID", "lang", F.col("doc_id").alias("extra")) if lang == "de" else r.select("SeqID", "SampleID", "lang"))
     return otu.union_runs(runs)
 
@@ -316,12 +317,14 @@ def otu_long_merged(spark, d):
 
 @query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, " + ", ".join(f"count(*) FILTER (SampleID = '{s}') AS {s}" for s in SOURCES) + " FROM docs JOIN dm ON q = SeqID GROUP BY 1")
 def otu_wide(spark, d):
-    return otu.wide_table(otu.long_table(_joined(spark, d)), SOURCES)
+    long = otu.long_table(_joined(spark, d))
+    return otu.wide_table(long, otu.sample_names(long))
 
 
 @query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, SampleID, count(*) AS Abundance FROM docs JOIN dm ON q = SeqID GROUP BY ALL")
 def unpivot_long(spark, d):
-    return tagjump.from_wide(otu_wide(spark, d), "OTU", SOURCES).select("OTU", "SampleID", "Abundance")
+    wide = otu_wide(spark, d)
+    return tagjump.from_wide(wide, "OTU", [c for c in wide.columns if c != "OTU"]).select("OTU", F.expr(f"nullif(SampleID, '{otu.NO_SAMPLE}')").alias("SampleID"), "Abundance")
 
 
 @query(f"{_MAPS} SELECT substring(t, 1, 2) AS OTU, count(*) AS total FROM docs JOIN dm ON q = SeqID GROUP BY ALL")

@@ -42,3 +42,13 @@ def test_denovo_chimera_is_found(spark):
     rows = [("s", a, 100), ("s", b, 90), ("s", a[:10] + b[10:], 3), ("s", "A" * 20, 2)]
     out = {r.seq: r.chimera for r in cluster.denovo_chimeras(spark.createDataFrame(rows, "SampleID string, seq string, size long")).collect()}
     assert out == {a: False, b: False, a[:10] + b[10:]: True, "A" * 20: False}
+
+
+def test_samples_and_runs_come_from_the_table(spark, tmp_path):
+    rows = [(i, f"text {i % 17}", [None, "it", "de", "en", "zh"][i % 5], [None, "src3", "src20", "a.b", "lab `x`"][i // 3 % 5]) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").toPandas().to_parquet(tmp_path / "documents.parquet")
+    for name in ("union_runs", "unpivot_long"):
+        rows_match(spark, catalog.queries()[name], catalog.oracle_sql()[name], str(tmp_path))
+    wide = catalog.queries()["otu_wide"](spark, str(tmp_path))
+    assert wide.columns == ["OTU", "a.b", "lab `x`", "src20", "src3", "null"]
+    assert sum(sum(r[1:]) for r in wide.collect()) == 60
