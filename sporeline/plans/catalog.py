@@ -630,7 +630,7 @@ def unoise(spark, d):
 
 @query()
 def swarm_d1(spark, d):
-    return cluster.swarm(_sized(spark, d, 8))
+    return cluster.swarm(docs(spark, d).groupBy("seq").agg(F.count("*").alias("size")))
 
 
 @query()

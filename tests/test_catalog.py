@@ -52,3 +52,12 @@ def test_samples_and_runs_come_from_the_table(spark, tmp_path):
     wide = catalog.queries()["otu_wide"](spark, str(tmp_path))
     assert wide.columns == ["OTU", "a.b", "lab `x`", "src20", "src3", "null"]
     assert sum(sum(r[1:]) for r in wide.collect()) == 60
+
+
+def test_swarm_takes_whole_sequences(spark):
+    from sporeline.plans import bind
+
+    seqs = {r.seq for r in bind.docs(spark, SF).collect()}
+    alike = [(a, b) for a in seqs for b in seqs if a < b and sum(x != y for x, y in zip(a, b)) < 2]  # all are 80 bases
+    out = {r.seq: r.centroid for r in catalog.queries()["swarm_d1"](spark, SF).collect()}
+    assert not alike and out == {s: s for s in seqs}
