@@ -12,79 +12,165 @@ columns other than doc_id and text aren't written.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sporeline.llm.common import settle, shared_dir, table
 
-#: Words that a worker remembers; at about 250 bytes each some 200 MB.
-REMEMBERED = 800_000
+#: Words in a generation of a worker's memory, which holds two; at about 40 bytes each, 50 MB while they are looked up.
+REMEMBERED = 600_000
+#: Bytes of texts encoded at once, about; a longer text is alone.
+BATCH_BYTES = 16_000_000
 SCHEMA = "doc_id long, place long, ids array<int>"
 
 
+class _Ragged:
+    """Arrays of ids, one for each number, in one array that grows by doubling."""
+
+    def __init__(self):
+        self.ends, self.ids, self.n = np.zeros(1_024, np.int64), np.zeros(4_096, np.int32), 0
+
+    def lengths(self, at: np.ndarray) -> np.ndarray:
+        return self.ends[at + 1] - self.ends[at]
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the numbers, one array after the other."""
+        n = self.lengths(at)
+        out = np.repeat((self.ends[at] - np.cumsum(n) + n).astype(np.int32), n)
+        out += np.arange(len(out), dtype=np.int32)
+        return self.ids[out]
+
+    def add(self, lengths: np.ndarray, ids: np.ndarray) -> None:
+        m, old = self.n + len(lengths), int(self.ends[self.n])
+        while len(self.ends) <= m:
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while len(self.ids) < old + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ends[self.n + 1 : m + 1] = old + np.cumsum(lengths)
+        self.ids[old : old + len(ids)] = ids
+        self.n = m
+
+
 class WordEncoder:
-    """A tokenizer of the tokenizers library whose pieces never reach over white space, with its words remembered."""
+    """A tokenizer of the tokenizers library whose pieces never reach over white space, with its words remembered.
+
+    Words are numbered; a text is its words' numbers, whose ids are gathered for a whole batch at once. When a
+    generation of words is full it becomes the one before, from which words in use are carried over.
+    """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
-        self.own = Tokenizer.from_str(spec)
+        self.own, self.remembered = Tokenizer.from_str(spec), remembered
         suffix = self.own.model.end_of_word_suffix
         vocab = self.own.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.known: dict[str, bytes] = {}
+        self.marks: dict[str, list[int]] = {}
+        self.known = self.before = pa.array([], pa.string())
+        self.pieces, self.old = _Ragged(), _Ragged()
 
-    def _one_by_one(self, words: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.own.encode_batch_fast(words, add_special_tokens=False)]
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.own.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _plain(self, words: list[str]) -> list[bytes]:
+    def _letters(self, words: list[str]) -> list[list[int]]:
         """Words of letters, many in a text. Each is one piece or more and a piece ends in one id that says so, so if
         there are as many ends as words, each word is what lies between two ends."""
         out = []
         chunks = [words[i : i + 200] for i in range(0, len(words), 200)]
-        for chunk, enc in zip(chunks, self.own.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)):
-            ids = np.array(enc.ids, "<u4")
+        for chunk, ids in zip(chunks, self._encode([" ".join(c) for c in chunks])):
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(chunk) or ends[-1] != len(ids):
-                out += self._one_by_one(chunk)
+                out += self._encode(chunk)
             else:
-                raw, at = ids.tobytes(), [0, *(ends * 4).tolist()]
-                out += [raw[a:b] for a, b in zip(at, at[1:])]
+                at = [0, *ends.tolist()]
+                out += [ids[a:b] for a, b in zip(at, at[1:])]
         return out
 
-    def _learn(self, words: list[str]) -> None:
-        known = self.known
-        # A mark after an ASCII letter or digit is a piece by itself, so such words are put together from two parts.
-        marked = [w for w in words if len(w) > 1 and w[-1] in ".,;:!?" and w[-2].isascii() and w[-2].isalnum()]
-        need = set(words).difference(marked)
-        need.update([w[:-1] for w in marked], [w[-1] for w in marked])
-        need = [w for w in need if w not in known]
-        plain = [w for w in need if w.isalpha()]
-        other = [w for w in need if not w.isalpha()]
-        known.update(zip(plain, self._plain(plain)))
-        known.update(zip(other, self._one_by_one(other)))
-        for w in marked:
-            known[w] = known[w[:-1]] + known[w[-1]]
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.known[""] = b""
-        new = list(set().union(*cut).difference(self.known))
-        if new:
-            self._learn(new)
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in cut]
+    def _learn(self, words: list[str]) -> list[list[int]]:
+        """Marks after a letter are a piece by themselves, so a word of letters and marks is put together from two parts."""
+        cut = [m.groups() if (m := _marked(w)) else (w, "") for w in words]
+        heads = list(dict.fromkeys(h for h, _ in cut))
+        letters = [h for h in heads if h.isalpha()]
+        other = [h for h in heads if not h.isalpha()]
+        of = dict(zip(letters, self._letters(letters)))
+        of.update(zip(other, self._encode(other)))
+        if len(self.marks) > 10_000:
+            self.marks.clear()
+        tails = list({t for _, t in cut}.difference(self.marks))
+        self.marks.update(zip(tails, self._encode(tails)))
+        return [of[h] + self.marks[t] if t else of[h] for h, t in cut]
+
+    def _add(self, words: pa.Array) -> None:
+        """Numbers words that this generation lacks: those of the one before are carried over, others are learnt."""
+        at = _places(words, self.before)
+        learnt = self._learn(words.filter(pa.array(at < 0)).to_pylist())
+        lengths = np.zeros(len(at), np.int64)
+        lengths[at >= 0] = self.old.lengths(at[at >= 0])
+        lengths[at < 0] = np.fromiter(map(len, learnt), np.int64, len(learnt))
+        ids = np.zeros(int(lengths.sum()), np.int32)
+        was = np.repeat(at >= 0, lengths)
+        ids[was] = self.old.take(at[at >= 0])
+        ids[~was] = np.fromiter(itertools.chain.from_iterable(learnt), np.int32, len(ids) - int(was.sum()))
+        self.pieces.add(lengths, ids)
+        self.known = pa.concat_arrays([self.known, words])
+
+    def _numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all words, ends of the texts in them); every number has its ids. All but _learn runs in Arrow."""
+        if len(self.known) > self.remembered:
+            self.before, self.old, self.known, self.pieces = self.known, self.pieces, self.known[:0], _Ragged()
+        texts = pc.fill_null(texts, "")
+        # The tokenizer composes letters and marks before it lowers them, which for a few is not the same.
+        if not pc.any(pc.match_substring_regex(texts, "[\u0300-\u036f]"), min_count=0).as_py():
+            texts = pc.ascii_lower(texts)
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary
+        at = _places(distinct, self.known)
+        if (new := np.flatnonzero(at < 0)).size:
+            at[new] = len(self.known) + np.arange(len(new))
+            self._add(distinct.take(pa.array(new)))
+        return at[coded.indices.to_numpy()], np.cumsum(pc.list_value_length(words).to_numpy())
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Ids in each text."""
+        at, ends = self._numbers(texts)
+        sums = np.concatenate([[0], np.cumsum(self.pieces.lengths(at))])
+        return np.diff(sums[ends], prepend=0)
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids in each); null is an empty text."""
+        at, ends = self._numbers(texts)
+        sums = np.concatenate([[0], np.cumsum(self.pieces.lengths(at))])
+        return self.pieces.take(at), np.diff(sums[ends], prepend=0)
+
+
+def _places(words: pa.Array, of: pa.Array) -> np.ndarray:
+    """Where each word stands in ``of``; -1 for those that don't."""
+    return pc.fill_null(pc.index_in(words, of), -1).to_numpy().astype(np.int64)
+
+
+def batches_of(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``most`` bytes."""
+    if not batch.num_rows:
+        return
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
+_marked = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
 
 
 _held: dict[int, WordEncoder] = {}
@@ -106,15 +192,15 @@ def write(docs: DataFrame, spec: str, path: str, end_id: int, stride: int = 1_00
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, place = _encoder(held.value), 0
-        tail = int(end_id).to_bytes(4, "little")
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                b = whole.slice(start, 512)
-                raw = [x + tail for x in own.encode_batch([t or "" for t in b.column(1).to_pylist()])]
-                ends = pa.array(np.cumsum([0, *[len(x) // 4 for x in raw]]), pa.int32())
-                ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(raw), "<i4"), pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.arange(place, place + len(raw))), ids], ["doc_id", "place", "ids"])
-                place += len(raw)
+            for b in batches_of(whole, 1):
+                ids, n = own.encode_batch(b.column(1))
+                ends = np.cumsum(n)
+                ids = np.insert(ids, ends, end_id)  # after each document
+                at = pa.array(np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]), pa.int32())
+                lists = pa.ListArray.from_arrays(at, pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.arange(place, place + len(n))), lists], ["doc_id", "place", "ids"])
+                place += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     ranged = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
