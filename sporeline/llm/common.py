@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +27,28 @@ def fold(doc_id: Column) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors see.
 
-    Where the setting is absent (tests, a single machine) a folder of this machine is set as the checkpoint dir.
+    Where the setting is absent on a single machine (tests), a folder of this machine is set as the checkpoint dir; on a
+    cluster its absence is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = sc._jsc.sc().getCheckpointDir()
+        if not held.isDefined() and sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = held.get() if held.isDefined() else "/tmp/sporeline-checkpoints"
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/sporeline-{uuid.uuid4().hex}"
 
 
+def release() -> None:
+    """Gives what a worker's finished task held back to the system; workers are used again."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # elsewhere than under glibc it's left to the allocator
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cuts the lineage: writes df to the shared folder once and reads it from there."""
     spark = df.sparkSession

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sporeline.llm.common import fold, settle, table
+from sporeline.llm.common import fold, release, settle, table
 
 #: Bytes of context; at most 6, as context and symbol are held in a long.
 ORDER = 5
@@ -129,9 +129,30 @@ class Lookup:
         return out
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return k, np.bincount(inverse, np.concatenate(counts), len(k)).astype(np.int64)
+class _Counts:
+    """Keys and their counts, added up whenever PENDING new ones have come, so no more than these are held twice."""
+
+    PENDING = 1_500_000
+
+    def __init__(self):
+        self.keys, self.counts, self.pending = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.pending += len(keys)
+        if self.pending > self.PENDING:
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        self.keys, self.counts = [], []
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        self.keys, self.counts, self.pending = [keys[first]], [np.add.reduceat(counts, first) if len(first) else counts], 0
+        return self.keys[0], self.counts[0]
 
 
 def _rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -143,33 +164,26 @@ def _ask(order: int):
 
     def run(block: pa.Table) -> pa.Table:
         number = block.column("block")[0].as_py()
-        words: Counter = Counter()
-        asked: set[bytes] = set()
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+        words, found = _Counts(), _Counts()
         ends = 0
         for b in block.select(["text", "held_out"]).to_batches(max_chunksize=300):
             split = [words_of(t) for t in b.column(0).to_pylist()]
             held = b.column(1).to_pylist()
-            for w, h in zip(split, held):
-                (asked if h else words).update(w)
             ends += len(held) - sum(held)
             for part in (False, True):
-                for _, lot in _texts([w for w, h in zip(split, held) if h == part]):
+                own = [w for w, h in zip(split, held) if h == part]
+                n: Counter = Counter()
+                for w in own:
+                    n.update(w)
+                words.add(word_keys(list(n)), np.zeros(len(n), np.int64) if part else np.fromiter(n.values(), np.int64, len(n)))
+                for _, lot in _texts(own):
                     for code, _ in _lot_grams(lot, order):
                         k, n = np.unique(code, return_counts=True)
-                        keys.append(k)
-                        counts.append(np.zeros(len(k), np.int64) if part else n)
-            if len(keys) > 40:
-                merged = _merge(keys, counts)
-                keys, counts = [merged[0]], [merged[1]]
-        asked.difference_update(words)
-        own = [*words, *asked]
-        n = np.concatenate([np.fromiter(words.values(), np.int64, len(words)), np.zeros(len(asked), np.int64)])
-        del words, asked
-        out = [_rows(WORD_KEY, word_keys(own), n), _rows(GRAM_KEY, *_merge(keys, counts)), _rows(WORD_KEY, np.array([END_KEY]), np.array([ends]))]
+                        found.add(k, np.zeros(len(k), np.int64) if part else n)
+        out = [_rows(WORD_KEY, *words.merged()), _rows(GRAM_KEY, *found.merged()), _rows(WORD_KEY, np.array([END_KEY]), np.array([ends]))]
         out = pa.Table.from_batches(out)
-        pa.default_memory_pool().release_unused()
+        del words, found, block
+        release()
         return out.append_column("block", pa.array(np.full(out.num_rows, number, np.int32)))
 
     return run
@@ -232,11 +246,11 @@ def _score(order: int, total: int, distinct: int, ends: int):
         kind = answers.column("kind").to_numpy()
         key, value = answers.column("key").to_numpy(), answers.column("value").to_numpy()
         count_of, logp_of = (Lookup(key[kind == k], value[kind == k]) for k in (WORD_KEY, GRAM_KEY))
-        del kind, key, value
-        pa.default_memory_pool().release_unused()
+        del kind, key, value, answers
+        release()
         whole = total + 0.5 * (distinct + 1)
         end_base, end_known = float(np.log10((ends + 0.5) / whole)), int(ends > 0)
-        out = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
+        parts = {n: [] for n in ("n_tokens", "n_known", "base_score", "score")}
         held_counts: dict[bytes, float] = {}
         for b in block.select(["text"]).to_batches(max_chunksize=300):
             split = [words_of(t) for t in b.column(0).to_pylist()]
@@ -247,18 +261,21 @@ def _score(order: int, total: int, distinct: int, ends: int):
             n = np.array([len(w) for w in split])
             flat = np.fromiter((held_counts[x] for w in split for x in w), np.float64, int(n.sum()))
             row = np.repeat(np.arange(len(split)), n)
-            out["n_tokens"].append(n + 1)
-            out["n_known"].append(np.bincount(row, flat > 0, len(split)).astype(np.int64) + end_known)
-            out["base_score"].append(np.bincount(row, np.log10((flat + 0.5) / whole), len(split)) + end_base)
+            parts["n_tokens"].append(n + 1)
+            parts["n_known"].append(np.bincount(row, flat > 0, len(split)).astype(np.int64) + end_known)
+            parts["base_score"].append(np.bincount(row, np.log10((flat + 0.5) / whole), len(split)) + end_base)
             scores = np.zeros(len(split))
             for first, lot in _texts(split):
                 for code, within in _lot_grams(lot, order, True):
                     scores[first : first + len(lot)] += np.bincount(within, logp_of(code), len(lot))
-            out["score"].append(scores)
+            parts["score"].append(scores)
         held = block.column("held_out")
-        columns = [block.column("doc_id"), held, *(pa.array(np.concatenate(out[n])) for n in ("n_tokens", "n_known"))]
-        columns += [pa.array(np.full(block.num_rows, total, np.int64)), *(pa.array(np.concatenate(out[n])) for n in ("base_score", "score"))]
-        return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        columns = [block.column("doc_id"), held, *(pa.array(np.concatenate(parts[n])) for n in ("n_tokens", "n_known"))]
+        columns += [pa.array(np.full(block.num_rows, total, np.int64)), *(pa.array(np.concatenate(parts[n])) for n in ("base_score", "score"))]
+        out = pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        del count_of, logp_of, held_counts, block, columns
+        release()
+        return out
 
     return run
 
