@@ -1,8 +1,9 @@
 """Quality rules with adaptive thresholds (DataFrame operations only).
 
 Fixed rules reject what is broken in any corpus (too few words, mostly repeated five-word windows). The other rules
-compare a document with its own language and source: a mergeable sketch of every metric gives the quartiles of each
-(language, source), and a document is rejected where a metric lies beyond the upper (or lower) fence.
+compare a document with its own language and source: a mergeable sketch of every metric gives quantiles of each
+(language, source), and a document is rejected where a metric lies beyond the upper (or lower) fence, which is ``reach``
+times as far from an outer quantile as that is from the median.
 
 The sketch is a log-linear histogram of integers: a value keeps its six leading binary digits, so a bucket is at most
 1/32 wide relative to its value, a group has a bounded number of buckets, sketches merge by adding counts, and the
@@ -10,8 +11,9 @@ result does not depend on partitioning. Groups of fewer than ``min_docs`` docume
 sketch, and languages below it that of the whole corpus.
 
 Defined cases: a null text has no words and is rejected; a null language or source counts as ''; repeated rows are
-judged separately and alike; an empty table gives an empty result; extra columns stay, but columns of the input that
-have the name of a result column are replaced.
+judged separately and alike; an empty table gives an empty result; extra columns stay whatever their names, but
+``features`` and ``judge``, which add columns, replace those of the input that have a result column's name;
+``quality_filter`` returns the input's columns as they were; very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -39,27 +41,30 @@ class Rules:
     min_words: int = 10
     max_repeat_percent: int = 20
     min_docs: int = 200
-    #: Widths of the fences in interquartile ranges.
+    #: Distance of the fences from the outer quantile, in distances between it and the median.
     reach: int = 6
-    #: Least spread by metric, for groups in which most documents have the same value.
-    spread: dict = field(default_factory=lambda: {"symbols": 15, "dup_lines": 100, "word_len": 1000, "upper": 40})
-    #: Metrics that also have a lower fence.
-    two_sided: tuple = ("word_len",)
+    #: Least such distance by metric, for groups in which most documents have the same value.
+    floor: dict = field(default_factory=lambda: {"symbols": 15, "dup_lines": 60, "word_len": 50, "upper": 4})
+    #: Outer quantiles by metric, in twentieths: of the lower fence, if there is one, and of the upper.
+    outer: dict = field(default_factory=lambda: {"symbols": (0, 15), "dup_lines": (0, 19), "word_len": (1, 19), "upper": (0, 19)})
     #: Copies of each group's thresholds over which a hot group's documents are dealt.
     salts: int = 8
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """docs with the FEATURES as long columns; every whole text is read in one pass, without a shuffle.
+def _features(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """own (a struct of the columns in carry, so that no name can clash), lang, source and the FEATURES as long columns.
 
-    Windows are compared by a 64-bit hash of their five words' 64-bit hashes.
+    Every whole text is read in one pass, without a shuffle. Windows are compared by a 64-bit hash of their five words'
+    64-bit hashes.
     """
-    out = docs.drop(*FEATURES).withColumn("_t", F.coalesce(F.col("text"), F.lit("")))
+    own = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
+    group = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]
+    out = docs.select(own.alias("own"), *group, F.coalesce(F.col("text"), F.lit("")).alias("_t"))
     out = out.withColumn("_w", F.expr(r"filter(split(_t, '[\\x20\\x09-\\x0D]+'), w -> w != '')"))
     out = out.withColumn("_lines", F.expr(r"filter(split(_t, '\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"))
     out = out.withColumn("_h", F.expr("transform(_w, w -> xxhash64(w))"))
     out = out.select(
-        "*",
+        "own", "lang", "source",
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         F.size(F.regexp_extract_all("_t", F.lit(r"[#*$%&|<>]"), F.lit(0))).cast("long").alias("n_symbols"),
@@ -70,7 +75,7 @@ def features(docs: DataFrame) -> DataFrame:
             "if(size(_h) < 5, array(), transform(slice(_h, 1, greatest(size(_h) - 4, 1)), "
             "(h, i) -> xxhash64(h, _h[i + 1], _h[i + 2], _h[i + 3], _h[i + 4])))"
         ).cast("array<long>").alias("_v"),
-    ).drop("_w", "_lines", "_h", "_t")
+    )
     # Only texts in which some window occurs twice are sorted.
     out = out.withColumn(
         "_s",
@@ -89,10 +94,20 @@ def features(docs: DataFrame) -> DataFrame:
         "aggregate(transform(_p, (x, k) -> if(k < size(_p) - 1, least(5, _p[least(k + 1, size(_p) - 1)] - x), 5)), "
         "0L, (a, x) -> a + x)"
     )
-    out = out.withColumn("n_repeat_words", F.expr(covered)).drop("_v", "_s", "_p")
+    out = out.withColumn("n_repeat_words", F.expr(covered))
     # The generator keeps later filters on the features from being pushed below, where Catalyst would put the whole
     # expressions in their place and evaluate them once for each word.
-    return out.select(*docs.drop(*FEATURES).columns, F.inline(F.array(F.struct(*FEATURES))))
+    return out.select("own", "lang", "source", F.inline(F.array(F.struct(*FEATURES))))
+
+
+def _with(found: DataFrame, own: list[str], added: list[str]) -> DataFrame:
+    """The input's columns but those that have an added column's name, then the added ones."""
+    return found.select(*[F.col(f"own.`{c}`").alias(c) for c in own if c not in added], *added)
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """docs with the FEATURES."""
+    return _with(_features(docs, docs.columns), docs.columns, list(FEATURES))
 
 
 def _bucket(value: Column) -> Column:
@@ -106,9 +121,7 @@ def sketch(feats: DataFrame) -> DataFrame:
     each = F.explode(
         F.array(*[F.struct(F.lit(m).alias("metric"), F.expr(e).alias("value")) for m, e in METRICS.items()])
     )
-    rows = feats.select(
-        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), each.alias("e")
-    )
+    rows = feats.select("lang", "source", each.alias("e"))
     return (
         rows.select("lang", "source", "e.metric", _bucket(F.col("e.value")).alias("bucket"))
         .groupBy("lang", "source", "metric", "bucket")
@@ -132,19 +145,25 @@ def thresholds(sketches: DataFrame, rules: Rules) -> DataFrame:
     )
     of = W.partitionBy("level", "l", "s", "metric")
     ranked = merged.withColumn("upto", F.sum("n").over(of.orderBy("bucket"))).withColumn("total", F.sum("n").over(of))
-    spread = F.create_map(*[F.lit(x) for kv in rules.spread.items() for x in kv])[F.col("metric")]
+    def of_metric(values: dict) -> Column:
+        return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("metric")]
+
+    floor = of_metric(rules.floor)
+    low_at, high_at = (of_metric({m: v[k] for m, v in rules.outer.items()}) for k in (0, 1))
+
+    def quantile(at: Column | int) -> Column:
+        return F.min(F.when(20 * F.col("upto") >= at * F.col("total"), F.col("bucket")))
+
     fences = (
         ranked.groupBy("level", "l", "s", "metric")
         .agg(
             F.first("total").alias("total"),
-            F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q1"),
-            F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
+            quantile(low_at).alias("lo"), quantile(F.lit(10)).alias("mid"), quantile(high_at).alias("hi"),
         )
-        .withColumn("reach", rules.reach * F.greatest(F.col("q3") - F.col("q1"), spread))
         .select(
             "level", "l", "s", "metric", "total",
-            F.when(F.col("metric").isin(*rules.two_sided), F.col("q1") - F.col("reach")).alias("low"),
-            (F.col("q3") + F.col("reach")).alias("high"),
+            F.when(low_at > 0, F.col("lo") - rules.reach * F.greatest(F.col("mid") - F.col("lo"), floor)).alias("low"),
+            (F.col("hi") + rules.reach * F.greatest(F.col("hi") - F.col("mid"), floor)).alias("high"),
         )
     )
     # A group takes the first of its three levels that has enough documents; the last level always serves.
@@ -163,47 +182,46 @@ def thresholds(sketches: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """docs with FEATURES, base_failed and kept. Two passes over docs: the sketches, then the filter.
+def _judged(docs: DataFrame, rules: Rules, carry: list[str]) -> DataFrame:
+    """own, FEATURES, base_failed and kept. Texts are read once: the features are written with what is carried, and the
+    sketches and the verdicts are made from them.
 
     The thresholds' join is on (language, source) and a salt of the row, so that a hot source is dealt over
     ``rules.salts`` tasks where the thresholds are too many to be broadcast (Spark checks their size).
     """
-    feats = features(docs).withColumn(
+    feats = settle(_features(docs, carry)).withColumn(
         "base_failed",
         (F.col("n_words") < rules.min_words)
         | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")),
     )
     # The sketches are small and read three times: they are written once.
     limits = thresholds(settle(sketch(feats.filter(~F.col("base_failed")))), rules)
-    limits = limits.groupBy(F.col("lang").alias("_l"), F.col("source").alias("_s")).agg(
-        *[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"_{side}_{m}") for m in METRICS for side in ("low", "high")]
+    limits = limits.groupBy("lang", "source").agg(
+        *[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{side}_{m}") for m in METRICS for side in ("low", "high")]
     )
-    limits = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(rules.salts - 1))))
+    limits = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(rules.salts - 1))))
     row = F.pmod(F.xxhash64("n_words", "word_chars", "n_upper"), F.lit(rules.salts)).cast("int")
-    joined = feats.withColumn("_salt", row).join(
-        limits.withColumnRenamed("_salt", "_salt2"),
-        (F.coalesce("lang", F.lit("")) == F.col("_l")) & (F.coalesce("source", F.lit("")) == F.col("_s")) & (F.col("_salt") == F.col("_salt2")),
-        "left",
-    )
+    joined = feats.withColumn("salt", row).join(limits, ["lang", "source", "salt"], "left")
     good = ~F.col("base_failed")
     for m, e in METRICS.items():
         value = F.when(~F.col("base_failed"), F.expr(e))
-        good = good & F.coalesce(value <= F.col(f"_high_{m}"), F.lit(True))
-        if m in rules.two_sided:
-            good = good & F.coalesce(value >= F.col(f"_low_{m}"), F.lit(True))
-    hidden = [c for c in limits.columns] + ["_salt2"]
-    return joined.withColumn("kept", good).drop(*hidden)
+        good = good & F.coalesce(value <= F.col(f"high_{m}"), F.lit(True)) & F.coalesce(value >= F.col(f"low_{m}"), F.lit(True))
+    return joined.select("own", *FEATURES, "base_failed", good.alias("kept"))
+
+
+def judge(docs: DataFrame, rules: Rules = Rules(), carry: list[str] | None = None) -> DataFrame:
+    """docs (the columns in carry, or all) with FEATURES, base_failed and kept."""
+    carry = docs.columns if carry is None else carry
+    return _with(_judged(docs, rules, carry), carry, [*FEATURES, "base_failed", "kept"])
 
 
 def quality_filter(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judge(docs, rules).filter("kept").select(*docs.columns)
+    return _judged(docs, rules, docs.columns).filter("kept").select("own.*")
 
 
 def op9_quality_rules(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return judge(docs).select(
+    return judge(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
@@ -212,8 +230,10 @@ def _oracle() -> str:
     r = Rules()
     metric = {m: e.replace(" div ", " // ") for m, e in METRICS.items()}
     values = " UNION ALL ".join(f"SELECT doc_id, lang, source, '{m}' AS metric, {e} AS v FROM f WHERE NOT base_failed" for m, e in metric.items())
-    spread = "CASE metric " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in r.spread.items()) + " END"
-    sided = ", ".join(f"'{m}'" for m in r.two_sided)
+    def of_metric(values):
+        return "CASE metric " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in values.items()) + " END"
+
+    floor, low_at, high_at = of_metric(r.floor), of_metric({m: v[0] for m, v in r.outer.items()}), of_metric({m: v[1] for m, v in r.outer.items()})
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
@@ -232,8 +252,8 @@ v AS (SELECT doc_id, lang, source, metric, v, (v >> greatest(length(bin(v)) - 6,
 lv AS (SELECT 0 AS level, lang AS l, source AS s, metric, b FROM v UNION ALL SELECT 1, lang, '', metric, b FROM v UNION ALL SELECT 2, '', '', metric, b FROM v),
 h AS (SELECT level, l, s, metric, b, count(*) AS n FROM lv GROUP BY ALL),
 c AS (SELECT *, sum(n) OVER (PARTITION BY level, l, s, metric ORDER BY b) AS upto, sum(n) OVER (PARTITION BY level, l, s, metric) AS total FROM h),
-q AS (SELECT level, l, s, metric, min(total) AS total, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3 FROM c GROUP BY ALL),
-fence AS (SELECT level, l, s, metric, total, CASE WHEN metric IN ({sided}) THEN q1 - {r.reach} * greatest(q3 - q1, {spread}) END AS low, q3 + {r.reach} * greatest(q3 - q1, {spread}) AS high FROM q),
+q AS (SELECT level, l, s, metric, min(total) AS total, min(b) FILTER (20 * upto >= {low_at} * total) AS lo, min(b) FILTER (20 * upto >= 10 * total) AS mid, min(b) FILTER (20 * upto >= {high_at} * total) AS hi FROM c GROUP BY ALL),
+fence AS (SELECT level, l, s, metric, total, CASE WHEN {low_at} > 0 THEN lo - {r.reach} * greatest(mid - lo, {floor}) END AS low, hi + {r.reach} * greatest(hi - mid, {floor}) AS high FROM q),
 own AS (SELECT v.doc_id, min_by(v.v <= fence.high AND coalesce(v.v >= fence.low, true), level) AS ok
         FROM v JOIN fence ON fence.metric = v.metric AND ((level = 0 AND l = lang AND s = source) OR (level = 1 AND l = lang) OR level = 2)
         WHERE total >= {r.min_docs} OR level = 2 GROUP BY v.doc_id, v.metric),
