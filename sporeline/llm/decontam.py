@@ -10,7 +10,8 @@ A window whose rarest word occurs in no text is dropped, as it can't occur.
 
 Defined cases: a null text has no words; a null or wordless item has no windows; repeated rows of documents get the
 same figures each; repeated items with one id count once, a null item id isn't listed; empty tables on either side give
-zero hits; extra columns are ignored by the thin query and kept by ``drop_contaminated``.
+zero hits; very long texts are read whole; extra columns, whatever their names, are kept by ``drop_contaminated``, while
+``contamination`` replaces those that have a result column's name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from sporeline.llm.common import LOWER, UPPER, settle, table
 
-#: Rows of the prefix table up to which it is sent to every executor; some 150 bytes each, so 30 MB at most.
+#: Entries (windows' places, or items of windows) up to which a table made from the benchmark alone is sent to every
+#: executor; some 150 bytes each, so 30 MB at most.
 BROADCAST_ROWS = 200_000
 
 
@@ -44,10 +46,11 @@ def windows(items: DataFrame, size: int) -> DataFrame:
     return each.select("item_id", F.explode(many).alias("win")).groupBy("win").agg(F.collect_set("item_id").alias("items"))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """A table made from the benchmark alone, to be broadcast if it has been counted to have few rows; otherwise Spark
-    joins by a shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _small(df: DataFrame, entries: Column | None = None) -> DataFrame:
+    """A settled table made from the benchmark alone, to be broadcast if it has been counted to have few entries;
+    otherwise Spark joins by a shuffle and splits skewed keys."""
+    n = df.agg(F.count("*") if entries is None else F.coalesce(F.sum(entries + 1), F.lit(0))).first()[0]
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def prefixes(docs: DataFrame, wins: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def prefixes(docs: DataFrame, wins: DataFrame) -> DataFrame:
     """
     of = wins.select("win", F.posexplode(F.split("win", " ")).alias("off", "word"))
     known = settle(of.select("word").distinct())
-    known = _small(known, known.count())
+    known = _small(known)
     seen = docs.select(F.explode_outer(F.expr(_words("text"))).alias("w")).select(lowered(F.col("w")).alias("word"))
     counts = settle(seen.join(known, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")))
     rarest = of.join(counts, "word", "left").groupBy("win").agg(
@@ -66,63 +69,70 @@ def prefixes(docs: DataFrame, wins: DataFrame) -> DataFrame:
     return rarest.filter("r.n > 0").groupBy("r.word").agg(F.collect_list(F.struct("r.off", "win")).alias("at"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """docs with n_words, n_hit, n_items (long), item_ids (array of strings, sorted) and contaminated."""
+def _contamination(docs: DataFrame, items: DataFrame, size: int, counted: bool) -> DataFrame:
+    """own (a struct of docs' columns, so that no name can clash) with the RESULT columns; n_words only if counted, else
+    only texts with a proposed window are split again."""
     wins = settle(windows(items, size))
     pre = settle(prefixes(docs, wins))
-    pre = _small(pre, pre.count())
-    keyed = docs.select(*[c for c in docs.columns if c not in RESULT], F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"))
+    pre = _small(pre, F.size("at"))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
     # Every word of every text, with its place; only those that are some window's prefix go on.
     # The words are made once per text, before they are dealt out: Spark evaluates what stands beside a generator per row.
-    split = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"), F.expr(_words("text")).alias("_w"))
-    words = split.select("doc_id", "_key", F.size("_w").alias("_n"), "_w").select("doc_id", "_key", "_n", F.posexplode_outer("_w").alias("pos", "w"))
-    words = words.select("doc_id", "_key", "_n", "pos", lowered(F.col("w")).alias("word"))
+    split = docs.select(F.col("doc_id").alias("id"), key.alias("key"), F.expr(_words("text")).alias("w"))
+    words = split.select("id", "key", F.size("w").alias("n"), "w").select("id", "key", "n", F.posexplode_outer("w").alias("pos", "w"))
+    words = words.select("id", "key", "n", "pos", lowered(F.col("w")).alias("word"))
     proposed = (
         words.join(pre, "word")
-        .select("doc_id", "_key", "_n", "pos", F.explode("at").alias("a"))
-        .select("doc_id", "_key", "_n", (F.col("pos") - F.col("a.off")).alias("start"), "a.win")
-        .filter("start >= 0 and start + size(split(win, ' ')) <= _n")
+        .select("id", "key", "n", "pos", F.explode("at").alias("a"))
+        .select("id", "key", "n", (F.col("pos") - F.col("a.off")).alias("start"), "a.win")
+        .filter("start >= 0 and start + size(split(win, ' ')) <= n")
     )
     proposed = settle(
-        proposed.join(_small(wins, wins.count()), "win")
-        .groupBy("doc_id", "_key")
-        .agg(F.sort_array(F.collect_set(F.struct("start", "win", "items"))).alias("_c"))
+        proposed.join(_small(wins, F.size("items")), "win")
+        .groupBy("id", "key")
+        .agg(F.sort_array(F.collect_set(F.struct("start", "win", "items"))).alias("c"))
     )
-    proposed = proposed.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), "_c")
     # What is proposed grows with the corpus, so this join shuffles (Spark itself may still broadcast a small table).
-    out = keyed.join(proposed, keyed.doc_id.eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
-    out = out.withColumn("_w", F.expr(_words("text")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), F.col("doc_id").alias("of"), key.alias("of_key"))
+    out = rows.join(proposed, F.col("of").eqNullSafe(F.col("id")) & (F.col("of_key") == F.col("key")), "left")
+    again = F.expr(_words("own.text")) if counted else F.when(F.col("c").isNotNull(), F.expr(_words("own.text")))
+    # As a generator's row the words are made once per text; a lambda below would else hold the whole expression.
+    out = out.select("own", "c", F.inline(F.array(F.struct(again.alias("w")))))
+
     # Only the words at a proposed place are lowered.
     def verified(c: Column) -> Column:
-        at = F.slice("_w", c["start"] + 1, F.size(F.split(c["win"], " ")))
+        at = F.slice("w", c["start"] + 1, F.size(F.split(c["win"], " ")))
         return F.array_join(F.transform(at, lowered), " ") == c["win"]
 
-    out = out.withColumn("_hit", F.coalesce(F.filter("_c", verified), F.array()))
-    covered = """aggregate(_hit, named_struct('upto', 0, 'n', 0L),
+    out = out.withColumn("hit", F.coalesce(F.filter("c", verified), F.array()))
+    covered = """aggregate(hit, named_struct('upto', 0, 'n', 0L),
         (a, c) -> named_struct('upto', greatest(a.upto, c.start + size(split(c.win, ' '))),
             'n', a.n + greatest(0, c.start + size(split(c.win, ' ')) - greatest(a.upto, c.start))),
         a -> a.n)"""
-    out = out.withColumn("item_ids", F.expr("array_sort(array_distinct(transform(flatten(transform(_hit, c -> c.items)), x -> cast(x as string))))"))
+    out = out.withColumn("item_ids", F.expr("array_sort(array_distinct(transform(flatten(transform(hit, c -> c.items)), x -> cast(x as string))))"))
     out = out.select(
-        *[c for c in docs.columns if c not in RESULT],
-        F.coalesce(F.size("_w"), F.lit(0)).cast("long").alias("n_words"),
+        "own",
+        F.coalesce(F.size("w"), F.lit(0)).cast("long").alias("n_words"),
         F.expr(covered).alias("n_hit"),
         F.size("item_ids").cast("long").alias("n_items"),
         "item_ids",
     )
-    # As in quality.features: what is filtered later stays above the generator.
-    return out.select(
-        *[c for c in docs.columns if c not in RESULT], "n_words", "n_items", "item_ids",
-        F.inline(F.array(F.struct("n_hit", (F.col("n_hit") > 0).alias("contaminated")))),
-    )
+    # As in quality._features: what is filtered later stays above the generator.
+    return out.select("own", "n_words", "n_items", "item_ids", F.inline(F.array(F.struct("n_hit", (F.col("n_hit") > 0).alias("contaminated")))))
 
 
 RESULT = ("n_words", "n_hit", "n_items", "item_ids", "contaminated")
 
 
+def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
+    """docs with n_words, n_hit, n_items (long), item_ids (array of strings, sorted) and contaminated."""
+    found = _contamination(docs, items, size, True)
+    return found.select(*[F.col(f"own.`{c}`").alias(c) for c in docs.columns if c not in RESULT], *RESULT)
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """The documents without a hit, with their own columns."""
-    return contamination(docs, items, size).filter(~F.col("contaminated")).select(*docs.columns)
+    return _contamination(docs, items, size, False).filter(~F.col("contaminated")).select("own.*")
 
 
 def op5_decontaminate(spark, sf_dir):
