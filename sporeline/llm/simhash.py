@@ -10,7 +10,8 @@ Copies of one fingerprint are a single row throughout (a representative and memb
 
 Defined cases: a null or wordless text has fingerprint zero, linked like any other; a null doc_id is never a
 component's id where another is there; repeated rows are equal members; ``keep_one`` tells components apart by their
-fingerprints, so texts that share an id, or have none, stay if they differ; an empty table gives an empty result; extra columns stay in ``keep_one``.
+fingerprints, so texts that share an id, or have none, stay if they differ; an empty table gives an empty result; extra columns stay in
+``keep_one``, whatever their names; very long texts are signed in parts.
 """
 
 from __future__ import annotations
@@ -102,16 +103,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs without all but one row of each component: the one with the smallest doc_id, then fingerprint.
 
     Ids name the rows to keep where no id is repeated. Otherwise the texts are signed again, as only id and fingerprint
-    together tell which component a row is of.
+    together tell which component a row is of. Both ways keep the same rows; the first signs each text once.
     """
     signed = settle(signatures(docs))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("m")
-    kept = settle(group(signed).groupBy("root").agg(first).select(F.col("m.doc_id").alias("_id"), F.col("m.fp").alias("_fp")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    kept = settle(group(signed).groupBy("root").agg(first).select(F.col("m.doc_id").alias("id"), F.col("m.fp").alias("fp")))
+    # A struct, so that no column's name can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"))
+    same = F.col("own.doc_id").eqNullSafe(F.col("id"))
     if signed.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return docs.join(kept.select("_id"), same, "left_semi")
-    rows = docs.withColumn("_own", _print("text")).join(kept, (F.col("_own") == F.col("_fp")) & same, "left_semi")
-    return rows.dropDuplicates(["doc_id", "_own"]).drop("_own")
+        return rows.join(kept.select("id"), same, "left_semi").select("own.*")
+    found = rows.withColumn("print", _print("own.text")).join(kept, (F.col("print") == F.col("fp")) & same, "left_semi")
+    return found.groupBy(F.col("own.doc_id").alias("id"), "print").agg(F.first("own").alias("own")).select("own.*")
 
 
 def op8_simhash_near_dedup(spark, sf_dir):
