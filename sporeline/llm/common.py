@@ -42,6 +42,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/sporeline-{uuid.uuid4().hex}"
 
 
+def finished(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of the partitions ``key=value`` below path that have Spark's mark of a finished write, sorted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(top)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{key}=") and fs.exists(hadoop(f"{path}/{n}/_SUCCESS")))
+
+
 def release() -> None:
     """Gives what a worker's finished task held back to the system; workers are used again."""
     pa.default_memory_pool().release_unused()

@@ -2,26 +2,27 @@
 
 Every version of every text is addressed by the SHA-256 of its content. A ledger holds the findings of each
 (blob, rule version) ever scanned; a run scans only the pairs that the ledger lacks, each blob once however many
-paths carry it, appends them, and joins findings back to all paths.
+paths carry it, appends them, and joins findings back to all paths. A ledger is a folder that all executors share, with
+a partition for each run; a run is there once its partition is whole, so a repeated or retried run changes nothing.
 
 Positions come from splitting a text at a rule's matches: a match starts at the summed lengths, in code points, of the
 pieces and matches before it. So matches are leftmost and non-overlapping per rule, and matches that are too short are
 dropped only afterwards, as they still use up their place.
 
 Defined cases: a null text is an empty text and has no findings; repeated rows each get their blob's findings; an empty
-table gives an empty result and an empty ledger; extra columns of the versions stay unless they have the name of a
-result column.
+table gives an empty result and an empty ledger; very long texts are scanned whole; extra columns of the versions stay
+whatever their names, but ``join_back``, which adds ``findings``, replaces a column of that name.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sporeline.llm.common import settle, table
+from sporeline.llm.common import finished, shared_dir, table
 
 
 @dataclass(frozen=True)
@@ -95,52 +96,85 @@ def scan(blobs: DataFrame, rules: tuple = RULES) -> DataFrame:
     )
 
 
+SCANNED = "blob string, rule_version string"
+FINDINGS = "blob string, ord int, kind string, start long, end long, rule_version string"
+
+
+def blob_of(text: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+
+
 @dataclass(frozen=True)
 class Ledger:
-    """scanned: (blob, rule_version); findings: (blob, rule_version, ord, kind, start, end)."""
+    """What has been scanned and found, in the folder ``path``: one partition of each for a run."""
+
+    spark: SparkSession
+    path: str
+
+    def runs(self) -> list[str]:
+        """Ids of the runs that are whole; ``scanned`` is written last."""
+        return finished(self.spark, f"{self.path}/scanned", "run")
 
-    scanned: DataFrame
-    findings: DataFrame
+    def _read(self, what: str, schema: str) -> DataFrame:
+        parts = [f"{self.path}/{what}/run={r}" for r in self.runs()]
+        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
 
+    def scanned(self) -> DataFrame:
+        """(blob, rule_version)."""
+        return self._read("scanned", SCANNED)
 
-def update(versions: DataFrame, ledger: Ledger | None = None, rules: tuple = RULES, rule_version: str = RULE_VERSION) -> Ledger:
-    """The ledger with the blobs of versions(text) under this rule version; what it already has isn't scanned again."""
-    blob = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    blobs = versions.select(blob.alias("blob"), "text")
-    if ledger is not None:
-        blobs = blobs.join(ledger.scanned.filter(F.col("rule_version") == rule_version), "blob", "left_anti")
-    # Copies meet once: each task passes on one row for each blob that it holds.
-    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
-    found = settle(scan(blobs, rules).withColumn("rule_version", F.lit(rule_version)))
-    seen = settle(versions.select(blob.alias("blob")).distinct().withColumn("rule_version", F.lit(rule_version)))
-    if ledger is None:
-        return Ledger(seen, found)
-    new = seen.join(ledger.scanned, ["blob", "rule_version"], "left_anti")
-    return Ledger(ledger.scanned.unionByName(new), ledger.findings.unionByName(found))
+    def findings(self) -> DataFrame:
+        """(blob, ord, kind, start, end, rule_version)."""
+        return self._read("findings", FINDINGS)
 
+    def scan(self, run: str, versions: DataFrame, rules: tuple = RULES, rule_version: str = RULE_VERSION) -> bool:
+        """Scans the blobs of versions(text) that the ledger lacks under this rule version, and appends them; False if the
+        run is there already. What an unfinished run left is replaced."""
+        if run in self.runs():
+            return False
+        known = self.scanned().filter(F.col("rule_version") == rule_version).select("blob")
+        # Copies meet once: each task passes on one row for each blob that it holds.
+        blobs = versions.select(blob_of("text").alias("blob"), "text").groupBy("blob").agg(F.first("text").alias("text"))
+        found = scan(blobs.join(known, "blob", "left_anti"), rules)
+        found.withColumn("rule_version", F.lit(rule_version)).write.mode("overwrite").parquet(f"{self.path}/findings/run={run}")
+        new = versions.select(blob_of("text").alias("blob")).distinct().join(known, "blob", "left_anti")
+        new.withColumn("rule_version", F.lit(rule_version)).write.mode("overwrite").parquet(f"{self.path}/scanned/run={run}")
+        return True
 
-def join_back(paths: DataFrame, ledger: Ledger, rules: tuple = RULES, rule_version: str = RULE_VERSION, salts: int = 8) -> DataFrame:
-    """paths(text, ...) with ``findings``: array<struct<start, ord, end, kind>>, sorted, empty where there are none.
+
+def _joined(paths: DataFrame, ledger: Ledger, rule_version: str, salts: int) -> DataFrame:
+    """own (a struct of the paths' columns, so that no name can clash) with ``findings``, sorted, null where there are none.
 
     A blob that very many paths share is dealt over ``salts`` tasks; a blob's findings are copied to each.
     """
-    own = ledger.findings.filter(F.col("rule_version") == rule_version).groupBy("blob").agg(
+    found = ledger.findings().filter(F.col("rule_version") == rule_version).groupBy("blob").agg(
         F.sort_array(F.collect_list(F.struct("start", "ord", "end", "kind"))).alias("findings")
     )
-    own = own.select(F.col("blob").alias("_b"), "findings", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
-    kept = [c for c in paths.columns if c != "findings"]
+    found = found.select("blob", "findings", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     keyed = paths.select(
-        *kept,
-        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("_blob"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int").alias("_salt"),
+        F.struct(*[F.col(f"`{c}`") for c in paths.columns]).alias("own"),
+        blob_of("text").alias("blob"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int").alias("salt"),
     )
-    out = keyed.join(own, (F.col("_blob") == F.col("_b")) & (F.col("_salt") == F.col("_s")), "left")
-    return out.select(*kept, F.coalesce("findings", F.expr("cast(array() as array<struct<start:bigint,ord:int,end:bigint,kind:string>>)")).alias("findings"))
+    return keyed.join(found, ["blob", "salt"], "left").select("own", "findings")
+
+
+def join_back(paths: DataFrame, ledger: Ledger, rule_version: str = RULE_VERSION, salts: int = 8) -> DataFrame:
+    """paths(text, ...) with ``findings``: array<struct<start, ord, end, kind>>, sorted, empty where there are none."""
+    empty = F.expr("cast(array() as array<struct<start:bigint,ord:int,end:bigint,kind:string>>)")
+    kept = [F.col(f"own.`{c}`").alias(c) for c in paths.columns if c != "findings"]
+    return _joined(paths, ledger, rule_version, salts).select(*kept, F.coalesce("findings", empty).alias("findings"))
+
+
+def _own_ledger(docs: DataFrame, rules: tuple) -> Ledger:
+    ledger = Ledger(docs.sparkSession, shared_dir(docs.sparkSession))
+    ledger.scan("1", docs, rules)
+    return ledger
 
 
 def find_secrets(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
     """docs with ``findings``, by way of a new ledger."""
-    return join_back(docs, update(docs, None, rules), rules)
+    return join_back(docs, _own_ledger(docs, rules))
 
 
 #: What stands in place of a secret; no rule matches it.
@@ -152,19 +186,21 @@ def redact(docs: DataFrame, rules: tuple = RULES) -> DataFrame:
 
     Findings that overlap or touch are masked together; texts without findings stay as they are, nulls included.
     """
-    found = find_secrets(docs, rules)
+    found = _joined(docs, _own_ledger(docs, rules), RULE_VERSION, 8)
     # Start of the gap after each finding is the furthest end so far; the fold carries (furthest end, text so far).
     masked = F.expr(f"""
         aggregate(findings, named_struct('at', 0L, 'out', ''),
             (a, f) -> named_struct(
                 'at', greatest(a.at, f.end),
-                'out', if(f.start > a.at or a.at = 0, concat(a.out, substring(text, cast(a.at + 1 as int), cast(f.start - a.at as int)), '{MASK}'), a.out)),
-            a -> concat(a.out, substring(text, cast(a.at + 1 as int))))""")
-    text = F.when(F.size("findings") > 0, masked).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
+                'out', if(f.start > a.at or a.at = 0, concat(a.out, substring(own.text, cast(a.at + 1 as int), cast(f.start - a.at as int)), '{MASK}'), a.out)),
+            a -> concat(a.out, substring(own.text, cast(a.at + 1 as int))))""")
+    text = F.when(F.col("findings").isNotNull(), masked).otherwise(F.col("own.text"))
+    out = found.select("own", "findings", F.inline(F.array(F.struct(text.alias("new")))))
+    new = {"text": F.col("new")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("findings") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        own = F.col("own.n_chars")
+        new["n_chars"] = F.when(F.col("findings").isNotNull(), F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(own)
+    return out.select(*[new.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _digest(findings: str) -> str:
@@ -172,8 +208,13 @@ def _digest(findings: str) -> str:
 
 
 def op10_secret_ledger(spark, sf_dir):
+    """Two runs on one ledger: the documents with an odd id, as if they had come first, then all; the second scans only
+    what the first hasn't seen. Findings are joined back to all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_secrets(docs)
+    ledger = Ledger(spark, shared_dir(spark))
+    ledger.scan("1", docs.filter("doc_id % 2 = 1"))
+    ledger.scan("2", docs)
+    found = join_back(docs, ledger)
     n = [F.expr(f"cast(size(filter(findings, f -> f.ord = {k})) as bigint)").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
     base = F.expr(_digest(f"filter(findings, f -> f.ord < {len(BASE)})"))
     return found.select("doc_id", *n, F.sha2(base.cast("binary"), 256).alias("base_sha256"), F.expr(_digest("findings")).alias("spans"))

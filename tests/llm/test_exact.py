@@ -265,16 +265,19 @@ def test_rollup_is_idempotent(spark):
 
 def test_ledger_scans_only_what_is_new(spark):
     docs = spark.createDataFrame([(1, "token=abcdefgh"), (2, "token=abcdefgh"), (3, None)], "doc_id long, text string")
-    one = secrets.update(docs)
-    assert one.scanned.count() == 2 and one.findings.count() == 1
+    ledger = secrets.Ledger(spark, secrets.shared_dir(spark))
+    assert ledger.scan("1", docs) and not ledger.scan("1", docs)
+    assert ledger.scanned().count() == 2 and ledger.findings().count() == 1
     more = docs.union(spark.createDataFrame([(4, "secret: abcdefgh9")], docs.schema))
-    two = secrets.update(more, one)
-    assert two.scanned.count() == 3 and two.findings.count() == 2
-    assert secrets.update(more, two).findings.count() == 2
-    found = {r.doc_id: [(f.kind, f.start, f.end) for f in r.findings] for r in secrets.join_back(more, two).collect()}
+    again = secrets.Ledger(spark, ledger.path)  # from the folder alone
+    assert again.scan("2", more)
+    assert again.scanned().count() == 3 and again.findings().count() == 2
+    assert spark.read.parquet(f"{ledger.path}/findings/run=2").count() == 1
+    assert again.scan("3", more) and again.findings().count() == 2
+    found = {r.doc_id: [(f.kind, f.start, f.end) for f in r.findings] for r in secrets.join_back(more, again).collect()}
     assert found == {1: [("assign", 0, 14)], 2: [("assign", 0, 14)], 3: [], 4: [("assign", 0, 17)]}
-    assert two.scanned.filter("rule_version = 'other'").count() == 0
-    assert secrets.update(docs, two, rule_version="other").findings.count() == 3
+    assert again.scan("4", docs, rule_version="other") and again.findings().count() == 3
+    assert {r.doc_id: len(r.findings) for r in secrets.join_back(more, again, "other").collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
 
 
 def test_redaction(spark):

@@ -3,6 +3,7 @@
 import numpy as np
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sporeline.llm import bpe, catalog
@@ -30,6 +31,23 @@ def test_stages_against_brute_force(spark):
             assert np.array_equal(r.ids, enc.encode_ordinary(docs[i]))
 
 
+def test_stages_keep_columns_as_they_are(spark, odd):
+    """Extra columns with names that operators use inside, or return, keep their values in every stage."""
+    names = ["_t", "_w", "_h", "_salt", "salt", "_key", "key", "_c", "c", "_id", "id", "own", "w", "hit", "blob", "fp", "print", "of", "n", "n_hit", "contaminated", "root", "new", "high_upper"]
+    docs = spark.read.parquet(f"{odd}/documents.parquet").filter("text is not null and length(text) < 3000")
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names])
+    had = {r.doc_id: r.asDict() for r in docs.collect()}
+    kept = 0
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, odd)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            own = {k: v for k, v in r.asDict().items() if name != "secrets" or k not in ("text", "n_chars")}
+            assert own == {k: had[r.doc_id][k] for k in own}, name
+            kept += 1
+    assert kept > 20
+
+
 def test_odd_and_empty_tables_go_through(spark, odd, none):
     assert corpus_pipeline.run(spark, none).count() == 0
     docs = spark.read.parquet(f"{odd}/documents.parquet")
