@@ -4,14 +4,15 @@ First pass: each page's containers are scored by the running text in them; a con
 classes, with digits generalised, and the page votes for the path of its best container. Spark adds up the votes per
 host and path, and the path with most votes wins its host. Second pass: each page is extracted from the containers at its
 host's winning path; where a page has none, or no text in them, from the container that it scores best itself. Menus,
-notices, adverts, comments and the like are left out wherever they stand.
+notices, adverts, comments and the like are left out wherever they stand; but a form or an element left out for its
+classes alone that holds over half of the page's running text is a wrapper around the page, and stays.
 
 Votes are added up before they are shuffled, at most one row for each path of a task's hosts; winners are one row for
 each host, joined with a salt so that a host with very many pages is dealt over several tasks.
 
 Defined cases: a null or empty html has an empty text; a null url has host '' and shares that host's consensus;
 repeated rows are votes of their own and are extracted alike; an empty table gives an empty result; html may be cut off
-anywhere; very long pages take linear time; columns other than page_id, url and html are dropped.
+anywhere; very long and very deep pages take linear time and memory; columns other than page_id, url and html are dropped.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ ASIDE_WORDS = frozenset(
     "subscription widget pagination pager toolbar login signup search masthead copyright legal disclaimer skip hidden "
     "contentinfo complementary dialog form".split()
 )
+#: What is about other parts of the page, and what readers or other pages say, however long.
+MODIFIERS = frozenset("has with without no not is".split())
+NEVER_MAIN = frozenset("comment comments reply replies respond disqus related recommended recommendations".split())
 TOP_WORDS = frozenset("header head topbar top".split())
 MAIN_WORDS = frozenset("article content post entry story main text body page".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
@@ -61,17 +65,32 @@ def host_of(url: str | None) -> str:
 class Page:
     """Blocks and containers of a page.
 
-    containers: [path, parent, bonus]; blocks: (container, text, link characters, left out).
+    containers: [step, parent, depth, bonus]; a step is a tag and class, and the steps from the root are the path.
+    asides: [outer aside or -1, whether it may be a wrapper]; blocks: (container, text, link characters, aside or -1).
     """
 
     def __init__(self, source: str):
-        self.containers: list[tuple[str, int, float]] = [("", -1, 1.0)]
-        self.blocks: list[tuple[int, str, int, bool]] = []
+        self.containers: list[tuple[str, int, int, float]] = [("", -1, 0, 1.0)]
+        self.asides: list[tuple[int, bool]] = []
+        self.blocks: list[tuple[int, str, int, int]] = []
         self._parse(source)
+        self._unwrap()
+
+    def _unwrap(self) -> None:
+        """Blocks' asides become whether they are left out."""
+        held = [0] * (len(self.asides) + 1)  # the last: what is in none
+        for _, text, linked, aside in self.blocks:
+            held[aside] += max(0, len(text) - 2 * linked)
+        for k in range(len(self.asides) - 1, -1, -1):
+            held[self.asides[k][0]] += held[k]
+        dead = [True] * len(self.asides) + [False]
+        for k, (outer, wrapper) in enumerate(self.asides):
+            dead[k] = dead[outer] or not (wrapper and 2 * held[k] > held[-1])
+        self.blocks = [(c, text, linked, dead[aside]) for c, text, linked, aside in self.blocks]
 
     def _parse(self, s: str) -> None:
-        # An open element: (tag, container, left out, in the article, in a link)
-        stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+        # An open element: (tag, container, aside, in the article, in a link)
+        stack: list[tuple[str, int, int, bool, bool]] = [("", 0, -1, False, False)]
         text: list[str] = []
         linked = 0
         at, end = 0, len(s)
@@ -133,21 +152,29 @@ class Page:
                 at = close.end() if close else end
                 continue
             parent = stack[-1]
-            names, out, first = self._names(m[3]) if m[3] else ((), False, "")
+            names, hidden, first = self._names(m[3]) if m[3] else ((), False, "")
             in_article = parent[3] or tag in ("article", "main")
+            never = hidden or not NEVER_MAIN.isdisjoint(names)
+            out = named = False
             if tag not in ("html", "body", "article", "main"):
-                out = out or tag in ASIDE or not ASIDE_WORDS.isdisjoint(names)
-                if not in_article and (tag == "header" or not TOP_WORDS.isdisjoint(names)):
-                    out = True
-            elif not ASIDE_WORDS.isdisjoint(names) and tag == "article":
-                out = True  # a comment that is marked up as an article
+                out = hidden or tag in ASIDE
+                named = not ASIDE_WORDS.isdisjoint(names)
+                if not in_article:
+                    out = out or tag == "header"
+                    named = named or not TOP_WORDS.isdisjoint(names)
+            elif tag == "article":
+                out = not ASIDE_WORDS.isdisjoint(names)  # a comment that is marked up as an article
+            aside = parent[2]
+            if out or named:
+                self.asides.append((aside, not never and (tag == "form" or not out)))
+                aside = len(self.asides) - 1
             container = parent[1]
             if tag in CONTAINERS:
                 bonus = 1.5 if tag in ("article", "main") else 1.25 if not MAIN_WORDS.isdisjoint(names) and tag != "body" else 1.0
-                path = f"{self.containers[container][0]}/{tag}" + (f".{_digits.sub('#', first)}" if first else "")
-                self.containers.append((path, container, bonus))
+                step = tag + (f".{_digits.sub('#', first).replace('/', '|')}" if first else "")
+                self.containers.append((step, container, self.containers[container][2] + 1, bonus))
                 container = len(self.containers) - 1
-            stack.append((tag, container, parent[2] or out, in_article, parent[4] or tag == "a"))
+            stack.append((tag, container, aside, in_article, parent[4] or tag == "a"))
         flush()
 
     @staticmethod
@@ -162,7 +189,10 @@ class Page:
             elif key == "style":
                 out = out or "display:none" in value.replace(" ", "").lower()
             elif key != "aria-hidden":
-                names += [x.lower() for x in _parts(value)]
+                for token in value.split():
+                    parts = [x.lower() for x in _parts(token)]
+                    if parts and parts[0] not in MODIFIERS:  # has-sidebar is no sidebar
+                        names += parts
                 if key == "class" and value.split():
                     first = value.split()[0]
         return names, out, first
@@ -175,7 +205,14 @@ class Page:
                 own[container] += max(0, len(text) - 2 * linked)
         for k in range(len(own) - 1, 0, -1):
             own[self.containers[k][1]] += own[k]
-        return [x * bonus * (1 + 0.001 * path.count("/")) for x, (path, _, bonus) in zip(own, self.containers)]
+        return [x * bonus * (1 + 0.001 * depth) for x, (_, _, depth, bonus) in zip(own, self.containers)]
+
+    def path(self, k: int) -> str:
+        steps = []
+        while k > 0:
+            steps.append(self.containers[k][0])
+            k = self.containers[k][1]
+        return "".join("/" + x for x in reversed(steps))
 
     def best(self) -> int:
         """The container with the best score, the deepest of equals."""
@@ -185,16 +222,24 @@ class Page:
     def vote(self) -> str | None:
         """The path of the best container; none for a page without running text."""
         k = self.best()
-        return self.containers[k][0] if self.scores()[k] > 0 else None
+        return self.path(k) if self.scores()[k] > 0 else None
 
     def text(self, path: str | None) -> str:
         """The text of the containers at the path, or else of the container that the page scores best."""
-        found = self._within([p == path for p, _, _ in self.containers]) if path is not None else ""
+        found = self._within(self._at(path)) if path is not None else ""
         if not found:
             best = self.best()
             found = self._within([k == best for k in range(len(self.containers))])
         return found
 
+    def _at(self, path: str) -> list[bool]:
+        """Whether each container is at the path: its parent is at the path's beginning and its step is the next."""
+        steps = path.split("/")
+        on = [True]
+        for step, parent, depth, _ in self.containers[1:]:
+            on.append(on[parent] and depth < len(steps) and steps[depth] == step)
+        return [x and c[2] == len(steps) - 1 for x, c in zip(on, self.containers)]
+
     def _within(self, chosen: list[bool]) -> str:
         for k in range(1, len(chosen)):
             chosen[k] = chosen[k] or chosen[self.containers[k][1]]

@@ -243,6 +243,31 @@ def test_pages():
     assert pages.host_of("HTTPS://u:p@Www.X.org:80/a?b") == "www.x.org" and pages.host_of(None) == ""
 
 
+def test_pages_keep_what_a_wrapper_holds():
+    story = "<article><p>" + "words of the story " * 20 + "</p></article>"
+    want = ("words of the story " * 20).strip()
+    for before, after in (('<div class="layout has-sidebar">', "</div>"), ('<form action="/"><div>', "</div></form>"), ('<div id="nav-wrapper">', "</div>")):
+        page = f"<body>{before}<nav>Menu</nav>{story}<aside>side</aside>{after}<footer>end</footer></body>"
+        assert pages.Page(page).text(None) == want == pages.Page(page).text(pages.Page(page).vote())
+    rest = '<form><p>Name and much else</p></form><section class="comments"><article><p>' + "what readers say " * 60 + "</p></article></section>"
+    assert pages.Page(f"<body>{story}{rest}</body>").text(None) == want
+
+
+def test_deep_and_long_pages_take_linear_memory():
+    import tracemalloc
+
+    peaks = []
+    for n in (4_000, 16_000):
+        page = '<div class="a/b 7">' * n + "<p>deep text</p>"
+        tracemalloc.start()
+        p = pages.Page(page)
+        assert p.text(None) == p.text(p.vote()) == "deep text" and p.vote().count("/") == n
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 6 * peaks[0]
+    assert pages.Page("<p>" + "x " * 300_000).text(None) == " ".join(["x"] * 300_000)
+
+
 def test_pages_by_host_consensus(spark):
     good = '<body><div class="story"><p>%s</p></div><div class="junk"><p>%s</p></div></body>'
     rows_ = [(i, f"http://h/{i}", good % ("story text " * 20 + str(i), "junk")) for i in range(5)]
