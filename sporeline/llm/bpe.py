@@ -25,12 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sporeline.llm.common import table
+from sporeline.llm.common import batches_of, table
 
 #: Longest piece, in bytes, that is merged in a batch.
 SHORT = 32
 #: Units that a worker remembers; at about 250 bytes each some 200 MB.
 REMEMBERED = 800_000
+#: Bytes of texts that are cut into units at once, about.
+BATCH_BYTES = 2_000_000
 NONE = np.int64(1) << 40
 
 # The white space of the pattern, as Unicode's White_Space property has it.
@@ -260,8 +262,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(lines.value, pattern)
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                b = whole.slice(start, 512)
+            for b in batches_of(whole, at, BATCH_BYTES):
                 encoded = own.encode_batch([t or "" for t in b.column(at).to_pylist()])
                 columns = [b.column(kept.index(c)) for c in names]
                 counts = pa.array([len(x) // 4 for x in encoded], pa.int64())

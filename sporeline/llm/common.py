@@ -5,8 +5,11 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,16 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def batches_of(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``most`` bytes; a longer text is alone."""
+    if not batch.num_rows:
+        return
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cuts the lineage: writes df to the shared folder once and reads it from there."""
     spark = df.sparkSession

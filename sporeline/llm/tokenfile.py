@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sporeline.llm.common import settle, shared_dir, table
+from sporeline.llm.common import batches_of, settle, shared_dir, table
 
 #: Words in a generation of a worker's memory, which holds two; at about 40 bytes each, 50 MB while they are looked up.
 REMEMBERED = 600_000
-#: Bytes of texts encoded at once, about; a longer text is alone.
+#: Bytes of texts encoded at once, about.
 BATCH_BYTES = 16_000_000
 SCHEMA = "doc_id long, place long, ids array<int>"
 
@@ -160,16 +160,6 @@ def _places(words: pa.Array, of: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.index_in(words, of), -1).to_numpy().astype(np.int64)
 
 
-def batches_of(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about ``most`` bytes."""
-    if not batch.num_rows:
-        return
-    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // most
-    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:]):
-        yield batch.slice(a, b - a)
-
-
 _marked = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
 
 
@@ -193,7 +183,7 @@ def write(docs: DataFrame, spec: str, path: str, end_id: int, stride: int = 1_00
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, place = _encoder(held.value), 0
         for whole in batches:
-            for b in batches_of(whole, 1):
+            for b in batches_of(whole, 1, BATCH_BYTES):
                 ids, n = own.encode_batch(b.column(1))
                 ends = np.cumsum(n)
                 ids = np.insert(ids, ends, end_id)  # after each document
