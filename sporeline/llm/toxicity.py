@@ -1,20 +1,23 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, with a block-max inverted index.
 
-Fit: of the labelled training rows a sample of at most ``max_examples`` (those with the least hash of the id) is
-joined to its texts; words whose presence goes with the label (chi-square over ``min_chi2``, at most ``max_terms``)
-are the terms, and examples that have the same weights are one vector with counts of both labels. The fitted model is
-bounded by these parameters, however large the corpus, so it may be sent to every executor.
+Fit: of the labelled training rows a sample of at most ``max_examples`` (those with the least hash of the id) is joined
+to its texts. All their words are terms but those in fewer than ``min_df`` examples or in more than ``max_share`` of
+them. A term's weight is (1 + ln count) * idf * its worth: the phi coefficient of presence and label where its
+chi-square is over ``min_chi2``, else ``least_worth``; so labels weigh terms and leave none out. The next
+``max_calibration`` labelled rows by hash are scored by the index and give a logistic curve from votes to scores. The
+model is bounded by these parameters, however large the corpus, so it may be sent to every executor.
 
 Score: a text's vector over the terms is compared exactly with all example vectors. The index has a posting list for
-each term, in blocks with the block's largest weight; a block is opened only while the sum of such bounds can still
-reach the k-th best cosine. All examples at least as near as the k-th vote, with weight cosine ** sharpness, and the
-vote is drawn towards the share of toxic labels among examples without any term by ``prior`` votes. The nearest
-examples' ids come back as evidence.
-
-Defined cases: a null or empty text, or one without any term, has the score of examples without terms; repeated rows
-score alike; with no labelled rows, or one label only, all scores are the share of label 1 (0.5 without rows); labels
-that are null or neither 0 nor 1 aren't learnt from, and of several rows for one id the largest label counts; a null
-doc_id is held out of nothing and never an example; columns other than doc_id and text are ignored.
+each term, in blocks of examples with the block's largest weight; the blocks' bounds are added up over the text's terms,
+and blocks are opened in falling order of their bound while that can still reach the k-th best cosine. All examples at
+least as near as the k-th vote, with weight cosine ** sharpness, and the vote is drawn towards the share of toxic labels
+by ``prior`` votes. The nearest examples' ids come back as evidence.
+
+Defined cases: a null or empty text, or one without any term, has the score of the prior alone; repeated rows score
+alike; with no labelled rows, or one label only, all scores are the share of label 1 (0.5 without rows); labels that are
+null or neither 0 nor 1 aren't learnt from, of several rows for one id the largest label counts, and of several texts
+for one id the first in order; a null doc_id is held out of nothing and never an example; very long texts are read
+whole; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -30,198 +33,204 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from sporeline.llm.common import fold, settle, table
+from sporeline.llm.common import batches_of, fold, settle, table
 
 #: Words: runs of ASCII letters and any bytes of other scripts, after A-Z are lower-cased.
 _word = re.compile(rb"[a-z\x80-\xff]+").findall
 
 
+#: Bytes of texts split at once, about.
+BATCH_BYTES = 2_000_000
+
+
 @dataclass(frozen=True)
 class Config:
-    max_examples: int = 20_000
-    max_terms: int = 4_096
-    min_chi2: float = 30.0
+    max_examples: int = 8_000
+    max_calibration: int = 2_000
+    min_df: int = 2
+    max_share: float = 0.1
+    min_chi2: float = 10.83
+    least_worth: float = 0.02
     k: int = 25
     sharpness: float = 2.0
-    prior: float = 1.0
+    prior: float = 0.1
     block: int = 64
     evidence: int = 3
-    #: Vectors' scores that a worker remembers.
-    remembered: int = 200_000
 
 
 def words_of(text: str | None) -> list[bytes]:
     return _word((text or "").encode("utf-8", "surrogatepass").lower())
 
 
-def weights(counts: dict[int, int], idf: np.ndarray) -> list[tuple[int, float]]:
-    """The unit vector of term counts: (1 + ln count) * idf, terms in order."""
-    raw = [(t, (1.0 + math.log(n)) * float(idf[t])) for t, n in sorted(counts.items())]
-    norm = math.sqrt(sum(w * w for _, w in raw))
-    return [(t, w / norm) for t, w in raw]
+def weights(terms: np.ndarray, counts: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """The unit vector of term counts: (1 + ln count) * worth."""
+    raw = (1.0 + np.log(counts)) * worth[terms]
+    return raw / np.sqrt((raw * raw).sum())
+
+
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each span, one span after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
 
 
 class Index:
-    """Example vectors in posting lists with block maxima. vectors: (unit vector, positives, examples, least id)."""
-
-    def __init__(self, vectors: list[tuple[list[tuple[int, float]], int, int, int]], cfg: Config):
-        self.cfg, self.n = cfg, len(vectors)
-        self.positive = np.array([v[1] for v in vectors], float)
-        self.total = np.array([v[2] for v in vectors], float)
-        self.first = np.array([v[3] for v in vectors], np.int64)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for d, v in enumerate(vectors):
-            for t, w in v[0]:
-                lists.setdefault(t, []).append((d, w))
-        self.docs = {t: np.array([d for d, _ in p]) for t, p in lists.items()}
-        self.weights = {t: np.array([w for _, w in p]) for t, p in lists.items()}
-        # Blocks are ranges of example numbers, the same for all terms, so bounds of several terms add up.
-        self.blocks = -(-self.n // cfg.block)
-        self.peaks = {}
-        for t, d in self.docs.items():
-            peak = np.zeros(self.blocks)
-            np.maximum.at(peak, d // cfg.block, self.weights[t])
-            self.peaks[t] = peak
-
-    def nearest(self, query: list[tuple[int, float]]) -> list[tuple[int, float]]:
-        """(example vector, cosine) of all vectors at least as near as the k-th nearest example; cosine over 0."""
-        query = [(t, w) for t, w in query if t in self.docs]
-        if not query:
-            return []
-        bound = sum(w * self.peaks[t] for t, w in query)
+    """Example vectors in posting lists with block maxima. terms, docs, weights: the vectors' entries, in any order."""
+
+    def __init__(self, terms: np.ndarray, docs: np.ndarray, weights: np.ndarray, n_docs: int, n_terms: int, cfg: Config):
+        self.cfg, self.n = cfg, n_docs
+        order = np.lexsort((docs, terms))
+        terms, self.docs, self.weights = terms[order], docs[order].astype(np.int32), weights[order]
+        # An entry of the block lists: one term in one block, with its postings' span and their largest weight.
+        block = self.docs // cfg.block
+        first = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])])[: len(terms)])
+        self.at = np.append(first, len(terms)).astype(np.int64)
+        self.block = block[first]
+        self.peak = np.maximum.reduceat(self.weights, first) if len(first) else self.weights
+        self.of_term = np.searchsorted(terms[first], np.arange(n_terms + 1))
+        self.blocks = -(-n_docs // cfg.block)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of all examples at least as near as the k-th nearest, over 0; the nearest first."""
+        n = self.of_term[terms + 1] - self.of_term[terms]
+        entries, own = _spans(self.of_term[terms], n), np.repeat(weights, n)
+        bound = np.bincount(self.block[entries], own * self.peak[entries], self.blocks)
         order = np.argsort(-bound, kind="stable")
-        block, k = self.cfg.block, self.cfg.k
-        found_d, found_c, kth, have = [], [], 0.0, 0.0
-        # Blocks in falling order of their bound; the first that can't reach the k-th best ends the search.
-        step, at = 4, 0
+        order = order[: np.count_nonzero(bound > 1e-12)]
+        k, at, step, kth = self.cfg.k, 0, 4, 0.0
+        docs, cosines = np.zeros(0, np.int64), np.zeros(0)
         while at < len(order):
             some = order[at : at + step]
-            some = some[bound[some] >= max(kth - 1e-9, 1e-12)]
+            some = some[bound[some] >= kth - 1e-9]
             if not len(some):
-                break
-            at, step = at + step, step * 2
-            for b in np.sort(some):
-                cos = np.zeros(block)
-                for t, w in query:
-                    lo, hi = np.searchsorted(self.docs[t], (b * block, (b + 1) * block))
-                    cos[self.docs[t][lo:hi] - b * block] += w * self.weights[t][lo:hi]
-                hit = np.flatnonzero(cos > 1e-12)
-                found_d.append(hit + b * block)
-                found_c.append(cos[hit])
-            d, c = np.concatenate(found_d), np.concatenate(found_c)
-            near = np.argsort(-c, kind="stable")
-            have = np.cumsum(self.total[d[near]])
-            if len(have) and have[-1] >= k:
-                kth = float(c[near[np.searchsorted(have, k)]])
-        if not found_d:
-            return []
-        d, c = np.concatenate(found_d), np.concatenate(found_c)
-        keep = c >= kth - 1e-9
-        order = np.lexsort((d[keep], -c[keep]))
-        return list(zip(d[keep][order].tolist(), c[keep][order].tolist()))
+                break  # this block and those after it can't reach the k-th best
+            at, step = at + step, step * 4
+            opened = np.zeros(self.blocks, bool)
+            opened[some] = True
+            use = np.flatnonzero(opened[self.block[entries]])
+            e = entries[use]
+            size = self.at[e + 1] - self.at[e]
+            p = _spans(self.at[e], size)
+            cos = np.bincount(self.docs[p], np.repeat(own[use], size) * self.weights[p], self.n)
+            hit = np.flatnonzero(cos > 1e-12)
+            docs, cosines = np.concatenate([docs, hit]), np.concatenate([cosines, cos[hit]])
+            if len(cosines) >= k:
+                kth = float(np.partition(cosines, len(cosines) - k)[len(cosines) - k])
+        keep = cosines >= kth - 1e-9
+        docs, cosines = docs[keep], cosines[keep]
+        order = np.lexsort((docs, -cosines))
+        return docs[order], cosines[order]
 
 
 @dataclass
 class Model:
     terms: list[bytes]
-    idf: list[float]
-    vectors: list
-    rest: float  # share of label 1 among examples without a term
+    worth: np.ndarray  # idf times the worth of a term
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray]  # term, example, weight
+    ids: np.ndarray  # of the examples
+    toxic: np.ndarray
+    share: float
     cfg: Config
+    curve: tuple[float, float] | None = None  # slope and offset of the log odds
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.cfg = model, model.cfg
         self.number = {t: i for i, t in enumerate(model.terms)}
-        self.idf = np.array(model.idf)
-        self.index = Index(model.vectors, model.cfg)
-        self.held: dict[tuple, tuple[float, list[int]]] = {}
+        self.index = Index(*model.entries, len(model.ids), len(model.terms), model.cfg)
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        number = self.number
+    def vote(self, text: str | None) -> tuple[float, list[int]]:
+        """The neighbours' share of label 1, and the nearest ones' ids."""
+        number, m = self.number, self.model
         counts = Counter([number[w] for w in words_of(text) if w in number])
-        key = tuple(sorted(counts.items()))
-        if key not in self.held:
-            if len(self.held) > self.cfg.remembered:
-                self.held.clear()
-            self.held[key] = self._vote(counts)
-        return self.held[key]
-
-    def _vote(self, counts: dict[int, int]) -> tuple[float, list[int]]:
-        near = self.index.nearest(weights(counts, self.idf)) if counts else []
-        if not near:
-            return self.model.rest, []
-        d = np.array([x for x, _ in near])
-        # Distance weights, times what the examples' own nearness as a whole is worth against the prior.
-        w = np.array([c for _, c in near]) ** self.cfg.sharpness * self.index.total[d]
-        share = self.index.positive[d] / self.index.total[d]
-        score = (float((w * share).sum()) + self.cfg.prior * self.model.rest) / (float(w.sum()) + self.cfg.prior)
-        return min(1.0, max(0.0, score)), self.index.first[d[: self.cfg.evidence]].tolist()
+        if not counts:
+            return m.share, []
+        terms = np.fromiter(counts, np.int64, len(counts))
+        terms.sort()
+        n = np.array([counts[t] for t in terms.tolist()], float)
+        d, c = self.index.nearest(terms, weights(terms, n, m.worth))
+        w = c**self.cfg.sharpness
+        raw = (float((w * m.toxic[d]).sum()) + self.cfg.prior * m.share) / (float(w.sum()) + self.cfg.prior)
+        return min(1.0, max(0.0, raw)), m.ids[d[: self.cfg.evidence]].tolist()
+
+    def score(self, text: str | None) -> tuple[float, list[int]]:
+        raw, evidence = self.vote(text)
+        return calibrated(raw, self.model.curve), evidence
+
+
+def calibrated(raw: float, curve: tuple[float, float] | None) -> float:
+    return raw if curve is None else 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, curve[0] * raw + curve[1]))))
+
+
+def fit_curve(raw: np.ndarray, label: np.ndarray) -> tuple[float, float] | None:
+    """Logistic regression of labels on votes by Newton's method, with a weak pull of the slope towards 8; none for rows of
+    one label."""
+    if len(raw) < 20 or label.min() == label.max():
+        return None
+    x, b = np.stack([raw, np.ones(len(raw))], 1), np.array([8.0, -4.0])
+    pull, goal = np.diag([0.05, 0.0]), np.array([8.0, 0.0])
+    for _ in range(50):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ b, -50, 50)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(2), x.T @ (label - p) - pull @ (b - goal))
+        b = b + np.clip(step, -5, 5)
+        if abs(step).max() < 1e-9:
+            break
+    return (float(b[0]), float(b[1])) if b[0] > 0 else None
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: Config = Config()) -> Model:
     """A model from docs(doc_id, text) and labels(doc_id, toxic), which the caller has limited to training rows."""
-    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.max_examples)
-    # At most max_examples rows of 12 bytes, so the broadcast is bounded and no text is shuffled.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    # Only ids that are there; the least hashes are the index, the next the calibration.
+    there = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    sample = settle(there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.max_examples + cfg.max_calibration))
+    n_all = sample.count()
+    n = min(cfg.max_examples, n_all - min(cfg.max_calibration, n_all // 5))
+    # At most max_examples + max_calibration rows of 20 bytes, so one task ranks them and the broadcast is bounded.
+    ranked = sample.withColumn("index", F.row_number().over(W.orderBy(F.xxhash64("doc_id"), "doc_id")) <= n)
+    rows = settle(docs.select("doc_id", "text").join(F.broadcast(ranked), "doc_id").groupBy("doc_id", "toxic", "index").agg(F.min("text").alias("text")))
+    if not n:
+        return Model([], np.zeros(0), (np.zeros(0, np.int64),) * 2 + (np.zeros(0),), np.zeros(0, np.int64), np.zeros(0), 0.5, cfg)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            counts = [Counter(words_of(t)) for t in b.column(1).to_pylist()]
-            words = pa.array([list(c) for c in counts], pa.list_(pa.binary()))
-            n = pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), words, n], ["doc_id", "toxic", "words", "n"])
-
-    seen = settle(rows.mapInArrow(split, "doc_id long, toxic int, words array<binary>, n array<int>").dropDuplicates(["doc_id"]))
-    n, positive = seen.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not n:
-        return Model([], [], [], 0.5, cfg)
+        for whole in batches:
+            for b in batches_of(whole, 2, BATCH_BYTES):
+                counts = [Counter(words_of(t)) for t in b.column(2).to_pylist()]
+                words = pa.array([list(c) for c in counts], pa.list_(pa.binary()))
+                times = pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), words, times], ["doc_id", "toxic", "words", "n"])
+
+    schema = "doc_id long, toxic int, words array<binary>, n array<int>"
+    seen = settle(rows.filter("index").select(F.col("doc_id").cast("long"), "toxic", "text").mapInArrow(split, schema))
+    positive = seen.agg(F.coalesce(F.sum("toxic"), F.lit(0))).first()[0]
     share = positive / n
     by_word = seen.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"), F.sum("toxic").alias("p"))
-    # 2 x 2 chi-square of presence and label, for words that are commoner among label 1.
-    df, p = F.col("df").cast("double"), F.col("p").cast("double")
-    n_, pos = F.lit(float(n)), F.lit(float(positive))
-    cross = p * (n_ - pos - (df - p)) - (df - p) * (pos - p)
-    below = df * (n_ - df) * pos * (n_ - pos)
-    chosen = (
-        by_word.filter((df >= 5) & (df < n_))
-        .withColumn("chi2", F.when((below > 0) & (cross > 0), n_ * cross * cross / below))
-        .filter(F.col("chi2") >= cfg.min_chi2)
-        .orderBy(F.desc("chi2"), "word")
-        .limit(cfg.max_terms)
-        .select("word", "df")
-        .collect()
-    )
-    terms = sorted(bytes(r.word) for r in chosen)
-    of = {bytes(r.word): r.df for r in chosen}
-    idf = [math.log((1 + n) / (1 + of[t])) + 1.0 for t in terms]
+    # Words of at most max_examples texts.
+    words = by_word.filter((F.col("df") >= cfg.min_df) & (F.col("df") <= max(cfg.min_df, cfg.max_share * n))).toArrow().sort_by("word")
+    terms = words.column("word").to_pylist()
+    df, p = (words.column(c).to_numpy().astype(float) for c in ("df", "p"))
+    # 2 x 2 chi-square of presence and label.
+    cross = p * (n - positive - (df - p)) - (df - p) * (positive - p)
+    below = df * (n - df) * positive * (n - positive)
+    chi2 = np.divide(n * cross * cross, below, out=np.zeros(len(df)), where=below > 0)
+    worth = (np.log((1 + n) / (1 + df)) + 1.0) * np.where(chi2 >= cfg.min_chi2, np.sqrt(chi2 / n), cfg.least_worth)
     number = {t: i for i, t in enumerate(terms)}
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = []
-            for words, counts in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                own = sorted((number[w], c) for w, c in zip(words, counts) if w in number)
-                keys.append(",".join(f"{t}:{c}" for t, c in own))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.string())], ["doc_id", "toxic", "key"])
-
-    groups = (
-        seen.mapInArrow(reduce, "doc_id long, toxic int, key string")
-        .groupBy("key")
-        .agg(F.sum("toxic").alias("p"), F.count("*").alias("n"), F.min("doc_id").alias("first"))
-        .collect()
-    )
-    rest, vectors, spread = share, [], np.array(idf)
-    for g in sorted(groups, key=lambda r: r.key):
-        if not g.key:
-            rest = (g.p + share) / (g.n + 1)
-        else:
-            counts = {int(t): int(c) for t, c in (x.split(":") for x in g.key.split(","))}
-            vectors.append((weights(counts, spread), g.p, g.n, g.first))
-    return Model(terms, idf, vectors, rest, cfg)
+    ids, toxic, entries = [], [], ([], [], [])
+    for r in seen.orderBy("doc_id").toLocalIterator():
+        own = sorted((number[w], c) for w, c in zip(map(bytes, r.words), r.n) if w in number)
+        if own:
+            t, c = (np.array(x, np.int64) for x in zip(*own))
+            for x, y in zip(entries, (t, np.full(len(t), len(ids)), weights(t, c, worth))):
+                x.append(y)
+        ids.append(r.doc_id)
+        toxic.append(r.toxic)
+    flat = tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in entries)
+    model = Model(terms, worth, flat, np.array(ids), np.array(toxic, float), share, cfg)
+    votes = score(rows.filter("not index"), model).join(rows.select("doc_id", "toxic"), "doc_id").select("score", "toxic").toArrow()
+    model.curve = fit_curve(votes.column(0).to_numpy(), votes.column(1).to_numpy().astype(float))
+    return model
 
 
 _held: dict[str, Scorer] = {}

@@ -11,6 +11,7 @@ import public_tokenizers as P
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sporeline.llm import bpe, catalog, pages, ppm, rollup, secrets, simhash, tokenfile, toxicity
@@ -47,8 +48,7 @@ def rows(spark, name, d):
 
 
 def test_bpe_is_tiktoken(spark, odd):
-    ranks = bpe.Vocabulary(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN).ranks
-    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    enc = own_tiktoken()
     got = rows(spark, "op1_byte_bpe", odd)
     for i, t in enumerate(texts()):
         ids = np.array(enc.encode_ordinary(t or ""), "<u4").tobytes()
@@ -207,24 +207,80 @@ def test_ppm_parts_of_a_long_text():
     assert (code == ppm.grams(text, 5)).all()
 
 
-def test_toxicity_index_is_exact_and_accurate(spark):
+def test_toxicity_index_is_exact():
     rng = np.random.default_rng(0)
     cfg = toxicity.Config(block=4, k=5)
-    idf = np.ones(12)
-    vectors = [(toxicity.weights(Counter(rng.integers(0, 12, rng.integers(1, 6)).tolist()), idf), int(rng.integers(0, 2)), 1, i) for i in range(150)]
-    index = toxicity.Index(vectors, cfg)
-    for _ in range(100):
-        q = toxicity.weights(Counter(rng.integers(0, 12, 4).tolist()), idf)
-        of = dict(q)
-        cos = [sum(of.get(t, 0.0) * w for t, w in v[0]) for v in vectors]
+    vectors = []
+    for _ in range(150):
+        t = np.unique(rng.integers(0, 40, rng.integers(1, 6)))
+        vectors.append((t, toxicity.weights(t, np.ones(len(t)), np.linspace(1, 2, 40))))
+    terms, weight = (np.concatenate([v[i] for v in vectors]) for i in (0, 1))
+    docs = np.repeat(np.arange(150), [len(v[0]) for v in vectors])
+    index = toxicity.Index(terms, docs, weight, 150, 40, cfg)
+    for _ in range(200):
+        t = np.unique(rng.integers(0, 40, 4))
+        q = toxicity.weights(t, np.ones(len(t)), np.linspace(1, 2, 40))
+        of = dict(zip(t.tolist(), q.tolist()))
+        cos = [sum(of.get(x, 0.0) * w for x, w in zip(*map(np.ndarray.tolist, v))) for v in vectors]
         kth = sorted(cos, reverse=True)[4]
-        want = {i for i, c in enumerate(cos) if c >= kth - 1e-9 and c > 1e-12}
-        assert {d for d, _ in index.nearest(q)} == want
-    got = {r.doc_id: r for r in catalog.queries()["op3_toxicity"](spark, "/root/testdata/sf0.01").collect()}
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
-    held = [i for i in labels if got[i].held_out]
+        want = {i: c for i, c in enumerate(cos) if c >= kth - 1e-9 and c > 1e-12}
+        got = dict(zip(*map(np.ndarray.tolist, index.nearest(t, q))))
+        assert set(got) == set(want) and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in got)
+
+
+def brute_toxicity(train, cfg):
+    """(score without the curve, terms) by dictionaries. train: (text, toxic) of the index."""
+    bags = [Counter(toxicity.words_of(t)) for t, _ in train]
+    n, pos = len(train), sum(y for _, y in train)
+    df, p = Counter(w for b in bags for w in b), Counter(w for b, (_, y) in zip(bags, train) if y for w in b)
+    worth = {}
+    for w, d in df.items():
+        if cfg.min_df <= d <= max(cfg.min_df, cfg.max_share * n):
+            table = [[p[w], d - p[w]], [pos - p[w], n - d - (pos - p[w])]]
+            chi2 = sum((table[i][j] - sum(table[i]) * (table[0][j] + table[1][j]) / n) ** 2 / (sum(table[i]) * (table[0][j] + table[1][j]) / n) for i in (0, 1) for j in (0, 1))
+            worth[w] = (math.log((1 + n) / (1 + d)) + 1) * (math.sqrt(chi2 / n) if chi2 >= cfg.min_chi2 else cfg.least_worth)
+    def unit(bag):
+        raw = {w: (1 + math.log(c)) * worth[w] for w, c in bag.items() if w in worth}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / norm for w, x in raw.items()}
+    examples = [unit(b) for b in bags]
+    def score(text):
+        q = unit(Counter(toxicity.words_of(text)))
+        cos = [sum(x * e.get(w, 0.0) for w, x in q.items()) for e in examples]
+        kth = sorted(cos, reverse=True)[cfg.k - 1] if len(cos) >= cfg.k else 0.0
+        near = [(c**cfg.sharpness, y) for c, (_, y) in zip(cos, train) if c >= kth - 1e-9 and c > 1e-12]
+        return (sum(w * y for w, y in near) + cfg.prior * pos / n) / (sum(w for w, _ in near) + cfg.prior)
+    return score
+
+
+def test_toxicity_is_brute_force_accurate_and_calibrated(spark):
+    d = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{d}/labels.parquet").filter(toxicity.fold(F.col("doc_id")) != 0)
+    model = toxicity.fit(docs, labels)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    brute = brute_toxicity([(text[i], y) for i, y in zip(model.ids.tolist(), model.toxic.tolist())], model.cfg)
+    got = {r.doc_id: r for r in catalog.queries()["op3_toxicity"](spark, d).collect()}
+    for i in sorted(text)[:150]:
+        assert math.isclose(got[i].score, toxicity.calibrated(brute(text[i]), model.curve), rel_tol=1e-6), i
+    label = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    held = [i for i in label if got[i].held_out]
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
-    assert sum(got[i].predicted == labels[i] for i in held) / len(held) > 0.9
+    assert sum(got[i].predicted == label[i] for i in held) / len(held) > 0.95
+    # Calibration: expected and found numbers of toxic documents by score.
+    assert abs(sum(got[i].score - label[i] for i in held)) / len(held) < 0.05
+
+
+def test_toxicity_on_odd_rows(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet").select("doc_id", "text")
+    rows_ = [(i, int(i % 4 == 0)) for i in range(20)] + [(5, None), (6, 7), (None, 1), (1000, 1), (0, 0)]
+    labels = spark.createDataFrame(rows_, "doc_id long, toxic int")
+    twice = docs.union(docs).union(spark.createDataFrame([(None, "no id"), (3, "another text of 3")], docs.schema))
+    found = toxicity.score(twice, toxicity.fit(twice, labels)).collect()
+    assert len(found) == twice.count() and all(0 <= r.score <= 1 for r in found)
+    one = toxicity.score(docs, toxicity.fit(docs, labels.filter("toxic = 1"))).collect()
+    assert {r.score for r in one} == {1.0}
+    assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0.5}
 
 
 def test_pages():
@@ -276,6 +332,27 @@ def test_pages_by_host_consensus(spark):
     assert got[9] == "short" and got[10] == got[11] == "" and got[12] == "alone" and got[0].endswith(" 0")
 
 
+def own_tiktoken():
+    ranks = bpe.Vocabulary(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN).ranks
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("odd_rows", [False, True])
+def test_rollup_counts_by_the_libraries(spark, odd, odd_rows):
+    d = odd if odd_rows else SF
+    byte, word, want = own_tiktoken(), Tokenizer.from_file(P.path("word_bpe_49k.json")), Counter()
+    for r in spark.read.parquet(f"{d}/documents.parquet").collect():
+        if r.lang == "es":
+            continue
+        t = r.text or ""
+        t = " ".join([t, t]) if r.doc_id % 20 == 3 and r.text is not None else t
+        for name, n in (("byte_bpe_50k", len(byte.encode_ordinary(t))), ("word_bpe_49k", len(word.encode(t, add_special_tokens=False).ids))):
+            for what, x in (("n_docs", 1), ("n_tokens", n), ("n_bytes", len(t.encode()))):
+                want[r.source, r.lang, name, what] += x
+    got = catalog.queries()["op6_token_rollup"](spark, d).collect()
+    assert {(*r[:3], c): r[c] for r in got for c in rollup.SUMS} == want
+
+
 def test_rollup_is_idempotent(spark):
     r = rollup.Rollup(spark, rollup.shared_dir(spark))
     docs = spark.createDataFrame([("a b", "en", "s"), (None, None, "s"), ("a b", "en", "s")], "text string, lang string, source string")
@@ -283,9 +360,12 @@ def test_rollup_is_idempotent(spark):
     assert r.commit("1", rollup.counted(docs)) and not r.commit("1", rollup.counted(docs))
     assert r.commit("2", rollup.revised(docs.limit(1), spark.createDataFrame([("a b c", "en", "s")], docs.schema)))
     totals = {(x.lang, x.tokenizer): (x.n_docs, x.n_tokens) for x in r.totals().collect()}
-    assert totals["en", "words-1"] == (2, 5) and totals[None, "words-1"] == (1, 0)
+    assert totals["en", "word_bpe_49k"] == totals["en", "byte_bpe_50k"] == (2, 5) and totals[None, "word_bpe_49k"] == (1, 0)
     r.commit("3", rollup.counted(docs.filter("lang is null"), -1))
-    assert {x.lang for x in r.compact("all").totals().collect()} == {"en"}
+    whole = r.compact("all")
+    assert {x.lang for x in whole.totals().collect()} == {"en"}
+    assert not whole.commit("1", rollup.counted(docs)) and not whole.commit("all", rollup.counted(docs)) and whole.commit("4", rollup.counted(docs))
+    assert not whole.compact("more").commit("2", rollup.counted(docs))
 
 
 def test_ledger_scans_only_what_is_new(spark):
