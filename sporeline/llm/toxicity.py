@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -133,13 +134,18 @@ class Model:
     share: float
     cfg: Config
     curve: tuple[float, float] | None = None  # slope and offset of the log odds
+    sent: Broadcast | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "sent": None, "curve": None}
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.cfg = model, model.cfg
         self.number = {t: i for i, t in enumerate(model.terms)}
-        self.index = Index(*model.entries, len(model.ids), len(model.terms), model.cfg)
+        terms, docs, w = model.entries
+        self.index = Index(terms.astype(np.int64), docs, w.astype(np.float64), len(model.ids), len(model.terms), model.cfg)
 
     def vote(self, text: str | None) -> tuple[float, list[int]]:
         """The neighbours' share of label 1, and the nearest ones' ids."""
@@ -155,10 +161,6 @@ class Scorer:
         raw = (float((w * m.toxic[d]).sum()) + self.cfg.prior * m.share) / (float(w.sum()) + self.cfg.prior)
         return min(1.0, max(0.0, raw)), m.ids[d[: self.cfg.evidence]].tolist()
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        raw, evidence = self.vote(text)
-        return calibrated(raw, self.model.curve), evidence
-
 
 def calibrated(raw: float, curve: tuple[float, float] | None) -> float:
     return raw if curve is None else 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, curve[0] * raw + curve[1]))))
@@ -222,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: Config = Config()) -> Model:
         own = sorted((number[w], c) for w, c in zip(map(bytes, r.words), r.n) if w in number)
         if own:
             t, c = (np.array(x, np.int64) for x in zip(*own))
-            for x, y in zip(entries, (t, np.full(len(t), len(ids)), weights(t, c, worth))):
+            for x, y in zip(entries, (t.astype(np.int32), np.full(len(t), len(ids), np.int32), weights(t, c, worth).astype(np.float32))):
                 x.append(y)
         ids.append(r.doc_id)
         toxic.append(r.toxic)
@@ -238,7 +240,9 @@ _held: dict[str, Scorer] = {}
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, evidence) of docs(doc_id, text); evidence: ids of the nearest examples."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    if model.sent is None:
+        model.sent = docs.sparkSession.sparkContext.broadcast(model)  # once: it lies on every executor's disk
+    sent, curve = model.sent, model.curve
     number = uuid.uuid4().hex  # a worker keeps one model's scorer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,9 +251,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             _held[number] = Scorer(sent.value)
         own = _held[number]
         for b in batches:
-            found = [own.score(t) for t in b.column(1).to_pylist()]
-            columns = [b.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "evidence"])
+            found = [own.vote(t) for t in b.column(1).to_pylist()]
+            scores = pa.array([calibrated(raw, curve) for raw, _ in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column(0), scores, pa.array([e for _, e in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, evidence array<long>")
 
