@@ -1,7 +1,7 @@
-"""Order-dependent sequence algorithms: candidates by joins, then one vectorised pass per component of candidates.
+"""Order-dependent sequence algorithms, as rounds of joins.
 
-Greedy choices only interact through candidate links, so running them per connected component gives what one pass over
-all sequences in order would give. A component is one group of a grouped map; it is bounded by the candidates' threshold.
+A greedy choice depends on a sequence's more abundant neighbours alone. So all sequences whose more abundant neighbours
+are settled are settled at once, and rounds are as many as the longest chain of ever less abundant neighbours.
 """
 
 from __future__ import annotations
@@ -13,53 +13,56 @@ from pyspark.sql import functions as F
 from sporeline.operators import graph
 
 
-def _greedy(accept):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # One row for each node (links as arrays of neighbours); the most abundant first, then by sequence.
-        pdf = pdf.sort_values(["size", "seq"], ascending=[False, True])
-        sizes = dict(zip(pdf["seq"], pdf["size"]))
-        centroid: dict[str, str] = {}
-        for seq, near, how in zip(pdf["seq"], pdf["near"], pdf["how"]):
-            found = [(h, -sizes[n], n) for n, h in zip(near, how) if centroid.get(n) == n and accept(sizes[seq], sizes[n], h)]
-            centroid[seq] = min(found, key=lambda x: (-x[0], x[1], x[2]))[2] if found else seq
-        return pd.DataFrame({"seq": list(centroid), "centroid": list(centroid.values())})
-
-    return run
-
-
 def _clustered(seqs: DataFrame, links: DataFrame, accept) -> DataFrame:
-    seqs, links = graph.settled(seqs), graph.settled(links.select("u", "v", "how"))  # both are read several times
-    both = links.union(links.select("v", "u", "how"))
-    near = both.groupBy(F.col("u").alias("seq")).agg(F.collect_list(F.struct("v", "how")).alias("l"))
-    roots = graph.components(seqs.select(F.col("seq").alias("node")), links)
-    linked = seqs.join(near, "seq").join(roots.withColumnRenamed("node", "seq"), "seq")
-    out = linked.select("seq", "size", "root", F.col("l.v").alias("near"), F.col("l.how").alias("how")).groupBy("root").applyInPandas(
-        _greedy(accept), "seq string, centroid string"
-    )
-    alone = seqs.join(near, "seq", "left_anti").select("seq", F.col("seq").alias("centroid"))
-    return out.unionByName(alone)
+    """(seq, centroid) of seqs(seq, size) and links(u, v, how): in order of size, then sequence, a sequence joins the
+    settled centroid with the largest ``how`` (then size) among its neighbours that ``accept`` allows, or becomes one."""
+    seqs = graph.settled(seqs)
+    both = links.select("u", "v", "how").union(links.select("v", "u", "how"))
+    of = lambda side: seqs.select(F.col("seq").alias(side), F.col("size").alias(f"{side}_size"))
+    up = both.join(of("u"), "u").join(of("v"), "v")
+    before = (F.col("v_size") > F.col("u_size")) | ((F.col("v_size") == F.col("u_size")) & (F.col("v") < F.col("u")))
+    up = graph.settled(up.filter(before & accept(F.col("u_size"), F.col("v_size"), F.col("how"))).select("u", "v", "v_size", "how"))
+    done = graph.settled(seqs.join(up.select(F.col("u").alias("seq")), "seq", "left_anti").select("seq", F.col("seq").alias("centroid")))
+    while True:
+        left = up.join(done.select(F.col("seq").alias("u")), "u", "left_anti")
+        known = left.join(done.select(F.col("seq").alias("v"), "centroid"), "v", "left")
+        best = F.min(F.when(F.col("centroid") == F.col("v"), F.struct((-F.col("how")).alias("h"), (-F.col("v_size")).alias("s"), "v")))
+        ready = known.groupBy("u").agg(F.bool_or(F.col("centroid").isNull()).alias("waits"), best.alias("b")).filter("not waits")
+        new = graph.settled(ready.select(F.col("u").alias("seq"), F.coalesce("b.v", "u").alias("centroid")))
+        if new.isEmpty():
+            return done
+        done = done.union(new)
 
 
 def greedy(seqs: DataFrame, identity: float, k: int, least_shared: int) -> DataFrame:
     """(seq, centroid) of seqs(seq, size), distinct: in order of size, a sequence joins the nearest centroid that is at
     least ``identity`` alike, or becomes one."""
     links = graph.similar(seqs.select("seq"), k, least_shared, identity).select("u", "v", F.col("identity").alias("how"))
-    return _clustered(seqs, links, lambda q, c, h: True)
+    return _clustered(seqs, links, lambda q, c, h: F.lit(True))
 
 
-def unoise(seqs: DataFrame, alpha: float = 6.0, k: int = 4, least_shared: int = 1, most: int = 3) -> DataFrame:
+def unoise(seqs: DataFrame, alpha: float = 6.0, most: int = 3) -> DataFrame:
     """(seq, centroid): a sequence is an error of a centroid d edits away if its size is at most 2 ** -(alpha * d + 1) of it."""
-    links = graph.kmer_links(seqs.select("seq"), k, least_shared).select("u", "v", (-F.levenshtein("u", "v")).cast("double").alias("how"))
-    return _clustered(seqs, links.filter(F.col("how") >= -most), lambda q, c, h: q / c <= 2.0 ** -(alpha * -h + 1))
+    links = graph.edit_links(seqs.select("seq"), most).select("u", "v", (-F.col("distance")).cast("double").alias("how"))
+    return _clustered(seqs, links, lambda q, c, h: q / c <= F.pow(F.lit(2.0), -(-h * alpha + 1)))
 
 
-def swarm(seqs: DataFrame) -> DataFrame:
-    """(seq, centroid): components of one-edit links among pure ACGT sequences; the most abundant member represents."""
+def swarm(seqs: DataFrame, d: int = 1, fastidious: bool = False, boundary: int = 3) -> DataFrame:
+    """(seq, centroid): components of links of at most d edits among pure ACGT sequences; the most abundant member
+    represents. Fastidious (d = 1): a swarm of less than ``boundary`` reads joins the heaviest larger swarm (then the least
+    centroid) of which a member is two edits from one of its own."""
     pure = graph.settled(seqs.filter(F.col("seq").rlike("^[ACGT]*$")))
-    roots = graph.components(pure.select(F.col("seq").alias("node")), graph.deletion_links(pure.select("seq"))).withColumnRenamed("node", "seq")
+    roots = graph.components(pure.select(F.col("seq").alias("node")), graph.edit_links(pure.select("seq"), d)).withColumnRenamed("node", "seq")
     own = pure.join(roots, "seq")
-    best = own.groupBy("root").agg(F.min(F.struct((-F.col("size")).alias("s"), "seq"))["seq"].alias("centroid"))
-    return own.join(best, "root").select("seq", "centroid")
+    best = own.groupBy("root").agg(F.min(F.struct((-F.col("size")).alias("s"), "seq"))["seq"].alias("centroid"), F.sum("size").alias("mass"))
+    out = graph.settled(own.join(best, "root").select("seq", "centroid", "mass"))
+    if not fastidious:
+        return out.select("seq", "centroid")
+    far = graph.edit_links(pure.select("seq"), d + 1).select("u", "v")
+    ends = lambda side: out.select(F.col("seq").alias(side), F.col("centroid").alias(f"{side}_c"), F.col("mass").alias(f"{side}_m"))
+    grafts = far.union(far.select("v", "u")).join(ends("u").filter(F.col("u_m") < boundary), "u").join(ends("v").filter(F.col("v_m") >= boundary), "v")
+    onto = grafts.groupBy(F.col("u_c").alias("centroid")).agg(F.min(F.struct((-F.col("v_m")).alias("m"), "v_c"))["v_c"].alias("onto"))
+    return out.join(onto, "centroid", "left").select("seq", F.coalesce("onto", "centroid").alias("centroid"))
 
 
 def linclust(seqs: DataFrame, k: int, m: int, identity: float) -> DataFrame:

@@ -13,24 +13,41 @@ from sporeline.functions import seq as S
 def settled(df: DataFrame) -> DataFrame:
     """df, written once to the checkpoint folder that all executors share, and read from there."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/sporeline-checkpoints"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "/tmp/sporeline-checkpoints"
     path = f"{base.rstrip('/')}/graph-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def deletion_links(seqs: DataFrame) -> DataFrame:
-    """(u, v), u < v: pairs of distinct sequences one edit apart; seqs(seq) has no repeats.
+def edit_links(seqs: DataFrame, most: int) -> DataFrame:
+    """(u, v, distance), u < v: all pairs of distinct sequences at most ``most`` edits apart; seqs(seq) has no repeats.
 
-    Two such sequences share a string with one base deleted from one or both, so each is filed under itself and its
-    single deletions and joined on those; the edit distance is then checked. No pair is compared that shares none.
+    A sequence is filed under its ``most`` + 1 even segments. Of a sequence within the bound one segment stands unchanged
+    in the other, moved by no more edits than there are on either side of it; so the longer of two looks under its
+    substrings at those places for each length that the shorter may have. Only pairs that share a segment are compared.
     """
-    keyed = seqs.select("seq", F.explode(F.array_distinct(F.concat(F.array("seq"), F.transform(
-        F.sequence(F.lit(1), F.length("seq")),
-        lambda i: F.concat(F.substring(F.col("seq"), F.lit(1), i - 1), F.substring(F.col("seq"), i + 1, F.length("seq"))),
-    )))).alias("key"))
-    a, b = keyed.select(F.col("seq").alias("u"), "key"), keyed.select(F.col("seq").alias("v"), "key")
-    return a.join(b, "key").filter(F.col("u") < F.col("v")).filter(F.levenshtein("u", "v") == 1).select("u", "v").distinct()
+    parts = most + 1
+
+    def segment(length: str, i: str) -> tuple[str, str]:
+        wide = f"({parts} - {length} % {parts})"  # the first segment that is one longer
+        return f"({i} * ({length} div {parts}) + greatest(0, {i} - {wide}))", f"({length} div {parts} + if({i} >= {wide}, 1, 0))"
+
+    at, size = segment("l", "i")
+    filed = seqs.select(F.col("seq").alias("v"), F.length("seq").alias("l"), F.expr(f"explode(sequence(0, {most}))").alias("i"))
+    filed = filed.select("v", "l", "i", F.expr(f"substring(v, {at} + 1, {size})").alias("key"))
+    at, size = segment("(l - x)", "i")
+    low, high = f"greatest(-i, x - ({most} - i))", f"least(i, x + ({most} - i))"
+    moves = f"if({low} <= {high}, transform(sequence({low}, greatest({low}, {high})), m -> struct(l - x as l, i, {at} + m as at, {size} as n)), array())"
+    places = f"flatten(transform(sequence(0, least({most}, l)), x -> flatten(transform(sequence(0, {most}), i -> {moves}))))"
+    asked = seqs.select(F.col("seq").alias("u"), F.length("seq").alias("l")).select("u", F.expr(f"explode({places})").alias("p"))
+    asked = asked.filter("p.at >= 0 and p.at + p.n <= length(u)")
+    asked = asked.select("u", "p.l", "p.i", F.expr("substring(u, p.at + 1, p.n)").alias("key"))
+    pairs = asked.join(filed, ["l", "i", "key"]).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return pairs.select("u", "v", F.levenshtein("u", "v", most).alias("distance")).filter("distance >= 0")
 
 
 def kmer_links(seqs: DataFrame, k: int, least: int) -> DataFrame:
@@ -46,10 +63,18 @@ def identity(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
+#: Edits up to which similar sequences are found by their segments.
+MOST_EDITS = 8
+
+
 def similar(seqs: DataFrame, k: int, least_shared: int, least_identity: float) -> DataFrame:
-    """(u, v, identity): the match list, from k-mer candidates."""
-    out = kmer_links(seqs, k, least_shared).select("u", "v", identity(F.col("u"), F.col("v")).alias("identity"))
-    return out.filter(F.col("identity") >= least_identity)
+    """(u, v, identity): the match list. Where the longest sequence may have MOST_EDITS edits at most, all pairs are found
+    by segments; otherwise candidates share ``least_shared`` k-mers at least."""
+    longest = seqs.agg(F.coalesce(F.max(F.length("seq")), F.lit(0))).first()[0]
+    edits = int((1 - least_identity) * longest + 1e-9)
+    found = edit_links(seqs, edits) if edits <= MOST_EDITS else kmer_links(seqs, k, least_shared)
+    out = found.select("u", "v", identity(F.col("u"), F.col("v")).alias("identity"))
+    return out.filter(F.col("identity") >= least_identity - 1e-12)
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -30,6 +30,38 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _family(key) -> str:
+    return f"translate(concat(sha1(cast({key} div 4 as string)), sha1(concat(cast({key} div 4 as string), 'k'))), '{HEX}', '{BASES}')"
+
+
+def _family_sql(key) -> str:
+    return f"translate(sha1(({key} // 4)::VARCHAR) || sha1(({key} // 4)::VARCHAR || 'k'), '{HEX}', '{BASES}')"
+
+
+def _mutant(base: str, key: str) -> str:
+    """Members of a family of four: the base, one with a base put in, one with a base left out, one with two changes."""
+    return f"""CASE {key} % 4 WHEN 0 THEN {base} WHEN 1 THEN concat(substring({base}, 1, 30), 'A', substring({base}, 31, 50))
+        WHEN 2 THEN concat(substring({base}, 1, 50), substring({base}, 52, 29)) ELSE concat(substring({base}, 1, 9), 'C', substring({base}, 11, 59), 'T', substring({base}, 71, 10)) END"""
+
+
+#: Whole sequences of some 80 bases with near copies: documents in families of four by id, each the heavier the lower.
+FAMILIES = f"families AS (SELECT doc_id, source AS SampleID, {_mutant(_family_sql('doc_id'), 'doc_id')} AS seq, (CASE doc_id % 4 WHEN 0 THEN 40 WHEN 1 THEN 3 ELSE 1 END)::BIGINT AS size FROM documents)"
+
+
+def families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, SampleID, seq, size), as FAMILIES."""
+    size = F.expr("CASE doc_id % 4 WHEN 0 THEN 40L WHEN 1 THEN 3L ELSE 1L END")
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("SampleID"), F.expr(_mutant(_family("doc_id"), "doc_id")).alias("seq"), size.alias("size"))
+
+
+def otu_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(OTU, seq): parts in families of four by key."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("OTU"), F.expr(_mutant(_family("p_partkey"), "p_partkey")).alias("seq"))
+
+
+OTU_SEQS = f"otus AS (SELECT p_partkey AS OTU, {_mutant(_family_sql('p_partkey'), 'p_partkey')} AS seq FROM part)"
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """docs with a score from the labels; null where there is none."""
     labels = table(spark, sf_dir, "labels")

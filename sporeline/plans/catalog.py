@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sporeline.functions import seq as S
 from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, otu, summary, tagjump, tags
 from sporeline.plans import bind
-from sporeline.plans.bind import CELLS, DOCS, HITS, SCORED, cells, docs, hits, scored, table
+from sporeline.plans.bind import CELLS, DOCS, FAMILIES, HITS, OTU_SEQS, SCORED, cells, docs, families, hits, otu_sequences, scored, table
 
 _queries: dict[str, Callable] = {}
 _oracles: dict[str, str] = {}
@@ -169,16 +169,16 @@ def iupac_expand(spark, d):
 _COLLAPSE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, 'A+', 'A', 'g'), 'C+', 'C', 'g'), 'G+', 'G', 'g'), 'T+', 'T', 'g')"
 
 
-@query(f"WITH {DOCS}, k AS (SELECT {_COLLAPSE.format('substring(seq, 1, 8)')} AS seq_key, doc_id FROM docs) SELECT seq_key, count(*) AS size, count(*) AS n_members, min(doc_id) AS first_id FROM k GROUP BY seq_key")
+@query(f"WITH {DOCS}, k AS (SELECT {_COLLAPSE.format('seq')} AS seq_key, doc_id FROM docs) SELECT seq_key, count(*) AS size, count(*) AS n_members, min(doc_id) AS first_id FROM k GROUP BY seq_key")
 def homopolymer_collapse(spark, d):
-    reads = docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 8).alias("seq"), F.lit(1).cast("long").alias("size"))
+    reads = docs(spark, d).select(F.col("doc_id").alias("id"), "seq", F.lit(1).cast("long").alias("size"))
     return derep.dereplicate(reads, S.homopolymer_collapse(F.col("seq")))
 
 
-@query(f"""WITH {DOCS}, k AS (SELECT {_COLLAPSE.format('substring(seq, 1, 8)')} AS key, doc_id, substring(seq, 1, 8) AS seq FROM docs)
+@query(f"""WITH {DOCS}, k AS (SELECT {_COLLAPSE.format('seq')} AS key, doc_id, seq FROM docs)
 SELECT min(doc_id) AS id, arg_min(seq, doc_id) AS seq, count(*) AS size FROM k GROUP BY key""")
 def homopolymer_correct(spark, d):
-    reads = docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 8).alias("seq"), F.lit(1).cast("long").alias("size"))
+    reads = docs(spark, d).select(F.col("doc_id").alias("id"), "seq", F.lit(1).cast("long").alias("size"))
     return derep.correct_homopolymers(reads)
 
 
@@ -225,10 +225,11 @@ def dereplicate(spark, d):
     return derep.dereplicate(docs(spark, d).select(F.col("doc_id").alias("id"), "seq", F.lit(1).cast("long").alias("size")))
 
 
-@query(f"""WITH {DOCS}, s AS (SELECT doc_id, substring(seq, 1, 6) AS s FROM docs)
+@query(f"""WITH {FAMILIES}, s AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS s FROM families)
 SELECT least(s, reverse(translate(s, 'ACGT', 'TGCA'))) AS seq_key, count(*) AS size, count(*) AS n_members, min(doc_id) AS first_id FROM s GROUP BY 1""")
 def dereplicate_both_strands(spark, d):
-    return derep.both_strands(docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 6).alias("seq"), F.lit(1).cast("long").alias("size")))
+    turned = F.when(F.col("doc_id") % 2 == 0, S.revcomp(F.col("seq"))).otherwise(F.col("seq"))
+    return derep.both_strands(families(spark, d).select(F.col("doc_id").alias("id"), turned.alias("seq"), F.lit(1).cast("long").alias("size")))
 
 
 @query(f"WITH {DOCS} SELECT SampleID, count(*) AS num_seqs, sum(length(text))::BIGINT AS sum_len FROM docs GROUP BY SampleID")
@@ -582,77 +583,85 @@ def chunk_rows(spark, d):
     return buckets.chunks(table(spark, d, "documents").select("doc_id"), "doc_id", 100)
 
 
-# Similarity ------------------------------------------------------------------------------------------------------------
+# Similarity: whole sequences with planted near copies ------------------------------------------------------------------
 
+_DISTINCT = f"WITH {FAMILIES}, s AS (SELECT DISTINCT seq AS s FROM families)"
 
-def _short(spark, d, n):
-    return docs(spark, d).select(F.substring("seq", 1, n).alias("seq")).distinct()
 
+def _distinct(spark, d):
+    return families(spark, d).select("seq").distinct()
 
-@query(f"""WITH {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 8) AS s FROM docs), k AS (SELECT DISTINCT s, substring(s, i, 4) AS k FROM s, unnest(range(1, 6)) t(i))
-SELECT a.s AS u, b.s AS v, count(*) AS shared FROM k a JOIN k b ON a.k = b.k AND a.s < b.s GROUP BY ALL HAVING count(*) >= 3""")
+
+def _sized(spark, d):
+    return families(spark, d).groupBy("seq").agg(F.sum("size").alias("size"))
+
+
+@query(f"""{_DISTINCT}, k AS (SELECT DISTINCT s, substring(s, i, 12) AS k FROM s, unnest(range(1, length(s) - 10)) t(i))
+SELECT a.s AS u, b.s AS v, count(*) AS shared FROM k a JOIN k b ON a.k = b.k AND a.s < b.s GROUP BY ALL HAVING count(*) >= 8""")
 def kmer_candidates(spark, d):
-    return graph.kmer_links(_short(spark, d, 8), 4, 3)
+    return graph.kmer_links(_distinct(spark, d), 12, 8)
 
 
-@query(f"""WITH {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 8) AS s FROM docs), k AS (SELECT DISTINCT s, substring(s, i, 4) AS k FROM s, unnest(range(1, 6)) t(i)),
-c AS (SELECT a.s AS u, b.s AS v FROM k a JOIN k b ON a.k = b.k AND a.s < b.s GROUP BY ALL HAVING count(*) >= 2)
-SELECT u, v, 1.0::DOUBLE - levenshtein(u, v) / 8.0::DOUBLE AS identity FROM c WHERE levenshtein(u, v) <= 2""")
+@query(f"""{_DISTINCT}, p AS (SELECT a.s AS u, b.s AS v, 1.0::DOUBLE - levenshtein(a.s, b.s) / greatest(length(a.s), length(b.s))::DOUBLE AS identity FROM s a JOIN s b ON a.s < b.s)
+SELECT u, v, identity FROM p WHERE identity >= 0.95""")
 def match_list(spark, d):
-    return graph.similar(_short(spark, d, 8), 4, 2, 0.75)
+    return graph.similar(_distinct(spark, d), 12, 8, 0.95)
 
 
-@query(f"WITH {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 6) AS s FROM docs) SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON a.s < b.s AND levenshtein(a.s, b.s) = 1")
+@query(f"{_DISTINCT} SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON a.s < b.s AND levenshtein(a.s, b.s) = 1")
 def d1_edges(spark, d):
-    return graph.deletion_links(_short(spark, d, 6))
+    return graph.edit_links(_distinct(spark, d), 1).select("u", "v")
 
 
-@query(f"""WITH RECURSIVE {DOCS}, s AS (SELECT DISTINCT substring(seq, 1, 8) AS s FROM docs), e AS (SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON levenshtein(a.s, b.s) = 1),
+@query(f"""WITH RECURSIVE {FAMILIES}, s AS (SELECT DISTINCT seq AS s FROM families), e AS (SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON levenshtein(a.s, b.s) = 1),
 r AS (SELECT s AS node, s AS root FROM s UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node) SELECT node, min(root) AS root FROM r GROUP BY node""")
 def d1_components(spark, d):
-    own = _short(spark, d, 8)
-    return graph.components(own.select(F.col("seq").alias("node")), graph.deletion_links(own))
-
-
-def _sized(spark, d, n):
-    return docs(spark, d).groupBy(F.substring("seq", 1, n).alias("seq")).agg(F.count("*").alias("size"))
+    own = _distinct(spark, d)
+    return graph.components(own.select(F.col("seq").alias("node")), graph.edit_links(own, 1))
 
 
 @query()
 def greedy_cluster(spark, d):
-    return cluster.greedy(_sized(spark, d, 8), 0.75, 4, 2)
+    return cluster.greedy(_sized(spark, d), 0.97, 12, 8)
 
 
 @query()
 def unoise(spark, d):
-    return cluster.unoise(_sized(spark, d, 5), alpha=0.5, k=3)
+    return cluster.unoise(_sized(spark, d), alpha=2.0)
 
 
 @query()
 def swarm_d1(spark, d):
-    return cluster.swarm(docs(spark, d).groupBy("seq").agg(F.count("*").alias("size")))
+    return cluster.swarm(_sized(spark, d))
+
+
+@query()
+def swarm_fastidious(spark, d):
+    return cluster.swarm(_sized(spark, d), fastidious=True)
 
 
 @query()
 def linclust(spark, d):
-    return cluster.linclust(_sized(spark, d, 10).select("seq"), 5, 3, 0.6)
+    return cluster.linclust(_distinct(spark, d), 15, 20, 0.9)
 
 
 @query()
 def denovo_chimeras(spark, d):
-    own = docs(spark, d).groupBy("SampleID", F.substring("seq", 1, 40).alias("seq")).agg(F.count("*").alias("size"))
-    return cluster.denovo_chimeras(own, abskew=1.0)
+    return cluster.denovo_chimeras(families(spark, d).groupBy("SampleID", "seq").agg(F.sum("size").alias("size")))
 
 
 def _lulu(spark, d):
-    c = cells(spark, d).withColumn("OTU", F.col("OTU") % 200).groupBy("OTU", "SampleID").agg(F.sum("Abundance").alias("Abundance"))
-    a = c.select(F.col("OTU").alias("query")).distinct()
-    pairs = a.select("query", F.explode(F.array(*[((F.col("query") + k) % 200).alias("p") for k in (1, 2, 3)])).alias("parent"))
-    return c, pairs.withColumn("identity", F.lit(0.97) - (F.col("parent") % 3) / 100)
+    c = cells(spark, d).groupBy("OTU", "SampleID").agg(F.sum("Abundance").alias("Abundance"))
+    otus = graph.settled(otu_sequences(spark, d))
+    links = graph.similar(otus.select("seq").distinct(), 12, 8, 0.95)
+    id_of = lambda side, name: otus.select(F.col("seq").alias(side), F.col("OTU").alias(name))
+    pairs = links.join(id_of("u", "a"), "u").join(id_of("v", "b"), "v").select("a", "b", "identity")
+    pairs = graph.settled(pairs.union(pairs.select("b", "a", "identity")).toDF("query", "parent", "identity"))
+    return c, pairs
 
 
-_LULU = """WITH c AS (SELECT l_partkey % 200 AS OTU, l_suppkey AS SampleID, sum(CAST(l_quantity AS BIGINT))::BIGINT AS n FROM lineitem GROUP BY ALL),
-p AS (SELECT OTU AS query, (OTU + k) % 200 AS parent FROM (SELECT DISTINCT OTU FROM c), (SELECT unnest([1, 2, 3]) AS k)),
+_LULU = f"""WITH {OTU_SEQS}, c AS (SELECT l_partkey AS OTU, l_suppkey AS SampleID, sum(CAST(l_quantity AS BIGINT))::BIGINT AS n FROM lineitem GROUP BY ALL),
+p AS (SELECT a.OTU AS query, b.OTU AS parent FROM otus a JOIN otus b ON a.seq <> b.seq AND 1.0::DOUBLE - levenshtein(a.seq, b.seq) / greatest(length(a.seq), length(b.seq))::DOUBLE >= 0.95),
 t AS (SELECT OTU, sum(n)::BIGINT AS total FROM c GROUP BY OTU)
 SELECT p.query, p.parent, count(*) AS query_spread, count(b.n) AS overlap, round(min(b.n / a.n::DOUBLE), 6) AS min_ratio, round(max(b.n / a.n::DOUBLE), 6) AS max_ratio,
 round(sum(b.n / a.n::DOUBLE) / count(b.n), 6) AS avg_ratio, any_value(tq.total) AS query_total, any_value(tp.total) AS parent_total, round(count(b.n) / count(*)::DOUBLE, 6) AS cooccurrence
@@ -662,10 +671,11 @@ FROM p JOIN c a ON a.OTU = p.query LEFT JOIN c b ON b.OTU = p.parent AND b.Sampl
 @query(_LULU)
 def lulu_pair_stats(spark, d):
     c, pairs = _lulu(spark, d)
-    return cluster.pair_stats(c, pairs.select("query", "parent")).withColumns({k: F.round(k, 6) for k in ("min_ratio", "max_ratio", "avg_ratio", "cooccurrence")})
+    out = cluster.pair_stats(c, pairs.select("query", "parent"))
+    return out.withColumns({k: F.round(k, 6) for k in ("min_ratio", "max_ratio", "avg_ratio", "cooccurrence")})
 
 
 @query()
 def lulu_curate(spark, d):
     c, pairs = _lulu(spark, d)
-    return cluster.merge_curated(c, cluster.curate(c, pairs, 0.5, 0.01))
+    return cluster.merge_curated(c, cluster.curate(c, pairs, 0.05, 0.01))

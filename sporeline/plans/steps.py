@@ -94,7 +94,7 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     derep_map = rows.select(F.col("SeqID").alias("query"), F.col("_canon").alias("target"))
     pre = None
     if p.preclustering == "unoise":
-        pre = cluster.unoise(unique, p.unoise_alpha, p.kmer, p.shared)
+        pre = cluster.unoise(unique, p.unoise_alpha)
     elif p.preclustering == "swarm":
         pre = cluster.swarm(unique)
     elif p.preclustering == "homopolymer":
