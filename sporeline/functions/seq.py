@@ -135,6 +135,14 @@ def hamming(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, d: s + d)
 
 
+def mismatches(window: Column, primer: str) -> Column:
+    """Positions at which a window of the primer's length has a base that the primer's code doesn't allow; '.' in the
+    window (beyond a read's end) is always allowed, and N only where the primer has it."""
+    allowed = [IUPAC[c] + ("N." if c in "NI" else ".") for c in primer.upper()]
+    codes = F.array(*[F.lit(x) for x in allowed])
+    return F.aggregate(F.zip_with(codes, F.split(window, ""), lambda a, x: (F.instr(a, x) == 0).cast("int")), F.lit(0), lambda s, d: s + d)
+
+
 def kmers(seq: Column, k: int) -> Column:
     """All k-mers in order, as an array; empty for shorter sequences."""
     return F.when(

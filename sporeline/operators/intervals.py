@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sporeline.functions import seq as S
+
 REGIONS = ("SSU", "ITS1", "S58", "ITS2", "LSU")
 
 
@@ -23,21 +25,34 @@ def multi_hit(hits: DataFrame) -> DataFrame:
     return merge(hits).groupBy("id").agg(F.count("*").alias("islands")).filter("islands > 1")
 
 
-def parse_region(text: Column) -> Column:
-    """struct(status, start, end, length) of 'LABEL: a-b' or of a marker such as 'Not found'."""
-    value = F.trim(F.regexp_replace(text, r"^[^:]*:", ""))
-    lower = F.lower(value)
-    start = F.regexp_extract(value, r"^([0-9]+)-([0-9]+)$", 1).try_cast("long")
-    end = F.regexp_extract(value, r"^([0-9]+)-([0-9]+)$", 2).try_cast("long")
-    status = (
-        F.when(text.isNull() | (F.trim(text) == ""), "missing")
-        .when(start.isNotNull() & end.isNotNull(), F.when(start > end, "inverted").when(start < 1, "out_of_range").otherwise("ok"))
-        .when(lower == "not found", "not_found")
-        .when(lower == "no start", "no_start")
-        .when(lower == "no end", "no_end")
-        .otherwise("malformed")
-    )
-    return F.struct(status.alias("status"), start.alias("start"), end.alias("end"), (end - start + 1).alias("length"))
+LABELS = {"SSU": "SSU", "ITS1": "ITS1", "S58": "5.8S", "ITS2": "ITS2", "LSU": "LSU"}
+#: Markers that stand where a region has no coordinates.
+MARKERS = ("not found", "no end", "no start", "overlap lsu", "overlap ssu")
+
+
+def parse_region(text: Column, label: str, length: Column) -> Column:
+    """struct(status, start, end, length) of 'LABEL: a-b' or a marker, against a sequence's length.
+
+    Statuses in rising precedence: malformed, missing, a marker's own, nonfinite, nonpositive, invalid_length (the end is
+    not after the start), out_of_bounds, valid.
+    """
+    raw = F.trim(text)
+    prefix = f"{label}:"
+    value = F.when(raw.startswith(prefix), F.trim(F.substring(raw, len(prefix) + 1, F.length(raw))))
+    marker = F.lower(value).isin(*MARKERS)
+    ends = [F.regexp_extract(value, r"^([+-]?[0-9]+)\s*-\s*([+-]?[0-9]+)$", k).try_cast("double") for k in (1, 2)]
+
+    def checked(x: Column) -> Column:
+        start, end = x["start"], x["end"]
+        finite = start.isNotNull() & (F.abs(start) < float("inf")) & (F.abs(end) < float("inf"))
+        status = (
+            F.when(text.isNull() | (raw == ""), "missing").when(marker, F.replace(F.lower(value), F.lit(" "), F.lit("_")))
+            .when(start.isNull() | end.isNull(), "malformed").when(~finite, "nonfinite").when((start <= 0) | (end <= 0), "nonpositive")
+            .when(end <= start, "invalid_length").when((start > length) | (end > length), "out_of_bounds").otherwise("valid")
+        )
+        return F.struct(status.alias("status"), start.alias("start"), end.alias("end"), F.when(finite, end - start + 1).alias("length"))
+
+    return S.let(F.struct(ends[0].alias("start"), ends[1].alias("end")), checked)
 
 
 def parse_length(text: Column) -> Column:
@@ -45,34 +60,50 @@ def parse_length(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s*bp\.?\s*$", "")).try_cast("long")
 
 
-def audit(positions: DataFrame) -> DataFrame:
-    """positions(id, seq, length, SSU, ITS1, S58, ITS2, LSU) with each region's struct, reasons and a status.
+def audit(seqs: DataFrame, positions: DataFrame, region: str = "ITS") -> DataFrame:
+    """seqs(id, seq) with each region's struct, start, end, reasons and a status, from positions(id, length, SSU, ITS1, S58,
+    ITS2, LSU, info); at most one row of positions for an id.
 
-    Reasons are joined by ';' in rule order. The status is the gravest: invalid, partial or ok.
+    Reasons are joined by ';' in rule order; a sequence with any reason is excluded, others are extracted.
     """
-    rows = positions.select("id", "seq", parse_length(F.col("length")).alias("length"), *[parse_region(F.col(r)).alias(r) for r in REGIONS])
-    rules = [F.when(F.col("length").isNull(), F.lit("bad_length")), F.when(F.length("seq") != F.col("length"), F.lit("length_mismatch"))]
+    own = positions.select("id", F.lit(True).alias("there"), "length", "info", *[F.col(r).alias(f"raw_{r}") for r in REGIONS])
+    rows = seqs.select("id", "seq").join(own, "id", "left").withColumn("there", F.coalesce("there", F.lit(False)))
+    bases = F.length("seq")
+    rows = rows.withColumn("length", parse_length(F.col("length")))
+    rows = rows.withColumns({r: parse_region(F.col(f"raw_{r}"), LABELS[r], bases) for r in REGIONS})
+
+    def rule(test: Column, reason: str) -> Column:
+        return F.when(F.col("there") & test, F.lit(reason))
+
+    rules = [F.when(~F.col("there"), F.lit("no_positions")), rule(F.col("length").isNull() | (F.col("length") <= 0), "invalid_itsx_length")]
+    rules += [rule(F.col("length") != bases, "sequence_length_mismatch"), rule(F.lower("info").contains("chimeric"), "chimeric")]
     for r in REGIONS:
-        rules.append(F.when(F.col(f"{r}.status").isin("malformed", "inverted", "out_of_range"), F.concat(F.lit(f"{r}_"), F.col(f"{r}.status"))))
-        rules.append(F.when((F.col(f"{r}.status") == "ok") & (F.col(f"{r}.end") > F.col("length")), F.lit(f"{r}_beyond_end")))
+        start, end, status = (F.col(f"{r}.{x}") for x in ("start", "end", "status"))
+        rules.append(rule(status == "malformed", f"malformed_{r}_coordinates"))
+        rules.append(rule(status == "nonfinite", f"nonfinite_{r}_coordinates"))
+        finite = F.col(f"{r}.length").isNotNull()
+        rules.append(rule(finite & ((start <= 0) | (end <= 0)), f"nonpositive_{r}_coordinates"))
+        rules.append(rule(finite & (end <= start), f"invalid_{r}_length"))
+        rules.append(rule(finite & ((start > bases) | (end > bases)), f"out_of_bounds_{r}_coordinates"))
     for i, left in enumerate(REGIONS):
         for right in REGIONS[i + 1 :]:
-            both = (F.col(f"{left}.status") == "ok") & (F.col(f"{right}.status") == "ok")
-            rules.append(
-                F.when(both & (F.col(f"{left}.start") >= F.col(f"{right}.start")), F.lit(f"{left}_{right}_out_of_order"))
-                .when(both & (F.col(f"{left}.end") >= F.col(f"{right}.start")), F.lit(f"{left}_{right}_overlap"))
-            )
-    out = rows.withColumn("reasons", F.concat_ws(";", F.array_compact(F.array(*rules))))
-    incomplete = F.exists(F.array(*[F.col(f"{r}.status") for r in REGIONS]), lambda s: s != "ok")
-    return out.withColumn("status", F.when(F.col("reasons") != "", "invalid").when(incomplete, "partial").otherwise("ok"))
-
-
-def extract(audited: DataFrame, region: str) -> DataFrame:
-    """(id, region_seq) by coordinates, 1-based inclusive; ITS runs from ITS1's start to ITS2's end."""
+            both = (F.col(f"{left}.status") == "valid") & (F.col(f"{right}.status") == "valid")
+            late = F.col(f"{left}.start") >= F.col(f"{right}.start")
+            rules.append(rule(both & late, f"out_of_order_{left}_{right}"))
+            rules.append(rule(both & ~late & (F.col(f"{left}.end") >= F.col(f"{right}.start")), f"overlap_{left}_{right}"))
     first, last = ("ITS1", "ITS2") if region == "ITS" else (region, region)
-    good = (F.col("status") != "invalid") & (F.col(f"{first}.status") == "ok") & (F.col(f"{last}.status") == "ok")
-    seq = F.substring("seq", F.col(f"{first}.start").cast("int"), (F.col(f"{last}.end") - F.col(f"{first}.start") + 1).cast("int"))
-    return audited.filter(good).select("id", seq.alias("region_seq"))
+    for r in dict.fromkeys((first, last)):
+        rules.append(rule(F.col(f"{r}.status").isin("missing", *[m.replace(" ", "_") for m in MARKERS]), f"{r}_not_detected"))
+    status = {r: F.col(r).withField("status", F.when(~F.col("there"), "no_positions").otherwise(F.col(f"{r}.status"))) for r in REGIONS}
+    out = rows.withColumn("reasons", F.concat_ws(";", F.array_compact(F.array(*rules)))).withColumns(status)
+    out = out.withColumns({"start": F.col(f"{first}.start"), "end": F.col(f"{last}.end")})
+    return out.withColumn("status", F.when(F.col("reasons") != "", "excluded").otherwise("extracted")).drop("there", "info", *[f"raw_{r}" for r in REGIONS])
+
+
+def extract(audited: DataFrame) -> DataFrame:
+    """(id, region_seq) of the extracted, by coordinates, 1-based inclusive; ITS runs from ITS1's start to ITS2's end."""
+    seq = F.substring("seq", F.col("start").cast("int"), (F.col("end") - F.col("start") + 1).cast("int"))
+    return audited.filter("status = 'extracted'").select("id", seq.alias("region_seq"))
 
 
 def reason_histogram(audited: DataFrame) -> DataFrame:

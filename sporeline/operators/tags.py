@@ -49,28 +49,54 @@ def find_sites(reads: DataFrame, primers: DataFrame, length: int, mismatches: in
     )
 
 
-def trim_linked(reads: DataFrame, forward: str, reverse: str, mismatches: int = 0, least: int = 10) -> DataFrame:
-    """Reads with both primers, in the forward direction, cut between them; others are dropped.
+def linked_span(seq: Column, forward: str, reverse: str, mismatches: int = 0, missing: int = 2) -> Column:
+    """struct(start, length) of what lies between the primers in a read, from 1; null without both.
 
-    Only the read or its reverse complement is used, the read itself first. With mismatches, a primer's site is the first
-    window within the bound.
+    Codes match by the bases that they stand for. Up to ``missing`` bases of a primer may lie beyond the read's ends. A
+    primer's site is the first window within the bound.
     """
-    k, m = len(forward), len(reverse)
-    anti = S.revcomp(F.lit(reverse))
+    k, anti = len(forward), _anti(reverse)
+    pad = F.lit("." * missing)
 
     def site(windows, primer):
         """First window within the bound, from 1; 0 if there is none."""
-        return F.array_position(F.transform(windows, lambda w: S.hamming(w, primer) <= mismatches), True)
+        return F.array_position(F.transform(windows, lambda w: S.mismatches(w, primer) <= mismatches), True)
 
-    def between(seq, start):
-        rest = F.substring(seq, start + k, F.length(seq))
-        return S.let(rest, lambda r: S.let(site(S.kmers(r, m), anti), lambda e: F.when(e > 0, F.substring(r, F.lit(1), (e - 1).cast("int")))))
+    def ends(start):
+        # From 1 in the read; the forward primer's site counts the pad.
+        return start + k - missing
 
-    def cut(seq):
-        return S.let(seq, lambda s: S.let(site(S.kmers(s, k), F.lit(forward)).cast("int"), lambda a: F.when(a > 0, between(s, a))))
+    def between(begin):
+        rest = F.concat(F.substring(seq, begin, F.length(seq)), pad)
+        end = site(S.kmers(rest, len(reverse)), anti).cast("int")
+        return S.let(end, lambda e: F.when(e > 0, F.struct(begin.alias("start"), (e - 1).alias("length"))))
 
-    rows = reads.withColumn("_trimmed", F.coalesce(cut(F.col("seq")), cut(S.revcomp(F.col("seq")))))
-    return rows.filter(F.length("_trimmed") >= least).select("id", F.col("_trimmed").alias("seq"))
+    first = site(S.kmers(F.concat(pad, seq), k), forward).cast("int")
+    return S.let(first, lambda a: F.when(a > 0, S.let(ends(a), between)))
+
+
+def _anti(primer: str) -> str:
+    return primer.translate(str.maketrans(S.COMPLEMENT_FROM, S.COMPLEMENT_TO))[::-1]
+
+
+def trim(reads: DataFrame, forward: str, reverse: str, mismatches: int = 0, least: int = 10, missing: int = 2) -> DataFrame:
+    """reads(seq, qual, ...) with both primers, in the forward direction, sequence and quality cut between them; others are
+    dropped. The read itself is tried first, then its reverse complement, whose quality is turned too."""
+    own = linked_span(F.col("seq"), forward, reverse, mismatches, missing)
+    rows = reads.withColumn("_own", own)
+    rows = rows.withColumn("_turn", F.col("_own").isNull())
+    rows = rows.withColumn("seq", F.when(F.col("_turn"), S.revcomp(F.col("seq"))).otherwise(F.col("seq")))
+    if "qual" in reads.columns:
+        rows = rows.withColumn("qual", F.when(F.col("_turn"), F.reverse("qual")).otherwise(F.col("qual")))
+    rows = rows.withColumn("_span", F.coalesce("_own", F.when(F.col("_turn"), linked_span(F.col("seq"), forward, reverse, mismatches, missing))))
+    rows = rows.filter(F.col("_span.length") >= least)
+    cut = {c: F.substring(F.col(c), F.col("_span.start"), F.col("_span.length")) for c in ("seq", "qual") if c in reads.columns}
+    return rows.withColumns(cut).drop("_own", "_turn", "_span")
+
+
+def trim_linked(reads: DataFrame, forward: str, reverse: str, mismatches: int = 0, least: int = 10, missing: int = 0) -> DataFrame:
+    """(id, seq) as ``trim`` gives them."""
+    return trim(reads.select("id", "seq"), forward, reverse, mismatches, least, missing)
 
 
 def demultiplex(reads: DataFrame, barcodes: DataFrame, length: int, window: int = 30, errors: int = 1) -> DataFrame:

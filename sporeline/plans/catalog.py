@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
-from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, otu, summary, tagjump, tags
+from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, otu, relational, summary, tagjump, tags
 from sporeline.plans import bind
 from sporeline.plans.bind import CELLS, DOCS, FAMILIES, HITS, OTU_SEQS, SCORED, cells, docs, families, hits, otu_sequences, scored, table
 
@@ -438,48 +438,60 @@ def multi_hit_ids(spark, d):
     return intervals.multi_hit(hits(spark, d))
 
 
-def _positions(spark, d):
-    i = F.col("doc_id")
-    def r(label, start, end, odd):
-        good = F.concat(F.lit(f"{label}: "), start.cast("string"), F.lit("-"), end.cast("string"))
-        return F.when(i % odd == 0, F.lit(f"{label}: Not found")).when(i % (odd + 6) == 1, F.lit(f"{label}: No end")).when(i % (odd + 8) == 2, F.lit(f"{label}: x-9")).otherwise(good)
-    return docs(spark, d).select(
-        i.alias("id"), "seq", F.when(i % 11 == 0, F.lit("? bp.")).otherwise(F.concat(F.lit(80).cast("string"), F.lit(" bp."))).alias("length"),
-        r("SSU", F.lit(1), F.lit(10) + i % 3, 5).alias("SSU"), r("ITS1", F.lit(11) + i % 4, F.lit(30), 7).alias("ITS1"), r("5.8S", F.lit(31), F.lit(45) + i % 9, 9).alias("S58"),
-        r("ITS2", F.lit(50), F.lit(70), 13).alias("ITS2"), r("LSU", F.lit(71), F.lit(80) + F.when(i % 17 == 0, 5).otherwise(0), 10).alias("LSU"),
-    )
-
-
-def _pos_sql():
-    def r(label, start, end, odd):
-        return f"CASE WHEN doc_id % {odd} = 0 THEN NULL WHEN doc_id % {odd + 6} = 1 THEN NULL WHEN doc_id % {odd + 8} = 2 THEN NULL ELSE [{start}, {end}] END"
-    parts = {"SSU": ("1", "10 + doc_id % 3", 5), "ITS1": ("11 + doc_id % 4", "30", 7), "S58": ("31", "45 + doc_id % 9", 9), "ITS2": ("50", "70", 13), "LSU": ("71", "80 + CASE WHEN doc_id % 17 = 0 THEN 5 ELSE 0 END", 10)}
-    cols = ", ".join(f"{r('', *v)} AS {k}, (doc_id % {v[2]} <> 0 AND doc_id % {v[2] + 6} <> 1 AND doc_id % {v[2] + 8} = 2) AS {k}_bad" for k, v in parts.items())
-    reasons = ["CASE WHEN doc_id % 11 = 0 THEN 'bad_length' END"]
-    for k in parts:
-        reasons += [f"CASE WHEN {k}_bad THEN '{k}_malformed' END", f"CASE WHEN doc_id % 11 <> 0 AND {k}[2] > 80 THEN '{k}_beyond_end' END"]
-    names = list(parts)
+def _coordinates(label: str, start: str, end: str, odd: int) -> str:
+    """SQL of both engines: a region's text, with every kind of fault somewhere."""
+    faults = {0: "'Not found'", 1: "'No end'", 2: "'x-9'", 3: "'0-9'", 4: "'7-7'", 5: "'9-5'", 6: "'3-99'", 7: "'no such thing'"}
+    cases = " ".join(f"WHEN doc_id % {odd} = 0 AND doc_id % 11 = {k} THEN {v}" for k, v in faults.items())
+    return f"concat('{label}: ', CASE {cases} ELSE concat(CAST({start} AS STRING), ' - ', CAST({end} AS STRING)) END)"
+
+
+_RAW = {
+    "SSU": _coordinates("SSU", "1", "10 + doc_id % 3", 5), "ITS1": _coordinates("ITS1", "11 + doc_id % 4", "30", 7), "S58": _coordinates("5.8S", "31", "45 + doc_id % 9", 9),
+    "ITS2": f"CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 29 = 0 THEN 'LSU: 1-2' ELSE {_coordinates('ITS2', '50', '70', 13)} END", "LSU": _coordinates("LSU", "71", "80", 10),
+}
+_LENGTH = "CASE WHEN doc_id % 31 = 0 THEN '? bp.' WHEN doc_id % 37 = 0 THEN '79 bp.' WHEN doc_id % 41 = 0 THEN '0 bp.' ELSE '80 bp.' END"
+_INFO = "CASE WHEN doc_id % 17 = 0 THEN 'Putatively Chimeric' WHEN doc_id % 3 = 0 THEN NULL ELSE 'ok' END"
+
+
+def _audited(spark, d):
+    r = docs(spark, d)
+    positions = r.filter("doc_id % 43 <> 0").select(F.col("doc_id").alias("id"), F.expr(_LENGTH).alias("length"), F.expr(_INFO).alias("info"), *[F.expr(e).alias(k) for k, e in _RAW.items()])
+    return intervals.audit(r.select(F.col("doc_id").alias("id"), "seq"), positions)
+
+
+def _audit_sql():
+    labels = intervals.LABELS
+    raw = ", ".join(f"CASE WHEN doc_id % 43 <> 0 THEN {e} END AS raw_{k}" for k, e in _RAW.items())
+    value = ", ".join(f"CASE WHEN starts_with(raw_{k}, '{l}:') THEN trim(substring(raw_{k}, {len(l) + 2})) END AS val_{k}" for k, l in labels.items())
+    ends = ", ".join(f"TRY_CAST(nullif(regexp_extract(val_{k}, '^([+-]?[0-9]+)[ ]*-[ ]*([+-]?[0-9]+)$', {n}), '') AS DOUBLE) AS {k}_{x}" for k in labels for n, x in ((1, "a"), (2, "b")))
+    gone = {k: f"(raw_{k} IS NULL OR coalesce(lower(val_{k}) IN ('not found', 'no start', 'no end', 'overlap lsu', 'overlap ssu'), false))" for k in labels}
+    ok = {k: f"({k}_a > 0 AND {k}_b > {k}_a AND {k}_a <= length(seq) AND {k}_b <= length(seq))" for k in labels}
+    rules = [("NOT there", "no_positions"), ("there AND (n IS NULL OR n <= 0)", "invalid_itsx_length"), ("there AND n <> length(seq)", "sequence_length_mismatch"), ("there AND lower(info) LIKE '%chimeric%'", "chimeric")]
+    for k in labels:
+        rules += [(f"there AND NOT {gone[k]} AND {k}_a IS NULL", f"malformed_{k}_coordinates"), (f"there AND ({k}_a <= 0 OR {k}_b <= 0)", f"nonpositive_{k}_coordinates"), (f"there AND {k}_b <= {k}_a", f"invalid_{k}_length"), (f"there AND ({k}_a > length(seq) OR {k}_b > length(seq))", f"out_of_bounds_{k}_coordinates")]
+    names = list(labels)
     for i, a in enumerate(names):
         for b in names[i + 1 :]:
-            reasons.append(f"CASE WHEN {a}[1] >= {b}[1] THEN '{a}_{b}_out_of_order' WHEN {a}[2] >= {b}[1] THEN '{a}_{b}_overlap' END")
-    incomplete = " OR ".join(f"{k} IS NULL" for k in names)
-    return f"""WITH {DOCS}, p AS (SELECT doc_id AS id, doc_id, seq, {cols} FROM docs), x AS (SELECT *, array_to_string(list_filter([{', '.join(reasons)}], lambda z: z IS NOT NULL), ';') AS reasons FROM p),
-a AS (SELECT *, CASE WHEN reasons <> '' THEN 'invalid' WHEN {incomplete} THEN 'partial' ELSE 'ok' END AS status FROM x)"""
+            rules += [(f"{ok[a]} AND {ok[b]} AND {a}_a >= {b}_a", f"out_of_order_{a}_{b}"), (f"{ok[a]} AND {ok[b]} AND {a}_a < {b}_a AND {a}_b >= {b}_a", f"overlap_{a}_{b}")]
+    rules += [(f"there AND {gone[k]}", f"{k}_not_detected") for k in ("ITS1", "ITS2")]
+    reasons = ", ".join(f"CASE WHEN {c} THEN '{r}' END" for c, r in rules)
+    return f"""WITH {DOCS}, p AS (SELECT doc_id AS id, seq, doc_id % 43 <> 0 AS there, {_LENGTH} AS len, {_INFO} AS info, {raw} FROM docs), v AS (SELECT *, TRY_CAST(replace(len, ' bp.', '') AS BIGINT) AS n, {value} FROM p),
+e AS (SELECT *, {ends} FROM v), a AS (SELECT *, array_to_string(list_filter([{reasons}], lambda z: z IS NOT NULL), ';') AS reasons FROM e)"""
 
 
-@query(f"{_pos_sql()} SELECT id, reasons, status FROM a")
+@query(f"{_audit_sql()} SELECT id, reasons, CASE WHEN reasons = '' THEN 'extracted' ELSE 'excluded' END AS status FROM a")
 def region_audit(spark, d):
-    return intervals.audit(_positions(spark, d)).select("id", "reasons", "status")
+    return _audited(spark, d).select("id", "reasons", "status")
 
 
-@query(f"{_pos_sql()} SELECT id, substring(seq, ITS1[1], ITS2[2] - ITS1[1] + 1) AS region_seq FROM a WHERE status <> 'invalid' AND ITS1 IS NOT NULL AND ITS2 IS NOT NULL")
+@query(f"{_audit_sql()} SELECT id, substring(seq, ITS1_a::BIGINT, (ITS2_b - ITS1_a)::BIGINT + 1) AS region_seq FROM a WHERE reasons = ''")
 def region_extract(spark, d):
-    return intervals.extract(intervals.audit(_positions(spark, d)), "ITS")
+    return intervals.extract(_audited(spark, d))
 
 
-@query(f"{_pos_sql()} SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ';')) AS reason FROM a WHERE reasons <> '') GROUP BY reason")
+@query(f"{_audit_sql()} SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ';')) AS reason FROM a WHERE reasons <> '') GROUP BY reason")
 def reason_histogram(spark, d):
-    return intervals.reason_histogram(intervals.audit(_positions(spark, d)))
+    return intervals.reason_histogram(_audited(spark, d))
 
 
 # Tags ------------------------------------------------------------------------------------------------------------------
@@ -542,10 +554,12 @@ def demultiplex(spark, d):
 @query(f"""WITH {DOCS} SELECT doc_id AS id, substring(seq, 1, 30) AS seq FROM docs""")
 def primer_trim(spark, d):
     s = F.substring("seq", 1, 30)
-    whole = F.concat(F.lit("TTACGNNCGTT"), s, S.revcomp(F.lit("GGACNNCAGG")), F.lit("AA"))
+    # Reads have bases where the primers have codes.
+    some = F.substring(F.translate(F.sha1("text"), bind.HEX, bind.BASES), 1, 2)
+    whole = F.concat(F.lit("TTACG"), some, F.lit("CGTT"), s, S.revcomp(F.concat(F.lit("GGAC"), some, F.lit("CAGGTTAC"))), F.lit("AA"))
     turned = F.when(F.col("doc_id") % 2 == 0, whole).otherwise(S.revcomp(whole))
     bare = docs(spark, d).select(F.col("doc_id").alias("id"), turned.alias("seq"))
-    return tags.trim_linked(bare, "TTACGNNCGTT", "GGACNNCAGG", 0, 10)
+    return tags.trim_linked(bare, "TTACGNNCGTT", "GGACNNCAGGTTAC", 0, 10)
 
 
 # Buckets, samples ------------------------------------------------------------------------------------------------------
@@ -679,3 +693,122 @@ def lulu_pair_stats(spark, d):
 def lulu_curate(spark, d):
     c, pairs = _lulu(spark, d)
     return cluster.merge_curated(c, cluster.curate(c, pairs, 0.05, 0.01))
+
+
+# Orders, lookups, checks -----------------------------------------------------------------------------------------------
+
+_PARTS = f"{OTU_SEQS}, totals AS (SELECT l_partkey AS OTU, sum(CAST(l_quantity AS BIGINT))::BIGINT AS total FROM lineitem GROUP BY 1)"
+
+
+def _totals(spark, d):
+    return cells(spark, d).groupBy("OTU").agg(F.sum("Abundance").alias("total"))
+
+
+@query(f"WITH {_PARTS} SELECT OTU, total, row_number() OVER (ORDER BY total DESC, OTU) AS rank FROM totals")
+def otu_ranks(spark, d):
+    return relational.ranks(_totals(spark, d))
+
+
+@query(f"WITH {_PARTS} SELECT row_number() OVER (ORDER BY total DESC, t.OTU) AS rank, '>' || t.OTU || ';size=' || total || chr(10) || seq AS record FROM totals t JOIN otus o ON o.OTU = t.OTU")
+def ranked_fasta(spark, d):
+    totals = _totals(spark, d)
+    seqs = otu_sequences(spark, d).join(totals, "OTU").select(F.col("OTU").alias("SeqID"), F.col("total").alias("Abundance"), F.col("seq").alias("Sequence"))
+    return relational.ranked_export(seqs, relational.ranks(totals))
+
+
+@query(f"WITH {FAMILIES} SELECT doc_id, row_number() OVER (ORDER BY size DESC, doc_id) AS place FROM families")
+def size_order(spark, d):
+    """The order itself, as places: each row's number in the sorted table."""
+    rows = relational.by_size(families(spark, d).select(F.col("doc_id").alias("id"), "size"))
+    ranked = relational.ranks(rows.select(F.col("id").alias("OTU"), F.col("size").alias("total")))
+    return ranked.select(F.col("OTU").alias("doc_id"), F.col("rank").alias("place"))
+
+
+@query(f"WITH {FAMILIES} SELECT (doc_id % 8)::BIGINT AS BucketID, min(n) AS first, max(n) AS last FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id % 8, size DESC, doc_id) AS n FROM families) GROUP BY 1")
+def bucket_bounds(spark, d):
+    return relational.bucket_bounds(families(spark, d).select((F.col("doc_id") % 8).alias("BucketID"), "size", F.col("doc_id").alias("SeqIndex")))
+
+
+@query(f"{_ROWS}{_CHIM} SELECT count(*) AS n_rows, coalesce(sum(Abundance), 0)::BIGINT AS n_reads FROM r WHERE Sequence IN (SELECT Sequence FROM put) AND Sequence NOT IN (SELECT Sequence FROM bad)")
+def recovered_reads(spark, d):
+    rows = _rows(spark, d)
+    return relational.recovered_reads(rows, chimera.recovered(rows, 0.3))
+
+
+@query("SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 3 <> 0")
+def keyed_lookup(spark, d):
+    nations = table(spark, d, "nation").filter("n_nationkey % 3 <> 0")
+    return relational.lookup_in_order(table(spark, d, "customer"), "c_nationkey", nations, "n_nationkey", "n_name", "n_name", "c_custkey").select("c_custkey", "c_name", "n_name")
+
+
+@query(f"WITH {DOCS}, u AS (SELECT doc_id % 50 AS k, 0 AS t, min(SeqID) AS SeqID FROM docs WHERE lang = 'en' GROUP BY 1 UNION ALL SELECT doc_id % 50, 1, min(SeqID) FROM docs WHERE lang <> 'en' GROUP BY 1) SELECT k, arg_min(SeqID, t) AS SeqID FROM u GROUP BY k")
+def first_of_tables(spark, d):
+    own = docs(spark, d).select((F.col("doc_id") % 50).alias("k"), "SeqID", "lang")
+    return relational.first_of_each([own.filter("lang = 'en'").select("k", "SeqID"), own.filter("lang <> 'en'").select("k", "SeqID")], "k")
+
+
+@query(f"WITH {SCORED} SELECT doc_id, CASE WHEN score >= 0.3 THEN 'borderline' ELSE 'clean' END AS verdict FROM scored WHERE score < 0.6 OR score IS NULL")
+def borderline_union(spark, d):
+    return relational.keep_borderline(scored(spark, d), 0.6, 0.3).select("doc_id", "verdict")
+
+
+@query(f"WITH {DOCS} SELECT doc_id AS id, regexp_replace(concat('NN', substring(seq, 1, 20), substring(seq, 30, 9), substring(seq, 50, 20), 'nN'), '^[Nn]+|[Nn]+$', '', 'g') AS seq FROM docs WHERE doc_id % 2 = 0 AND doc_id % 3 = 0")
+def joined_regions(spark, d):
+    own = docs(spark, d).withColumnRenamed("doc_id", "id")
+    cut = lambda a, n: F.substring("seq", a, n)
+    first = own.filter("id % 2 = 0").select("id", F.concat(F.lit("NN"), cut(1, 20)).alias("seq"))
+    middle = own.filter("id % 3 = 0").select("id", cut(30, 9).alias("seq"))
+    return relational.joined_regions(first, middle, own.select("id", F.concat(cut(50, 20), F.lit("nN")).alias("seq")))
+
+
+@query(f"WITH {DOCS} SELECT doc_id AS id, seq FROM docs WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def records_by_id(spark, d):
+    ids = table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("id"))
+    return relational.records_of(docs(spark, d).select(F.col("doc_id").alias("id"), "seq"), ids)
+
+
+@query(f"WITH {FAMILIES}, i AS (SELECT doc_id AS id, CASE doc_id % 4 WHEN 3 THEN NULL ELSE doc_id - doc_id % 4 END AS target, size FROM families) SELECT count(*) AS n_seqs, sum(size)::BIGINT AS n_reads, count(*) FILTER (target <> id) AS merged_seqs, "
+       "coalesce(sum(size) FILTER (target <> id), 0)::BIGINT AS merged_reads, count(*) FILTER (target IS NULL) AS discarded_seqs, coalesce(sum(size) FILTER (target IS NULL), 0)::BIGINT AS discarded_reads, "
+       "(10000 * (sum(size) - coalesce(sum(size) FILTER (target IS NULL), 0)) // sum(size))::BIGINT AS kept_bp FROM i")
+def denoise_summary(spark, d):
+    target = F.when(F.col("doc_id") % 4 != 3, F.col("doc_id") - F.col("doc_id") % 4)
+    return relational.denoise_summary(families(spark, d).select(F.col("doc_id").alias("id"), target.alias("target"), "size"))
+
+
+@query(f"WITH {SCORED} SELECT SampleID, count(*) AS n_rows, count(*)::BIGINT AS n_reads, count(*) FILTER (score IS NOT NULL) AS chimera_rows, count(*) FILTER (score IS NOT NULL) AS chimera_reads FROM scored GROUP BY SampleID")
+def chimera_totals(spark, d):
+    return relational.chimera_totals(scored(spark, d).select("SampleID", F.lit(1).cast("long").alias("Abundance"), F.col("score").isNotNull().alias("DeNovo_Chimera")))
+
+
+@query(f"WITH {FAMILIES} SELECT count(*) AS n_seqs, count(*) FILTER (size >= 2) AS n_non_singletons, round(100.0::DOUBLE * count(*) FILTER (size >= 2) / count(*), 2) AS percent, count(*) FILTER (size >= 2) < 10 AS few FROM families")
+def non_singletons(spark, d):
+    return relational.non_singletons(families(spark, d))
+
+
+@query(f"WITH {FAMILIES}, c AS (SELECT doc_id, least(size, 10) AS size FROM families), b AS (SELECT *, sum(size) OVER (ORDER BY size DESC, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM c) SELECT doc_id, size FROM b WHERE before < 500")
+def capped_budget(spark, d):
+    rows = relational.capped(families(spark, d).select("doc_id", "size"), 10)
+    return buckets.within_budget(rows, [-F.col("size"), F.col("doc_id")], "size", 500)
+
+
+@query(f"{_TAGS}, b AS (SELECT seq, 'bc' || lpad((row_number() OVER (ORDER BY seq))::VARCHAR, 4, '0') AS id FROM (SELECT DISTINCT tag1 AS seq FROM t)) SELECT sample || CASE id % 9 WHEN 0 THEN '-PosC' WHEN 1 THEN '-NegC' ELSE '' END AS sample, b1.id AS id1, b2.id AS id2, concat_ws('--', b1.id, b2.id) AS pair, CASE id % 9 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' END AS control "
+       "FROM t LEFT JOIN b b1 ON b1.seq = tag1 LEFT JOIN b b2 ON b2.seq = tag2".replace("id % 9", "t.id % 9").replace("sample ||", "t.sample ||"))
+def tag_biosamples(spark, d):
+    t = _tags(spark, d)
+    named = t.withColumn("sample", F.concat("sample", F.when(F.col("id") % 9 == 0, "-PosC").when(F.col("id") % 9 == 1, "-NegC").otherwise("")))
+    return relational.biosamples(named, tags.barcode_ids(t.select(F.col("tag1").alias("seq"))))
+
+
+@query("WITH t AS (SELECT c_mktsegment AS sample, substring(upper(translate(sha1(c_name), '0123456789abcdef', 'ACGTACGTACGTACGX')), 1, CASE WHEN c_custkey % 40 = 0 THEN 5 ELSE 6 END) AS tag1, substring(upper(translate(sha1(c_name), '0123456789abcdef', 'ACGTACGTACGTACGX')), 7, 6) AS tag2 FROM customer), b AS (SELECT unnest([tag1, tag2]) AS tag FROM t) "
+       "SELECT 'repeated_name' AS \"check\", (SELECT count(*) FROM (SELECT sample FROM t GROUP BY 1 HAVING count(*) > 1)) AS n UNION ALL SELECT 'repeated_pair', (SELECT count(*) FROM (SELECT tag1, tag2 FROM t GROUP BY ALL HAVING count(*) > 1)) "
+       "UNION ALL SELECT 'odd_characters', (SELECT count(*) FROM b WHERE tag LIKE '%X%') UNION ALL SELECT 'odd_length', (SELECT count(*) FROM b WHERE length(tag) <> 6)")
+def tag_report(spark, d):
+    code = F.translate(F.sha1("c_name"), bind.HEX, "ACGTACGTACGTACGX")
+    first = F.when(F.col("c_custkey") % 40 == 0, F.substring(code, 1, 5)).otherwise(F.substring(code, 1, 6))
+    return relational.tag_report(table(spark, d, "customer").select(F.col("c_mktsegment").alias("sample"), first.alias("tag1"), F.substring(code, 7, 6).alias("tag2")))
+
+
+@query(f"WITH {DOCS} SELECT SampleID, count(*) AS n, min(doc_id) AS least FROM docs GROUP BY SampleID")
+def grouped_members(spark, d):
+    out = relational.grouped(docs(spark, d).select("SampleID", "doc_id"), "SampleID")
+    return out.select("SampleID", F.size("members").cast("long").alias("n"), F.col("members")[0]["doc_id"].alias("least"))

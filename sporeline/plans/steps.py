@@ -32,6 +32,7 @@ class Params:
     tj: bool = True
     tj_f: float = 0.01
     tj_p: float = 1.0
+    tj_identity: float = 0.99
     max_meep: float = 0.5
     max_chimera: float = 0.6
     recover_singletons: bool = True
@@ -61,12 +62,11 @@ class Params:
 
 def step1(reads: DataFrame, p: Params = Params()) -> DataFrame:
     """The long sequence table of reads(SampleID, id, seq, qual)."""
-    good = derep.quality_filter(reads, p.max_ee, p.max_ee_rate, p.max_n, p.max_run)
-    ee = S.expected_errors(F.col("qual"))
+    good = derep.quality_filter(reads, p.max_ee, p.max_ee_rate, p.max_n, p.max_run).select("SampleID", "id", "seq", "qual")
     if p.primer_forward and p.primer_reverse:
-        cut = tags.trim_linked(good, p.primer_forward, p.primer_reverse, p.primer_mismatches, p.trim_least)
-        good = good.drop("seq").join(cut, "id")
+        good = tags.trim(good, p.primer_forward, p.primer_reverse, p.primer_mismatches, p.trim_least)
     good = good.filter(F.length("seq") >= p.trim_least)
+    ee = S.expected_errors(F.col("qual"))  # of what is left of the read
     hashed = good.select("SampleID", S.seq_id(F.col("seq")).alias("SeqID"), "seq", S.mean_phred(F.col("qual")).alias("PhredScore"), ee.alias("MaxEE"), S.meep(ee, F.length("qual")).alias("MEEP"))
     per_sample = hashed.groupBy("SampleID", "SeqID", "seq").agg(F.count("*").alias("size"))
     if p.homopolymers:
@@ -74,12 +74,19 @@ def step1(reads: DataFrame, p: Params = Params()) -> DataFrame:
         key = S.homopolymer_collapse(F.col("seq"))
         best = F.min(F.struct((-F.col("size")).alias("s"), "SeqID", "seq"))
         per_sample = per_sample.groupBy("SampleID", key.alias("k")).agg(F.sum("size").alias("size"), best.alias("b")).select("SampleID", "b.SeqID", "b.seq", "size")
-    found = cluster.denovo_chimeras(per_sample.select("SampleID", "seq", "size"))
-    scores = found.filter("chimera").select("SampleID", S.seq_id(F.col("seq")).alias("SeqID"), F.col("score").alias("DeNovo_Chimera_Score"))
+    per_sample = graph.settled(per_sample)
+    found = graph.settled(cluster.denovo_chimeras(per_sample.select("SampleID", "seq", "size")).filter("chimera"))
+    # Sequences that are taken for chimeras in many samples are no chimeras.
+    found = found.join(chimera.rescue(found, p.rescue_over, "seq").select("seq").distinct(), "seq", "left_anti")
+    scores = found.select("SampleID", S.seq_id(F.col("seq")).alias("SeqID"), F.col("score").alias("DeNovo_Chimera_Score"))
     cells = per_sample.select("SeqID", "SampleID", F.col("size").alias("Abundance"))
     if p.tj:
-        marked = tagjump.scores(cells.withColumnRenamed("SeqID", "OTU"), p.tj_f, p.tj_p)
-        cells = tagjump.filtered(marked).withColumnRenamed("OTU", "SeqID")
+        # Tag jumps are judged by clusters of nearly equal sequences.
+        sized = per_sample.groupBy("seq").agg(F.sum("size").alias("size"))
+        clust = cluster.greedy(sized, p.tj_identity, p.kmer, p.shared).select(S.seq_id(F.col("seq")).alias("SeqID"), S.seq_id(F.col("centroid")).alias("OTU"))
+        rows = graph.settled(cells.join(clust, "SeqID"))
+        marked = tagjump.flag(rows, tagjump.scores(rows.select("OTU", "SampleID", "Abundance"), p.tj_f, p.tj_p))
+        cells = marked.filter(~F.col("TagJump")).select("SeqID", "SampleID", "Abundance")
     sequences = per_sample.groupBy("SeqID").agg(F.min("seq").alias("Sequence"))
     return otu.assemble(cells, hashed.drop("seq"), scores, sequences)
 
@@ -91,7 +98,11 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
         rows = derep.length_band(rows.withColumn("seq", F.col("Sequence")), p.least_length, p.most_length).drop("seq")
     rows = graph.settled(rows.withColumn("_canon", S.canonical(F.col("Sequence"))))
     unique = rows.groupBy(F.col("_canon").alias("seq")).agg(F.sum("Abundance").alias("size"))
-    derep_map = rows.select(F.col("SeqID").alias("query"), F.col("_canon").alias("target"))
+    # A cluster is named by the most abundant SeqID of its centroid.
+    name = F.min(F.struct((-F.col("Abundance")).alias("a"), "SeqID"))["SeqID"].alias("name")
+    by_id = rows.groupBy("_canon", "SeqID").agg(F.sum("Abundance").alias("Abundance"))
+    names = graph.settled(by_id.groupBy(F.col("_canon").alias("seq")).agg(name))
+    derep_map = rows.select(F.col("SeqID").alias("query"), F.col("_canon").alias("seq")).distinct().join(names, "seq").select("query", F.col("name").alias("target"))
     pre = None
     if p.preclustering == "unoise":
         pre = cluster.unoise(unique, p.unoise_alpha)
@@ -110,7 +121,11 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
         clust = cluster.swarm(sized)
     else:
         clust = sized.select("seq", F.col("seq").alias("centroid"))
-    as_map = lambda m: m.select(F.col("seq").alias("query"), F.col("centroid").alias("target"))
+
+    def as_map(m: DataFrame) -> DataFrame:
+        ends = names.select(F.col("seq").alias("centroid"), F.col("name").alias("target"))
+        return m.join(names.withColumnRenamed("name", "query"), "seq").join(ends, "centroid").select("query", "target")
+
     members = membership.compose(derep_map, as_map(clust), None if pre is None else as_map(pre))
     members = graph.settled(members)
     joined = otu.mapped(rows.drop("_canon"), members)
@@ -119,7 +134,9 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     if p.lulu:
         both = clust.select(F.col("centroid").alias("seq")).distinct()
         links = graph.similar(both, p.kmer, p.shared, p.lulu_match)
-        pairs = links.select(F.col("u").alias("query"), F.col("v").alias("parent"), "identity").union(links.select("v", "u", "identity"))
+        named = lambda side, as_: names.select(F.col("seq").alias(side), F.col("name").alias(as_))
+        links = links.join(named("u", "query"), "u").join(named("v", "parent"), "v").select("query", "parent", "identity")
+        pairs = graph.settled(links.union(links.select("parent", "query", "identity")))
         long = cluster.merge_curated(long, cluster.curate(long, pairs, p.lulu_cooccurrence, p.lulu_ratio))
     return {"membership": members, "long": long, "order": otu.ranked(long), "sequences": clust}
 

@@ -23,6 +23,41 @@ def test_step1_then_step2(spark):
     assert sorted(r.Abundance for r in swarm["long"].collect()) == [6, 9]
 
 
+def test_trimming_by_degenerate_primers(spark):
+    forward, reverse = "ACGTRYAC", "GGNCCATT"
+    ends = ("ACGTACAC", "AATGGACC")  # concrete bases; the reverse primer's site is its reverse complement
+    rows = []
+    for sample, inner, left, right in (("s1", A, 0, 0), ("s2", B, 2, 0), ("s2", A, 0, 2)):
+        read = (ends[0] + inner + ends[1])[left:]
+        read = read[: len(read) - right]
+        rows.append((sample, "same id", read, "#" * (8 - left) + "I" * 28 + "#" * (8 - right)))
+        turned = read[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        rows.append((sample, "turned", turned, ("#" * (8 - left) + "I" * 28 + "#" * (8 - right))[::-1]))
+    rows.append(("s1", "none", A, "I" * 28))
+    df = spark.createDataFrame(rows, "SampleID string, id string, seq string, qual string")
+    p = steps.Params(primer_forward=forward, primer_reverse=reverse, primer_mismatches=0, max_ee_rate=None, tj=False, homopolymers=False)
+    cells = {(r.SampleID, r.Sequence): (r.Abundance, round(r.MaxEE, 6)) for r in steps.step1(df, p).collect()}
+    ee = round(28 * 10 ** (-40 / 10), 6)  # of the trimmed read alone
+    assert cells == {("s1", A): (2, ee), ("s2", B): (2, ee), ("s2", A): (2, ee)}
+
+
+def test_singletons_of_poor_quality_go(spark):
+    good = [("s1", f"r{i}", A, "I" * 28) for i in range(4)]
+    rows = good + [("s1", "poor", B, "5" * 28), ("s2", "fine", B[::-1], "I" * 28)]
+    table = steps.step1(spark.createDataFrame(rows, "SampleID string, id string, seq string, qual string"), steps.Params(tj=False, max_ee_rate=None))
+    assert {r.Sequence: round(r.MEEP, 3) for r in table.collect()}[B] == 1.0
+    keep = {r.SeqID for r in table.filter(f"Sequence <> '{B}'").collect()}
+    assert {r.OTU for r in steps.step2([table], steps.Params(max_meep=0.5))["long"].collect()} == keep
+    assert steps.step2([table], steps.Params(max_meep=2.0))["long"].count() == 3
+    assert steps.step2([table], steps.Params(recover_singletons=False))["long"].count() == 1
+
+
+def test_tag_jumps_are_judged_by_clusters(spark):
+    rows = [("s1", f"r{i}", A, "I" * 28) for i in range(300)] + [("s2", "jump", A, "I" * 28)] + [("s2", f"q{i}", B, "I" * 28) for i in range(20)]
+    cells = {(r.SampleID, r.Sequence) for r in steps.step1(spark.createDataFrame(rows, "SampleID string, id string, seq string, qual string")).collect()}
+    assert ("s1", A) in cells and ("s2", B) in cells and ("s2", A) not in cells
+
+
 def test_bad_parameters():
     with pytest.raises(ValueError):
         steps.Params(lulu=True, clustering="none")
