@@ -64,14 +64,12 @@ def tagjump_flag_rows(spark, d):
     return tagjump.flag(rows, tagjump.scores(cells(spark, d), f=0.1))
 
 
-@query(f"""{_TJ.replace("cells AS (", "cells AS (SELECT OTU, SampleID, sum(Abundance)::BIGINT AS Abundance FROM (").replace("FROM lineitem)", "FROM lineitem WHERE l_suppkey BETWEEN 1 AND 10) GROUP BY ALL)")}
-SELECT OTU, 'S' || SampleID AS SampleID, Abundance, round(Score, 9) AS Score FROM s WHERE Abundance > 0""")
+@query(f"{_TJ} SELECT OTU, 'S' || SampleID AS SampleID, Abundance, round(Score, 9) AS Score FROM s WHERE Abundance > 0")
 def tagjump_wide_legacy(spark, d):
-    few = cells(spark, d).filter("SampleID between 1 and 10")
-    names = [str(i) for i in range(1, 11)]
-    wide = otu.wide_table(few.withColumn("SampleID", F.col("SampleID").cast("string")), names)
-    wide = wide.withColumnsRenamed({n: f"S{n}" for n in names})
-    long = tagjump.from_wide(wide, "OTU", [f"S{n}" for n in names])
+    """A wide table of all samples there are, and back."""
+    own = cells(spark, d).withColumn("SampleID", F.concat(F.lit("S"), "SampleID"))
+    names = otu.sample_names(own)
+    long = tagjump.from_wide(otu.wide_table(own, names), "OTU", names)
     return tagjump.scores(long, f=0.1).select("OTU", "SampleID", "Abundance", F.round("Score", 9).alias("Score"))
 
 
