@@ -117,7 +117,9 @@ class Ledger:
 
     def _read(self, what: str, schema: str) -> DataFrame:
         parts = [f"{self.path}/{what}/run={r}" for r in self.runs()]
-        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
+        if parts:
+            return self.spark.read.schema(schema).parquet(*parts)
+        return self.spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in (x.split() for x in schema.split(", "))])
 
     def scanned(self) -> DataFrame:
         """(blob, rule_version)."""
