@@ -34,7 +34,7 @@ from sporeline.llm.common import fold, release, settle, table
 #: Bytes of context; at most 6, as context and symbol are held in a long.
 ORDER = 5
 #: Text bytes in a block, about: it bounds what one task holds.
-BLOCK_BYTES = 28_000_000
+BLOCK_BYTES = 25_000_000
 #: Bytes whose grams are made at once.
 PART = 500_000
 #: Kinds of keys: a word by its 64-bit hash, or a gram by its bytes.
@@ -99,10 +99,17 @@ def _lot_grams(lot: list[bytes], order: int, with_rows: bool = False) -> Iterato
 class Lookup:
     """Values by integer key for whole arrays: open addressing at a load of at most a half."""
 
+    #: Keys that are put in at once, which bounds what is held besides the table.
+    AT_ONCE = 250_000
+
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(4, int(2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.slots, self.values, self.used = np.zeros(1 << bits, np.int64), np.zeros(1 << bits), np.zeros(1 << bits, bool)
+        for start in range(0, len(keys), self.AT_ONCE):
+            self._put(keys[start : start + self.AT_ONCE], values[start : start + self.AT_ONCE])
+
+    def _put(self, keys: np.ndarray, values: np.ndarray) -> None:
         at, left = self._slot(keys), np.arange(len(keys))
         while len(left):
             free = left[~self.used[at[left]]]
