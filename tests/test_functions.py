@@ -41,8 +41,9 @@ def test_replicates_and_recovery(spark):
 
 
 def test_empty_tables(spark):
-    from sporeline.operators import graph, intervals, tagjump
+    from sporeline.operators import cluster, graph, intervals, tagjump
 
     assert tagjump.scores(spark.createDataFrame([], "OTU string, SampleID string, Abundance long")).count() == 0
     assert intervals.merge(spark.createDataFrame([], "id string, start long, end long")).count() == 0
-    assert graph.deletion_links(spark.createDataFrame([], "seq string")).count() == 0
+    assert graph.edit_links(spark.createDataFrame([], "seq string"), 1).count() == 0
+    assert cluster.greedy(spark.createDataFrame([], "seq string, size long"), 0.97, 8, 4).count() == 0
