@@ -673,8 +673,8 @@ def _lulu(spark, d):
 
 
 _LULU = f"""WITH {OTU_SEQS}, c AS (SELECT l_partkey AS OTU, l_suppkey AS SampleID, sum(CAST(l_quantity AS BIGINT))::BIGINT AS n FROM lineitem GROUP BY ALL),
-p AS (SELECT a.OTU AS query, b.OTU AS parent FROM otus a JOIN otus b ON a.seq <> b.seq AND 1.0::DOUBLE - levenshtein(a.seq, b.seq) / greatest(length(a.seq), length(b.seq))::DOUBLE >= 0.95),
-t AS (SELECT OTU, sum(n)::BIGINT AS total FROM c GROUP BY OTU)
+pp AS MATERIALIZED (SELECT a.OTU AS x, b.OTU AS y FROM otus a JOIN otus b ON a.seq < b.seq AND 1.0::DOUBLE - levenshtein(a.seq, b.seq) / greatest(length(a.seq), length(b.seq))::DOUBLE >= 0.95),
+p AS (SELECT x AS query, y AS parent FROM pp UNION ALL SELECT y, x FROM pp), t AS (SELECT OTU, sum(n)::BIGINT AS total FROM c GROUP BY OTU)
 SELECT p.query, p.parent, count(*) AS query_spread, count(b.n) AS overlap, round(min(b.n / a.n::DOUBLE), 6) AS min_ratio, round(max(b.n / a.n::DOUBLE), 6) AS max_ratio,
 round(sum(b.n / a.n::DOUBLE) / count(b.n), 6) AS avg_ratio, any_value(tq.total) AS query_total, any_value(tp.total) AS parent_total, round(count(b.n) / count(*)::DOUBLE, 6) AS cooccurrence
 FROM p JOIN c a ON a.OTU = p.query LEFT JOIN c b ON b.OTU = p.parent AND b.SampleID = a.SampleID JOIN t tq ON tq.OTU = p.query JOIN t tp ON tp.OTU = p.parent GROUP BY p.query, p.parent"""
