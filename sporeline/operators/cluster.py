@@ -10,14 +10,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sporeline.functions import seq as S
 from sporeline.operators import graph
 
 
-def _clustered(seqs: DataFrame, links: DataFrame, accept) -> DataFrame:
+def _clustered(seqs: DataFrame, links: DataFrame, accept, directed: bool = False) -> DataFrame:
     """(seq, centroid) of seqs(seq, size) and links(u, v, how): in order of size, then sequence, a sequence joins the
-    settled centroid with the largest ``how`` (then size) among its neighbours that ``accept`` allows, or becomes one."""
+    settled centroid with the largest ``how`` (then size) among its neighbours that ``accept`` allows, or becomes one.
+    Directed links say that u may join v, not the reverse."""
     seqs = graph.settled(seqs)
-    both = links.select("u", "v", "how").union(links.select("v", "u", "how"))
+    both = links.select("u", "v", "how")
+    if not directed:
+        both = both.union(links.select("v", "u", "how"))
     of = lambda side: seqs.select(F.col("seq").alias(side), F.col("size").alias(f"{side}_size"))
     up = both.join(of("u"), "u").join(of("v"), "v")
     before = (F.col("v_size") > F.col("u_size")) | ((F.col("v_size") == F.col("u_size")) & (F.col("v") < F.col("u")))
@@ -65,6 +69,38 @@ def swarm(seqs: DataFrame, d: int = 1, fastidious: bool = False, boundary: int =
     return out.join(onto, "centroid", "left").select("seq", F.coalesce("onto", "centroid").alias("centroid"))
 
 
+def overlap_links(seqs: DataFrame, coverage: float = 0.96, k: int = 16) -> DataFrame:
+    """(u, v): u and v, of distinct seqs(seq), agree in every base of an overlap without gaps that covers at least
+    ``coverage`` (over a half) of u; what overhangs at the ends doesn't count.
+
+    Every such overlap holds u's core, the bases that all long enough stretches of u have in common. So u meets others on
+    the k-mer of its core that is rarest in the corpus, and only there; each meeting fixes the overlap, which is compared
+    whole. k is lowered to the shortest core.
+    """
+    need = F.ceil(F.length("seq") * F.lit(coverage) - 1e-9).cast("int")
+    rows = seqs.filter(F.length("seq") > 0).select("seq", need.alias("need"))
+    core = 2 * F.col("need") - F.length("seq")
+    shortest = rows.agg(F.min(core)).first()[0]
+    k = max(1, min(k, shortest or k))
+    placed = graph.settled(rows.select("seq", "need", F.posexplode(S.kmers(F.col("seq"), k)).alias("at", "kmer")))
+    often = placed.groupBy("kmer").agg(F.count("*").alias("n"))
+    inner = placed.filter((F.col("at") >= F.length("seq") - F.col("need")) & (F.col("at") + k <= F.col("need")))
+    rare = F.min(F.struct("n", "at", "kmer")).alias("r")
+    asked = inner.join(often, "kmer").groupBy("seq", "need").agg(rare).select(F.col("seq").alias("u"), "need", F.col("r.at").alias("a"), "r.kmer")
+    met = asked.join(placed.select(F.col("seq").alias("v"), F.col("at").alias("b"), "kmer"), "kmer").filter("u <> v")
+    # Positions in u at which v begins and ends, cut to u.
+    spans = met.withColumn("start", F.expr("greatest(0, a - b)")).withColumn("end", F.expr("least(length(u), a - b + length(v))"))
+    same = F.expr("substring(u, start + 1, end - start) = substring(v, start + b - a + 1, end - start)")
+    return spans.filter((F.col("end") - F.col("start") >= F.col("need")) & same).select("u", "v").distinct()
+
+
+def contained(seqs: DataFrame, coverage: float = 0.96) -> DataFrame:
+    """K8: (seq, centroid) of distinct seqs(seq, size): in order of size, a sequence joins the most abundant centroid with
+    which it agrees over ``coverage`` of itself, or becomes one."""
+    links = overlap_links(seqs.select("seq"), coverage).withColumn("how", F.lit(1.0))
+    return _clustered(seqs, links, lambda q, c, h: F.lit(True), directed=True)
+
+
 def linclust(seqs: DataFrame, k: int, m: int, identity: float) -> DataFrame:
     """(seq, centroid) in linear time: each sequence is filed under its m least k-mer hashes; each file's longest member
     (then first) is the centre that the others are compared with, and components of what holds are clusters."""
@@ -156,8 +192,6 @@ def denovo_chimeras(seqs: DataFrame, abskew: float = 2.0, minh: float = 0.28, xn
 def merge_pairs(pairs: DataFrame, least: int = 20, most_diff: int = 5, percent: float = 20.0) -> DataFrame:
     """(id, seq) of pairs(id, r1, r2): R1 and the reverse complement of R2 overlap by the longest stretch of at least
     ``least`` bases within the bounds of differences; pairs without one are dropped."""
-    from sporeline.functions import seq as S
-
     rows = pairs.select("id", "r1", S.revcomp(F.col("r2")).alias("r2"))
     longest = F.least(F.length("r1"), F.length("r2"))
     overlaps = F.when(longest >= least, F.sequence(longest, F.lit(least))).otherwise(F.array().cast("array<int>"))

@@ -43,7 +43,7 @@ def find_sites(reads: DataFrame, primers: DataFrame, length: int, mismatches: in
     """
     both = primers.select("primer", F.lit("+").alias("strand")).union(primers.select(S.revcomp(F.col("primer")), F.lit("-")))
     places = reads.filter(F.length("seq") >= length).select("id", F.posexplode(S.kmers(F.col("seq"), length)).alias("at", "window"))
-    hits = places.join(F.broadcast(both), S.hamming(F.col("window"), F.col("primer")) <= mismatches)
+    hits = places.join(_listed(both), S.hamming(F.col("window"), F.col("primer")) <= mismatches)
     return hits.groupBy("id", "strand", (F.col("at") + 1).alias("start")).agg(F.min(S.hamming(F.col("window"), F.col("primer"))).alias("errors")).withColumn(
         "end", F.col("start") + length - 1
     )
@@ -99,12 +99,63 @@ def trim_linked(reads: DataFrame, forward: str, reverse: str, mismatches: int =
     return trim(reads.select("id", "seq"), forward, reverse, mismatches, least, missing)
 
 
+#: Tags, primers or samples that may be broadcast; a longer list is an error, as every read is compared with all of it.
+MOST_LISTED = 50_000
+
+
+def _listed(table: DataFrame) -> DataFrame:
+    """The table for broadcast, after its rows are counted up to the bound."""
+    if table.limit(MOST_LISTED + 1).count() > MOST_LISTED:
+        raise ValueError(f"more than {MOST_LISTED} tags, primers or samples")
+    return F.broadcast(table)
+
+
+def _places(ends: DataFrame, barcodes: DataFrame, length: int, window: int, errors: int) -> DataFrame:
+    """ends(seq, ...) without seq, one row for each place in the first ``window`` bases where a tag of
+    barcodes(sample, tag) lies: at, errors, sample, tag."""
+    rest = [c for c in ends.columns if c != "seq"]
+    cut = ends.select(*rest, F.posexplode(S.kmers(F.substring("seq", 1, window), length)).alias("at", "w"))
+    distance = S.hamming(F.col("w"), F.col("tag"))
+    hits = cut.join(_listed(barcodes), distance <= errors)
+    return hits.select(*rest, "at", distance.alias("errors"), "sample", "tag")
+
+
 def demultiplex(reads: DataFrame, barcodes: DataFrame, length: int, window: int = 30, errors: int = 1) -> DataFrame:
     """(id, sample, at, errors): the best barcode of one length in a read's first ``window`` bases, or of its reverse
     complement; fewest errors, then earliest, then by name. barcodes(sample, tag) are few and are broadcast."""
-    both = reads.select("id", S.kmers(F.substring("seq", 1, window), length).alias("w")).union(
-        reads.select("id", S.kmers(F.substring(S.revcomp(F.col("seq")), 1, window), length))
-    )
-    places = both.select("id", F.posexplode("w").alias("at", "w")).join(F.broadcast(barcodes), S.hamming(F.col("w"), F.col("tag")) <= errors)
-    best = F.min(F.struct(S.hamming(F.col("w"), F.col("tag")).alias("errors"), "at", "sample"))
-    return places.groupBy("id").agg(best.alias("b")).select("id", "b.sample", "b.at", "b.errors")
+    both = reads.select("id", "seq").union(reads.select("id", S.revcomp(F.col("seq"))))
+    best = F.min(F.struct("errors", "at", "sample"))
+    return _places(both, barcodes, length, window, errors).groupBy("id").agg(best.alias("b")).select("id", "b.sample", "b.at", "b.errors")
+
+
+def demultiplex_pairs(pairs: DataFrame, barcodes: DataFrame, length: int, window: int = 30, errors: int = 1) -> DataFrame:
+    """K3: (id, sample, swapped, r1, r2) of pairs(id, r1, r2), ids unique: two rounds. A pair belongs to the best barcode in
+    R1; without one, to the best in R2, and then the mates change places. What precedes the tag and the tag itself are cut
+    from the mate that has it. Pairs with neither are dropped."""
+    ends = pairs.select("id", F.lit(False).alias("swapped"), F.col("r1").alias("seq")).union(pairs.select("id", F.lit(True), "r2"))
+    # The first round comes before the second, whatever the errors.
+    best = F.min(F.struct("swapped", "errors", "at", "sample")).alias("b")
+    found = _places(ends, barcodes, length, window, errors).groupBy("id").agg(best)
+    tagged = F.when(F.col("b.swapped"), F.col("r2")).otherwise(F.col("r1"))
+    other = F.when(F.col("b.swapped"), F.col("r1")).otherwise(F.col("r2"))
+    rows = pairs.join(found, "id").select("id", "b.sample", "b.swapped", "b.at", tagged.alias("tagged"), other.alias("r2"))
+    cut = F.substring("tagged", F.col("at") + 1 + length, F.length("tagged"))
+    return rows.select("id", "sample", "swapped", cut.alias("r1"), "r2")
+
+
+def demultiplex_dual(reads: DataFrame, samples: DataFrame, length: int, window: int = 70, errors: int = 1) -> DataFrame:
+    """K1: (id, sample, strand, errors) of reads(id, seq) with a tag at either end; samples(sample, tag1, tag2).
+
+    The best tag at the read's start and that at the start of its reverse complement (fewest errors, then earliest, then by
+    sequence) name the sample: tag1 and tag2 in this order '+', the other way round '-'. Equal tags (symmetric) are '+'.
+    A read with one tag, or with a combination that no sample has, is dropped. No combination belongs to two samples.
+    Tags are compared by mismatches without gaps.
+    """
+    known = samples.select(F.lit(None).cast("string").alias("sample"), F.explode(F.array("tag1", "tag2")).alias("tag")).distinct()
+    ends = reads.select("id", F.lit("+").alias("end"), "seq").union(reads.select("id", F.lit("-"), S.revcomp(F.col("seq"))))
+    at_end = lambda e: F.min(F.when(F.col("end") == e, F.struct("errors", "at", "tag")))
+    best = _places(ends, known, length, window, errors).groupBy("id").agg(at_end("+").alias("a"), at_end("-").alias("b")).filter("a is not null and b is not null")
+    turned = samples.filter("tag1 <> tag2").select("sample", F.lit("-").alias("strand"), F.col("tag2").alias("x"), F.col("tag1").alias("y"))
+    named = samples.select("sample", F.lit("+").alias("strand"), F.col("tag1").alias("x"), F.col("tag2").alias("y")).union(turned)
+    rows = best.select("id", F.col("a.tag").alias("x"), F.col("b.tag").alias("y"), (F.col("a.errors") + F.col("b.errors")).alias("errors"))
+    return rows.join(_listed(named), ["x", "y"]).select("id", "sample", "strand", "errors")

@@ -810,3 +810,78 @@ def tag_report(spark, d):
 def grouped_members(spark, d):
     out = relational.grouped(docs(spark, d).select("SampleID", "doc_id"), "SampleID")
     return out.select("SampleID", F.size("members").cast("long").alias("n"), F.col("members")[0]["doc_id"].alias("least"))
+
+
+# Paired reads, tags at both ends, overlaps ------------------------------------------------------------------------------
+
+_TAIL = "CASE doc_id % 4 WHEN 0 THEN 'GGGGGGGGGGGGGGGGGGGG' WHEN 1 THEN 'GGGGGGGGGGTGGGGGGGGG' WHEN 2 THEN 'GGGGGGGTTTNNGGGGGGGG' ELSE 'NNNNNNNNNNNNNNACGTAC' END"
+
+
+@query(f"""WITH {DOCS}, p AS (SELECT doc_id, substring(seq, 1, 60) || {_TAIL} AS r1, qual || qual AS q1, reverse(translate(seq, 'ACGT', 'TGCA')) AS r2, reverse(qual) || qual AS q2 FROM docs),
+e AS (SELECT doc_id, 1 AS k, r1 AS s, q1 AS q FROM p UNION ALL SELECT doc_id, 2, r2, q2 FROM p),
+t AS (SELECT *, unnest(range(1, length(s) + 1)) AS j FROM e), b AS (SELECT *, s[length(s) - j + 1] AS base FROM t),
+m AS (SELECT *, sum((base <> 'G')::INT) OVER (PARTITION BY doc_id, k ORDER BY j) AS miss FROM b),
+x AS (SELECT *, min(CASE WHEN miss > 5 OR (miss > j // 8 AND j >= 10) THEN j END) OVER (PARTITION BY doc_id, k) AS stop FROM m),
+c AS (SELECT doc_id, k, s, q, CASE WHEN any_value(coalesce(stop, 1000)) > 10 THEN coalesce(max(j) FILTER (base = 'G' AND j < coalesce(stop, 1000)), 0) ELSE 0 END AS cut FROM x GROUP BY ALL),
+r AS (SELECT doc_id, k, s[1:length(s) - cut] AS s, q[1:length(s) - cut] AS q FROM c),
+f AS (SELECT *, list_transform(range(1, length(q) + 1), lambda i: ascii(q[i]) - 33) AS v FROM r),
+g AS (SELECT *, length(s) >= 55 AND len(list_filter(v, lambda z: z < 20)) * 100 <= 40 * length(s) AND list_sum(v) >= 24 * length(s) AND length(s) - length(replace(s, 'N', '')) <= 2 AS good FROM f)
+SELECT doc_id AS id, any_value(s) FILTER (k = 1) AS r1, any_value(q) FILTER (k = 1) AS q1, any_value(s) FILTER (k = 2) AS r2, any_value(q) FILTER (k = 2) AS q2 FROM g GROUP BY doc_id HAVING bool_and(good)""")
+def paired_qc(spark, d):
+    r = docs(spark, d)
+    r1 = F.concat(F.substring("seq", 1, 60), F.expr(_TAIL))
+    pairs = r.select(F.col("doc_id").alias("id"), r1.alias("r1"), F.concat("qual", "qual").alias("q1"), S.revcomp(F.col("seq")).alias("r2"), F.concat(F.reverse("qual"), "qual").alias("q2"))
+    return derep.paired_qc(pairs, mean_quality=24, qualified=20, unqualified_percent=40, max_n=2, poly_g=10, least=55)
+
+
+_CODES = [("s1", "ACGTAC"), ("s2", "TTGACA"), ("s3", "GGCATC"), ("s4", "CATGCA")]
+
+
+@query(f"""WITH {DOCS}, b AS (SELECT unnest(['s1','s2','s3','s4']) AS sample, unnest(['ACGTAC','TTGACA','GGCATC','CATGCA']) AS tag),
+p AS (SELECT doc_id, substring(seq, 1, 50) AS r1, reverse(translate(substring(seq, 31, 50), 'ACGT', 'TGCA')) AS r2 FROM docs),
+r AS (SELECT doc_id, false AS swapped, r1 AS s, r2 AS o FROM p UNION ALL SELECT doc_id, true, r2, r1 FROM p),
+w AS (SELECT *, substring(s, i, 6) AS w FROM (SELECT *, unnest(range(1, 26)) AS i FROM r)),
+h AS (SELECT doc_id, swapped, s, o, sample, i, list_sum(list_transform(range(1, 7), lambda j: (w[j] <> tag[j])::INTEGER)) AS errors FROM w, b),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY swapped, errors, i, sample) AS place FROM h WHERE errors <= 1)
+SELECT doc_id AS id, sample, swapped, substring(s, i + 6) AS r1, o AS r2 FROM n WHERE place = 1""")
+def demultiplex_pairs(spark, d):
+    codes = spark.createDataFrame(_CODES, "sample string, tag string")
+    pairs = docs(spark, d).select(F.col("doc_id").alias("id"), F.substring("seq", 1, 50).alias("r1"), S.revcomp(F.substring("seq", 31, 50)).alias("r2"))
+    return tags.demultiplex_pairs(pairs, codes, 6)
+
+
+@query(f"""WITH {DOCS}, s AS (SELECT unnest(['a','b','c']) AS sample, unnest(['ACGTA','TTGAC','CATGC']) AS tag1, unnest(['TTGAC','GGCAT','CATGC']) AS tag2),
+b AS (SELECT tag1 AS tag FROM s UNION SELECT tag2 FROM s), r AS (SELECT doc_id, '+' AS e, seq AS q FROM docs UNION ALL SELECT doc_id, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM docs),
+w AS (SELECT *, substring(q, i, 5) AS w FROM (SELECT *, unnest(range(1, 37)) AS i FROM r)),
+h AS (SELECT doc_id, e, tag, i, list_sum(list_transform(range(1, 6), lambda j: (w[j] <> tag[j])::INTEGER)) AS errors FROM w, b),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, e ORDER BY errors, i, tag) AS place FROM h WHERE errors <= 1),
+x AS (SELECT p.doc_id, p.tag AS x, m.tag AS y, p.errors + m.errors AS errors FROM n p JOIN n m ON m.doc_id = p.doc_id WHERE p.e = '+' AND m.e = '-' AND p.place = 1 AND m.place = 1)
+SELECT doc_id AS id, sample, CASE WHEN x = tag1 THEN '+' ELSE '-' END AS strand, errors::INTEGER AS errors FROM x JOIN s ON (x = tag1 AND y = tag2) OR (x = tag2 AND y = tag1)""")
+def demultiplex_dual(spark, d):
+    samples = spark.createDataFrame([("a", "ACGTA", "TTGAC"), ("b", "TTGAC", "GGCAT"), ("c", "CATGC", "CATGC")], "sample string, tag1 string, tag2 string")
+    return tags.demultiplex_dual(docs(spark, d).select(F.col("doc_id").alias("id"), "seq"), samples, 5, 40)
+
+
+def _overhang(base: str) -> str:
+    """Members of a family of four: the base, a part of 77 bases, one that is moved by two bases, one with another base."""
+    return f"""CASE doc_id % 4 WHEN 0 THEN {base} WHEN 1 THEN substring({base}, 3, 77) WHEN 2 THEN concat('GT', substring({base}, 1, 78))
+        ELSE concat(substring({base}, 1, 39), translate(substring({base}, 40, 1), 'ACGT', 'TGCA'), substring({base}, 41, 40)) END"""
+
+
+def _overhanging(spark, d):
+    size = F.expr("CASE doc_id % 4 WHEN 0 THEN 40L WHEN 1 THEN 3L ELSE 1L END")
+    return table(spark, d, "documents").select(F.expr(_overhang(bind._family("doc_id"))).alias("seq"), size.alias("size")).dropDuplicates(["seq"])
+
+
+# Members of other families share nothing of such length, so the SQL compares within families.
+@query(f"""WITH f AS (SELECT DISTINCT doc_id // 4 AS k, {_overhang(bind._family_sql('doc_id'))} AS seq FROM documents),
+p AS (SELECT a.seq AS u, b.seq AS v, unnest(range(-20, 21)) AS m FROM f a JOIN f b ON a.k = b.k AND a.seq <> b.seq),
+s AS (SELECT u, v, m, greatest(0, m) AS i, least(length(u), m + length(v)) AS j FROM p)
+SELECT DISTINCT u, v FROM s WHERE (j - i) >= 0.96 * length(u) AND substring(u, i + 1, j - i) = substring(v, i - m + 1, j - i)""")
+def overlap_links(spark, d):
+    return cluster.overlap_links(_overhanging(spark, d).select("seq"))
+
+
+@query()
+def contained_clusters(spark, d):
+    return cluster.contained(_overhanging(spark, d))
