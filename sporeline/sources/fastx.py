@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -98,9 +99,10 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str, header: b
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """As read_tsv; a file that is missing or empty gives an empty table of the schema."""
+    """As read_tsv; a file that is missing, empty or unreadable gives an empty table of the schema (of a file that breaks off,
+    the rows before the break remain)."""
     try:
-        return read_tsv(spark, path, schema)
+        return spark.read.schema(schema).option("sep", "\t").option("quote", "").option("ignoreCorruptFiles", True).csv(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -112,6 +114,57 @@ def read_tables(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(folder)
 
 
+def _found(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def read_libraries(spark: SparkSession, folder: str, table: str = "07_SeqTable/Seqs.parquet") -> DataFrame:
+    """SRC16: the sequence table of a run's folder, or those of all runs in it, with the column Library: the run's folder, null
+    for a single one. Neither is an error."""
+    folder = folder.rstrip("/")
+    single = _found(spark, f"{folder}/{table}")
+    if single is not None:
+        return single.withColumn("Library", F.lit(None).cast("string"))
+    runs = _found(spark, f"{folder}/*/{table}")
+    if runs is None:
+        raise FileNotFoundError(f"no {table} in {folder} or its folders")
+    # The folder above the table, whether that is a file or a folder of part files.
+    place = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+)/{re.escape(table)}(/[^/]+)?$", 1)
+    return runs.withColumn("Library", F.url_decode(place))
+
+
+def read_barcodes(spark: SparkSession, path: str) -> DataFrame:
+    """SRC19: (sample, tag) of a FASTA file of barcodes with any line ends."""
+    return read_fasta(spark, path).select(F.col("id").alias("sample"), F.col("seq").alias("tag"))
+
+
+def read_params(spark: SparkSession, path: str) -> dict[str, str]:
+    """SRC18: a table of names and values, tab-separated ('name<tab>value') or as plain YAML ('name: value'), one on a line;
+    '#' comments and empty lines are skipped, quotes around a value go. Settings are few, and come to the driver; a later
+    line wins."""
+    out = {}
+    for row in spark.read.text(path, wholetext=True).collect():
+        for line in row.value.splitlines():
+            name, sep, value = line.partition("\t") if "\t" in line else line.partition(":")
+            if line.strip() and not line.lstrip().startswith("#") and sep:
+                value = value.strip()
+                quoted = len(value) > 1 and value[0] == value[-1] and value[0] in "\"'"
+                out[name.strip()] = value[1:-1] if quoted else value
+    return out
+
+
+def write_by_sample(df: DataFrame, path: str, key: str = "SampleID") -> None:
+    """Gzipped tab-separated text, a folder for each sample. Tasks write a few samples each; a sample of very many rows is
+    written by several tasks under adaptive execution."""
+    rows = df.hint("rebalance", key)
+    rows.write.partitionBy(key).option("sep", "\t").option("header", True).option("compression", "gzip").option("quote", "").csv(path)
+
+
 def write_fasta(seqs: DataFrame, path: str) -> None:
     """seqs(id, size, seq) as text records, a part file for each partition, in the partitions' order."""
     seqs.select(F.format_string(">%s;size=%d\n%s", "id", F.col("size").cast("long"), "seq")).write.text(path)

@@ -48,3 +48,47 @@ def test_incremental_totals(spark, tmp_path):
         ingest.ingest(spark, src, schema, out, cp)
     ingest.ingest(spark, src, schema, out, cp)
     assert [tuple(r) for r in ingest.totals(spark, out).collect()] == [("o", "s", 7)]
+
+
+def test_unreadable_files_give_what_can_be_read(spark, tmp_path):
+    (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "bad.tsv.gz").write_bytes(gzip.compress(b"x\t1.5\n" * 1000)[:20])
+    assert fastx.read_tolerant(spark, str(tmp_path / "empty.tsv"), "a string, b double").count() == 0
+    assert fastx.read_tolerant(spark, str(tmp_path / "bad.tsv.gz"), "a string, b double").columns == ["a", "b"]
+    assert fastx.read_tolerant(spark, str(tmp_path / "bad.tsv.gz"), "a string, b double").count() in range(1001)
+
+
+def test_single_and_multiple_libraries(spark, tmp_path):
+    table = spark.createDataFrame([("s", 1)], "SeqID string, Abundance long")
+    for run in ("Run 1", "Run2"):
+        table.write.parquet(str(tmp_path / "many" / run / "07_SeqTable" / "Seqs.parquet"))
+    table.write.parquet(str(tmp_path / "one" / "07_SeqTable" / "Seqs.parquet"))
+    assert [tuple(r) for r in fastx.read_libraries(spark, str(tmp_path / "one")).collect()] == [("s", 1, None)]
+    assert sorted(map(tuple, fastx.read_libraries(spark, str(tmp_path / "many")).collect())) == [("s", 1, "Run 1"), ("s", 1, "Run2")]
+    with pytest.raises(FileNotFoundError):
+        fastx.read_libraries(spark, str(tmp_path / "none"))
+
+
+def test_settings(spark, tmp_path):
+    from sporeline.functions import settings
+    from sporeline.plans.steps import Params
+
+    (tmp_path / "p.tsv").write_text("max_ee_rate\tNA\r\n# note\r\nlulu\tTRUE\r\n\r\nclustering\tswarm\r\n")
+    (tmp_path / "p.yml").write_text("max_n: 2\nprimer_forward: 'ACGT'\npreclustering: none\n")
+    p = settings.apply(Params(), fastx.read_params(spark, str(tmp_path / "p.tsv")) | fastx.read_params(spark, str(tmp_path / "p.yml")))
+    assert p == Params(max_ee_rate=None, lulu=True, clustering="swarm", max_n=2, primer_forward="ACGT")
+    assert settings.flag(" Yes ") and not settings.flag("0") and settings.flag("NULL", True) and settings.present(" na ") is None
+    for bad in ({"nope": "1"}, {"max_n": "NA"}, {"lulu": "maybe"}):
+        with pytest.raises(ValueError):
+            settings.apply(Params(), bad)
+    odd = "it's a \\ 'test'"
+    assert spark.sql(f"SELECT {settings.sql_text(odd)} AS x").first().x == odd
+
+
+def test_barcodes_and_files_by_sample(spark, tmp_path):
+    (tmp_path / "b.fa").write_bytes(b">s1\r\nacgt\r\n>s2\r\nTTGA\r\n")
+    assert sorted(map(tuple, fastx.read_barcodes(spark, str(tmp_path / "b.fa")).collect())) == [("s1", "ACGT"), ("s2", "TTGA")]
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "SampleID string, n long")
+    fastx.write_by_sample(rows, str(tmp_path / "out"))
+    own = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "out" / "SampleID=a"))
+    assert sorted(r.n for r in own.collect()) == ["1", "3"]
