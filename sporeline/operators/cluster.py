@@ -6,9 +6,11 @@ are settled are settled at once, and rounds are as many as the longest chain of
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from sporeline.functions import seq as S
 from sporeline.operators import graph
@@ -150,43 +152,156 @@ def merge_curated(cells: DataFrame, parents: DataFrame) -> DataFrame:
     return cells.join(parents, "OTU").groupBy(F.col("parent").alias("OTU"), "SampleID").agg(F.sum("Abundance").alias("Abundance"))
 
 
-def _chimeras(abskew: float, minh: float, xn: float, dn: float, mindiffs: int):
+#: Parents whose positions are compared with a sequence at a time.
+BLOCK = 2048
+
+
+def _justified(seqs, width: int):
+    """The sequences as two byte matrices of a width: from the left edge and up to the right one; 0 elsewhere."""
+    left, right = np.zeros((len(seqs), width), np.uint8), np.zeros((len(seqs), width), np.uint8)
+    for i, s in enumerate(seqs):
+        left[i, : len(s)] = s
+        right[i, width - len(s) :] = s
+    return left, right
+
+
+def _aligned(q, p):
+    """p's base for each of q's, 0 where p has none, by an alignment with the fewest edits; by position if lengths agree."""
+    n, m = len(q), len(p)
+    if n == m:
+        return p
+    steps = np.arange(m + 1, dtype=np.int32)
+    cost = np.empty((n + 1, m + 1), np.int32)
+    cost[0] = steps
+    for i in range(1, n + 1):
+        cost[i, 0] = i
+        cost[i, 1:] = np.minimum(cost[i - 1, :-1] + (p != q[i - 1]), cost[i - 1, 1:] + 1)
+        cost[i] = np.minimum.accumulate(cost[i] - steps) + steps
+    out, i, j = np.zeros(n, np.uint8), n, m
+    while i:
+        if j and cost[i, j] == cost[i - 1, j - 1] + (p[j - 1] != q[i - 1]):
+            i, j = i - 1, j - 1
+            out[i] = p[j]
+        elif cost[i, j] == cost[i - 1, j] + 1:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
+def _crossing(q, left, right, rows):
+    """(cut, a, b): the crossing after ``cut`` at which the best parent's bases from the start and another's up to the end
+    agree with q the most; None if one parent is best on both sides."""
+    n, width = len(q), left.shape[1]
+    heads, tails = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
+    a, b = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for at in range(0, len(rows), BLOCK):
+        some = rows[at : at + BLOCK]
+        head = np.cumsum(left[some, :n] == q, 1, dtype=np.int32)
+        tail = np.cumsum((right[some, width - n :] == q)[:, ::-1], 1, dtype=np.int32)[:, ::-1]
+        for count, best, who in ((head, heads, a), (tail, tails, b)):
+            first = count.argmax(0)
+            top = count[first, np.arange(n)]
+            better = top > best
+            best[better], who[better] = top[better], some[first[better]]
+    cut = int((heads[:-1] + tails[1:]).argmax())
+    return None if a[cut] == b[cut + 1] else (cut, a[cut], b[cut + 1])
+
+
+def _votes(q, pa, pb, cut: int, xn: float, dn: float, mindiffs: int, mindiv: float):
+    """(score, firm): the product of both sides' votes; firm with enough votes and divergence from the nearer parent."""
+    score, firm = 1.0, True
+    for x, y, at in ((pa, pb, slice(0, cut + 1)), (pb, pa, slice(cut + 1, None))):
+        yes = int(((q[at] == x[at]) & (q[at] != y[at])).sum())
+        no = int(((q[at] != x[at]) & (q[at] == y[at])).sum())
+        other = int(((q[at] != x[at]) & (q[at] != y[at])).sum())
+        score *= yes / (xn * (no + dn) + other)
+        firm &= yes >= mindiffs
+    model = int((q[: cut + 1] == pa[: cut + 1]).sum() + (q[cut + 1 :] == pb[cut + 1 :]).sum())
+    nearer = max(int((q == pa).sum()), int((q == pb).sum()))
+    return score, firm and 100.0 * (model - nearer) >= mindiv * nearer
+
+
+def _bytes(seqs) -> list:
+    return [np.frombuffer(s.encode(), np.uint8) for s in seqs]
+
+
+def _chimeras(abskew: float, minh: float, xn: float, dn: float, mindiffs: int, mindiv: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
         pdf = pdf.sort_values(["size", "seq"], ascending=[False, True])
-        out, parents = [], []
-        for seq, size in zip(pdf["seq"], pdf["size"]):
-            q = np.frombuffer(seq.encode(), np.uint8)
-            best = 0.0
-            able = [p for p, n in parents if n >= abskew * size and len(p) == len(q)]
-            if len(able) > 1:
-                same = np.stack([p == q for p in able])
-                left = np.cumsum(same, 1)  # matches up to a position
-                right = left[:, -1:] - left
-                model = left.max(0) + right.max(0)
-                cut = int(model[:-1].argmax())
-                a, b = int(left[:, cut].argmax()), int(right[:, cut].argmax())
-                if a != b:
-                    pa, pb = able[a], able[b]
-                    for x, y, at in ((pa, pb, slice(0, cut + 1)), (pb, pa, slice(cut + 1, None))):
-                        yes = int(((q[at] == x[at]) & (q[at] != y[at])).sum())
-                        no = int(((q[at] != x[at]) & (q[at] == y[at])).sum())
-                        other = int(((q[at] != x[at]) & (q[at] != y[at])).sum())
-                        part = yes / (xn * (no + dn) + other) if yes >= mindiffs else 0.0
-                        best = part if x is pa else best * part
-            out.append((pdf["SampleID"].iloc[0], seq, best, best >= minh))
-            if best < minh:
-                parents.append((q, size))
+        seqs, sizes = _bytes(pdf["seq"]), pdf["size"].to_numpy()
+        left, right = _justified(seqs, max(map(len, seqs)))
+        parent = np.zeros(len(seqs), bool)
+        out = []
+        for i, q in enumerate(seqs):
+            able = np.flatnonzero(parent[: np.searchsorted(-sizes, -abskew * sizes[i], "right")])
+            found = _crossing(q, left, right, able) if len(able) > 1 and len(q) > 1 else None
+            score, firm = 0.0, False
+            if found:
+                cut, a, b = found
+                score, firm = _votes(q, _aligned(q, seqs[a]), _aligned(q, seqs[b]), cut, xn, dn, mindiffs, mindiv)
+            score = score if firm else 0.0
+            parent[i] = score < minh
+            out.append((pdf["SampleID"].iloc[0], pdf["seq"].iloc[i], score, score >= minh))
         return pd.DataFrame(out, columns=["SampleID", "seq", "score", "chimera"])
 
     return run
 
 
-def denovo_chimeras(seqs: DataFrame, abskew: float = 2.0, minh: float = 0.28, xn: float = 8.0, dn: float = 1.4, mindiffs: int = 3) -> DataFrame:
+def denovo_chimeras(
+    seqs: DataFrame, abskew: float = 2.0, minh: float = 0.28, xn: float = 8.0, dn: float = 1.4, mindiffs: int = 3, mindiv: float = 0.8
+) -> DataFrame:
     """(SampleID, seq, score, chimera) of seqs(SampleID, seq, size): each sequence against models of two more abundant
-    parents of its length in its sample, scored by the votes for and against on both sides of the best crossing."""
-    return seqs.groupBy("SampleID").applyInPandas(_chimeras(abskew, minh, xn, dn, mindiffs), "SampleID string, seq string, score double, chimera boolean")
+    parents of any length in its sample, scored by the votes for and against on both sides of the best crossing.
+
+    The crossing is that of the best stretch from a parent's start with the best one up to a parent's end, without gaps; the
+    two parents are then aligned with the sequence for the votes. One task for each sample.
+    """
+    run = _chimeras(abskew, minh, xn, dn, mindiffs, mindiv)
+    return seqs.groupBy("SampleID").applyInPandas(run, "SampleID string, seq string, score double, chimera boolean")
+
+
+#: Reference sequences that each task may hold; more are an error.
+MOST_REFERENCES = 200_000
+
+
+def reference_chimeras(
+    seqs: DataFrame, references: DataFrame, minh: float = 0.28, xn: float = 8.0, dn: float = 1.4, mindiffs: int = 3, mindiv: float = 0.8
+) -> DataFrame:
+    """seqs(seq, ...) with score and verdict: 'chimera', 'borderline' (a score of ``minh`` without the votes or the
+    divergence; kept with the clean ones) or 'clean', against models of two of references(seq). A reference that equals
+    the sequence is no parent.
+
+    The references, a database whose rows are counted up to a bound, go to each task; sequences are not shuffled. Null
+    and empty sequences are clean.
+    """
+    rows = [r[0] for r in references.select("seq").filter("seq <> ''").distinct().orderBy("seq").limit(MOST_REFERENCES + 1).collect()]
+    if len(rows) > MOST_REFERENCES:
+        raise ValueError(f"more than {MOST_REFERENCES} references")
+    shared = seqs.sparkSession.sparkContext.broadcast(rows)
+
+    def run(parts):
+        parents = _bytes(shared.value)
+        number = {s: i for i, s in enumerate(shared.value)}
+        left, right = _justified(parents, max(map(len, parents), default=0))
+        everyone = np.arange(len(parents))
+        for pdf in parts:
+            scores, verdicts = [], []
+            for seq in pdf["seq"]:
+                q = np.frombuffer((seq or "").encode(), np.uint8)
+                if len(q) > left.shape[1]:
+                    left, right = _justified(parents, len(q))
+                able = np.delete(everyone, number[seq]) if seq in number else everyone
+                found = _crossing(q, left, right, able) if len(able) > 1 and len(q) > 1 else None
+                score, firm = 0.0, False
+                if found:
+                    cut, a, b = found
+                    score, firm = _votes(q, _aligned(q, parents[a]), _aligned(q, parents[b]), cut, xn, dn, mindiffs, mindiv)
+                scores.append(score)
+                verdicts.append("clean" if score < minh else "chimera" if firm else "borderline")
+            yield pdf.assign(score=scores, verdict=verdicts)
+
+    return seqs.mapInPandas(run, StructType([*seqs.schema.fields, StructField("score", DoubleType()), StructField("verdict", StringType())]))
 
 
 def merge_pairs(pairs: DataFrame, least: int = 20, most_diff: int = 5, percent: float = 20.0) -> DataFrame:

@@ -885,3 +885,13 @@ def overlap_links(spark, d):
 @query()
 def contained_clusters(spark, d):
     return cluster.contained(_overhanging(spark, d))
+
+
+@query()
+def reference_chimeras(spark, d):
+    """Documents' sequences, of which every third joins the halves of two others, one of them with a base left out, against the customers' as references."""
+    known = table(spark, d, "customer").select(F.expr(bind._family("c_custkey * 4")).alias("seq"))
+    half = lambda key, a, n: F.expr(f"substring({bind._family(key)}, {a}, {n})")
+    crossed = F.concat(half("(doc_id % 100 + 1) * 4", 1, 35), half("(doc_id % 100 + 2) * 4", 37, 44))
+    own = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, crossed).otherwise(F.expr(bind._family("doc_id"))).alias("seq"))
+    return cluster.reference_chimeras(own, known)
