@@ -272,8 +272,8 @@ def reference_chimeras(
     divergence; kept with the clean ones) or 'clean', against models of two of references(seq). A reference that equals
     the sequence is no parent.
 
-    The references, a database whose rows are counted up to a bound, go to each task; sequences are not shuffled. Null
-    and empty sequences are clean.
+    The references, a database whose rows are counted up to a bound, go to each task. Sequences are dealt out evenly, as a
+    comparison with all references costs far more than the shuffle. Null and empty sequences are clean.
     """
     rows = [r[0] for r in references.select("seq").filter("seq <> ''").distinct().orderBy("seq").limit(MOST_REFERENCES + 1).collect()]
     if len(rows) > MOST_REFERENCES:
@@ -301,7 +301,8 @@ def reference_chimeras(
                 verdicts.append("clean" if score < minh else "chimera" if firm else "borderline")
             yield pdf.assign(score=scores, verdict=verdicts)
 
-    return seqs.mapInPandas(run, StructType([*seqs.schema.fields, StructField("score", DoubleType()), StructField("verdict", StringType())]))
+    tasks = max(seqs.sparkSession.sparkContext.defaultParallelism, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return seqs.repartition(tasks).mapInPandas(run, StructType([*seqs.schema.fields, StructField("score", DoubleType()), StructField("verdict", StringType())]))
 
 
 def merge_pairs(pairs: DataFrame, least: int = 20, most_diff: int = 5, percent: float = 20.0) -> DataFrame:
