@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import bpe, decontam, pages, ppm, quality, rollup, secrets, simhash, tokenfile, toxicity
+from sporeline.llm import bpe, decontam, pages, ppm, quality, rollup, secrets, simhash, suffixes, tokenfile, toxicity
 
-MODULES = (bpe, decontam, pages, ppm, quality, rollup, secrets, simhash, tokenfile, toxicity)
+MODULES = (bpe, decontam, pages, ppm, quality, rollup, secrets, simhash, suffixes, tokenfile, toxicity)
 
 
 def queries() -> dict:
