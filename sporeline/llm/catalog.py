@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sporeline.llm import bpe, centroids, decontam, pages, ppm, quality, rollup, secrets, simhash, suffixes, tokenfile, toxicity
+from sporeline.llm import bpe, centroids, decontam, pages, ppm, quality, rollup, secrets, simhash, spelling, suffixes, tokenfile, toxicity
 
-MODULES = (bpe, centroids, decontam, pages, ppm, quality, rollup, secrets, simhash, suffixes, tokenfile, toxicity)
+MODULES = (bpe, centroids, decontam, pages, ppm, quality, rollup, secrets, simhash, spelling, suffixes, tokenfile, toxicity)
 
 
 def queries() -> dict:
