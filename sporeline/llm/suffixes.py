@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ _LOW40 = np.uint64((1 << 40) - 1)
 
 
 def anchor_bytes(window: int) -> int:
-    return max(8, window // 2 - 1)
+    return max(8, 2 * window // 5)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -87,7 +88,7 @@ def _runs_of(data: bytes, ends: np.ndarray, window: int):
     return row[start], start, end, least[start]
 
 
-def _parts(block: pa.Table | pa.RecordBatch, window: int) -> Iterator[tuple]:
+def _parts(batches, window: int) -> Iterator[tuple]:
     """(first row, bytes, where each row begins in them, place of the first row's bytes in its text, runs) over the texts
     in column 1.
 
@@ -95,7 +96,7 @@ def _parts(block: pa.Table | pa.RecordBatch, window: int) -> Iterator[tuple]:
     depends on the text alone.
     """
     first = 0
-    for batch in block.to_batches() if isinstance(block, pa.Table) else [block]:
+    for batch in batches:
         for lot in batches_of(batch, 1, PART):
             short: list[bytes] = []
             for text in [*lot.column(1).to_pylist(), ...]:
@@ -114,6 +115,21 @@ def _parts(block: pa.Table | pa.RecordBatch, window: int) -> Iterator[tuple]:
                     first += 1
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, as they cross the cluster twice."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = pa.array([x and squeeze(x) for x in batch.column(1).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), texts, batch.column(2)], ["doc_id", "text", "block"])
+
+
+def _plain(block: pa.Table) -> Iterator[pa.RecordBatch]:
+    """A block's rows, a few at a time, with their texts as they were."""
+    expand = zstandard.ZstdDecompressor().decompress
+    for batch in block.select(["doc_id", "text"]).to_batches(max_chunksize=500):
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x and expand(x) for x in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "text"])
+
+
 def _keys(anchors: np.ndarray) -> np.ndarray:
     """40 bits of an anchor: enough to tell what may be repeated."""
     return _mixed(anchors) & _LOW40
@@ -136,7 +152,7 @@ def _ask(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blocks = batch.column(2).to_numpy()
-            for first, _, _, _, (row, _, _, anchor) in _parts(batch, window):
+            for first, _, _, _, (row, _, _, anchor) in _parts([batch], window):
                 if not len(row):
                     continue
                 key, block = _keys(anchor), blocks[first + row]
@@ -207,7 +223,7 @@ def _within(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def _strings(block: pa.Table, keys: np.ndarray, hot: np.ndarray, window: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(row, place in the row, key, string) of the runs under keys; of those under hot ones, of each window alone."""
-    for first, data, begins, base, (row, start, end, anchor) in _parts(block, window):
+    for first, data, begins, base, (row, start, end, anchor) in _parts(_plain(block), window):
         key = _keys(anchor)
         some = np.flatnonzero(_within(key, keys))
         warm = _within(key[some], hot)
@@ -302,24 +318,46 @@ def repeated_windows(strings: list[bytes], window: int = WINDOW, shard_bytes: in
     return interval, place_string[rows], place_at[rows]
 
 
+def _pack_strings(strings: list[bytes], key: np.ndarray, doc: np.ndarray, many: np.ndarray, hot: np.ndarray) -> bytes:
+    flags = (many.astype(np.uint8) | (hot.astype(np.uint8) << 1)).tobytes()
+    sizes = np.array([len(x) for x in strings], "<i4").tobytes()
+    raw = [np.array([len(strings)], "<i8").tobytes(), sizes, flags, _packed(key.astype(np.uint64)), doc.astype("<i8").tobytes(), *strings]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
+
+
+def _unpack_strings(blob: bytes):
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = int.from_bytes(raw[:8], "little")
+    sizes, flags = np.frombuffer(raw, "<i4", n, 8), np.frombuffer(raw, np.uint8, n, 8 + 4 * n)
+    key, doc = _unpacked([raw[8 + 5 * n : 8 + 10 * n]]), np.frombuffer(raw[8 + 10 * n : 8 + 18 * n], "<i8")
+    ends = (8 + 18 * n + np.cumsum(sizes, dtype=np.int64)).tolist()
+    strings = [raw[b - size : b] for b, size in zip(ends, sizes.tolist())]
+    return strings, key.astype(np.int64), doc, (flags & 1).astype(bool), (flags & 2).astype(bool)
+
+
 def _merge(window: int, shard_bytes: int):
     """For each string, what least doc_id each of its windows has anywhere, told to the blocks that it may concern."""
 
     def run(group: pa.Table) -> pa.Table:
-        coded = group.column("string").combine_chunks().dictionary_encode()
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.combine_chunks()
-        strings, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        doc, last, block = (group.column(c).to_numpy() for c in ("doc", "last", "block"))
+        number: dict[bytes, int] = {}
+        codes, keys, docs, many_of, hot_of, blocks = [], [], [], [], [], []
+        for row in group.to_batches(max_chunksize=1):
+            block, packed = row.column(1)[0].as_py(), row.column(2)[0].as_py()
+            found, key, doc, many, hot = _unpack_strings(packed)
+            codes.append(np.fromiter((number.setdefault(x, len(number)) for x in found), np.int64, len(found)))
+            for column, values in ((keys, key), (docs, doc), (many_of, many), (hot_of, hot), (blocks, np.full(len(found), block, np.int32))):
+                column.append(values)
+        strings, code = list(number), np.concatenate(codes)
+        doc, many, block = np.concatenate(docs), np.concatenate(many_of), np.concatenate(blocks)
+        del number, group
         key = np.zeros(len(strings), np.int64)
-        key[code] = group.column("key").to_numpy()
-        least, most = np.full(len(strings), NO_ID), np.full(len(strings), np.iinfo(np.int64).min)
+        key[code] = np.concatenate(keys)
+        least = np.full(len(strings), NO_ID)
         np.minimum.at(least, code, doc)
-        np.maximum.at(most, code, last)
         warm = np.zeros(len(strings), bool)
-        warm[code] = group.column("hot").to_numpy(zero_copy_only=False)
-        _, anchor, number = np.unique(key, return_inverse=True, return_counts=True)
-        shared = np.flatnonzero(number[anchor] > 1)  # a string that is alone under its anchor has no window in common
+        warm[code] = np.concatenate(hot_of)
+        _, anchor, often = np.unique(key, return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(often[anchor] > 1)  # a string that is alone under its anchor has no window in common
         pieces: dict[int, tuple[list[int], list[int]]] = {}
         interval, which, at = repeated_windows([strings[i] for i in shared.tolist()], window, shard_bytes)
         if len(interval):
@@ -337,7 +375,7 @@ def _merge(window: int, shard_bytes: int):
                 mins[at[a:b]] = best[a:b]
                 first = np.flatnonzero(np.append(True, mins[1:] != mins[:-1]))
                 pieces[i] = (first.tolist(), mins[first].tolist())
-        told = np.flatnonzero((most[code] > least[code]) | np.isin(code, np.fromiter(pieces, np.int64, len(pieces))))
+        told = np.flatnonzero(many | (doc > least[code]) | np.isin(code, np.fromiter(pieces, np.int64, len(pieces))))
         told = told[np.argsort(block[told], kind="stable")]
         out: list[tuple] = []
         begin = np.flatnonzero(np.append(True, np.diff(block[told]) != 0)) if len(told) else np.zeros(0, np.int64)
@@ -353,7 +391,7 @@ def _merge(window: int, shard_bytes: int):
             ))
         names = ["block", "digests", "keys", "hot", "sizes", "starts", "docs"]
         result = pa.table([pa.array([x[i] for x in out], pa.binary() if i else pa.int32()) for i in range(7)], names)
-        del group, coded, strings
+        del strings
         release()
         return result
 
@@ -361,33 +399,33 @@ def _merge(window: int, shard_bytes: int):
 
 
 def _tell(window: int, groups: int):
-    """A block's distinct strings under the anchors that it was told of, with the least and the largest doc_id."""
+    """A block's distinct strings under the anchors that it was told of, with the least doc_id, in a row for each group."""
 
     def run(block: pa.Table, told: pa.Table) -> pa.Table:
         keys, hot = (np.unique(_unpacked(told.column(c).to_pylist())) for c in ("keys", "hot"))
         ids = block.column("doc_id").fill_null(NO_ID).to_pylist()
         number = block.column("block")[0].as_py() if block.num_rows else 0
-        found: dict[bytes, list[int]] = {}
+        found: dict[bytes, list[int]] = {}  # string: anchor, least doc_id, whether another document has it
         for row, _, key, string in _strings(block, keys, hot, window):
             doc = ids[row]
-            have = found.get(string)
-            if have is None:
-                found[string] = [key, doc, doc]
-            elif doc < have[1]:
-                have[1] = doc
-            elif doc > have[2]:
-                have[2] = doc
-        key, doc, last = (np.fromiter((x[i] for x in found.values()), np.int64, len(found)) for i in range(3))
+            have = found.setdefault(string, [key, doc, 0])
+            if doc != have[1]:
+                have[1:] = min(doc, have[1]), 1
+        key, doc, many = (np.fromiter((x[i] for x in found.values()), np.int64, len(found)) for i in range(3))
         is_hot, strings = _within(key.astype(np.uint64), hot), list(found)
         under = key.astype(np.uint64)
         for i in np.flatnonzero(is_hot).tolist():  # dealt by the window itself
             under[i] = xxhash.xxh64_intdigest(strings[i])
         group = (_mixed(under) % np.uint64(groups)).astype(np.int32)
-        block_of = pa.array(np.full(len(strings), number, np.int32))
-        columns = [pa.array(group), pa.array(key), pa.array(is_hot), pa.array(strings, pa.binary()), pa.array(doc), pa.array(last), block_of]
+        order = np.lexsort((key, group))
+        begin = np.flatnonzero(np.append(True, np.diff(group[order]) != 0)) if len(order) else np.zeros(0, np.int64)
+        rows: tuple[list, list] = ([], [])
+        for own in np.split(order, begin[1:]) if len(order) else []:
+            rows[0].append(int(group[own[0]]))
+            rows[1].append(_pack_strings([strings[i] for i in own.tolist()], key[own], doc[own], many[own], is_hot[own]))
         del found, block, strings
         release()
-        return pa.table(columns, ["group", "key", "hot", "string", "doc", "last", "block"])
+        return pa.table([pa.array(rows[0], pa.int32()), pa.array(np.full(len(rows[0]), number, np.int32)), pa.array(rows[1], pa.binary())], ["group", "block", "strings"])
 
     return run
 
@@ -415,8 +453,8 @@ def _cut(window: int):
                     gone.setdefault(row, []).append((place + starts[j], place + end))
         kept, spans, lengths = [], [], []
         row = 0
-        for batch in block.select(["text"]).to_batches(max_chunksize=500):
-            for text in batch.column(0).to_pylist():
+        for batch in _plain(block):
+            for text in batch.column(1).to_pylist():
                 text, merged = text or b"", []
                 for a, b in sorted(gone.get(row, ())):
                     if merged and a <= merged[-1]["end"]:
@@ -452,9 +490,10 @@ def drop_repeated(docs: DataFrame, window: int = WINDOW, hot: int = HOT, block_b
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), number)
     asks = rows.mapInArrow(_ask(window, buckets), "bucket int, blocks binary, sizes binary, keys binary")
     answers = settle(asks.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_answer(hot), "block int, keys binary, hot binary"))
-    blocked = rows.repartition(blocks, "block").groupBy("block")
+    squeezed = rows.mapInArrow(_squeezed, "doc_id long, text binary, block int")
+    blocked = squeezed.repartition(blocks, "block").groupBy("block")
     strings = blocked.cogroup(answers.groupBy("block")).applyInArrow(
-        _tell(window, groups), "group int, key long, hot boolean, string binary, doc long, last long, block int"
+        _tell(window, groups), "group int, block int, strings binary"
     )
     schema = "block int, digests binary, keys binary, hot binary, sizes binary, starts binary, docs binary"
     told = settle(strings.repartition(groups, "group").groupBy("group").applyInArrow(_merge(window, shard_bytes), schema))
