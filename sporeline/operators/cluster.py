@@ -6,11 +6,10 @@ are settled are settled at once, and rounds are as many as the longest chain of
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from sporeline.functions import seq as S
 from sporeline.operators import graph
@@ -40,15 +39,31 @@ def _clustered(seqs: DataFrame, links: DataFrame, accept, directed: bool = False
         done = done.union(new)
 
 
-def greedy(seqs: DataFrame, identity: float, k: int, least_shared: int) -> DataFrame:
+def greedy(seqs: DataFrame, identity: float, definition: int | None = None, coverage: float = 0.9, both_strands: bool = False) -> DataFrame:
     """(seq, centroid) of seqs(seq, size), distinct: in order of size, a sequence joins the nearest centroid that is at
-    least ``identity`` alike, or becomes one."""
-    links = graph.similar(seqs.select("seq"), k, least_shared, identity).select("u", "v", F.col("identity").alias("how"))
-    return _clustered(seqs, links, lambda q, c, h: F.lit(True))
-
-
-def unoise(seqs: DataFrame, alpha: float = 6.0, most: int = 3) -> DataFrame:
-    """(seq, centroid): a sequence is an error of a centroid d edits away if its size is at most 2 ** -(alpha * d + 1) of it."""
+    least ``identity`` alike, or becomes one. Identity is that of edits, or by alignment with definition 1 or 2, as in
+    ``graph.matches``, there on both strands if asked for."""
+    links = graph.similar(seqs, identity) if definition is None else graph.matches(seqs, identity, definition, coverage, both_strands)
+    return _clustered(seqs, links.select("u", "v", F.col("identity").alias("how")), lambda q, c, h: F.lit(True))
+
+
+def greedy_by_sample(rows: DataFrame, identity: float, definition: int = 2, coverage: float = 0.9, both_strands: bool = False) -> DataFrame:
+    """(SampleID, seq, centroid) of rows(SampleID, seq, size), distinct: ``greedy`` within each sample. Sequences are compared
+    once, whatever samples they are in."""
+    key = lambda seq: F.concat_ws("\t", F.base64(F.coalesce("SampleID", F.lit("")).cast("binary")), seq)
+    rows = graph.settled(rows.select("SampleID", "seq", "size", key(F.col("seq")).alias("key")))
+    links = graph.settled(graph.matches(rows.select("seq").distinct(), identity, definition, coverage, both_strands))
+    of = lambda side: rows.select(F.col("SampleID").alias("s"), F.col("seq").alias(side), F.col("key").alias(f"{side}_key"))
+    within = links.join(of("u"), "u").join(of("v").withColumnRenamed("s", "t"), "v").filter(F.col("s").eqNullSafe(F.col("t")))
+    found = _clustered(rows.select(F.col("key").alias("seq"), "size"), within.select(F.col("u_key").alias("u"), F.col("v_key").alias("v"), F.col("identity").alias("how")), lambda q, c, h: F.lit(True))
+    return found.select(F.col("seq").alias("key"), F.element_at(F.split("centroid", "\t"), 2).alias("centroid")).join(rows, "key").select("SampleID", "seq", "centroid")
+
+
+def unoise(seqs: DataFrame, alpha: float = 6.0) -> DataFrame:
+    """(seq, centroid): a sequence is an error of a centroid d edits away if its size is at most 2 ** -(alpha * d + 1) of it.
+    No centroid is so large that more than (log2(largest / smallest) - 1) / alpha edits count, so links go no further."""
+    low, high = seqs.agg(F.min("size"), F.max("size")).first()
+    most = max(0, int((math.log2(high / low) - 1) / alpha + 1e-9)) if low and high else 0
     links = graph.edit_links(seqs.select("seq"), most).select("u", "v", (-F.col("distance")).cast("double").alias("how"))
     return _clustered(seqs, links, lambda q, c, h: q / c <= F.pow(F.lit(2.0), -(-h * alpha + 1)))
 
@@ -96,23 +111,40 @@ def overlap_links(seqs: DataFrame, coverage: float = 0.96, k: int = 16) -> DataF
     return spans.filter((F.col("end") - F.col("start") >= F.col("need")) & same).select("u", "v").distinct()
 
 
-def contained(seqs: DataFrame, coverage: float = 0.96) -> DataFrame:
+def contained(seqs: DataFrame, coverage: float = 0.96, both_strands: bool = False) -> DataFrame:
     """K8: (seq, centroid) of distinct seqs(seq, size): in order of size, a sequence joins the most abundant centroid with
-    which it agrees over ``coverage`` of itself, or becomes one."""
-    links = overlap_links(seqs.select("seq"), coverage).withColumn("how", F.lit(1.0))
-    return _clustered(seqs, links, lambda q, c, h: F.lit(True), directed=True)
+    which it agrees over ``coverage`` of itself, on either strand if asked for, or becomes one."""
+    if both_strands:
+        met = graph.settled(graph.matches(seqs.select("seq"), 1.0, 2, coverage, True))
+        links = met.select("u", "v").union(met.filter(F.col("v_coverage") >= coverage - 1e-12).select("v", "u"))
+    else:
+        links = overlap_links(seqs.select("seq"), coverage)
+    return _clustered(seqs, links.withColumn("how", F.lit(1.0)), lambda q, c, h: F.lit(True), directed=True)
 
 
-def linclust(seqs: DataFrame, k: int, m: int, identity: float) -> DataFrame:
+def linclust(seqs: DataFrame, k: int, m: int, identity: float, coverage: float = 0.0, definition: int | None = None) -> DataFrame:
     """(seq, centroid) in linear time: each sequence is filed under its m least k-mer hashes; each file's longest member
-    (then first) is the centre that the others are compared with, and components of what holds are clusters."""
-    from sporeline.functions.seq import kmers
-
-    hashes = F.slice(F.array_sort(F.array_distinct(F.transform(kmers(F.col("seq"), k), lambda x: F.xxhash64(x)))), 1, m)
-    keyed = seqs.select("seq", F.explode(hashes).alias("key"))
-    centre = keyed.groupBy("key").agg(F.min(F.struct((-F.length("seq")).alias("l"), "seq"))["seq"].alias("centre"))
-    links = keyed.join(centre, "key").filter("seq <> centre").select(F.col("seq").alias("u"), F.col("centre").alias("v")).distinct()
-    links = links.filter(graph.identity(F.col("u"), F.col("v")) >= identity)
+    (then first) is the centre that the others are compared with, and components of what holds are clusters.
+
+    What holds: an edit identity, or by definition 1 or 2 that of an alignment in which ``coverage`` of either is aligned;
+    the k-mer in common gives the diagonal, and the band has room for the edits of the identity.
+    """
+    from sporeline.operators import align
+
+    kmer = lambda x, i: F.struct(F.xxhash64(x).alias("key"), i.alias("at"))
+    hashes = F.slice(F.array_sort(F.transform(S.kmers(F.col("seq"), k), kmer)), 1, m)
+    keyed = seqs.select("seq", F.explode(hashes).alias("h")).groupBy("seq", F.col("h.key").alias("key")).agg(F.min("h.at").alias("at"))
+    longest = F.min(F.struct((-F.length("seq")).alias("l"), "seq", "at"))
+    centre = keyed.groupBy("key").agg(longest.alias("c")).select("key", F.col("c.seq").alias("v"), F.col("c.at").alias("v_at"))
+    met = keyed.join(centre, "key").filter("seq <> v").select(F.col("seq").alias("u"), "v", (F.col("v_at") - F.col("at")).alias("d"))
+    if definition is None:
+        links = met.select("u", "v").distinct().filter(graph.identity(F.col("u"), F.col("v")) >= identity)
+    else:
+        met = met.groupBy("u", "v").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+        room = F.floor(F.length("u") * ((1 - identity) / identity) + 1e-9).cast("int")
+        done = align.aligned(met.select("u", "v", (F.col("low") - room).alias("low"), (F.col("high") + room).alias("high")))
+        covered = F.col("aligned") / F.greatest(F.length("u"), F.length("v")) >= coverage - 1e-12
+        links = done.filter((align.identity(definition) >= identity - 1e-12) & covered).select("u", "v")
     return graph.components(seqs.select(F.col("seq").alias("node")), links).select(F.col("node").alias("seq"), F.col("root").alias("centroid"))
 
 
@@ -152,159 +184,6 @@ def merge_curated(cells: DataFrame, parents: DataFrame) -> DataFrame:
     return cells.join(parents, "OTU").groupBy(F.col("parent").alias("OTU"), "SampleID").agg(F.sum("Abundance").alias("Abundance"))
 
 
-#: Parents whose positions are compared with a sequence at a time.
-BLOCK = 2048
-
-
-def _justified(seqs, width: int):
-    """The sequences as two byte matrices of a width: from the left edge and up to the right one; 0 elsewhere."""
-    left, right = np.zeros((len(seqs), width), np.uint8), np.zeros((len(seqs), width), np.uint8)
-    for i, s in enumerate(seqs):
-        left[i, : len(s)] = s
-        right[i, width - len(s) :] = s
-    return left, right
-
-
-def _aligned(q, p):
-    """p's base for each of q's, 0 where p has none, by an alignment with the fewest edits; by position if lengths agree."""
-    n, m = len(q), len(p)
-    if n == m:
-        return p
-    steps = np.arange(m + 1, dtype=np.int32)
-    cost = np.empty((n + 1, m + 1), np.int32)
-    cost[0] = steps
-    for i in range(1, n + 1):
-        cost[i, 0] = i
-        cost[i, 1:] = np.minimum(cost[i - 1, :-1] + (p != q[i - 1]), cost[i - 1, 1:] + 1)
-        cost[i] = np.minimum.accumulate(cost[i] - steps) + steps
-    out, i, j = np.zeros(n, np.uint8), n, m
-    while i:
-        if j and cost[i, j] == cost[i - 1, j - 1] + (p[j - 1] != q[i - 1]):
-            i, j = i - 1, j - 1
-            out[i] = p[j]
-        elif cost[i, j] == cost[i - 1, j] + 1:
-            i -= 1
-        else:
-            j -= 1
-    return out
-
-
-def _crossing(q, left, right, rows):
-    """(cut, a, b): the crossing after ``cut`` at which the best parent's bases from the start and another's up to the end
-    agree with q the most; None if one parent is best on both sides."""
-    n, width = len(q), left.shape[1]
-    heads, tails = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
-    a, b = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for at in range(0, len(rows), BLOCK):
-        some = rows[at : at + BLOCK]
-        head = np.cumsum(left[some, :n] == q, 1, dtype=np.int32)
-        tail = np.cumsum((right[some, width - n :] == q)[:, ::-1], 1, dtype=np.int32)[:, ::-1]
-        for count, best, who in ((head, heads, a), (tail, tails, b)):
-            first = count.argmax(0)
-            top = count[first, np.arange(n)]
-            better = top > best
-            best[better], who[better] = top[better], some[first[better]]
-    cut = int((heads[:-1] + tails[1:]).argmax())
-    return None if a[cut] == b[cut + 1] else (cut, a[cut], b[cut + 1])
-
-
-def _votes(q, pa, pb, cut: int, xn: float, dn: float, mindiffs: int, mindiv: float):
-    """(score, firm): the product of both sides' votes; firm with enough votes and divergence from the nearer parent."""
-    score, firm = 1.0, True
-    for x, y, at in ((pa, pb, slice(0, cut + 1)), (pb, pa, slice(cut + 1, None))):
-        yes = int(((q[at] == x[at]) & (q[at] != y[at])).sum())
-        no = int(((q[at] != x[at]) & (q[at] == y[at])).sum())
-        other = int(((q[at] != x[at]) & (q[at] != y[at])).sum())
-        score *= yes / (xn * (no + dn) + other)
-        firm &= yes >= mindiffs
-    model = int((q[: cut + 1] == pa[: cut + 1]).sum() + (q[cut + 1 :] == pb[cut + 1 :]).sum())
-    nearer = max(int((q == pa).sum()), int((q == pb).sum()))
-    return score, firm and 100.0 * (model - nearer) >= mindiv * nearer
-
-
-def _bytes(seqs) -> list:
-    return [np.frombuffer(s.encode(), np.uint8) for s in seqs]
-
-
-def _chimeras(abskew: float, minh: float, xn: float, dn: float, mindiffs: int, mindiv: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "seq"], ascending=[False, True])
-        seqs, sizes = _bytes(pdf["seq"]), pdf["size"].to_numpy()
-        left, right = _justified(seqs, max(map(len, seqs)))
-        parent = np.zeros(len(seqs), bool)
-        out = []
-        for i, q in enumerate(seqs):
-            able = np.flatnonzero(parent[: np.searchsorted(-sizes, -abskew * sizes[i], "right")])
-            found = _crossing(q, left, right, able) if len(able) > 1 and len(q) > 1 else None
-            score, firm = 0.0, False
-            if found:
-                cut, a, b = found
-                score, firm = _votes(q, _aligned(q, seqs[a]), _aligned(q, seqs[b]), cut, xn, dn, mindiffs, mindiv)
-            score = score if firm else 0.0
-            parent[i] = score < minh
-            out.append((pdf["SampleID"].iloc[0], pdf["seq"].iloc[i], score, score >= minh))
-        return pd.DataFrame(out, columns=["SampleID", "seq", "score", "chimera"])
-
-    return run
-
-
-def denovo_chimeras(
-    seqs: DataFrame, abskew: float = 2.0, minh: float = 0.28, xn: float = 8.0, dn: float = 1.4, mindiffs: int = 3, mindiv: float = 0.8
-) -> DataFrame:
-    """(SampleID, seq, score, chimera) of seqs(SampleID, seq, size): each sequence against models of two more abundant
-    parents of any length in its sample, scored by the votes for and against on both sides of the best crossing.
-
-    The crossing is that of the best stretch from a parent's start with the best one up to a parent's end, without gaps; the
-    two parents are then aligned with the sequence for the votes. One task for each sample.
-    """
-    run = _chimeras(abskew, minh, xn, dn, mindiffs, mindiv)
-    return seqs.groupBy("SampleID").applyInPandas(run, "SampleID string, seq string, score double, chimera boolean")
-
-
-#: Reference sequences that each task may hold; more are an error.
-MOST_REFERENCES = 200_000
-
-
-def reference_chimeras(
-    seqs: DataFrame, references: DataFrame, minh: float = 0.28, xn: float = 8.0, dn: float = 1.4, mindiffs: int = 3, mindiv: float = 0.8
-) -> DataFrame:
-    """seqs(seq, ...) with score and verdict: 'chimera', 'borderline' (a score of ``minh`` without the votes or the
-    divergence; kept with the clean ones) or 'clean', against models of two of references(seq). A reference that equals
-    the sequence is no parent.
-
-    The references, a database whose rows are counted up to a bound, go to each task. Sequences are dealt out evenly, as a
-    comparison with all references costs far more than the shuffle. Null and empty sequences are clean.
-    """
-    rows = [r[0] for r in references.select("seq").filter("seq <> ''").distinct().orderBy("seq").limit(MOST_REFERENCES + 1).collect()]
-    if len(rows) > MOST_REFERENCES:
-        raise ValueError(f"more than {MOST_REFERENCES} references")
-    shared = seqs.sparkSession.sparkContext.broadcast(rows)
-
-    def run(parts):
-        parents = _bytes(shared.value)
-        number = {s: i for i, s in enumerate(shared.value)}
-        left, right = _justified(parents, max(map(len, parents), default=0))
-        everyone = np.arange(len(parents))
-        for pdf in parts:
-            scores, verdicts = [], []
-            for seq in pdf["seq"]:
-                q = np.frombuffer((seq or "").encode(), np.uint8)
-                if len(q) > left.shape[1]:
-                    left, right = _justified(parents, len(q))
-                able = np.delete(everyone, number[seq]) if seq in number else everyone
-                found = _crossing(q, left, right, able) if len(able) > 1 and len(q) > 1 else None
-                score, firm = 0.0, False
-                if found:
-                    cut, a, b = found
-                    score, firm = _votes(q, _aligned(q, parents[a]), _aligned(q, parents[b]), cut, xn, dn, mindiffs, mindiv)
-                scores.append(score)
-                verdicts.append("clean" if score < minh else "chimera" if firm else "borderline")
-            yield pdf.assign(score=scores, verdict=verdicts)
-
-    tasks = max(seqs.sparkSession.sparkContext.defaultParallelism, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return seqs.repartition(tasks).mapInPandas(run, StructType([*seqs.schema.fields, StructField("score", DoubleType()), StructField("verdict", StringType())]))
-
-
 def merge_pairs(pairs: DataFrame, least: int = 20, most_diff: int = 5, percent: float = 20.0) -> DataFrame:
     """(id, seq) of pairs(id, r1, r2): R1 and the reverse complement of R2 overlap by the longest stretch of at least
     ``least`` bases within the bounds of differences; pairs without one are dropped."""

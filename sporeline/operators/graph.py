@@ -63,18 +63,36 @@ def identity(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
-#: Edits up to which similar sequences are found by their segments.
-MOST_EDITS = 8
-
-
-def similar(seqs: DataFrame, k: int, least_shared: int, least_identity: float) -> DataFrame:
-    """(u, v, identity): the match list. Where the longest sequence may have MOST_EDITS edits at most, all pairs are found
-    by segments; otherwise candidates share ``least_shared`` k-mers at least."""
-    longest = seqs.agg(F.coalesce(F.max(F.length("seq")), F.lit(0))).first()[0]
-    edits = int((1 - least_identity) * longest + 1e-9)
-    found = edit_links(seqs, edits) if edits <= MOST_EDITS else kmer_links(seqs, k, least_shared)
-    out = found.select("u", "v", identity(F.col("u"), F.col("v")).alias("identity"))
-    return out.filter(F.col("identity") >= least_identity - 1e-12)
+def similar(seqs: DataFrame, least_identity: float) -> DataFrame:
+    """(u, v, identity), u < v: all pairs of distinct seqs(seq) whose edit identity is at least ``least_identity``."""
+    from sporeline.operators import candidates
+
+    met = candidates.pairs(seqs, least_identity)
+    most = F.floor((1 - least_identity) * F.greatest(F.length("u"), F.length("v")) + 1e-9).cast("int")
+    close = met.withColumn("edits", F.expr("levenshtein(u, v)")).filter(F.col("edits") <= most)
+    out = close.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "edits")
+    return out.select("u", "v", (F.lit(1.0) - F.col("edits") / F.greatest(F.length("u"), F.length("v"))).alias("identity"))
+
+
+def matches(seqs: DataFrame, least_identity: float, definition: int = 2, coverage: float = 0.9, both_strands: bool = False) -> DataFrame:
+    """(u, v, strand, identity, u_coverage, v_coverage) of distinct seqs(seq), u the shorter: all pairs whose global alignment
+    with affine gaps has at least ``least_identity`` by definition 1 or 2 and aligns ``coverage`` of u (definition 1 needs
+    no coverage: its end gaps count). A pair that is alike on both strands is given on the better one, then on '+'.
+    """
+    from sporeline.operators import align, candidates
+
+    met = candidates.pairs(seqs, least_identity, 1.0 if definition == 1 else coverage, both_strands)
+    tasks = max(seqs.sparkSession.sparkContext.defaultParallelism, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    done = align.aligned(met.repartition(tasks, "u", "v")).withColumn("identity", align.identity(definition))
+    done = done.withColumns({"u_coverage": F.col("aligned") / F.length("u"), "v_coverage": F.col("aligned") / F.length("v")})
+    if definition == 2:
+        done = done.filter(F.col("u_coverage") >= coverage - 1e-12)
+    done = done.filter(F.col("identity") >= least_identity - 1e-12)
+    if both_strands:
+        given = F.when(F.col("strand") == "-", S.revcomp(F.col("u"))).otherwise(F.col("u"))
+        done = done.withColumn("u", given).filter("u <> v").groupBy("u", "v").agg(F.min(F.struct(-F.col("identity"), "strand", "identity", "u_coverage", "v_coverage")).alias("b"))
+        return done.select("u", "v", "b.strand", "b.identity", "b.u_coverage", "b.v_coverage")
+    return done.select("u", "v", "strand", "identity", "u_coverage", "v_coverage")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

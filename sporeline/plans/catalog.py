@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
-from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, otu, relational, summary, tagjump, tags
+from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, models, otu, relational, summary, tagjump, tags
 from sporeline.plans import bind
 from sporeline.plans.bind import CELLS, DOCS, FAMILIES, HITS, OTU_SEQS, SCORED, cells, docs, families, hits, otu_sequences, scored, table
 
@@ -617,7 +617,7 @@ def kmer_candidates(spark, d):
 @query(f"""{_DISTINCT}, p AS (SELECT a.s AS u, b.s AS v, 1.0::DOUBLE - levenshtein(a.s, b.s) / greatest(length(a.s), length(b.s))::DOUBLE AS identity FROM s a JOIN s b ON a.s < b.s)
 SELECT u, v, identity FROM p WHERE identity >= 0.95""")
 def match_list(spark, d):
-    return graph.similar(_distinct(spark, d), 12, 8, 0.95)
+    return graph.similar(_distinct(spark, d), 0.95)
 
 
 @query(f"{_DISTINCT} SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON a.s < b.s AND levenshtein(a.s, b.s) = 1")
@@ -634,7 +634,7 @@ def d1_components(spark, d):
 
 @query()
 def greedy_cluster(spark, d):
-    return cluster.greedy(_sized(spark, d), 0.97, 12, 8)
+    return cluster.greedy(_sized(spark, d), 0.97)
 
 
 @query()
@@ -659,13 +659,13 @@ def linclust(spark, d):
 
 @query()
 def denovo_chimeras(spark, d):
-    return cluster.denovo_chimeras(families(spark, d).groupBy("SampleID", "seq").agg(F.sum("size").alias("size")))
+    return models.denovo_chimeras(families(spark, d).groupBy("SampleID", "seq").agg(F.sum("size").alias("size")))
 
 
 def _lulu(spark, d):
     c = cells(spark, d).groupBy("OTU", "SampleID").agg(F.sum("Abundance").alias("Abundance"))
     otus = graph.settled(otu_sequences(spark, d))
-    links = graph.similar(otus.select("seq").distinct(), 12, 8, 0.95)
+    links = graph.similar(otus.select("seq").distinct(), 0.95)
     id_of = lambda side, name: otus.select(F.col("seq").alias(side), F.col("OTU").alias(name))
     pairs = links.join(id_of("u", "a"), "u").join(id_of("v", "b"), "v").select("a", "b", "identity")
     pairs = graph.settled(pairs.union(pairs.select("b", "a", "identity")).toDF("query", "parent", "identity"))
@@ -894,4 +894,4 @@ def reference_chimeras(spark, d):
     half = lambda key, a, n: F.expr(f"substring({bind._family(key)}, {a}, {n})")
     crossed = F.concat(half("(doc_id % 100 + 1) * 4", 1, 35), half("(doc_id % 100 + 2) * 4", 37, 44))
     own = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, crossed).otherwise(F.expr(bind._family("doc_id"))).alias("seq"))
-    return cluster.reference_chimeras(own, known)
+    return models.reference_chimeras(own, known)

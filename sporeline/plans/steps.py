@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
-from sporeline.operators import chimera, cluster, derep, graph, membership, otu, summary, tagjump, tags
+from sporeline.operators import chimera, cluster, derep, graph, membership, models, otu, summary, tagjump, tags
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,9 @@ class Params:
     tj_f: float = 0.01
     tj_p: float = 1.0
     tj_identity: float = 0.99
+    tj_iddef: int = 2
+    hp_identity: float = 0.999
+    hp_iddef: int = 2
     max_meep: float = 0.5
     max_chimera: float = 0.6
     recover_singletons: bool = True
@@ -44,8 +47,7 @@ class Params:
     clustering: str = "greedy"
     otu_identity: float = 0.98
     unoise_alpha: float = 6.0
-    kmer: int = 8
-    shared: int = 4
+    otu_iddef: int = 2
     lulu: bool = False
     lulu_match: float = 0.95
     lulu_cooccurrence: float = 0.95
@@ -70,12 +72,17 @@ def step1(reads: DataFrame, p: Params = Params()) -> DataFrame:
     hashed = good.select("SampleID", S.seq_id(F.col("seq")).alias("SeqID"), "seq", S.mean_phred(F.col("qual")).alias("PhredScore"), ee.alias("MaxEE"), S.meep(ee, F.length("qual")).alias("MEEP"))
     per_sample = hashed.groupBy("SampleID", "SeqID", "seq").agg(F.count("*").alias("size"))
     if p.homopolymers:
-        # Per sample, sequences that collapse to one take the id of the most abundant.
-        key = S.homopolymer_collapse(F.col("seq"))
-        best = F.min(F.struct((-F.col("size")).alias("s"), "SeqID", "seq"))
-        per_sample = per_sample.groupBy("SampleID", key.alias("k")).agg(F.sum("size").alias("size"), best.alias("b")).select("SampleID", "b.SeqID", "b.seq", "size")
+        # Per sample, sequences whose collapsed forms are nearly equal, on either strand, take the id of the most abundant.
+        collapsed = graph.settled(per_sample.withColumn("k", S.homopolymer_collapse(F.col("seq"))))
+        forms = collapsed.groupBy("SampleID", F.col("k").alias("seq")).agg(F.sum("size").alias("size"))
+        groups = cluster.greedy_by_sample(forms, p.hp_identity, p.hp_iddef, both_strands=True)
+        named = groups.select(F.col("SampleID").alias("s"), F.col("seq").alias("g"), "centroid")
+        collapsed = collapsed.join(named, (F.col("SampleID").eqNullSafe(F.col("s"))) & (F.col("k") == F.col("g")))
+        # The original that a centroid stands for is its own form's.
+        best = F.min(F.struct((F.col("k") != F.col("centroid")).alias("other"), (-F.col("size")).alias("s"), "SeqID", "seq"))
+        per_sample = collapsed.groupBy("SampleID", "centroid").agg(F.sum("size").alias("size"), best.alias("b")).select("SampleID", "b.SeqID", "b.seq", "size")
     per_sample = graph.settled(per_sample)
-    found = graph.settled(cluster.denovo_chimeras(per_sample.select("SampleID", "seq", "size")).filter("chimera"))
+    found = graph.settled(models.denovo_chimeras(per_sample.select("SampleID", "seq", "size")).filter("chimera"))
     # Sequences that are taken for chimeras in many samples are no chimeras.
     found = found.join(chimera.rescue(found, p.rescue_over, "seq").select("seq").distinct(), "seq", "left_anti")
     scores = found.select("SampleID", S.seq_id(F.col("seq")).alias("SeqID"), F.col("score").alias("DeNovo_Chimera_Score"))
@@ -83,7 +90,7 @@ def step1(reads: DataFrame, p: Params = Params()) -> DataFrame:
     if p.tj:
         # Tag jumps are judged by clusters of nearly equal sequences.
         sized = per_sample.groupBy("seq").agg(F.sum("size").alias("size"))
-        clust = cluster.greedy(sized, p.tj_identity, p.kmer, p.shared).select(S.seq_id(F.col("seq")).alias("SeqID"), S.seq_id(F.col("centroid")).alias("OTU"))
+        clust = cluster.greedy(sized, p.tj_identity, p.tj_iddef).select(S.seq_id(F.col("seq")).alias("SeqID"), S.seq_id(F.col("centroid")).alias("OTU"))
         rows = graph.settled(cells.join(clust, "SeqID"))
         marked = tagjump.flag(rows, tagjump.scores(rows.select("OTU", "SampleID", "Abundance"), p.tj_f, p.tj_p))
         cells = marked.filter(~F.col("TagJump")).select("SeqID", "SampleID", "Abundance")
@@ -96,7 +103,11 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     rows = chimera.remove(otu.union_runs(runs), p.max_chimera, p.recover_chimeras).filter(F.col("Sequence").isNotNull())
     if p.least_length or p.most_length:
         rows = derep.length_band(rows.withColumn("seq", F.col("Sequence")), p.least_length, p.most_length).drop("seq")
-    rows = graph.settled(rows.withColumn("_canon", S.canonical(F.col("Sequence"))))
+    # Strands are one sequence, in its more abundant orientation.
+    rows = graph.settled(rows.withColumn("_lesser", S.canonical(F.col("Sequence"))))
+    turned = rows.groupBy("_lesser", "Sequence").agg(F.sum("Abundance").alias("a"))
+    turned = turned.groupBy("_lesser").agg(F.min(F.struct((-F.col("a")).alias("a"), "Sequence"))["Sequence"].alias("_canon"))
+    rows = graph.settled(rows.join(turned, "_lesser").drop("_lesser"))
     unique = rows.groupBy(F.col("_canon").alias("seq")).agg(F.sum("Abundance").alias("size"))
     # A cluster is named by the most abundant SeqID of its centroid.
     name = F.min(F.struct((-F.col("Abundance")).alias("a"), "SeqID"))["SeqID"].alias("name")
@@ -116,7 +127,7 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     if pre is not None:
         sized = unique.join(pre, "seq").groupBy(F.col("centroid").alias("seq")).agg(F.sum("size").alias("size"))
     if p.clustering == "greedy":
-        clust = cluster.greedy(sized, p.otu_identity, p.kmer, p.shared)
+        clust = cluster.greedy(sized, p.otu_identity, p.otu_iddef, both_strands=True)
     elif p.clustering == "swarm":
         clust = cluster.swarm(sized)
     else:
@@ -133,10 +144,11 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     long = otu.long_table(joined, p.merge_replicates)
     if p.lulu:
         both = clust.select(F.col("centroid").alias("seq")).distinct()
-        links = graph.similar(both, p.kmer, p.shared, p.lulu_match)
+        links = graph.settled(graph.matches(both, p.lulu_match, 1))
+        # A query is aligned over nine tenths of itself.
+        ends = lambda q, t: links.filter(F.col(f"{q}_coverage") >= 0.9).select(F.col(q).alias("q"), F.col(t).alias("t"), "identity")
         named = lambda side, as_: names.select(F.col("seq").alias(side), F.col("name").alias(as_))
-        links = links.join(named("u", "query"), "u").join(named("v", "parent"), "v").select("query", "parent", "identity")
-        pairs = graph.settled(links.union(links.select("parent", "query", "identity")))
+        pairs = graph.settled(ends("u", "v").union(ends("v", "u")).join(named("q", "query"), "q").join(named("t", "parent"), "t").select("query", "parent", "identity"))
         long = cluster.merge_curated(long, cluster.curate(long, pairs, p.lulu_cooccurrence, p.lulu_ratio))
     return {"membership": members, "long": long, "order": otu.ranked(long), "sequences": clust}
 

@@ -23,7 +23,7 @@ def test_greedy_clusters_keep_their_bounds(spark):
     from sporeline.operators import cluster
 
     rows = [("ACGTACGT", 9), ("ACGTACGA", 3), ("ACGTACTA", 2), ("TTTTCCCC", 5), ("TTTTCCCG", 5), ("GGGGGGGG", 1)]
-    out = {r.seq: r.centroid for r in cluster.greedy(spark.createDataFrame(rows, "seq string, size long"), 0.8, 4, 1).collect()}
+    out = {r.seq: r.centroid for r in cluster.greedy(spark.createDataFrame(rows, "seq string, size long"), 0.8).collect()}
     assert out == {"ACGTACGT": "ACGTACGT", "ACGTACGA": "ACGTACGT", "ACGTACTA": "ACGTACTA", "TTTTCCCC": "TTTTCCCC", "TTTTCCCG": "TTTTCCCC", "GGGGGGGG": "GGGGGGGG"}
 
 
@@ -36,11 +36,11 @@ def test_swarm_components(spark):
 
 
 def test_denovo_chimera_is_found(spark):
-    from sporeline.operators import cluster
+    from sporeline.operators import models
 
     a, b = "ACGTTGCAACGTACGGTACA", "TGCAACGTTGCATGCCATGT"
     rows = [("s", a, 100), ("s", b, 90), ("s", a[:10] + b[10:], 3), ("s", "A" * 20, 2)]
-    out = {r.seq: r.chimera for r in cluster.denovo_chimeras(spark.createDataFrame(rows, "SampleID string, seq string, size long")).collect()}
+    out = {r.seq: r.chimera for r in models.denovo_chimeras(spark.createDataFrame(rows, "SampleID string, seq string, size long")).collect()}
     assert out == {a: False, b: False, a[:10] + b[10:]: True, "A" * 20: False}
 
 

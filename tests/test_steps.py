@@ -15,11 +15,11 @@ def test_step1_then_step2(spark):
     table = steps.step1(reads(spark), steps.Params(tj=False))
     cells = {(r.SampleID, r.Sequence): r.Abundance for r in table.collect()}
     assert cells == {("s1", A): 8, ("s1", A[:-1] + "C"): 1, ("s2", B): 6}
-    out = steps.step2([table], steps.Params(otu_identity=0.95, kmer=8, shared=2))
+    out = steps.step2([table], steps.Params(otu_identity=0.95))
     long = sorted((r.SampleID, r.Abundance) for r in out["long"].collect())
     assert long == [("s1", 9), ("s2", 6)]
     assert out["membership"].count() == 3
-    swarm = steps.step2([table], steps.Params(clustering="swarm", lulu=True, kmer=8, shared=2))
+    swarm = steps.step2([table], steps.Params(clustering="swarm", lulu=True))
     assert sorted(r.Abundance for r in swarm["long"].collect()) == [6, 9]
 
 
@@ -67,3 +67,25 @@ def test_seqstats(spark):
     r = reads(spark)
     out = {x.file: (x.raw, x.qc, x.artefacts, x.artefact_bp) for x in steps.seqstats(r, r.filter("id <> 'bad'"), r.filter("id = 'n1'")).collect()}
     assert out == {"s1": (10, 10, 1, 1000), "s2": (7, 6, 0, 0)}
+
+
+def test_near_copies_on_opposite_strands_are_one_otu(spark):
+    import random
+
+    rng = random.Random(3)
+    inner = "".join(rng.choice("ACGT") for _ in range(98))
+    a, b = "A" + inner + "T", "T" + inner + "T"  # their lesser strands differ
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [("s1", "1", a, 50), ("s2", "2", b, 5), ("s1", "3", turn(a), 4)]
+    table = spark.createDataFrame([(s, f"q{i}", n, 40.0, 0.1, 0.1, None, q) for s, i, q, n in rows], "SampleID string, SeqID string, Abundance long, PhredScore double, MaxEE double, MEEP double, DeNovo_Chimera_Score double, Sequence string")
+    out = steps.step2([table], steps.Params(otu_identity=0.98))
+    cells = sorted((r.OTU, r.SampleID, r.Abundance) for r in out["long"].collect())
+    assert cells == [("q1", "s1", 54), ("q1", "s2", 5)]
+    assert {r.centroid for r in out["sequences"].collect()} == {a}
+
+
+def test_homopolymers_are_corrected_on_both_strands(spark):
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [("s1", f"r{i}", A, "I" * 28) for i in range(5)] + [("s1", "run", A[:4] + A[3:], "I" * 29), ("s1", "turned", turn(A), "I" * 28), ("s2", "x", turn(A), "I" * 28)]
+    table = steps.step1(spark.createDataFrame(rows, "SampleID string, id string, seq string, qual string"), steps.Params(tj=False))
+    assert {(r.SampleID, r.Sequence): r.Abundance for r in table.collect()} == {("s1", A): 7, ("s2", turn(A)): 1}
