@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import gzip
-import io
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sporeline.operators import graph
+
 FASTQ_GLOB = "*.{fastq.gz,fastq,fq.gz,fq}"
 
 
@@ -31,42 +31,120 @@ def read_fasta(spark: SparkSession, path: str, size_required: bool = False) -> D
     return raw.select(header.alias("header"), F.regexp_replace(header, ";.*$", "").alias("id"), size.alias("size"), seq.alias("seq"), "file")
 
 
-def _records(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in files:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            data = io.BytesIO(content)
-            lines = io.TextIOWrapper(gzip.open(data) if content[:2] == b"\x1f\x8b" else data, newline=None)
-            rows, record = [], []
-            for line in lines:
-                line = line.rstrip("\r\n")
-                if not record and not line:
+#: Splits of one read at most: their states are broadcast, some 100 bytes each. Larger ``spark.sql.files.maxPartitionBytes``
+#: makes fewer.
+MOST_SPLITS = 1_000_000
+
+
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[str]]]:
+    """(path, first byte, lines) in order; a split comes in several parts."""
+    for batch in batches:
+        path, start, lines = (batch.column(i).to_pylist() for i in range(3))
+        at = 0
+        for i in range(1, len(lines) + 1):
+            if i == len(lines) or start[i] != start[at] or path[i] != path[at]:
+                yield path[at], start[at], lines[at:i]
+                at = i
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each split, and 0 to 3 lines of an open record before it: the open lines after it, and the records that begin in it."""
+    found: dict[tuple, list] = {}
+    for path, start, lines in _by_split(batches):
+        states = found.setdefault((path, start), [[s, 0] for s in range(4)])
+        blank = [i for i, line in enumerate(lines) if not line]
+        for state in states:
+            at = 0
+            for i in [*blank, len(lines)]:
+                state[1] += (state[0] + i - at + 3) // 4 - (state[0] + 3) // 4
+                state[0] = (state[0] + i - at) % 4
+                if i < len(lines) and state[0]:  # a blank line within a record is part of it
+                    state[0] = (state[0] + 1) % 4
+                at = i + 1
+    kind = pa.list_(pa.list_(pa.int64()))
+    rows = [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()), pa.array(list(found.values()), kind)]
+    yield pa.RecordBatch.from_arrays(rows, ["path", "start", "steps"])
+
+
+def _cut(states):
+    """Whole records, and of records that go over a split's ends the lines that it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_of, names = states.value, ["path", "record", "line", "lines"]
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()))
+        rows: list[tuple] = []
+        key = None
+        record: list[str] = []
+
+        def batch() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+            rows.clear()
+            return out
+
+        for path, start, lines in _by_split(batches):
+            if key != (path, start):
+                if record:
+                    rows.append((key[0], number, line, record))
+                key, record = (path, start), []
+                line, begun = open_of[path, start]
+                number = begun - (1 if line else 0)
+            for text in lines:
+                if not record and line == 0 and not text:
                     continue
-                record.append(line)
-                if len(record) == 4:
-                    head, seq, plus, qual = record
-                    bad = "header" if head[:1] != "@" else "plus" if plus[:1] != "+" else "length" if len(seq) != len(qual) else None
-                    rows.append((path, head[1:].split(" ")[0], seq, qual, bad))
-                    record = []
+                record.append(text)
+                if line + len(record) == 4:
+                    rows.append((path, number, line, record))
+                    number, line, record = number + 1, 0, []
                     if len(rows) == 10_000:
-                        yield pd.DataFrame(rows, columns=["path", "id", "seq", "qual", "bad"])
-                        rows = []
-            if record:
-                rows.append((path, record[0][1:], "".join(record[1:2]), "".join(record[3:4]), "truncated"))
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "id", "seq", "qual", "bad"])
+                        yield batch()
+        if record:
+            rows.append((key[0], number, line, record))
+        yield batch()
+
+    return run
 
 
-def read_fastq(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """(file, SampleID, id, seq, qual, bad): four-line records, plain or gzip, one task for each file at least.
+def read_fastq(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+    """(file, SampleID, id, seq, qual, bad, record): four-line records by their number in the file, from 0. Blank lines between
+    records are skipped.
 
-    bad names what is wrong with a record; strict makes it an error.
+    Spark's text reader streams compressed files and splits plain ones anywhere. How many lines of a record are open where a
+    split begins follows from the splits before it: each is first read for what it makes of 0, 1, 2 or 3 open lines, and
+    these steps are chained for each file. Then each split gives its whole records, and the few that go over its ends are put
+    together. bad names what is wrong with a record; strict makes it an error.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    out = files.mapInPandas(_records, "path string, id string, seq string, qual string, bad string")
+    raw = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", "value")
+    steps = raw.mapInArrow(_steps, "path string, start long, steps array<array<bigint>>")
+    if steps_over(steps := graph.settled(steps), MOST_SPLITS):
+        raise ValueError(f"more than {MOST_SPLITS} splits; raise spark.sql.files.maxPartitionBytes")
+    chain = F.aggregate(
+        F.sort_array(F.collect_list(F.struct("start", "steps"))),
+        F.expr("named_struct('open', 0L, 'begun', 0L, 'all', cast(array() as array<struct<start: bigint, open: bigint, begun: bigint>>))"),
+        lambda a, x: F.struct(
+            F.get(F.get(x["steps"], a["open"].cast("int")), F.lit(0)).alias("open"), (a["begun"] + F.get(F.get(x["steps"], a["open"].cast("int")), F.lit(1))).alias("begun"),
+            F.concat(a["all"], F.array(F.struct(x["start"].alias("start"), a["open"].alias("open"), a["begun"].alias("begun")))).alias("all"),
+        ),
+    )
+    chained = steps.groupBy("path").agg(chain["all"].alias("all")).select("path", F.inline("all"))
+    states = spark.sparkContext.broadcast({(r.path, r.start): (r.open, r.begun) for r in chained.toLocalIterator()})
+    parts = raw.mapInArrow(_cut(states), "path string, record long, line int, lines array<string>")
+    whole = parts.filter((F.col("line") == 0) & (F.size("lines") == 4)).select("path", "record", "lines")
+    rest = parts.filter((F.col("line") > 0) | (F.size("lines") < 4))
+    rest = rest.groupBy("path", "record").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("line", "lines"))), lambda x: x["lines"])).alias("lines"))
+    line = lambda i: F.coalesce(F.get("lines", F.lit(i)), F.lit(""))
+    bad = (
+        F.when(F.size("lines") < 4, "truncated").when(~line(0).startswith("@"), "header").when(~line(2).startswith("+"), "plus")
+        .when(F.length(line(1)) != F.length(line(3)), "length")
+    )
+    out = whole.union(rest).select("path", "record", F.substring_index(F.expr("substring(lines[0], 2)"), " ", 1).alias("id"), line(1).alias("seq"), line(3).alias("qual"), bad.alias("bad"))
     if strict:
         out = out.withColumn("id", F.when(F.col("bad").isNull(), F.col("id")).otherwise(F.raise_error(F.concat(F.lit("bad record: "), "bad"))))
-    file = F.substring_index("path", "/", -1)
-    return out.select(file.alias("file"), F.regexp_replace(file, r"\.(fastq|fq)(\.gz)?$", "").alias("SampleID"), "id", "seq", "qual", "bad")
+    file = F.url_decode(F.regexp_replace(F.substring_index("path", "/", -1), r"\+", "%2B"))
+    return out.select(file.alias("file"), F.regexp_replace(file, r"\.(fastq|fq)(\.gz)?$", "").alias("SampleID"), "id", "seq", "qual", "bad", "record")
+
+
+def steps_over(rows: DataFrame, most: int) -> bool:
+    return rows.limit(most + 1).count() > most
 
 
 def read_fastq_dir(spark: SparkSession, folder: str) -> DataFrame:
