@@ -68,12 +68,17 @@ def unoise(seqs: DataFrame, alpha: float = 6.0) -> DataFrame:
     return _clustered(seqs, links, lambda q, c, h: q / c <= F.pow(F.lit(2.0), -(-h * alpha + 1)))
 
 
-def swarm(seqs: DataFrame, d: int = 1, fastidious: bool = False, boundary: int = 3) -> DataFrame:
+def swarm(seqs: DataFrame, d: int = 1, fastidious: bool = False, boundary: int = 3, breaking: bool = False) -> DataFrame:
     """(seq, centroid): components of links of at most d edits among pure ACGT sequences; the most abundant member
-    represents. Fastidious (d = 1): a swarm of less than ``boundary`` reads joins the heaviest larger swarm (then the least
-    centroid) of which a member is two edits from one of its own."""
+    represents. With breaking, swarms grow from their most abundant member by links that don't rise in size, and the more
+    abundant take first, so a chain is cut at its valleys. Fastidious (d = 1): a swarm of less than ``boundary`` reads joins
+    the heaviest larger swarm (then the least centroid) of which a member is two edits from one of its own."""
     pure = graph.settled(seqs.filter(F.col("seq").rlike("^[ACGT]*$")))
-    roots = graph.components(pure.select(F.col("seq").alias("node")), graph.edit_links(pure.select("seq"), d)).withColumnRenamed("node", "seq")
+    near = graph.edit_links(pure.select("seq"), d)
+    if breaking:
+        roots = graph.grown(pure, near).withColumnRenamed("seed", "root")
+    else:
+        roots = graph.components(pure.select(F.col("seq").alias("node")), near).withColumnRenamed("node", "seq")
     own = pure.join(roots, "seq")
     best = own.groupBy("root").agg(F.min(F.struct((-F.col("size")).alias("s"), "seq"))["seq"].alias("centroid"), F.sum("size").alias("mass"))
     out = graph.settled(own.join(best, "root").select("seq", "centroid", "mass"))
@@ -164,20 +169,31 @@ def pair_stats(cells: DataFrame, pairs: DataFrame) -> DataFrame:
     return out.withColumn("cooccurrence", F.col("overlap") / F.col("query_spread"))
 
 
-def curate(cells: DataFrame, pairs: DataFrame, cooccurrence: float = 0.95, ratio: float = 1.0) -> DataFrame:
-    """(OTU, parent): an OTU is merged into its most similar, more abundant parent that is there where it is and more so.
+def curate(cells: DataFrame, pairs: DataFrame, cooccurrence: float = 0.95, ratio: float = 1.0, ratio_type: str = "min", max_hits: int | None = None) -> DataFrame:
+    """(OTU, parent) of cells(OTU, SampleID, Abundance) and pairs(query, parent, identity): in the order of samples, then total
+    (both falling), then OTU, an OTU is merged into the most similar (then first) OTU before it that is where it is in at
+    least ``cooccurrence`` of its samples, and more abundant there by over ``ratio``, at least ('min') or on average ('avg').
+    What its parent is merged into takes it on.
 
-    Choices are made per query at once; a parent that is itself merged passes its children on, by components of the
-    chosen links, whose most abundant member is the parent.
+    A choice depends on the two OTUs' own samples alone, so all are made at once, and chains of parents are followed then.
+    ``max_hits`` takes no more than so many of a query's most similar.
     """
-    s = pair_stats(cells, pairs.select("query", "parent")).join(pairs, ["query", "parent"])
-    good = s.filter((F.col("cooccurrence") >= cooccurrence) & (F.col("min_ratio") > ratio) & (F.col("parent_total") > F.col("query_total")))
-    chosen = good.groupBy("query").agg(F.min(F.struct((-F.col("identity")).alias("i"), (-F.col("parent_total")).alias("t"), "parent"))["parent"].alias("parent"))
-    total = cells.groupBy("OTU").agg(F.sum("Abundance").alias("total"))
-    roots = graph.components(total.select(F.col("OTU").alias("node")), chosen.select(F.col("query").alias("u"), F.col("parent").alias("v")))
-    own = roots.join(total, roots.node == total.OTU).select("OTU", "root", "total")
-    best = own.groupBy("root").agg(F.min(F.struct((-F.col("total")).alias("t"), "OTU"))["OTU"].alias("parent"))
-    return own.join(best, "root").select("OTU", "parent")
+    if ratio_type not in ("min", "avg"):
+        raise ValueError(f"ratio type: {ratio_type}")
+    total = cells.groupBy("OTU").agg(F.sum("Abundance").alias("total"), F.count("*").alias("spread"))
+    rank = F.struct((-F.col("spread")).alias("s"), (-F.col("total")).alias("t"), "OTU")
+    of = lambda side: total.select(F.col("OTU").alias(side), rank.alias(f"{side}_rank"))
+    ranked = pairs.join(of("query"), "query").join(of("parent"), "parent")
+    if max_hits is not None:
+        best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("identity")).alias("i"), "parent_rank", "query_rank", "parent"))), 1, max_hits)
+        ranked = ranked.groupBy("query").agg(best.alias("b")).select("query", F.explode("b").alias("b"))
+        ranked = ranked.select("query", "b.parent", (-F.col("b.i")).alias("identity"), "b.parent_rank", "b.query_rank")
+    before = graph.settled(ranked.filter("parent_rank < query_rank").select("query", "parent", "identity", "parent_rank"))
+    s = pair_stats(cells, before.select("query", "parent")).join(before, ["query", "parent"])
+    good = s.filter((F.col("cooccurrence") >= cooccurrence) & (F.col(f"{ratio_type}_ratio") > ratio))
+    chosen = good.groupBy("query").agg(F.min(F.struct((-F.col("identity")).alias("i"), "parent_rank", "parent"))["parent"].alias("next"))
+    roots = graph.followed(chosen.select(F.col("query").alias("node"), "next"))
+    return total.select("OTU").join(roots.withColumnRenamed("node", "OTU"), "OTU", "left").select("OTU", F.coalesce("root", "OTU").alias("parent"))
 
 
 def merge_curated(cells: DataFrame, parents: DataFrame) -> DataFrame:
@@ -198,3 +214,40 @@ def merge_pairs(pairs: DataFrame, least: int = 20, most_diff: int = 5, percent:
     found = rows.withColumn("_o", F.filter(overlaps, fits))
     found = found.filter(F.size("_o") > 0).withColumn("n", F.element_at("_o", 1))
     return found.select("id", F.concat("r1", F.substring(F.col("r2"), F.col("n") + 1, F.length("r2"))).alias("seq"))
+
+
+def merge_pairs_by_quality(pairs: DataFrame, least: int = 20, most_diff: int = 5, percent: float = 20.0, cap: int = 41) -> DataFrame:
+    """K4: (id, seq, qual, overlap, differences, merged) of pairs(id, r1, q1, r2, q2), overlapping as in ``merge_pairs``.
+
+    In the overlap the better base stands (R1's if equal), with the quality of its posterior error: for bases with errors p
+    and q that agree pq/3 / (1 - p - q + 4pq/3), and for p's base against q's p(1 - q/3) / (p + q - 4pq/3), up to ``cap``. A
+    pair that doesn't overlap comes back with merged false and without a sequence.
+    """
+    rows = pairs.select("id", "r1", "q1", S.revcomp(F.col("r2")).alias("r2"), F.reverse("q2").alias("q2"))
+    longest = F.least(F.length("r1"), F.length("r2"))
+    overlaps = F.when(longest >= least, F.sequence(longest, F.lit(least))).otherwise(F.array().cast("array<int>"))
+
+    def fits(n):
+        d = S.hamming(F.substring(F.col("r1"), F.length("r1") - n + 1, n), F.substring(F.col("r2"), F.lit(1), n))
+        return (d <= most_diff) & (d * 100.0 <= percent * n)
+
+    rows = rows.withColumn("n", F.get(F.filter(overlaps, fits), F.lit(0)))
+    start = F.length("r1") - F.col("n")
+    letter = lambda c, i: F.substring(F.col(c), i.cast("int"), F.lit(1))
+    error = lambda c, i: F.pow(F.lit(10.0), (F.lit(33) - F.ascii(letter(c, i))) / 10.0)
+
+    def settled_base(i):
+        a, b, p, q = letter("r1", start + i), letter("r2", i), error("q1", start + i), error("q2", i)
+        agree = p * q / 3 / (1 - p - q + 4 * p * q / 3)
+        low, high = F.least(p, q), F.greatest(p, q)
+        left = F.when(a == b, agree).otherwise(low * (1 - high / 3) / (p + q - 4 * p * q / 3))
+        phred = F.least(F.lit(float(cap)), F.round(-10 * F.log10(F.greatest(left, F.lit(1e-30)))))
+        return F.struct(F.when((a == b) | (p <= q), a).otherwise(b).alias("base"), F.char(phred.cast("int") + 33).alias("phred"), (a != b).cast("int").alias("differs"))
+
+    both = F.when(F.col("n").isNotNull(), F.transform(F.sequence(F.lit(1), F.col("n")), settled_base))
+    rows = rows.withColumn("both", both)
+    joined = lambda head, field, tail: F.concat(F.substring(F.col(head), F.lit(1), start), F.array_join(f"both.{field}", ""), F.substring(F.col(tail), F.col("n") + 1, F.length(tail)))
+    return rows.select(
+        "id", joined("r1", "base", "r2").alias("seq"), joined("q1", "phred", "q2").alias("qual"), F.col("n").alias("overlap"),
+        F.aggregate("both.differs", F.lit(0), lambda x, y: x + y).alias("differences"), F.col("n").isNotNull().alias("merged"),
+    )

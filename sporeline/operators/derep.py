@@ -22,10 +22,11 @@ def both_strands(reads: DataFrame) -> DataFrame:
 
 
 def correct_homopolymers(reads: DataFrame) -> DataFrame:
-    """(id, seq, size): reads merge by their collapsed sequence; the representative keeps its own sequence."""
-    merged = dereplicate(reads, S.homopolymer_collapse(F.col("seq")))
-    own = reads.select(F.col("id").alias("first_id"), "seq")
-    return merged.join(own, "first_id").select(F.col("first_id").alias("id"), "seq", "size")
+    """(id, seq, size): reads merge by their collapsed sequence; the representative, the least id of the largest size (then
+    the first sequence), keeps its own sequence. Ids may repeat."""
+    best = F.min(F.struct((-F.col("size")).alias("s"), "id", "seq"))
+    merged = reads.groupBy(S.homopolymer_collapse(F.col("seq")).alias("k")).agg(F.sum("size").alias("size"), best.alias("b"))
+    return merged.select("b.id", "b.seq", "size")
 
 
 def quality_filter(reads: DataFrame, max_ee: float | None = None, max_rate: float | None = 0.01, max_n: int = 4, max_run: int = 25) -> DataFrame:

@@ -111,3 +111,34 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         if new.filter("root <> was").isEmpty():
             return new.select("node", "root")
         now = new.select("node", "root")
+
+
+def followed(links: DataFrame) -> DataFrame:
+    """(node, root): the last node that links(node, next), one for each node and without circles, lead to. Each round follows
+    the roots found so far, which doubles the steps taken."""
+    now = settled(links.select("node", F.col("next").alias("root"), F.lit(True).alias("moved")))
+    while not now.filter("moved").isEmpty():
+        ahead = now.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        now = settled(now.join(ahead, "root", "left").select("node", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("moved")))
+    return now.select("node", "root")
+
+
+def grown(seqs: DataFrame, links: DataFrame) -> DataFrame:
+    """(seq, seed) of seqs(seq, size) and links(u, v): the first sequence, by falling size, then by sequence, from which links
+    lead to it without ever rising in size. In that order, each sequence that none before it reaches is a seed.
+
+    A round takes the least seed of the neighbours that are no smaller, and that seed's own seed; rounds number about the
+    logarithm of the longest path.
+    """
+    both = links.select("u", "v").union(links.select("v", "u"))
+    of = lambda side: seqs.select(F.col("seq").alias(side), F.col("size").alias(f"{side}_size"))
+    down = settled(both.join(of("u"), "u").join(of("v"), "v").filter("u_size >= v_size").select("u", "v").distinct())
+    now = settled(seqs.select("seq", F.struct((-F.col("size")).alias("s"), F.col("seq").alias("n")).alias("seed")))
+    while True:
+        near = down.join(now.select(F.col("seq").alias("u"), "seed"), "u").groupBy(F.col("v").alias("seq")).agg(F.min("seed").alias("near"))
+        step = now.join(near, "seq", "left").select("seq", F.col("seed").alias("was"), F.least("seed", F.coalesce("near", "seed")).alias("seed"))
+        jump = now.select(F.col("seq").alias("n"), F.col("seed").alias("far"))
+        new = settled(step.join(jump, step["seed.n"] == jump["n"]).select("seq", "was", F.least("seed", "far").alias("seed")))
+        if new.filter("seed <> was").isEmpty():
+            return new.select("seq", F.col("seed.n").alias("seed"))
+        now = new.select("seq", "seed")

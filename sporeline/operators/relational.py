@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sporeline.operators.ranks import running
+
 
 def by_abundance(rows: DataFrame) -> DataFrame:
     """O1: the most abundant first, then the best quality, then by id; unknown quality last."""
@@ -46,12 +48,9 @@ def merge_buckets(parts: list[DataFrame]) -> DataFrame:
 
 
 def ranks(totals: DataFrame) -> DataFrame:
-    """totals(OTU, total) with rank 1, 2, ... by falling total, then OTU. Equal totals are numbered within; totals, one
-    row for each distinct value, are summed before."""
-    sizes = totals.groupBy("total").agg(F.count("*").alias("n"))
-    before = sizes.select("total", (F.sum("n").over(W.orderBy(F.desc("total"))) - F.col("n")).alias("before"))
-    number = F.row_number().over(W.partitionBy("total").orderBy("OTU"))
-    return totals.join(before, "total").select("OTU", "total", (F.col("before") + number).alias("rank"))
+    """totals(OTU, total) with rank 1, 2, ... by falling total, then OTU."""
+    out = running(totals.select("OTU", "total"), [F.col("total").desc_nulls_last(), F.asc("OTU")], F.lit(1).cast("long"))
+    return out.select("OTU", "total", (F.col("before") + 1).alias("rank"))
 
 
 def ranked_export(sequences: DataFrame, rank: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
-from sporeline.operators import chimera, cluster, derep, graph, membership, models, otu, summary, tagjump, tags
+from sporeline.operators import chimera, cluster, denoise, derep, graph, membership, models, otu, summary, tagjump, tags
 
 
 @dataclass(frozen=True)
@@ -47,16 +47,20 @@ class Params:
     clustering: str = "greedy"
     otu_identity: float = 0.98
     unoise_alpha: float = 6.0
+    dada_omega_a: float = 1e-20
+    dada_omega_c: float = 1e-40
     otu_iddef: int = 2
     lulu: bool = False
     lulu_match: float = 0.95
     lulu_cooccurrence: float = 0.95
     lulu_ratio: float = 1.0
+    lulu_ratio_type: str = "min"
+    lulu_max_hits: int | None = None
 
     def __post_init__(self):
         if self.lulu and self.clustering == "none":
             raise ValueError("curation needs clustering")
-        if self.preclustering not in ("none", "unoise", "swarm", "homopolymer"):
+        if self.preclustering not in ("none", "unoise", "swarm", "homopolymer", "dada"):
             raise ValueError(f"preclustering: {self.preclustering}")
         if self.clustering not in ("none", "greedy", "swarm"):
             raise ValueError(f"clustering: {self.clustering}")
@@ -118,7 +122,11 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     if p.preclustering == "unoise":
         pre = cluster.unoise(unique, p.unoise_alpha)
     elif p.preclustering == "swarm":
-        pre = cluster.swarm(unique)
+        pre = cluster.swarm(unique, breaking=True)
+    elif p.preclustering == "dada":
+        learnt, near = denoise.learn(unique.withColumn("bucket", F.lit("")), p.dada_omega_a)
+        pre = denoise.infer(unique.withColumn("bucket", F.lit("")), learnt, p.dada_omega_a, p.dada_omega_c, near=near)
+        pre = graph.settled(pre.filter("centre is not null").select("seq", F.col("centre").alias("centroid")))
     elif p.preclustering == "homopolymer":
         key = S.homopolymer_collapse(F.col("seq"))
         best = unique.groupBy(key.alias("k")).agg(F.min(F.struct((-F.col("size")).alias("s"), "seq"))["seq"].alias("centroid"))
@@ -129,7 +137,7 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
     if p.clustering == "greedy":
         clust = cluster.greedy(sized, p.otu_identity, p.otu_iddef, both_strands=True)
     elif p.clustering == "swarm":
-        clust = cluster.swarm(sized)
+        clust = cluster.swarm(sized, breaking=True)
     else:
         clust = sized.select("seq", F.col("seq").alias("centroid"))
 
@@ -149,7 +157,7 @@ def step2(runs: list[DataFrame], p: Params = Params()) -> dict[str, DataFrame]:
         ends = lambda q, t: links.filter(F.col(f"{q}_coverage") >= 0.9).select(F.col(q).alias("q"), F.col(t).alias("t"), "identity")
         named = lambda side, as_: names.select(F.col("seq").alias(side), F.col("name").alias(as_))
         pairs = graph.settled(ends("u", "v").union(ends("v", "u")).join(named("q", "query"), "q").join(named("t", "parent"), "t").select("query", "parent", "identity"))
-        long = cluster.merge_curated(long, cluster.curate(long, pairs, p.lulu_cooccurrence, p.lulu_ratio))
+        long = cluster.merge_curated(long, cluster.curate(long, pairs, p.lulu_cooccurrence, p.lulu_ratio, p.lulu_ratio_type, p.lulu_max_hits))
     return {"membership": members, "long": long, "order": otu.ranked(long), "sequences": clust}
 
 
