@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
-from sporeline.operators import buckets, chimera, cluster, derep, graph, intervals, membership, models, otu, relational, summary, tagjump, tags
-from sporeline.plans import bind
+from sporeline.operators import buckets, chimera, cluster, denoise, derep, graph, intervals, membership, models, otu, relational, summary, tagjump, tags
+from sporeline.plans import bind, steps
 from sporeline.plans.bind import CELLS, DOCS, FAMILIES, HITS, OTU_SEQS, SCORED, cells, docs, families, hits, otu_sequences, scored, table
 
 _queries: dict[str, Callable] = {}
@@ -895,3 +895,128 @@ def reference_chimeras(spark, d):
     crossed = F.concat(half("(doc_id % 100 + 1) * 4", 1, 35), half("(doc_id % 100 + 2) * 4", 37, 44))
     own = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, crossed).otherwise(F.expr(bind._family("doc_id"))).alias("seq"))
     return models.reference_chimeras(own, known)
+
+
+# Similarity at all lengths, both strands, orders ------------------------------------------------------------------------
+
+_HASHED = "translate(concat(" + ", ".join(f"sha1(concat(cast({{key}} as string), '{c}'))" for c in "abcdefghijklmno") + f"), '{bind.HEX}', '{bind.BASES}')"
+_FLANK = "ACGTTGCAACGGTTAACCGATATCGGCATTACGGATCCAGTCAATGCCGTA" * 3
+
+
+def _long(key: str, duckdb: bool) -> str:
+    """Families of four by key, of 80, 200, 450 or 600 bases, the longer two with a flank of 150 that all share; members have
+    a base put in, one left out or two others."""
+    base = _HASHED.format(key=f"({key} {'//' if duckdb else 'div'} 4)")
+    if duckdb:
+        base = base.replace("as string", "as VARCHAR")
+    own = f"CASE ({key} {'//' if duckdb else 'div'} 4) % 4 WHEN 0 THEN substring({base}, 1, 80) WHEN 1 THEN substring({base}, 1, 200) WHEN 2 THEN concat(substring({base}, 1, 300), '{_FLANK}') ELSE concat(substring({base}, 1, 450), '{_FLANK}') END"
+    return own
+
+
+def _varied(b: str, key: str) -> str:
+    return f"""CASE {key} % 4 WHEN 0 THEN {b} WHEN 1 THEN concat(substring({b}, 1, 30), 'A', substring({b}, 31, 600)) WHEN 2 THEN concat(substring({b}, 1, 50), substring({b}, 52, 600))
+        ELSE concat(substring({b}, 1, 9), 'C', substring({b}, 11, 59), 'T', substring({b}, 71, 600)) END"""
+
+
+def _long_sequences(spark, d):
+    base = table(spark, d, "supplier").select("s_suppkey", F.expr(_long("s_suppkey", False)).alias("b"))
+    return base.select(F.expr(_varied("b", "s_suppkey")).alias("seq")).distinct()
+
+
+@query(f"""WITH b AS (SELECT s_suppkey, {_long('s_suppkey', True)} AS b FROM supplier), s AS (SELECT DISTINCT {_varied('b', 's_suppkey')} AS s FROM b),
+p AS (SELECT a.s AS u, c.s AS v, 1.0::DOUBLE - levenshtein(a.s, c.s) / greatest(length(a.s), length(c.s))::DOUBLE AS identity FROM s a JOIN s c ON a.s < c.s AND least(length(a.s), length(c.s)) >= 0.97 * greatest(length(a.s), length(c.s)))
+SELECT u, v, identity FROM p WHERE identity >= 0.97""")
+def match_list_lengths(spark, d):
+    return graph.similar(_long_sequences(spark, d), 0.97)
+
+
+@query()
+def match_list_aligned(spark, d):
+    """J30 by alignment: definition 1, with the coverage of both."""
+    return graph.matches(_long_sequences(spark, d), 0.95, 1)
+
+
+def _turned(spark, d):
+    """Every third family member stands on the other strand."""
+    turned = F.when(F.col("doc_id") % 3 == 0, S.revcomp(F.col("seq"))).otherwise(F.col("seq"))
+    return families(spark, d).withColumn("seq", turned)
+
+
+@query()
+def clusters_both_strands(spark, d):
+    return cluster.greedy(_turned(spark, d).groupBy("seq").agg(F.sum("size").alias("size")), 0.97, 2, both_strands=True)
+
+
+@query()
+def contained_both_strands(spark, d):
+    return cluster.contained(_turned(spark, d).groupBy("seq").agg(F.sum("size").alias("size")), both_strands=True)
+
+
+@query()
+def linclust_covered(spark, d):
+    return cluster.linclust(_distinct(spark, d), 15, 20, 0.9, coverage=0.8, definition=2)
+
+
+@query()
+def clusters_by_sample(spark, d):
+    return cluster.greedy_by_sample(_turned(spark, d).groupBy("SampleID", "seq").agg(F.sum("size").alias("size")), 0.97, 2, both_strands=True)
+
+
+@query(f"""WITH {DOCS}, r AS (SELECT SampleID, CASE WHEN doc_id % 3 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq, 1 + doc_id % 4 AS n FROM docs),
+c AS (SELECT *, sha1(seq) AS SeqID, least(seq, reverse(translate(seq, 'ACGT', 'TGCA'))) AS k FROM r), i AS (SELECT k, SeqID, sum(n) AS n FROM c GROUP BY ALL),
+m AS (SELECT k, min(struct_pack(a := -n, b := SeqID)).b AS OTU FROM i GROUP BY k)
+SELECT OTU, SampleID, sum(n)::BIGINT AS Abundance FROM c JOIN m USING (k) GROUP BY ALL""")
+def step2_long(spark, d):
+    """Step 2 without clustering: strands are one sequence, named by its most abundant SeqID."""
+    seq = F.when(F.col("doc_id") % 3 == 0, S.revcomp(F.col("seq"))).otherwise(F.col("seq"))
+    rows = docs(spark, d).select("SampleID", seq.alias("Sequence"), (1 + F.col("doc_id") % 4).cast("long").alias("n"))
+    cells_ = rows.groupBy("SampleID", "Sequence").agg(F.sum("n").alias("Abundance")).withColumns({"SeqID": F.sha1("Sequence"), "PhredScore": F.lit(40.0), "MaxEE": F.lit(0.1), "MEEP": F.lit(0.1), "DeNovo_Chimera_Score": F.lit(None).cast("double")})
+    return steps.step2([cells_], steps.Params(clustering="none"))["long"]
+
+
+@query(f"""WITH RECURSIVE {FAMILIES}, s AS MATERIALIZED (SELECT seq AS s, sum(CASE WHEN doc_id % 4 = 2 THEN 9 ELSE size END)::BIGINT AS n FROM families GROUP BY 1),
+e AS MATERIALIZED (SELECT a.s AS u, b.s AS v FROM s a JOIN s b ON a.n >= b.n AND a.s <> b.s AND levenshtein(a.s, b.s) <= 2),
+r AS (SELECT s AS node, s AS root FROM s UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node)
+SELECT node AS seq, min(struct_pack(a := -n, b := root)).b AS centroid FROM r JOIN s ON s.s = r.root GROUP BY node""")
+def swarm_broken(spark, d):
+    sized = families(spark, d).groupBy("seq").agg(F.sum(F.when(F.col("doc_id") % 4 == 2, 9).otherwise(F.col("size"))).alias("size"))
+    return cluster.swarm(sized, 2, breaking=True)
+
+
+@query(f"""WITH RECURSIVE {OTU_SEQS}, c AS (SELECT l_partkey AS OTU, l_suppkey AS SampleID, sum(CAST(l_quantity AS BIGINT))::BIGINT AS n FROM lineitem GROUP BY ALL),
+t AS MATERIALIZED (SELECT OTU, struct_pack(s := -count(*), t := -sum(n), o := OTU) AS k FROM c GROUP BY OTU),
+pp AS MATERIALIZED (SELECT a.OTU AS x, b.OTU AS y, 1.0::DOUBLE - levenshtein(a.seq, b.seq) / greatest(length(a.seq), length(b.seq))::DOUBLE AS i FROM otus a JOIN otus b ON a.seq < b.seq AND 1.0::DOUBLE - levenshtein(a.seq, b.seq) / greatest(length(a.seq), length(b.seq))::DOUBLE >= 0.95),
+p AS (SELECT x AS q, y AS p, i FROM pp UNION ALL SELECT y, x, i FROM pp),
+o AS (SELECT p.q, p.p, p.i, tp.k FROM p JOIN t tq ON tq.OTU = p.q JOIN t tp ON tp.OTU = p.p WHERE tp.k < tq.k),
+g AS (SELECT o.q, o.p, o.i, o.k FROM o JOIN c a ON a.OTU = o.q LEFT JOIN c b ON b.OTU = o.p AND b.SampleID = a.SampleID GROUP BY ALL HAVING count(b.n) >= 0.05 * count(*) AND avg(b.n / a.n::DOUBLE) > 0.3),
+f AS MATERIALIZED (SELECT q, min(struct_pack(i := -i, k := k, p := p)).p AS p FROM g GROUP BY q),
+r AS (SELECT OTU, OTU AS parent FROM t UNION ALL SELECT r.OTU, f.p FROM r JOIN f ON f.q = r.parent)
+SELECT OTU, parent FROM r WHERE parent NOT IN (SELECT q FROM f)""")
+def curated_parents(spark, d):
+    c, pairs = _lulu(spark, d)
+    return cluster.curate(c, pairs, 0.05, 0.3, "avg")
+
+
+@query()
+def packed_in_bulk(spark, d):
+    """Packing of which all but 20 clusters are dealt in bulk."""
+    stats = buckets.cluster_stats(_clusters(spark, d))
+    return buckets.bucket_summary(stats, buckets.pack(stats, 8, head=20))
+
+
+@query()
+def dada_infer(spark, d):
+    """Families with sizes of errors by source: true sequences and what is read from them."""
+    rows = families(spark, d).withColumn("n", F.when(F.col("doc_id") % 4 == 3, F.lit(1)).otherwise(F.col("size") * 3).cast("long"))
+    derep = rows.select(F.coalesce("SampleID", F.lit("")).alias("bucket"), F.col("doc_id").cast("string").alias("id"), "seq", F.col("n").alias("size"))
+    return denoise.denoise(derep)
+
+
+@query()
+def pair_merge_quality(spark, d):
+    """Ends that overlap by 30 bases and differ in some of them, by quality."""
+    r = docs(spark, d)
+    other = F.concat(F.substring("seq", 26, 10), F.translate(F.substring("seq", 36, 1), "ACGT", "CATG"), F.substring("seq", 37, 44))
+    qual = F.concat("qual", F.reverse("qual"))
+    pairs = r.select(F.col("doc_id").alias("id"), F.substring("seq", 1, 55).alias("r1"), F.substring(qual, 1, 55).alias("q1"), S.revcomp(F.when(F.col("doc_id") % 2 == 0, other).otherwise(F.substring("seq", 26, 55))).alias("r2"), F.substring(qual, 20, 55).alias("q2"))
+    return cluster.merge_pairs_by_quality(pairs, least=25, most_diff=2)
