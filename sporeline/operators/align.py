@@ -220,3 +220,39 @@ def transitions(us: list[bytes], vs: list[bytes], low: np.ndarray, high: np.ndar
             lot.append(x)
             cells += (len(us[x]) + 1) * (int(high[x]) - int(low[x]) + 1 + abs(len(us[x]) - len(vs[x])))
     return out
+
+
+class Local(NamedTuple):
+    """The usual scores of barcode calling."""
+
+    match: int = 4
+    mismatch: int = 13
+    insertion: int = 7  # a base of the read that the tag lacks
+    deletion: int = 7  # a base of the tag that the read lacks
+
+
+def local(tags: list[bytes], reads: list[bytes], s: Local = Local()) -> np.ndarray:
+    """(score, tag bases, stop) of the best local alignment of each tag with its read: the highest score, then the most tag
+    bases, then the first end; stop is the place after it in the read. All pairs go through the table together."""
+    width, rows = max(map(len, reads), default=0), max(map(len, tags), default=0)
+    t, r = _matrix(tags, rows), _matrix(reads, width)
+    unit = 1 << 20
+    k = np.arange(width + 1)
+    cell = np.zeros((len(tags), width + 1), np.int64)
+    best, stop = np.zeros(len(tags), np.int64), np.zeros(len(tags), np.int64)
+    for i in range(rows):
+        same = (t[:, i : i + 1] == r) & (r > 0)
+        new = np.zeros_like(cell)
+        new[:, 1:] = cell[:, :-1] + np.where(same, s.match * unit, -s.mismatch * unit) + 1
+        new[:, 1:][r == 0] = 0
+        new = np.maximum(np.maximum(new, cell - s.deletion * unit + 1), 0)
+        new = np.maximum(new, np.maximum.accumulate(new + s.insertion * unit * k, 1) - s.insertion * unit * k)
+        new[new < unit] = 0
+        new[:, 1:][r == 0] = 0
+        new[t[:, i] == 0] = 0
+        at = new.argmax(1)
+        top = new[np.arange(len(tags)), at]
+        better = (top > best) | ((top == best) & (top > 0) & (at < stop))
+        best[better], stop[better] = top[better], at[better]
+        cell = new
+    return np.stack([best // unit, best % unit, stop], 1)
