@@ -4,14 +4,17 @@ First pass: each page's containers are scored by the running text in them; a con
 classes, with digits generalised, and the page votes for the path of its best container. Spark adds up the votes per
 host and path, and the path with most votes wins its host. Second pass: each page is extracted from the containers at its
 host's winning path; where a page has none, or no text in them, from the container that it scores best itself. Menus,
-notices, adverts, comments and the like are left out wherever they stand; but a form or an element left out for its
-classes alone that holds over half of the page's running text is a wrapper around the page, and stays.
+notices, adverts, comments and the like are left out wherever they stand. In an article, a paragraph, heading, list item or
+cell is left out for its classes only if one of them consists of such words alone. A form or an element left out for its
+classes alone is a wrapper around the page, and stays, if it holds over half of the page's running text and what is marked
+most clearly as the page's main part: an article or main element, or else a container with a class like content, or else
+nothing is marked.
 
 Votes are added up before they are shuffled, at most one row for each path of a task's hosts; winners are one row for
 each host, joined with a salt so that a host with very many pages is dealt over several tasks.
 
 Defined cases: a null or empty html has an empty text; a null url has host '' and shares that host's consensus;
-repeated rows are votes of their own and are extracted alike; an empty table gives an empty result; html may be cut off
+repeated rows are votes of their own and are extracted alike (all with one url and id share a salt); an empty table gives an empty result; html may be cut off
 anywhere; very long and very deep pages take linear time and memory; columns other than page_id, url and html are dropped.
 """
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sporeline.llm.common import settle, table
 
-# Elements by how they are handled, and words in classes, ids and roles.
+# Elements by how they are handled.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template textarea select iframe object svg math canvas audio video title head".split())
 BLOCKS = frozenset(
@@ -36,6 +40,9 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset("html body article main section div td center".split())
 ASIDE = frozenset("nav footer aside form button menu dialog".split())
+#: Elements that hold text themselves.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption caption".split())
+# Words in classes, ids and roles that mark what isn't the page's main part: a choice, made by how pages are built.
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion sidebar side menu nav navbar "
     "navigation breadcrumb breadcrumbs footer foot comment comments reply replies respond disqus cookie cookies consent gdpr "
@@ -48,7 +55,7 @@ MODIFIERS = frozenset("has with without no not is".split())
 NEVER_MAIN = frozenset("comment comments reply replies respond disqus related recommended recommendations".split())
 TOP_WORDS = frozenset("header head topbar top".split())
 MAIN_WORDS = frozenset("article content post entry story main text body page".split())
-CLOSED_BY_BLOCK = frozenset(("p",))
+ITEMS, LISTS = frozenset("li dd dt td th tr".split()), frozenset("ul ol dl table".split())
 
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)", re.S)
 _attr = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -66,11 +73,12 @@ class Page:
     """Blocks and containers of a page.
 
     containers: [step, parent, depth, bonus]; a step is a tag and class, and the steps from the root are the path.
-    asides: [outer aside or -1, whether it may be a wrapper]; blocks: (container, text, link characters, aside or -1).
+    marks: how clearly each container is marked as the main part, and the aside that it is in; asides: [outer aside or -1, whether it may be a wrapper]; blocks: (container, text, link characters, aside or -1).
     """
 
     def __init__(self, source: str):
         self.containers: list[tuple[str, int, int, float]] = [("", -1, 0, 1.0)]
+        self.marks: list[tuple[int, int]] = [(0, -1)]
         self.asides: list[tuple[int, bool]] = []
         self.blocks: list[tuple[int, str, int, int]] = []
         self._parse(source)
@@ -83,18 +91,50 @@ class Page:
             held[aside] += max(0, len(text) - 2 * linked)
         for k in range(len(self.asides) - 1, -1, -1):
             held[self.asides[k][0]] += held[k]
+        within = [0.0] * len(self.containers)
+        for c, text, linked, _ in self.blocks:
+            within[c] += max(0, len(text) - 2 * linked)
+        for k in range(len(within) - 1, 0, -1):
+            within[self.containers[k][1]] += within[k]
+        usable = [True] * (len(self.asides) + 1)  # no aside around is one for certain
+        for k, (outer, wrapper) in enumerate(self.asides):
+            usable[k] = wrapper and usable[outer]
+        marked = [(mark, aside) for (mark, aside), n in zip(self.marks, within) if n > 0 and usable[aside]]
+        most = max((mark for mark, _ in marked), default=0)
+        has = [not most] * (len(self.asides) + 1)
+        for mark, aside in marked:
+            if mark == most:
+                has[aside] = True
+        for k in range(len(self.asides) - 1, -1, -1):
+            has[self.asides[k][0]] |= has[k]
         dead = [True] * len(self.asides) + [False]
         for k, (outer, wrapper) in enumerate(self.asides):
-            dead[k] = dead[outer] or not (wrapper and 2 * held[k] > held[-1])
+            dead[k] = dead[outer] or not (wrapper and has[k] and 2 * held[k] > held[-1])
         self.blocks = [(c, text, linked, dead[aside]) for c, text, linked, aside in self.blocks]
 
     def _parse(self, s: str) -> None:
         # An open element: (tag, container, aside, in the article, in a link)
         stack: list[tuple[str, int, int, bool, bool]] = [("", 0, -1, False, False)]
+        # Of the open elements: places of those at which a block's start looks, blocks by name, and inline ones by name
+        # within each open block; so an end tag that closes nothing costs no search.
+        marks: list[int] = []
+        blocks: Counter = Counter()
+        inline: list[Counter] = [Counter()]
         text: list[str] = []
         linked = 0
         at, end = 0, len(s)
 
+        def close(k: int) -> None:
+            for gone in reversed(stack[k:]):
+                if gone[0] in BLOCKS:
+                    inline.pop()
+                    blocks[gone[0]] -= 1
+                else:
+                    inline[-1][gone[0]] -= 1
+            del stack[k:]
+            while marks and marks[-1] >= k:
+                marks.pop()
+
         def flush() -> None:
             nonlocal linked
             if text:
@@ -122,22 +162,20 @@ class Page:
             if m[1]:
                 if tag in BLOCKS:
                     flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        if tag not in BLOCKS or len(stack) - k < 200:
-                            del stack[k:]
-                        break
-                    if tag not in BLOCKS and stack[k][0] in BLOCKS:
-                        break  # an inline end tag doesn't close blocks
+                if (blocks if tag in BLOCKS else inline[-1])[tag] > 0:  # an inline end tag doesn't close blocks
+                    k = len(stack) - 1
+                    while stack[k][0] != tag:
+                        k -= 1
+                    close(k)
                 continue
             if tag in BLOCKS:
                 flush()
-                for k in range(len(stack) - 1, 0, -1):
+                for k in reversed(marks):
                     # A paragraph ends where a block begins, a list item where the next does.
-                    if stack[k][0] == "p" or (stack[k][0] == tag and tag in ("li", "dd", "dt", "td", "th", "tr")):
-                        del stack[k:]
+                    if stack[k][0] == "p" or (stack[k][0] == tag and tag in ITEMS):
+                        close(k)
                         break
-                    if stack[k][0] in CONTAINERS or stack[k][0] in ("ul", "ol", "dl", "table"):
+                    if stack[k][0] not in ITEMS:
                         break
             if tag in VOID:
                 if tag in ("br", "hr"):
@@ -146,19 +184,19 @@ class Page:
             if tag in RAW:
                 if m[3].rstrip().endswith("/"):
                     continue
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(s, at)
-                if tag == "head" and not close:
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(s, at)
+                if tag == "head" and not stop:
                     continue
-                at = close.end() if close else end
+                at = stop.end() if stop else end
                 continue
             parent = stack[-1]
-            names, hidden, first = self._names(m[3]) if m[3] else ((), False, "")
+            names, hidden, first, whole = self._names(m[3]) if m[3] else ((), False, "", False)
             in_article = parent[3] or tag in ("article", "main")
-            never = hidden or not NEVER_MAIN.isdisjoint(names)
+            never = hidden or (whole if in_article and tag in LEAVES else not NEVER_MAIN.isdisjoint(names))
             out = named = False
             if tag not in ("html", "body", "article", "main"):
                 out = hidden or tag in ASIDE
-                named = not ASIDE_WORDS.isdisjoint(names)
+                named = whole if in_article and tag in LEAVES else not ASIDE_WORDS.isdisjoint(names)
                 if not in_article:
                     out = out or tag == "header"
                     named = named or not TOP_WORDS.isdisjoint(names)
@@ -173,15 +211,24 @@ class Page:
                 bonus = 1.5 if tag in ("article", "main") else 1.25 if not MAIN_WORDS.isdisjoint(names) and tag != "body" else 1.0
                 step = tag + (f".{_digits.sub('#', first).replace('/', '|')}" if first else "")
                 self.containers.append((step, container, self.containers[container][2] + 1, bonus))
+                self.marks.append((2 if tag in ("article", "main") else 1 if bonus > 1 else 0, aside))
                 container = len(self.containers) - 1
+            if tag in BLOCKS:
+                blocks[tag] += 1
+                inline.append(Counter())
+            else:
+                inline[-1][tag] += 1
+            if tag == "p" or tag in ITEMS or tag in CONTAINERS or tag in LISTS:
+                marks.append(len(stack))
             stack.append((tag, container, aside, in_article, parent[4] or tag == "a"))
         flush()
 
     @staticmethod
-    def _names(attributes: str) -> tuple[list[str], bool, str]:
-        """Words of class, id and role; whether the element isn't shown; its first class."""
+    def _names(attributes: str) -> tuple[list[str], bool, str, bool]:
+        """Words of class, id and role; whether the element isn't shown; its first class; whether a class has only words of
+        asides."""
         names: list[str] = []
-        out, first = False, ""
+        out, first, whole = False, "", False
         for m in _attr.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -193,9 +240,10 @@ class Page:
                     parts = [x.lower() for x in _parts(token)]
                     if parts and parts[0] not in MODIFIERS:  # has-sidebar is no sidebar
                         names += parts
+                        whole |= key == "class" and ASIDE_WORDS.issuperset(parts)
                 if key == "class" and value.split():
                     first = value.split()[0]
-        return names, out, first
+        return names, out, first, whole
 
     def scores(self) -> list[float]:
         """Of each container: its running text without links, by its kind; deeper ones win ties."""
