@@ -160,9 +160,32 @@ def join_quality(q1: Column, q2: Column, pad: str = "I" * 8) -> Column:
     return F.concat(q1, F.lit(pad), F.reverse(q2))
 
 
+def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
+    """Latin letters up to U+017F and what they are without marks: one letter for one, and those that become two."""
+    import unicodedata
+
+    #: Letters that aren't another one with a mark.
+    one = dict(zip("ØøĐđŁłĦħŊŋıſ", "OoDdLlHhNnis"))
+    two = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "Th", "þ": "th"}
+    for c in map(chr, range(0xC0, 0x180)):
+        base = unicodedata.normalize("NFKD", c)[0]
+        if base != c and base.isascii() and base.isalpha():
+            one[c] = base
+    return one, two
+
+
+def plain(text: Column) -> Column:
+    """Latin letters without their marks."""
+    one, two = _plain_letters()
+    for c, letters in two.items():
+        text = F.replace(text, F.lit(c), F.lit(letters))
+    return F.translate(text, "".join(one), "".join(one.values()))
+
+
 def safe_name(name: Column) -> Column:
-    """A sample name of letters, digits and underscores: trimmed, runs squeezed, only the first '__' kept."""
-    s = F.regexp_replace(F.trim(name), r"\s+", " ")
+    """A sample name of letters, digits and underscores: trimmed, marks taken off letters, runs squeezed, only the first '__'
+    kept."""
+    s = F.regexp_replace(plain(F.trim(name)), r"\s+", " ")
     head = F.substring_index(s, "__", 1)
     tail = F.when(F.instr(s, "__") > 0, F.substring(s, F.instr(s, "__") + 2, F.length(s)))
     clean = lambda x: F.regexp_replace(F.regexp_replace(x, "[^A-Za-z0-9]", "_"), "_+", "_")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sporeline.functions import seq as S
 from sporeline.operators.ranks import running
 
 
@@ -201,3 +202,59 @@ def tag_report(tags: DataFrame) -> DataFrame:
         one = found.agg(F.lit(label).alias("check"), F.count("*").alias("n"))
         out = one if out is None else out.union(one)
     return out
+
+
+def by_meep(reads: DataFrame) -> DataFrame:
+    """reads(id, seq, qual, ...) by rising share of expected errors, then id; those without qualities last."""
+    share = S.meep(S.expected_errors(F.col("qual")), F.length("qual"))
+    return reads.orderBy(share.asc_nulls_last(), F.col("id").asc_nulls_last())
+
+
+def best_reads(reads: DataFrame) -> DataFrame:
+    """O8 with D19: (seq, size, id, meep): reads(id, seq, qual) dereplicated, each sequence by its read of the least share of
+    expected errors, then the least id. An aggregate stands for the sort before dereplication."""
+    share = S.meep(S.expected_errors(F.col("qual")), F.length("qual")).alias("meep")
+    rows = reads.select("seq", "id", share, share.isNull().alias("unknown"))
+    best = F.min(F.struct("unknown", "meep", "id")).alias("b")
+    return rows.groupBy("seq").agg(F.count("*").alias("size"), best).select("seq", "size", "b.id", "b.meep")
+
+
+#: Checks of tags that make a run senseless; the others are warnings.
+ERRORS = ("repeated_name", "repeated_pair", "odd_characters", "no_tag")
+
+
+def tag_findings(tags: DataFrame) -> DataFrame:
+    """(severity, check, sample, detail) of tags(sample, tag1, tag2), tag2 null where there is one tag: a row for each sample
+    that shares its cleaned name or its tags with another, has no tag or one with other characters than nucleotide codes
+    (errors), has a tag of another length than most or a name that is changed by cleaning (warnings), and a row each for
+    a missing positive and negative control (warnings, sample null)."""
+    clean = S.safe_name(F.col("sample"))
+    rows = tags.select("sample", F.upper("tag1").alias("tag1"), F.upper("tag2").alias("tag2"), clean.alias("name"))
+    each = rows.select("sample", F.explode(F.array("tag1", "tag2")).alias("tag")).filter("tag <> ''")
+    counts = each.groupBy(F.length("tag").alias("l")).agg(F.count("*").alias("n"))
+    usual = counts.agg(F.max(F.struct("n", (-F.col("l")).alias("l")))["l"].alias("l"))
+    shared = lambda *keys: rows.join(rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n")).filter("_n > 1"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    row = lambda df, check, detail: df.select(F.lit("error" if check in ERRORS else "warning").alias("severity"), F.lit(check).alias("check"), "sample", detail.alias("detail"))
+    pair = F.concat_ws("--", "tag1", "tag2")
+    parts = [
+        row(shared("name"), "repeated_name", F.col("name")), row(shared("tag1", "tag2").filter("tag1 <> ''"), "repeated_pair", pair),
+        row(each.filter(~F.col("tag").rlike("^[ACGTURYSWKMBDHVNI]+$")), "odd_characters", F.col("tag")),
+        row(rows.filter("coalesce(tag1, '') = ''"), "no_tag", F.lit("")),
+        row(each.join(F.broadcast(usual), F.length("tag") != -F.col("l"), "left_semi"), "odd_length", F.col("tag")),
+        row(rows.filter("name <> sample"), "renamed", F.col("name")),
+    ]
+    kinds = rows.agg(*[F.coalesce(F.bool_or(F.col("sample").contains(k)), F.lit(False)).alias(k) for k in ("PosC", "NegC")])
+    for k in ("PosC", "NegC"):
+        parts.append(row(kinds.filter(~F.col(k)).withColumn("sample", F.lit(None).cast("string")), "no_control", F.lit(k)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.distinct()
+
+
+def require_valid(tags: DataFrame) -> DataFrame:
+    """tags, or an error that lists the first offenders."""
+    bad = tag_findings(tags).filter("severity = 'error'").orderBy("check", "sample", "detail").limit(5).collect()
+    if bad:
+        raise ValueError("tags: " + "; ".join(f"{r.check}: {r.sample} {r.detail}" for r in bad))
+    return tags

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
-from sporeline.operators import buckets, chimera, cluster, denoise, derep, graph, intervals, membership, models, otu, relational, summary, tagjump, tags
+from sporeline.operators import barcodes, buckets, chimera, cluster, denoise, derep, graph, intervals, membership, models, otu, profile, relational, summary, tagjump, tags
 from sporeline.plans import bind, steps
 from sporeline.plans.bind import CELLS, DOCS, FAMILIES, HITS, OTU_SEQS, SCORED, cells, docs, families, hits, otu_sequences, scored, table
 
@@ -1020,3 +1020,48 @@ def pair_merge_quality(spark, d):
     qual = F.concat("qual", F.reverse("qual"))
     pairs = r.select(F.col("doc_id").alias("id"), F.substring("seq", 1, 55).alias("r1"), F.substring(qual, 1, 55).alias("q1"), S.revcomp(F.when(F.col("doc_id") % 2 == 0, other).otherwise(F.substring("seq", 26, 55))).alias("r2"), F.substring(qual, 20, 55).alias("q2"))
     return cluster.merge_pairs_by_quality(pairs, least=25, most_diff=2)
+
+
+@query(f"""WITH {DOCS}, m AS (SELECT seq, doc_id AS id, 100 * list_sum(list_transform(range(1, length(qual) + 1), lambda i: power(10, (33 - ord(substring(qual, i, 1))) / 10.0::DOUBLE))) / length(qual) AS meep FROM docs)
+SELECT seq, count(*) AS size, min(struct_pack(a := round(meep, 6), b := id)).b AS id, round(min(meep), 6) AS meep FROM m GROUP BY seq""")
+def best_reads(spark, d):
+    out = relational.best_reads(docs(spark, d).select(F.col("doc_id").alias("id"), "seq", "qual"))
+    return out.withColumn("meep", F.round("meep", 6))
+
+
+_PLANTED = {"SSU_end": "ACCTGCGGAAGGATCATTA", "S58_start": "AACTTTCAACAACGGATCTCTTGG", "S58_end": "GAGTGTCATTAAATTCTCAACC", "LSU_start": "TGACCTCAAATCAGGTAGGACTACC"}
+_REGION = "concat(substring(seq, 1, 12), '{SSU_end}', substring(seq, 13, 20), '{S58_start}', substring(seq, 33, 16), '{S58_end}', substring(seq, 49, 20), '{LSU_start}', substring(seq, 69, 12))".format(**_PLANTED)
+
+
+@query(f"""WITH {DOCS} SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, 'SSU: 1-31' AS SSU, 'ITS1: 32-51' AS ITS1, '5.8S: 52-113' AS S58, 'ITS2: 114-133' AS ITS2, 'LSU: 134-170' AS LSU FROM docs""")
+def profile_regions(spark, d):
+    """Regions between conserved stretches put into documents' sequences, every other one reversed, by profiles of the stretches."""
+    known = [profile.of_consensus(n, s) for n, s in _PLANTED.items()]
+    own = docs(spark, d).select(F.col("doc_id").alias("id"), F.expr(_REGION).alias("seq"))
+    own = own.withColumn("seq", F.when(F.col("id") % 2 == 0, F.col("seq")).otherwise(S.revcomp(F.col("seq"))))
+    return profile.regions(own, known, 20.0).drop("length")
+
+
+@query("""WITH t AS (SELECT c_custkey, c_name || CASE WHEN c_custkey % 7 = 0 THEN ' é' ELSE '' END AS sample, upper(substring(translate(sha1(c_mktsegment || (c_custkey // 3)::VARCHAR), '0123456789abcdef', 'ACGTACGTACGTACGX'), 1, CASE WHEN c_custkey % 40 = 0 THEN 5 ELSE 6 END)) AS tag1 FROM customer),
+n AS (SELECT *, replace(replace(replace(sample, '#', '_'), ' ', '_'), 'é', 'e') AS name FROM t)
+SELECT 'error' AS severity, 'repeated_pair' AS "check", sample, tag1 AS detail FROM n WHERE tag1 IN (SELECT tag1 FROM n GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'error', 'odd_characters', sample, tag1 FROM n WHERE tag1 LIKE '%X%' UNION ALL SELECT 'warning', 'odd_length', sample, tag1 FROM n WHERE length(tag1) <> 6
+UNION ALL SELECT 'warning', 'renamed', sample, name FROM n WHERE name <> sample UNION ALL SELECT 'warning', 'no_control', NULL, 'PosC' UNION ALL SELECT 'warning', 'no_control', NULL, 'NegC'""")
+def tag_findings(spark, d):
+    code = F.translate(F.sha1(F.expr("concat(c_mktsegment, cast(c_custkey div 3 as string))")), bind.HEX, "ACGTACGTACGTACGX")
+    first = F.when(F.col("c_custkey") % 40 == 0, F.substring(code, 1, 5)).otherwise(F.substring(code, 1, 6))
+    name = F.concat("c_name", F.when(F.col("c_custkey") % 7 == 0, " é").otherwise(""))
+    return relational.tag_findings(table(spark, d, "customer").select(name.alias("sample"), first.alias("tag1"), F.lit(None).cast("string").alias("tag2")))
+
+
+@query()
+def demultiplex_aligned(spark, d):
+    """Reads with tags of 12 to 16 bases at both ends, some with an error, called by local alignment."""
+    parts = ["ACGTACCTGATC", "TTGACCAGTACAGG", "GGCATTCCAGATTACA", "CATGCGTTAACC"]
+    known = spark.createDataFrame([(f"t{i}", t) for i, t in enumerate(parts)], "tag string, seq string")
+    samples = spark.createDataFrame([("a", "t0", "t0"), ("b", "t1", "t2"), ("c", "t3", "t3")], "sample string, tag1 string, tag2 string")
+    pick = lambda i: F.get(F.array(*map(F.lit, parts)), i.cast("int"))
+    one, two = F.col("doc_id") % 4, (F.col("doc_id") % 4 + F.floor(F.col("doc_id") / 4) % 2) % 4
+    damaged = lambda x: F.when(F.col("doc_id") % 5 == 0, F.concat(F.substring(x, 1, 6), F.expr("'A'"), F.substring(x, 7, 20))).otherwise(x)
+    r = docs(spark, d).select(F.col("doc_id").alias("id"), F.concat(damaged(pick(one)), "seq", S.revcomp(pick(two))).alias("seq"))
+    return barcodes.demultiplex_aligned(r, known, samples, window=40)
