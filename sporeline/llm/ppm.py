@@ -139,7 +139,7 @@ class Lookup:
 class _Counts:
     """Keys and their counts, added up whenever PENDING new ones have come, so no more than these are held twice."""
 
-    PENDING = 1_500_000
+    PENDING = 500_000
 
     def __init__(self):
         self.keys, self.counts, self.pending = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
