@@ -1,8 +1,8 @@
 """Token ids in ORC files, in the order of document ids.
 
 Documents are dealt by ranges of doc_id (a shuffle of the texts; the ranges come from a sample of the ids and only set
-the files' sizes), sorted within a range, encoded there and written: one file per range, so the files in order hold all
-ids in ascending order. ORC stores the ids with integer run-length encoding, with row indexes and a Bloom filter on
+the files' sizes, their number comes from the texts' bytes), sorted within a range, encoded there and written: one file
+per range, so the files in order hold all ids in ascending order. ORC stores the ids with integer run-length encoding, with row indexes and a Bloom filter on
 doc_id, so a reader takes stripes in parallel and skips those that can't hold a wanted document.
 
 Defined cases: a null text is an empty text, whose only id is the end id; a null doc_id comes first; rows with one
@@ -28,6 +28,8 @@ from sporeline.llm.common import batches_of, settle, shared_dir, table
 
 #: Words in a generation of a worker's memory, which holds two; at about 40 bytes each, 50 MB while they are looked up.
 REMEMBERED = 600_000
+#: Bytes of texts for which there is a file, about; there are as many files as shuffle partitions at least.
+FILE_BYTES = 32_000_000
 #: Bytes of texts encoded at once, about.
 BATCH_BYTES = 16_000_000
 SCHEMA = "doc_id long, place long, ids array<int>"
@@ -193,7 +195,9 @@ def write(docs: DataFrame, spec: str, path: str, end_id: int, stride: int = 1_00
                 place += len(n)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    ranged = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // FILE_BYTES))
+    ranged = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     (
         ranged.mapInArrow(run, SCHEMA)
         .write.option("compression", "zstd")
@@ -211,6 +215,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_name").alias("file"), "doc_id", "place", "ids")
 
 
+def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of a few documents: the ids are pushed down to the files' statistics, row indexes and Bloom filters, so
+    stripes and groups of rows that can't hold them aren't read."""
+    return read(spark, path).filter(F.col("doc_id").isin(doc_ids)).select("doc_id", "ids")
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = b.column(3)
