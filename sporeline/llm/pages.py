@@ -14,7 +14,7 @@ Votes are added up before they are shuffled, at most one row for each path of a
 each host, joined with a salt so that a host with very many pages is dealt over several tasks.
 
 Defined cases: a null or empty html has an empty text; a null url has host '' and shares that host's consensus;
-repeated rows are votes of their own and are extracted alike (all with one url and id share a salt); an empty table gives an empty result; html may be cut off
+repeated rows are votes of their own and are extracted alike; an empty table gives an empty result; html may be cut off
 anywhere; very long and very deep pages take linear time and memory; columns other than page_id, url and html are dropped.
 """
 
@@ -335,7 +335,7 @@ def extract(pages: DataFrame, salts: int = 8) -> DataFrame:
     """(page_id, url, text, n_chars) of pages(page_id, url, html)."""
     won = settle(winners(pages)).select(F.col("host").alias("_h"), F.col("path"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    rows = pages.select("page_id", "url", "html", host.alias("_host"), F.pmod(F.xxhash64("url", "page_id"), F.lit(salts)).cast("int").alias("_salt"))
+    rows = pages.select("page_id", "url", "html", host.alias("_host"), F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int").alias("_salt"))
     found = rows.join(won, (F.col("_host") == F.col("_h")) & (F.col("_salt") == F.col("_s")), "left")
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
     return found.select("page_id", "url", "html", "path").mapInArrow(_extract, schema)
