@@ -30,8 +30,9 @@ CELLS = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def edits(length: int, identity: float) -> int:
-    return int((1 - identity) / identity * length + 1e-9)
+def edits(length: int, identity: float, most: int | None = None) -> int:
+    """Edits that the aligned part of a sequence may have: ``most``, or what the identity allows."""
+    return int((1 - identity) / identity * length + 1e-9) if most is None else most
 
 
 def spared(length: int, coverage: float) -> int:
@@ -39,9 +40,9 @@ def spared(length: int, coverage: float) -> int:
     return int((1 - coverage) * length + 1e-9)
 
 
-def sizes(length: int, identity: float, coverage: float) -> tuple[int, ...]:
+def sizes(length: int, identity: float, coverage: float, most: int | None = None) -> tuple[int, ...]:
     """Lengths of the bits that a sequence files; (0,): none fits, it meets all."""
-    room = (length - 2 * spared(length, coverage)) // (edits(length, identity) + 1)
+    room = (length - 2 * spared(length, coverage)) // (edits(length, identity, most) + 1)
     first = next((k for k in MENU if k <= room), 0)
     half = next((k for k in MENU if SHORTEST_HALF <= k <= first // 2), 0)
     return (first, half) if half else (first,)
@@ -116,7 +117,7 @@ def rarest(costs: dict[int, np.ndarray], first: int, last: int, need: int) -> li
     return out
 
 
-def _file(menu: list[int], table, identity: float, coverage: float):
+def _file(menu: list[int], table, identity: float, coverage: float, most: int | None):
     """(key, id, at) of each sequence's rarest bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,20 +128,21 @@ def _file(menu: list[int], table, identity: float, coverage: float):
                 lots.setdefault(len(s), []).append((id_, s.encode()))
             keys, places = [], []
             for length, lot in lots.items():
-                own = sizes(length, identity, coverage)
+                own = sizes(length, identity, coverage, most)
                 if own == (0,):
                     for id_, _ in lot:
                         keys.append(0)
                         ids.append(id_)
                         places.append(0)
                     continue
-                step = max(1, CELLS // (length * (edits(length, identity) + 1)))
+                need = edits(length, identity, most) + 1
+                step = max(1, CELLS // (length * need))
                 for a in range(0, len(lot), step):
                     part = lot[a : a + step]
                     codes = {k: np.stack([_codes(s, k) for _, s in part]) for k in own}
                     costs = {k: counts[menu.index(k)][_counter(c)].astype(np.float64) for k, c in codes.items()}
                     spare = spared(length, coverage)
-                    for i, chosen in enumerate(rarest(costs, spare, length - spare, edits(length, identity) + 1)):
+                    for i, chosen in enumerate(rarest(costs, spare, length - spare, need)):
                         for at, k in chosen:
                             keys.append(int(codes[k][i, at].view(np.int64)))
                             ids.append(part[i][0])
@@ -169,17 +171,17 @@ def _look(least: dict[int, int]):
     return run
 
 
-def pairs(seqs: DataFrame, identity: float, coverage: float = 1.0, both_strands: bool = False) -> DataFrame:
+def pairs(seqs: DataFrame, identity: float, coverage: float = 1.0, both_strands: bool = False, most: int | None = None) -> DataFrame:
     """(u, v, low, high, strand) of distinct seqs(seq): all pairs, u the shorter one, that can have identity ``identity``
     (over 0.5) with at least ``coverage`` of u aligned, and the diagonals between which their alignment runs.
 
-    With coverage 1 end gaps are edits, too. With both strands, '-' pairs the reverse complement of ``u`` with v (``u`` is
-    given reversed then). Null and empty sequences are in no pair.
+    With coverage 1 end gaps are edits, too. ``most`` bounds the edits in place of the identity (with coverage 1). With both strands, '-' pairs the reverse complement of ``u`` with v (``u`` is
+    given reversed then). Null sequences are in no pair, and empty ones in those of ``most`` alone.
     """
     spark = seqs.sparkSession
-    numbered = graph.settled(seqs.select("seq").filter("seq <> ''").distinct().withColumn("id", F.monotonically_increasing_id()))
+    numbered = graph.settled(seqs.select("seq").filter("seq <> ''" if most is None else "seq is not null").distinct().withColumn("id", F.monotonically_increasing_id()))
     lengths = numbered.select(F.length("seq").alias("n")).distinct()
-    menu_of = {r.n: sizes(r.n, identity, coverage) for r in lengths.orderBy("n").toLocalIterator()}
+    menu_of = {r.n: sizes(r.n, identity, coverage, most) for r in lengths.orderBy("n").toLocalIterator()}
     least: dict[int, int] = {}
     for n, own in menu_of.items():
         for k in own:
@@ -193,20 +195,20 @@ def pairs(seqs: DataFrame, identity: float, coverage: float = 1.0, both_strands:
     asked = even.withColumn("strand", F.lit("+"))
     if both_strands:
         asked = asked.union(numbered.select("id", S.revcomp(F.col("seq")).alias("seq"), F.lit("-")).repartition(tasks))
-    most = F.expr(f"cast(floor({(1 - identity) / identity!r} * u_n + 1e-9) as int)")
+    bound = F.expr(f"cast(floor({(1 - identity) / identity!r} * u_n + 1e-9) as int)") if most is None else F.lit(most)
     size = lambda side: numbered.select(F.col("id").alias(f"{side}_id"), F.length("seq").alias(f"{side}_n"))
     found = None
     for strand in ["+", "-"] if both_strands else ["+"]:
         own = asked.filter(F.col("strand") == strand).select("id", "seq")
-        filed = own.mapInArrow(_file(menu, table, identity, coverage), "key long, u_id long, u_at int").join(size("u"), "u_id")
+        filed = own.mapInArrow(_file(menu, table, identity, coverage, most), "key long, u_id long, u_at int").join(size("u"), "u_id")
         met = filed.join(even.mapInArrow(_look(least), "key long, v_id long, v_at int").join(size("v"), "v_id"), "key")
         met = met.filter("u_n < v_n or (u_n = v_n and u_id < v_id)")
         if coverage >= 1:
-            met = met.filter((F.col("v_n") - F.col("u_n") <= most) & ((F.abs(F.col("v_at") - F.col("u_at")) <= most) | (F.col("key") == 0)))
+            met = met.filter((F.col("v_n") - F.col("u_n") <= bound) & ((F.abs(F.col("v_at") - F.col("u_at")) <= bound) | (F.col("key") == 0)))
         shift = F.col("v_at") - F.col("u_at")
         every = F.col("key") == 0
         part = met.groupBy("u_id", "v_id", "u_n", "v_n").agg(
-            F.min(F.when(every, -F.col("u_n")).otherwise(shift - most)).alias("low"), F.max(F.when(every, F.col("v_n")).otherwise(shift + most)).alias("high")
+            F.min(F.when(every, -F.col("u_n")).otherwise(shift - bound)).alias("low"), F.max(F.when(every, F.col("v_n")).otherwise(shift + bound)).alias("high")
         )
         part = part.withColumn("strand", F.lit(strand))
         found = part if found is None else found.union(part)

@@ -24,30 +24,12 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def edit_links(seqs: DataFrame, most: int) -> DataFrame:
-    """(u, v, distance), u < v: all pairs of distinct sequences at most ``most`` edits apart; seqs(seq) has no repeats.
+    """(u, v, distance), u < v: all pairs of distinct seqs(seq) at most ``most`` edits apart, among the pairs that share one of
+    the rarest bits of the shorter one (see ``candidates``)."""
+    from sporeline.operators import candidates
 
-    A sequence is filed under its ``most`` + 1 even segments. Of a sequence within the bound one segment stands unchanged
-    in the other, moved by no more edits than there are on either side of it; so the longer of two looks under its
-    substrings at those places for each length that the shorter may have. Only pairs that share a segment are compared.
-    """
-    parts = most + 1
-
-    def segment(length: str, i: str) -> tuple[str, str]:
-        wide = f"({parts} - {length} % {parts})"  # the first segment that is one longer
-        return f"({i} * ({length} div {parts}) + greatest(0, {i} - {wide}))", f"({length} div {parts} + if({i} >= {wide}, 1, 0))"
-
-    at, size = segment("l", "i")
-    filed = seqs.select(F.col("seq").alias("v"), F.length("seq").alias("l"), F.expr(f"explode(sequence(0, {most}))").alias("i"))
-    filed = filed.select("v", "l", "i", F.expr(f"substring(v, {at} + 1, {size})").alias("key"))
-    at, size = segment("(l - x)", "i")
-    low, high = f"greatest(-i, x - ({most} - i))", f"least(i, x + ({most} - i))"
-    moves = f"if({low} <= {high}, transform(sequence({low}, greatest({low}, {high})), m -> struct(l - x as l, i, {at} + m as at, {size} as n)), array())"
-    places = f"flatten(transform(sequence(0, least({most}, l)), x -> flatten(transform(sequence(0, {most}), i -> {moves}))))"
-    asked = seqs.select(F.col("seq").alias("u"), F.length("seq").alias("l")).select("u", F.expr(f"explode({places})").alias("p"))
-    asked = asked.filter("p.at >= 0 and p.at + p.n <= length(u)")
-    asked = asked.select("u", "p.l", "p.i", F.expr("substring(u, p.at + 1, p.n)").alias("key"))
-    pairs = asked.join(filed, ["l", "i", "key"]).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    return pairs.select("u", "v", F.levenshtein("u", "v", most).alias("distance")).filter("distance >= 0")
+    met = candidates.pairs(seqs, 1.0, most=most).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    return met.select("u", "v", F.levenshtein("u", "v", most).alias("distance")).filter("distance >= 0")
 
 
 def kmer_links(seqs: DataFrame, k: int, least: int) -> DataFrame:
