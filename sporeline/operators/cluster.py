@@ -6,6 +6,7 @@ are settled are settled at once, and rounds are as many as the longest chain of
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import DataFrame
@@ -27,16 +28,19 @@ def _clustered(seqs: DataFrame, links: DataFrame, accept, directed: bool = False
     up = both.join(of("u"), "u").join(of("v"), "v")
     before = (F.col("v_size") > F.col("u_size")) | ((F.col("v_size") == F.col("u_size")) & (F.col("v") < F.col("u")))
     up = graph.settled(up.filter(before & accept(F.col("u_size"), F.col("v_size"), F.col("how"))).select("u", "v", "v_size", "how"))
-    done = graph.settled(seqs.join(up.select(F.col("u").alias("seq")), "seq", "left_anti").select("seq", F.col("seq").alias("centroid")))
+    new = graph.settled(seqs.join(up.select(F.col("u").alias("seq")), "seq", "left_anti").select("seq", F.col("seq").alias("centroid")))
+    done, left = [new], up.withColumn("centroid", F.lit(None).cast("string"))
     while True:
-        left = up.join(done.select(F.col("seq").alias("u")), "u", "left_anti")
-        known = left.join(done.select(F.col("seq").alias("v"), "centroid"), "v", "left")
+        # What is settled now is noted at the links that wait for it; settled sequences' links go, so a round reads what is left.
+        told = left.join(new.select(F.col("seq").alias("v"), F.col("centroid").alias("c")), "v", "left")
+        left = graph.settled(told.select("u", "v", "v_size", "how", F.coalesce("centroid", "c").alias("centroid")))
         best = F.min(F.when(F.col("centroid") == F.col("v"), F.struct((-F.col("how")).alias("h"), (-F.col("v_size")).alias("s"), "v")))
-        ready = known.groupBy("u").agg(F.bool_or(F.col("centroid").isNull()).alias("waits"), best.alias("b")).filter("not waits")
+        ready = left.groupBy("u").agg(F.bool_or(F.col("centroid").isNull()).alias("waits"), best.alias("b")).filter("not waits")
         new = graph.settled(ready.select(F.col("u").alias("seq"), F.coalesce("b.v", "u").alias("centroid")))
         if new.isEmpty():
-            return done
-        done = done.union(new)
+            return functools.reduce(DataFrame.union, done)
+        done.append(new)
+        left = left.join(new.select(F.col("seq").alias("u")), "u", "left_anti")
 
 
 def greedy(seqs: DataFrame, identity: float, definition: int | None = None, coverage: float = 0.9, both_strands: bool = False) -> DataFrame:
