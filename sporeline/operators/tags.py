@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
+from sporeline.operators import graph
 
 
 def unique_names(tags: DataFrame) -> DataFrame:
@@ -37,16 +38,12 @@ def barcode_ids(tags: DataFrame, width: int = 4) -> DataFrame:
 
 
 def find_sites(reads: DataFrame, primers: DataFrame, length: int, mismatches: int = 2) -> DataFrame:
-    """(id, strand, start, end, errors): where a primer of one length lies in reads(id, seq), in either direction.
-
-    primers(primer) is a short list of a known length and is broadcast. Windows of each read are compared by mismatches.
-    """
+    """(id, strand, start, end, errors): where a primer of one length lies in reads(id, seq), in either direction. Reads that
+    share an id have one row for each place between them."""
     both = primers.select("primer", F.lit("+").alias("strand")).union(primers.select(S.revcomp(F.col("primer")), F.lit("-")))
-    places = reads.filter(F.length("seq") >= length).select("id", F.posexplode(S.kmers(F.col("seq"), length)).alias("at", "window"))
-    hits = places.join(_listed(both), S.hamming(F.col("window"), F.col("primer")) <= mismatches)
-    return hits.groupBy("id", "strand", (F.col("at") + 1).alias("start")).agg(F.min(S.hamming(F.col("window"), F.col("primer"))).alias("errors")).withColumn(
-        "end", F.col("start") + length - 1
-    )
+    places = reads.filter(F.length("seq") >= length).select("id", F.posexplode(S.kmers(F.col("seq"), length)).alias("at", "w"))
+    hits = _near(places, both.withColumnRenamed("primer", "tag"), length, mismatches)
+    return hits.groupBy("id", "strand", (F.col("at") + 1).alias("start")).agg(F.min("errors").alias("errors")).withColumn("end", F.col("start") + length - 1)
 
 
 def linked_span(seq: Column, forward: str, reverse: str, mismatches: int = 0, missing: int = 2) -> Column:
@@ -99,63 +96,90 @@ def trim_linked(reads: DataFrame, forward: str, reverse: str, mismatches: int =
     return trim(reads.select("id", "seq"), forward, reverse, mismatches, least, missing)
 
 
-#: Tags, primers or samples that may be broadcast; a longer list is an error, as every read is compared with all of it.
+#: Tags, primers or samples up to which they are broadcast; more are joined by a shuffle.
 MOST_LISTED = 50_000
 
 
 def _listed(table: DataFrame) -> DataFrame:
-    """The table for broadcast, after its rows are counted up to the bound."""
-    if table.limit(MOST_LISTED + 1).count() > MOST_LISTED:
-        raise ValueError(f"more than {MOST_LISTED} tags, primers or samples")
-    return F.broadcast(table)
+    """The table, for broadcast if a count up to the bound says so."""
+    return table if table.limit(MOST_LISTED + 1).count() > MOST_LISTED else F.broadcast(table)
+
+
+def _near(windows: DataFrame, listed: DataFrame, length: int, errors: int) -> DataFrame:
+    """windows(w, ...) and listed(tag, ...), all of a length, that differ in at most so many bases, with ``errors``.
+
+    A tag is cut into errors + 1 parts, of which one stands unchanged, so they meet on a part.
+    """
+    cuts = [i * length // (errors + 1) for i in range(errors + 2)]
+    parts = lambda c: F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring(F.col(c), x + 1, y - x).alias("part")) for i, (x, y) in enumerate(zip(cuts, cuts[1:]))])).alias("p")
+    own = [c for c in windows.columns if c != "w"]
+    met = windows.select(*own, "w", parts("w")).join(_listed(listed.select("*", parts("tag"))), "p")
+    # Those that share several parts are taken at the first.
+    same = F.aggregate(F.array(*[F.when((F.substring("w", x + 1, y - x) == F.substring("tag", x + 1, y - x)), i) for i, (x, y) in enumerate(zip(cuts, cuts[1:]))]), F.lit(None).cast("int"), lambda z, i: F.coalesce(z, i))
+    near = met.filter(F.col("p.i") == same).withColumn("errors", S.hamming(F.col("w"), F.col("tag"))).filter(F.col("errors") <= errors)
+    return near.drop("p", "w")
 
 
-def _places(ends: DataFrame, barcodes: DataFrame, length: int, window: int, errors: int) -> DataFrame:
+def _places(ends: DataFrame, barcodes: DataFrame, length: int | None, window: int, errors: int) -> DataFrame:
     """ends(seq, ...) without seq, one row for each place in the first ``window`` bases where a tag of
-    barcodes(sample, tag) lies: at, errors, sample, tag."""
+    barcodes(sample, tag) lies: at, errors, sample, tag. Tags are of ``length``, or of any lengths if that is None."""
     rest = [c for c in ends.columns if c != "seq"]
-    cut = ends.select(*rest, F.posexplode(S.kmers(F.substring("seq", 1, window), length)).alias("at", "w"))
-    distance = S.hamming(F.col("w"), F.col("tag"))
-    hits = cut.join(_listed(barcodes), distance <= errors)
-    return hits.select(*rest, "at", distance.alias("errors"), "sample", "tag")
+    lengths = [length] if length is not None else [r.n for r in barcodes.select(F.length("tag").alias("n")).filter("n > 0").distinct().orderBy("n").toLocalIterator()]
+    out = None
+    for n in lengths or [1]:
+        cut = ends.select(*rest, F.posexplode(S.kmers(F.substring("seq", 1, window), n)).alias("at", "w"))
+        hits = _near(cut, barcodes.select("sample", "tag").filter(F.length("tag") == n), n, errors).select(*rest, "at", "errors", "sample", "tag")
+        out = hits if out is None else out.union(hits)
+    return out
+
+
+def _numbered(reads: DataFrame) -> DataFrame:
+    """reads with _row, settled, so that reads that share an id stay apart."""
+    return graph.settled(reads.withColumn("_row", F.monotonically_increasing_id()))
 
 
-def demultiplex(reads: DataFrame, barcodes: DataFrame, length: int, window: int = 30, errors: int = 1) -> DataFrame:
-    """(id, sample, at, errors): the best barcode of one length in a read's first ``window`` bases, or of its reverse
-    complement; fewest errors, then earliest, then by name. barcodes(sample, tag) are few and are broadcast."""
-    both = reads.select("id", "seq").union(reads.select("id", S.revcomp(F.col("seq"))))
+def demultiplex(reads: DataFrame, barcodes: DataFrame, length: int | None = None, window: int = 30, errors: int = 1) -> DataFrame:
+    """(id, sample, at, errors): the best barcode in a read's first ``window`` bases, or of its reverse complement; fewest
+    errors, then earliest, then by name. barcodes(sample, tag) of one length, or of any if it is None. Ids may repeat."""
+    rows = _numbered(reads.select("id", "seq"))
+    both = rows.select("_row", F.explode(F.array("seq", S.revcomp(F.col("seq")))).alias("seq"))
     best = F.min(F.struct("errors", "at", "sample"))
-    return _places(both, barcodes, length, window, errors).groupBy("id").agg(best.alias("b")).select("id", "b.sample", "b.at", "b.errors")
+    found = _places(both, barcodes, length, window, errors).groupBy("_row").agg(best.alias("b"))
+    return rows.join(found, "_row").select("id", "b.sample", "b.at", "b.errors")
 
 
-def demultiplex_pairs(pairs: DataFrame, barcodes: DataFrame, length: int, window: int = 30, errors: int = 1) -> DataFrame:
-    """K3: (id, sample, swapped, r1, r2) of pairs(id, r1, r2), ids unique: two rounds. A pair belongs to the best barcode in
-    R1; without one, to the best in R2, and then the mates change places. What precedes the tag and the tag itself are cut
-    from the mate that has it. Pairs with neither are dropped."""
-    ends = pairs.select("id", F.lit(False).alias("swapped"), F.col("r1").alias("seq")).union(pairs.select("id", F.lit(True), "r2"))
+def demultiplex_pairs(pairs: DataFrame, barcodes: DataFrame, length: int | None = None, window: int = 30, errors: int = 1) -> DataFrame:
+    """K3: (id, sample, swapped, r1, r2) of pairs(id, r1, r2): two rounds. A pair belongs to the best barcode in R1; without
+    one, to the best in R2, and then the mates change places. What precedes the tag and the tag itself are cut from the mate
+    that has it. Pairs with neither are dropped. Tags are of one length, or of any if it is None; ids may repeat."""
+    rows = _numbered(pairs.select("id", "r1", "r2"))
+    mates = F.array(F.struct(F.lit(False).alias("swapped"), F.col("r1").alias("seq")), F.struct(F.lit(True).alias("swapped"), F.col("r2").alias("seq")))
+    ends = rows.select("_row", F.explode(mates).alias("e")).select("_row", "e.*")
     # The first round comes before the second, whatever the errors.
-    best = F.min(F.struct("swapped", "errors", "at", "sample")).alias("b")
-    found = _places(ends, barcodes, length, window, errors).groupBy("id").agg(best)
+    best = F.min(F.struct("swapped", "errors", "at", "sample", F.length("tag").alias("size"))).alias("b")
+    found = _places(ends, barcodes, length, window, errors).groupBy("_row").agg(best)
     tagged = F.when(F.col("b.swapped"), F.col("r2")).otherwise(F.col("r1"))
     other = F.when(F.col("b.swapped"), F.col("r1")).otherwise(F.col("r2"))
-    rows = pairs.join(found, "id").select("id", "b.sample", "b.swapped", "b.at", tagged.alias("tagged"), other.alias("r2"))
-    cut = F.substring("tagged", F.col("at") + 1 + length, F.length("tagged"))
-    return rows.select("id", "sample", "swapped", cut.alias("r1"), "r2")
+    out = rows.join(found, "_row").select("id", "b.sample", "b.swapped", "b.at", "b.size", tagged.alias("tagged"), other.alias("r2"))
+    cut = F.substring(F.col("tagged"), F.col("at") + 1 + F.col("size"), F.length("tagged"))
+    return out.select("id", "sample", "swapped", cut.alias("r1"), "r2")
 
 
-def demultiplex_dual(reads: DataFrame, samples: DataFrame, length: int, window: int = 70, errors: int = 1) -> DataFrame:
+def demultiplex_dual(reads: DataFrame, samples: DataFrame, length: int | None = None, window: int = 70, errors: int = 1) -> DataFrame:
     """K1: (id, sample, strand, errors) of reads(id, seq) with a tag at either end; samples(sample, tag1, tag2).
 
     The best tag at the read's start and that at the start of its reverse complement (fewest errors, then earliest, then by
     sequence) name the sample: tag1 and tag2 in this order '+', the other way round '-'. Equal tags (symmetric) are '+'.
     A read with one tag, or with a combination that no sample has, is dropped. No combination belongs to two samples.
-    Tags are compared by mismatches without gaps.
+    Tags are compared by mismatches without gaps (``barcodes`` aligns them); they are of one length, or of any if it is None.
     """
     known = samples.select(F.lit(None).cast("string").alias("sample"), F.explode(F.array("tag1", "tag2")).alias("tag")).distinct()
-    ends = reads.select("id", F.lit("+").alias("end"), "seq").union(reads.select("id", F.lit("-"), S.revcomp(F.col("seq"))))
+    rows = _numbered(reads.select("id", "seq"))
+    sides = F.array(F.struct(F.lit("+").alias("end"), F.col("seq")), F.struct(F.lit("-").alias("end"), S.revcomp(F.col("seq")).alias("seq")))
+    ends = rows.select("_row", F.explode(sides).alias("e")).select("_row", "e.*")
     at_end = lambda e: F.min(F.when(F.col("end") == e, F.struct("errors", "at", "tag")))
-    best = _places(ends, known, length, window, errors).groupBy("id").agg(at_end("+").alias("a"), at_end("-").alias("b")).filter("a is not null and b is not null")
+    best = _places(ends, known, length, window, errors).groupBy("_row").agg(at_end("+").alias("a"), at_end("-").alias("b")).filter("a is not null and b is not null")
     turned = samples.filter("tag1 <> tag2").select("sample", F.lit("-").alias("strand"), F.col("tag2").alias("x"), F.col("tag1").alias("y"))
     named = samples.select("sample", F.lit("+").alias("strand"), F.col("tag1").alias("x"), F.col("tag2").alias("y")).union(turned)
-    rows = best.select("id", F.col("a.tag").alias("x"), F.col("b.tag").alias("y"), (F.col("a.errors") + F.col("b.errors")).alias("errors"))
-    return rows.join(_listed(named), ["x", "y"]).select("id", "sample", "strand", "errors")
+    called = best.select("_row", F.col("a.tag").alias("x"), F.col("b.tag").alias("y"), (F.col("a.errors") + F.col("b.errors")).alias("errors"))
+    return called.join(_listed(named), ["x", "y"]).join(rows.select("_row", "id"), "_row").select("id", "sample", "strand", "errors")

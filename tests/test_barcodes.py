@@ -79,3 +79,38 @@ def test_samples_by_tags(spark):
     assert got == sorted([("s1", "x", inner), ("s1", "x", turn(inner)), ("s1", "y", inner), ("s2", "z", inner)])
     single = barcodes.demultiplex_aligned(reads, tags, samples.filter("sample = 's2'"), "single", window=40)
     assert {r.id for r in single.collect()} >= {"z"} and barcodes.demultiplex_aligned(reads.limit(0), tags, samples).count() == 0
+
+
+def test_tags_of_several_lengths_by_mismatches(spark):
+    """Against all windows and tags; reads that share an id stay apart."""
+    from sporeline.operators import tags as T
+
+    rng = random.Random(5)
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    known = {f"s{i}": made(rng, n) for i, n in enumerate([5, 6, 6, 8, 9])}
+    reads = []
+    for i in range(60):
+        t = list(rng.choice(list(known.values())))
+        if i % 3 == 0:
+            t[rng.randrange(len(t))] = rng.choice("ACGT")
+        read = made(rng, rng.randint(0, 4)) + "".join(t) + made(rng, 30)
+        reads.append((i // 2, read if i % 4 else turn(read)))
+    reads += [(100, ""), (101, None)]
+    want = []
+    for i, r in reads:
+        best = None
+        for s in (r, turn(r)) if r else ():
+            w = s[:12]
+            for name, t in known.items():
+                for at in range(len(w) - len(t) + 1):
+                    n = sum(x != y for x, y in zip(w[at:], t))
+                    if n <= 1 and (best is None or (n, at, name) < best):
+                        best = (n, at, name)
+        if best:
+            want.append((i, best[2], best[1], best[0]))
+    df = spark.createDataFrame(reads, "id long, seq string").repartition(3)
+    listed = spark.createDataFrame(list(known.items()), "sample string, tag string")
+    got = sorted(tuple(r) for r in T.demultiplex(df, listed, window=12).collect())
+    assert got == sorted(want) and len(got) > 40
+    two = T.demultiplex_pairs(spark.createDataFrame([(1, "AA" + known["s3"] + "CCC", "GG"), (1, "T" * 20, known["s0"] + "ACC")], "id long, r1 string, r2 string"), listed, window=12, errors=0)
+    assert sorted((r.sample, r.swapped, r.r1, r.r2) for r in two.collect()) == [("s0", True, "ACC", "T" * 20), ("s3", False, "CCC", "GG")]

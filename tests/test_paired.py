@@ -85,8 +85,10 @@ def test_two_rounds_and_both_ends(spark):
     assert got == {1: ("x", "+", 0), 2: ("x", "-", 0)}
 
 
-def test_long_lists_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(tags, "MOST_LISTED", 1)
+def test_long_lists_are_joined(spark, monkeypatch):
+    """Lists over the bound were an error; now they are joined without a broadcast, with the same result."""
     codes = spark.createDataFrame([("s1", "AC"), ("s2", "TT")], "sample string, tag string")
-    with pytest.raises(ValueError, match="more than 1"):
-        tags.demultiplex(spark.createDataFrame([(1, "ACGT")], "id long, seq string"), codes, 2)
+    reads = spark.createDataFrame([(1, "ACGT"), (2, "GGTT"), (3, "GGGG")], "id long, seq string")
+    want = sorted(map(tuple, tags.demultiplex(reads, codes, 2, 4, 0).collect()))
+    monkeypatch.setattr(tags, "MOST_LISTED", 1)
+    assert sorted(map(tuple, tags.demultiplex(reads, codes, 2, 4, 0).collect())) == want and len(want) == 2
