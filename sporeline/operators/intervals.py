@@ -7,17 +7,36 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
+from sporeline.operators import graph
 
 REGIONS = ("SSU", "ITS1", "S58", "ITS2", "LSU")
 
 
 def merge(hits: DataFrame) -> DataFrame:
-    """(id, start, end, n): islands of hits(id, start, end); touching intervals merge."""
-    before = W.partitionBy("id").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
-    upto = W.partitionBy("id").orderBy("start", "end").rowsBetween(W.unboundedPreceding, W.currentRow)
-    new = F.coalesce((F.col("start") > F.max("end").over(before)).cast("int"), F.lit(1))
-    rows = hits.select("id", "start", "end", new.alias("new")).withColumn("island", F.sum("new").over(upto))
-    return rows.groupBy("id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("island")
+    """(id, start, end, n): islands of hits(id, start, end); touching intervals merge.
+
+    Hits are sorted into ranges by id and place, so an id of very many hits lies in several; what the ranges before have
+    reached of an id, and how many islands they began, one row each for a range and id, is carried into the next.
+    """
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("id"), F.col("start"), F.col("end")]
+    rows = graph.settled(hits.select("id", "start", "end").repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    within = W.partitionBy("_part", "id").orderBy("start", "end")
+    earlier = W.partitionBy("id").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+
+    def carried(df: DataFrame, value: Column, over) -> DataFrame:
+        sums = df.groupBy("_part", "id").agg(value.alias("_v")).withColumn("_before", over(F.col("_v")).over(earlier))
+        sums = sums.select(F.col("_part").alias("_p"), F.col("id").alias("_id"), "_before")
+        return df.join(sums, (F.col("_part") == F.col("_p")) & F.col("id").eqNullSafe(F.col("_id"))).drop("_p", "_id")
+
+    reached = carried(rows, F.max("end"), F.max)
+    far = F.greatest(F.max("end").over(within.rowsBetween(W.unboundedPreceding, -1)), F.col("_before"))
+    new = F.coalesce((F.col("start") > far).cast("int"), F.lit(1))
+    marked = graph.settled(reached.select("_part", "id", "start", "end", new.alias("new")))
+    begun = carried(marked, F.sum("new"), F.sum)
+    number = F.sum("new").over(within.rowsBetween(W.unboundedPreceding, W.currentRow)) + F.coalesce("_before", F.lit(0))
+    out = begun.withColumn("island", number)
+    return out.groupBy("id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("island")
 
 
 def multi_hit(hits: DataFrame) -> DataFrame:

@@ -127,3 +127,23 @@ def test_sample_keeps_groups_of_one(spark):
     got = [r.g for r in buckets.sample(df, "g", 0.1).collect()]
     assert got.count("b") == 1 and got.count(None) == 1 and 20 < got.count("a") < 90
     assert buckets.bucket_count(10**6, 5000) == 3 and buckets.bucket_count(0, 10) == 1
+
+
+def test_islands_of_one_id_over_many_ranges(spark):
+    from sporeline.operators import intervals
+
+    rng = random.Random(6)
+    rows = [("hot", a, a + rng.randint(0, 30)) for a in (rng.randint(0, 20_000) for _ in range(1500))] + [("hot", 5, 9000)]
+    rows += [(i, a, a + 3) for i in ("b", None) for a in (1, 1, 4, 9, 13)]
+    want = []
+    for i in ("hot", "b", None):
+        islands = []
+        for a, b in sorted((a, b) for x, a, b in rows if x == i):
+            if islands and a <= islands[-1][1]:
+                islands[-1][1:] = max(b, islands[-1][1]), islands[-1][2] + 1
+            else:
+                islands.append([a, b, 1])
+        want += [(i, *x) for x in islands]
+    df = spark.createDataFrame(rows, "id string, start long, end long").repartition(5)
+    got = [(r.id, r.start, r.end, r.n) for r in intervals.merge(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 50
