@@ -35,6 +35,8 @@ from sporeline.llm.common import fold, release, settle, table
 ORDER = 5
 #: Text bytes in a block, about: it bounds what one task holds.
 BLOCK_BYTES = 25_000_000
+#: Partitions for each block, so that few blocks share a task.
+SPREAD = 4
 #: Bytes whose grams are made at once.
 PART = 500_000
 #: Kinds of keys: a word by its 64-bit hash, or a gram by its bytes.
@@ -139,7 +141,7 @@ class Lookup:
 class _Counts:
     """Keys and their counts, added up whenever PENDING new ones have come, so no more than these are held twice."""
 
-    PENDING = 500_000
+    PENDING = 750_000
 
     def __init__(self):
         self.keys, self.counts, self.pending = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
@@ -293,7 +295,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTE
     rows = docs.select(F.col("doc_id").cast("long"), "text", held.alias("held_out"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // block_bytes))
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n)).cast("int")).repartition(int(n), "block")
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n)).cast("int")).repartition(int(n) * SPREAD, "block")
     asked = settle(blocked.groupBy("block").applyInArrow(_ask(order), "kind byte, key long, n long, block int"))
     words, edges, nodes = train(asked, order)
     total, distinct, ends = words.agg(
