@@ -175,7 +175,7 @@ def _oracle() -> str:
     head = f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS x FROM embeddings
         WHERE len(embedding) = {DIM} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIM}),
     n AS MATERIALIZED (SELECT *, list_inner_product(x, x) AS xx FROM v),
-    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, x AS y FROM v ORDER BY sha256('2:' || vec_id) LIMIT {K})"""
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, 'null'))) - 1 AS c, x AS y FROM v ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, 'null')) LIMIT {K})"""
     parts = [head]
     for r in range(ROUNDS + 1):
         parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, x, min(struct_pack(d := xx - 2 * list_inner_product(x, y) + list_inner_product(y, y), c := c)) AS best

@@ -24,6 +24,9 @@ def odd(spark, tmp_path_factory):
     spark.createDataFrame(rows, schema).coalesce(2).write.parquet(f"{d}/documents.parquet")
     items = [(1, PASSAGE), (2, "one two"), (3, None), (4, "..."), (None, PASSAGE[:30]), (10, PASSAGE.upper()), (10, PASSAGE.upper())]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    vectors = [(i, [((i * 37 + j * 11) % 101 - 50) / 7 for j in range(64)], i % 3) for i in range(90)]
+    broken = [(90, None, 0), (91, [], 0), (92, [1.0], 0), (93, [float("nan")] + [0.0] * 63, 0), (94, [float("inf")] + [0.0] * 63, 0), (95, [None] + [0.0] * 63, 0), (None, [2.0] * 64, None)]
+    spark.createDataFrame(vectors + broken, "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
     return d
 
 
@@ -33,6 +36,7 @@ def none(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("none"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     return d

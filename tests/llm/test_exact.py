@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 def rows_match(spark, name, d):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet" + ("'" if d == SF else "/*.parquet'") + ")")
     df = catalog.queries()[name](spark, d)
     columns = sorted(df.columns)
