@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sporeline.functions import seq as S
 from sporeline.operators import align, graph
+from sporeline.operators.tags import _listed
 
 #: Pairs of a tag and a window that are aligned at once.
 LOT = 2_000
@@ -56,7 +57,7 @@ def calls(reads: DataFrame, tags: DataFrame, window: int = 70, least_score: floa
     for q in sorted(set(seeds.values())):
         part = ends.select("row", "side", "w", F.lit(q).alias("q"), F.explode(F.array_distinct(bits(F.col("w"), F.lit(q)))).alias("bit"))
         asked = part if asked is None else asked.union(part)
-    met = asked.join(own, ["q", "bit"]).select("row", "side", "w", "tag", "t").distinct()
+    met = asked.join(_listed(own), ["q", "bit"]).select("row", "side", "w", "tag", "t").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -114,9 +114,11 @@ def audit(seqs: DataFrame, positions: DataFrame, region: str = "ITS") -> DataFra
     for r in dict.fromkeys((first, last)):
         rules.append(rule(F.col(f"{r}.status").isin("missing", *[m.replace(" ", "_") for m in MARKERS]), f"{r}_not_detected"))
     status = {r: F.col(r).withField("status", F.when(~F.col("there"), "no_positions").otherwise(F.col(f"{r}.status"))) for r in REGIONS}
-    out = rows.withColumn("reasons", F.concat_ws(";", F.array_compact(F.array(*rules)))).withColumns(status)
+    # Generated, so that conditions on the outcome aren't pushed into the rules, which would be found anew for each.
+    found = F.struct(F.concat_ws(";", F.array_compact(F.array(*rules))).alias("reasons"), *[c.alias(r) for r, c in status.items()])
+    out = rows.select("id", "seq", "length", F.explode(F.array(found)).alias("found")).select("id", "seq", "length", *[f"found.{r}" for r in REGIONS], "found.reasons")
     out = out.withColumns({"start": F.col(f"{first}.start"), "end": F.col(f"{last}.end")})
-    return out.withColumn("status", F.when(F.col("reasons") != "", "excluded").otherwise("extracted")).drop("there", "info", *[f"raw_{r}" for r in REGIONS])
+    return out.withColumn("status", F.when(F.col("reasons") != "", "excluded").otherwise("extracted"))
 
 
 def extract(audited: DataFrame) -> DataFrame:

@@ -79,16 +79,20 @@ def _anti(primer: str) -> str:
 def trim(reads: DataFrame, forward: str, reverse: str, mismatches: int = 0, least: int = 10, missing: int = 2) -> DataFrame:
     """reads(seq, qual, ...) with both primers, in the forward direction, sequence and quality cut between them; others are
     dropped. The read itself is tried first, then its reverse complement, whose quality is turned too."""
-    own = linked_span(F.col("seq"), forward, reverse, mismatches, missing)
-    rows = reads.withColumn("_own", own)
-    rows = rows.withColumn("_turn", F.col("_own").isNull())
-    rows = rows.withColumn("seq", F.when(F.col("_turn"), S.revcomp(F.col("seq"))).otherwise(F.col("seq")))
+    def tried(turn: bool, otherwise):
+        def of(seq: Column) -> Column:
+            given = lambda x: F.when(x.isNotNull(), F.struct(F.lit(turn).alias("turn"), seq.alias("seq"), x["start"].alias("start"), x["length"].alias("length"))).otherwise(otherwise(seq))
+            return S.let(linked_span(seq, forward, reverse, mismatches, missing), given)
+
+        return of
+
+    turned = lambda seq: S.let(S.revcomp(seq), tried(True, lambda _: F.lit(None)))
+    # Generated, so that conditions on the span aren't pushed into it, which would find it anew at each place where it stands.
+    rows = reads.select("*", F.explode(F.array(S.let(F.col("seq"), tried(False, turned)))).alias("_span")).filter(F.col("_span.length") >= least)
+    cut = {"seq": F.substring(F.col("_span.seq"), F.col("_span.start"), F.col("_span.length"))}
     if "qual" in reads.columns:
-        rows = rows.withColumn("qual", F.when(F.col("_turn"), F.reverse("qual")).otherwise(F.col("qual")))
-    rows = rows.withColumn("_span", F.coalesce("_own", F.when(F.col("_turn"), linked_span(F.col("seq"), forward, reverse, mismatches, missing))))
-    rows = rows.filter(F.col("_span.length") >= least)
-    cut = {c: F.substring(F.col(c), F.col("_span.start"), F.col("_span.length")) for c in ("seq", "qual") if c in reads.columns}
-    return rows.withColumns(cut).drop("_own", "_turn", "_span")
+        cut["qual"] = F.substring(F.when(F.col("_span.turn"), F.reverse("qual")).otherwise(F.col("qual")), F.col("_span.start"), F.col("_span.length"))
+    return rows.withColumns(cut).drop("_span")
 
 
 def trim_linked(reads: DataFrame, forward: str, reverse: str, mismatches: int = 0, least: int = 10, missing: int = 0) -> DataFrame:
@@ -101,8 +105,9 @@ MOST_LISTED = 50_000
 
 
 def _listed(table: DataFrame) -> DataFrame:
-    """The table, for broadcast if a count up to the bound says so."""
-    return table if table.limit(MOST_LISTED + 1).count() > MOST_LISTED else F.broadcast(table)
+    """The table, for broadcast if a count up to the bound says so; else neither side of its join is: files' sizes say nothing
+    of rows that are generated from them."""
+    return table.hint("merge") if table.limit(MOST_LISTED + 1).count() > MOST_LISTED else F.broadcast(table)
 
 
 def _near(windows: DataFrame, listed: DataFrame, length: int, errors: int) -> DataFrame:
