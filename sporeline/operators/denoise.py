@@ -33,7 +33,10 @@ BASES = "ACGT"
 def links(derep: DataFrame, band: int = 16) -> DataFrame:
     """(bucket, seq, size, centre, centre_size, counts): for each sequence its neighbours in the bucket that have no fewer
     reads, and how often each base of the centre stands above each base of it. derep(bucket, seq, size), distinct."""
-    met = candidates.pairs(derep.select("seq").distinct(), IDENTITY)
+    met = candidates.pairs(derep.select("seq").distinct(), IDENTITY, groups=derep)
+    # Pairs that only meet go before they are aligned: chance alone gives more of them than there are sequences.
+    bound = F.floor(F.lit((1 - IDENTITY) / IDENTITY) * F.least(F.length("u"), F.length("v")) + 1e-9).cast("int")
+    met = met.withColumn("_bound", bound).filter(F.expr("levenshtein(u, v, _bound) >= 0"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

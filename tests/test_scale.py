@@ -1,8 +1,10 @@
 """Plans and intermediate rows that have to stay small as tables grow."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from sporeline.operators import barcodes, intervals, tags
+from sporeline.operators import barcodes, candidates, denoise, intervals, tags
 
 
 def plan(df):
@@ -31,3 +33,36 @@ def test_bits_of_windows_are_never_broadcast(spark, tmp_path):
     out = barcodes.calls(spark.read.parquet(str(tmp_path / "reads")), known, window=40)
     assert "rightHint=(strategy=broadcast)" in plan(out)
     assert out.count() == 50
+
+
+def random_seqs(n, length, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("ACGT") for _ in range(length)) for _ in range(n)]
+
+
+def test_rates_are_of_alike_sequences_of_a_bucket(spark):
+    seqs = random_seqs(400, 80, 1)
+    near = [s[:40] + ("A" if s[40] != "A" else "C") + s[41:] for s in seqs]
+    rows = [("ab"[i % 2], s, 50) for i, s in enumerate(seqs)] + [("ab"[i % 2], s, 2) for i, s in enumerate(near)]
+    got = denoise.links(spark.createDataFrame(rows, "bucket string, seq string, size long"))
+    want = {("ab"[i % 2], b, a) for i, (a, b) in enumerate(zip(seqs, near))}
+    assert {(r.bucket, r.seq, r.centre) for r in got.collect()} == want
+
+
+def test_groups_lose_no_pair_of_their_own(spark):
+    seqs = random_seqs(60, 60, 2)
+    near = [s[:20] + s[21:] for s in seqs]
+    rows = [(s, g) for i, (a, b) in enumerate(zip(seqs, near)) for s, g in ((a, i % 3), (b, 0), (b, 1))]
+    groups = spark.createDataFrame(rows, "seq string, bucket int")
+    got = {frozenset((r.u, r.v)) for r in candidates.pairs(groups.select("seq").distinct(), 0.95, groups=groups).collect()}
+    for i, (a, b) in enumerate(zip(seqs, near)):
+        assert (frozenset((a, b)) in got) == (i % 3 < 2)
+
+
+def test_bits_that_no_one_files_are_not_looked_up(spark):
+    seqs = random_seqs(300, 80, 3)
+    filed = spark.createDataFrame([(int(candidates._codes(s.encode(), 12)[5].view("int64")),) for s in seqs[:30]], "key long")
+    there = spark.sparkContext.broadcast(candidates.marks(filed))
+    rows = spark.createDataFrame(list(enumerate(seqs)), "id long, seq string")
+    got = rows.mapInArrow(candidates._look({12: 1}, there), "key long, v_id long, v_at int").collect()
+    assert {(i, 5) for i in range(30)} <= {(r.v_id, r.v_at) for r in got} and len(got) < 100
