@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sporeline.operators import barcodes, candidates, denoise, intervals, tags
+from sporeline.operators import barcodes, candidates, denoise, intervals, models, tags
 
 
 def plan(df):
@@ -66,3 +66,12 @@ def test_bits_that_no_one_files_are_not_looked_up(spark):
     rows = spark.createDataFrame(list(enumerate(seqs)), "id long, seq string")
     got = rows.mapInArrow(candidates._look({12: 1}, there), "key long, v_id long, v_at int").collect()
     assert {(i, 5) for i in range(30)} <= {(r.v_id, r.v_at) for r in got} and len(got) < 100
+
+
+def test_bits_of_chunks_grow_with_the_parents():
+    assert models.bits_of(80) == models.bits_of(80, 10) and {k for *_, k in models.bits_of(80)} == {5}
+    for length in (3, 20, 80, 300):
+        for bases in (10**6, 10**12):
+            for first, last, bits, k in models.bits_of(length, bases):
+                assert bits >= 1 and bits * k <= last - first
+    assert {k for *_, k in models.bits_of(80, 15_000 * 80)} == {11}
