@@ -58,6 +58,13 @@ def wide_table(long: DataFrame, samples: list[str | None]) -> DataFrame:
     return own.select("OTU", *[F.coalesce(f"c{i}", F.lit(0)).alias(NO_SAMPLE if s is None else s) for i, s in enumerate(samples)])
 
 
+def sparse_wide_table(long: DataFrame) -> DataFrame:
+    """(OTU, cells): the wide table where samples are too many for columns: a row's map holds its own samples alone, so the
+    table grows with the cells there are, not with OTUs times samples."""
+    cells = long.groupBy("OTU", F.coalesce(F.col("SampleID").cast("string"), F.lit(NO_SAMPLE)).alias("SampleID")).agg(F.sum("Abundance").alias("Abundance"))
+    return cells.groupBy("OTU").agg(F.map_from_entries(F.collect_list(F.struct("SampleID", "Abundance"))).alias("cells"))
+
+
 def ranked(long: DataFrame) -> DataFrame:
     """(OTU, total) in falling order of abundance, then OTU."""
     return long.groupBy("OTU").agg(F.sum("Abundance").alias("total")).orderBy(F.desc("total"), "OTU")

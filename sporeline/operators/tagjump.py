@@ -48,3 +48,8 @@ def from_wide(wide: DataFrame, otu: str, samples: list[str]) -> DataFrame:
     quoted = ["`" + s.replace("`", "``") + "`" for s in samples]
     long = wide.unpivot(otu, quoted, "SampleID", "Abundance")
     return long.filter("Abundance > 0").withColumnRenamed(otu, "OTU")
+
+
+def from_sparse_wide(wide: DataFrame, otu: str) -> DataFrame:
+    """wide(otu, cells), a map by sample in each row, as cells with a positive abundance."""
+    return wide.select(F.col(otu).alias("OTU"), F.explode("cells").alias("SampleID", "Abundance")).filter("Abundance > 0")

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sporeline.operators import barcodes, candidates, denoise, intervals, models, tags
+from sporeline.operators import barcodes, candidates, denoise, intervals, models, otu, tagjump, tags
 
 
 def plan(df):
@@ -75,3 +75,12 @@ def test_bits_of_chunks_grow_with_the_parents():
             for first, last, bits, k in models.bits_of(length, bases):
                 assert bits >= 1 and bits * k <= last - first
     assert {k for *_, k in models.bits_of(80, 15_000 * 80)} == {11}
+
+
+def test_sparse_wide_table_is_the_wide_one(spark):
+    long = spark.createDataFrame([(1, "a", 2), (1, "a", 3), (1, "B", 0), (2, None, 7), (None, "a", 1), (3, "a", None)], "OTU long, SampleID string, Abundance long")
+    names = ["B", "a", None]
+    wide = tagjump.from_wide(otu.wide_table(long, names), "OTU", ["B", "a", "null"])
+    got = tagjump.from_sparse_wide(otu.sparse_wide_table(long), "OTU")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(got) == key(wide) and got.count() == 3
