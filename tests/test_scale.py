@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sporeline.operators import barcodes, candidates, denoise, intervals, models, otu, tagjump, tags
+from sporeline.operators import barcodes, candidates, denoise, graph, intervals, models, otu, tagjump, tags
 
 
 def plan(df):
@@ -77,6 +77,14 @@ def test_bits_of_chunks_grow_with_the_parents():
     assert {k for *_, k in models.bits_of(80, 15_000 * 80)} == {11}
 
 
+def test_sequences_do_not_travel_with_their_kmers(spark):
+    seqs = random_seqs(40, 60, 4)
+    rows = spark.createDataFrame([(s,) for s in seqs + [s[:30] for s in seqs]], "seq string")
+    out = graph.kmer_links(rows, 12, 8)
+    assert {(r.u, r.v, r.shared) for r in out.collect()} == {(s[:30], s, 19) for s in seqs}
+    assert plan(out).count("Project [id#") >= 2  # the links' rows hold numbers and bits alone
+
+
 def test_sparse_wide_table_is_the_wide_one(spark):
     long = spark.createDataFrame([(1, "a", 2), (1, "a", 3), (1, "B", 0), (2, None, 7), (None, "a", 1), (3, "a", None)], "OTU long, SampleID string, Abundance long")
     names = ["B", "a", None]
