@@ -92,3 +92,7 @@ def test_sparse_wide_table_is_the_wide_one(spark):
     got = tagjump.from_sparse_wide(otu.sparse_wide_table(long), "OTU")
     key = lambda df: sorted(map(str, df.collect()))
     assert key(got) == key(wide) and got.count() == 3
+
+
+def test_kmers_are_never_broadcast(spark):
+    assert "strategy=merge" in plan(graph.kmer_links(spark.createDataFrame([("ACGT" * 5,)], "seq string"), 12, 8))
