@@ -104,16 +104,18 @@ def overlap_links(seqs: DataFrame, coverage: float = 0.96, k: int = 16) -> DataF
     whole. k is lowered to the shortest core.
     """
     need = F.ceil(F.length("seq") * F.lit(coverage) - 1e-9).cast("int")
-    rows = seqs.filter(F.length("seq") > 0).select("seq", need.alias("need"))
-    core = 2 * F.col("need") - F.length("seq")
-    shortest = rows.agg(F.min(core)).first()[0]
+    rows = graph.settled(seqs.filter(F.length("seq") > 0).select("seq", need.alias("need"), F.length("seq").alias("n")).withColumn("id", F.monotonically_increasing_id()))
+    shortest = rows.agg(F.min(2 * F.col("need") - F.col("n"))).first()[0]
     k = max(1, min(k, shortest or k))
-    placed = graph.settled(rows.select("seq", "need", F.posexplode(S.kmers(F.col("seq"), k)).alias("at", "kmer")))
-    often = placed.groupBy("kmer").agg(F.count("*").alias("n"))
-    inner = placed.filter((F.col("at") >= F.length("seq") - F.col("need")) & (F.col("at") + k <= F.col("need")))
-    rare = F.min(F.struct("n", "at", "kmer")).alias("r")
-    asked = inner.join(often, "kmer").groupBy("seq", "need").agg(rare).select(F.col("seq").alias("u"), "need", F.col("r.at").alias("a"), "r.kmer")
-    met = asked.join(placed.select(F.col("seq").alias("v"), F.col("at").alias("b"), "kmer"), "kmer").filter("u <> v")
+    # Numbers stand for the sequences until they meet.
+    placed = graph.settled(rows.select("id", "n", "need", F.posexplode(S.kmers(F.col("seq"), k)).alias("at", "kmer")))
+    often = placed.groupBy("kmer").agg(F.count("*").alias("often"))
+    inner = placed.filter((F.col("at") >= F.col("n") - F.col("need")) & (F.col("at") + k <= F.col("need")))
+    rare = F.min(F.struct("often", "at", "kmer")).alias("r")
+    asked = inner.join(often, "kmer").groupBy("id", "need").agg(rare).select(F.col("id").alias("u_id"), "need", F.col("r.at").alias("a"), "r.kmer")
+    met = asked.join(placed.select(F.col("id").alias("v_id"), F.col("at").alias("b"), "kmer"), "kmer").filter("u_id <> v_id")
+    of = lambda side: rows.select(F.col("id").alias(f"{side}_id"), F.col("seq").alias(side))
+    met = met.join(of("u"), "u_id").join(of("v"), "v_id")
     # Positions in u at which v begins and ends, cut to u.
     spans = met.withColumn("start", F.expr("greatest(0, a - b)")).withColumn("end", F.expr("least(length(u), a - b + length(v))"))
     same = F.expr("substring(u, start + 1, end - start) = substring(v, start + b - a + 1, end - start)")

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sporeline.operators import barcodes, candidates, denoise, graph, intervals, models, otu, tagjump, tags
+from sporeline.operators import barcodes, candidates, cluster, denoise, graph, intervals, models, otu, tagjump, tags
 
 
 def plan(df):
@@ -96,3 +96,13 @@ def test_sparse_wide_table_is_the_wide_one(spark):
 
 def test_kmers_are_never_broadcast(spark):
     assert "strategy=merge" in plan(graph.kmer_links(spark.createDataFrame([("ACGT" * 5,)], "seq string"), 12, 8))
+
+
+def test_overlaps_keep_sequences_out_of_their_kmers(spark, monkeypatch):
+    written, settled = [], graph.settled
+    monkeypatch.setattr(graph, "settled", lambda df: written.append(df.columns) or settled(df))
+    seqs = random_seqs(20, 60, 5)
+    rows = spark.createDataFrame([(s,) for s in seqs + [s[1:] + "A" for s in seqs]], "seq string")
+    got = {(r.u, r.v) for r in cluster.overlap_links(rows).collect()}
+    assert got == {x for s in seqs for x in ((s, s[1:] + "A"), (s[1:] + "A", s))}
+    assert [c for c in written if "kmer" in c] and not [c for c in written if "kmer" in c and "seq" in c]
