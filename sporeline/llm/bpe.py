@@ -7,7 +7,8 @@ token and of its left neighbour, and removes that of the right one, so it costs
 length instead of a scan. Pieces of up to SHORT bytes that are new to a worker are merged together, one tree per row of
 an array; longer ones go through the same tree one by one.
 
-Workers remember units (a word with the space before it) up to a bounded number, as most recur.
+A batch's distinct units (a word with the space before it) are numbered by Arrow, and only those are looked up. Workers
+remember units up to a bounded number, as most recur.
 
 Defined cases: a null text is an empty text, with no tokens; repeated rows are encoded alike; an empty table gives an
 empty result; very long texts and pieces take n log n; extra columns are kept unless they have a result column's name.
@@ -17,10 +18,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +32,12 @@ from sporeline.llm.common import batches_of, table
 
 #: Longest piece, in bytes, that is merged in a batch.
 SHORT = 32
-#: Units that a worker remembers; at about 250 bytes each some 200 MB.
-REMEMBERED = 800_000
+#: Short pieces that are merged together; their trees stay in a core's cache.
+ROWS = 4_000
+#: Units of a generation, of which a worker remembers two; at about 250 bytes each some 200 MB.
+REMEMBERED = 400_000
 #: Bytes of texts that are cut into units at once, about.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 8_000_000
 NONE = np.int64(1) << 40
 
 # The white space of the pattern, as Unicode's White_Space property has it.
@@ -76,9 +81,12 @@ class Vocabulary:
         # In the pattern \s is spelt out, as libraries differ on it.
         own = pattern.replace(r"[^\s\p{L}", rf"[^{SPACE}\p{{L}}").replace(r"(?!\S)", rf"(?![^{SPACE}])").replace(r"\s", f"[{SPACE}]")
         self.pieces = regex.compile(own, regex.V0).findall
-        #: A space that doesn't begin a word: texts with one are not cut at spaces.
-        self.odd_space = regex.compile(rf" (?=[{SPACE}\x1c-\x1f]|\Z)").search
+        #: What a word doesn't begin with: texts with a space before it, or at the end, are not cut at spaces.
+        space = regex.compile(f"[{SPACE}\x1c-\x1f]").match
+        self.white = frozenset(c for c in map(chr, range(0x3001)) if space(c))
+        self.tokens = pa.array(self.bytes_of, pa.large_binary())
         self.units: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -148,92 +156,139 @@ class Vocabulary:
 
     def merge_short(self, pieces: list[bytes]) -> list[bytes]:
         """Pieces of 1 to SHORT bytes, each row an array's segment tree; ids as little-endian unsigned 32-bit integers."""
+        return [x for at in range(0, len(pieces), ROWS) for x in self._merge_rows(pieces[at : at + ROWS])]
+
+    def _merge_rows(self, pieces: list[bytes]) -> list[bytes]:
+        """Positions are numbered through all rows, whose size is a power of two: above position p of a level stands p // 2.
+        The number after the last row's is before and after every row's ends; it has no id, and what is noted at it isn't read."""
         m = len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, m)
-        size = 1 << max(1, int(lengths.max() - 1).bit_length())
-        raw = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), np.uint8).reshape(m, size)
-        ids = self.byte_id[raw]
-        ids[np.arange(size) >= lengths[:, None]] = -1
-        nxt = np.tile(np.arange(1, size + 1), (m, 1))
-        prv = np.tile(np.arange(-1, size - 1), (m, 1))
-        tree = np.full((m, 2 * size), NONE * size, np.int64)
-        rank = self.rank_of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(m, size - 1)
-        tree[:, size : 2 * size - 1] = np.where(rank < NONE, rank * size + np.arange(size - 1), NONE * size)
-        half = size
-        while half > 1:
-            half >>= 1
-            tree[:, half : 2 * half] = np.minimum(tree[:, 2 * half : 4 * half : 2], tree[:, 2 * half + 1 : 4 * half : 2])
-
-        def put(rows: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
-            k = size + at
-            tree[rows, k] = value
-            for _ in range(size.bit_length() - 1):
-                k = k >> 1
-                tree[rows, k] = np.minimum(tree[rows, 2 * k], tree[rows, 2 * k + 1])
-
-        rows = np.flatnonzero(tree[:, 1] < NONE * size)
+        bits = max(1, int(lengths.max() - 1).bit_length())
+        size = 1 << bits
+        raw = np.frombuffer(b"".join([p.ljust(size, b"\0") for p in pieces]), np.uint8)
+        ids = np.full((m + 1) * size, -1, np.int64)
+        ids[: m * size] = np.where((np.arange(size) < lengths[:, None]).ravel(), self.byte_id[raw], -1)
+        nxt, prv = np.arange(1, m * size + 2), np.arange(-1, m * size)
+        nxt[size - 1 :: size], prv[::size] = m * size, m * size
+        # Nodes hold rank * size + position in the row, so the least is the leftmost of lowest rank.
+        top = NONE << bits
+        column = np.arange(size)
+        leaves = np.full((m + 1, size), top, np.int64)
+        table = ids[: m * size].reshape(m, size)
+        leaves[:m, :-1] = np.minimum((self.rank_of(table[:, :-1].ravel(), table[:, 1:].ravel()).reshape(m, size - 1) << bits) + column[:-1], top)
+        levels = [leaves.ravel()]
+        for _ in range(bits):
+            levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+        rows = np.flatnonzero(levels[-1][:m] < top)
         while len(rows):
-            new, p = np.divmod(tree[rows, 1], size)
-            q = nxt[rows, p]
-            ids[rows, p] = new
-            ids[rows, q] = -1
-            r = nxt[rows, q]
-            nxt[rows, p] = r
-            inner = r < size
-            prv[rows[inner], r[inner]] = p[inner]
-            right = np.where(inner, ids[rows, np.minimum(r, size - 1)], -1)
-            after = self.rank_of(new, right)
-            put(rows, q, np.full(len(rows), NONE * size))
-            put(rows, p, np.where(after < NONE, after * size + p, NONE * size))
-            o = prv[rows, p]
-            has = o >= 0
-            before = self.rank_of(ids[rows[has], o[has]], new[has])
-            put(rows[has], o[has], np.where(before < NONE, before * size + o[has], NONE * size))
-            rows = rows[tree[rows, 1] < NONE * size]
-        live = ids >= 0
-        flat = ids[live].astype("<u4").tobytes()
+            least = levels[-1][rows]
+            p, new = (rows << bits) + (least & (size - 1)), least >> bits
+            q = nxt[p]
+            r = nxt[q]
+            o = prv[p]
+            ids[p], ids[q] = new, -1
+            nxt[p], prv[r] = r, p
+            ranks = self.rank_of(np.concatenate([new, ids[o]]), np.concatenate([ids[r], new]))
+            at = np.concatenate([q, p, o])
+            levels[0][q] = top
+            levels[0][at[len(q) :]] = np.minimum((ranks << bits) + (at[len(q) :] & (size - 1)), top)
+            for below, level in zip(levels, levels[1:]):
+                at = at >> 1
+                level[at] = np.minimum(below[2 * at], below[2 * at + 1])
+            rows = rows[levels[-1][rows] < top]
+        live = ids[: m * size].reshape(m, size) >= 0
+        flat = ids[: m * size][live.ravel()].astype("<u4").tobytes()
         ends = (np.cumsum(live.sum(1)) * 4).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = []
-        for text in texts:
-            if self.odd_space(text):
-                cut.append(self.pieces(text))
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids in each); null is an empty text. Distinct words are numbered, and their ids are gathered for
+        the whole batch at once."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        # Where every space begins a word, a piece can't end in it: cutting before spaces cuts no piece. A text with
+        # another space is cut into pieces whole; it is a unit of its own then, and its words have no ids.
+        words = pc.split_pattern(texts, " ")
+        coded = words.flatten().dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        n_words = pc.list_value_length(words).to_numpy()
+        first = np.cumsum(n_words) - n_words
+        white = np.fromiter((not w or w[0] in self.white for w in distinct), bool, len(distinct))[at]
+        white[first] = False
+        odd = np.add.reduceat(white, first, dtype=np.int64) > 0
+        # The first word has no space before it.
+        heads = [self.pieces(texts[i].as_py()) if o else [w] if (w := distinct[k]) else [] for i, (o, k) in enumerate(zip(odd.tolist(), at[first].tolist()))]
+        inner = ~np.repeat(odd, n_words)
+        inner[first] = False
+        used = np.zeros(len(distinct), bool)
+        used[at[inner]] = True
+        spaced = [" " + distinct[i] for i in np.flatnonzero(used).tolist()]
+        known = self._known({*spaced, *itertools.chain.from_iterable(heads)})
+        units = [known[u] for u in spaced] + [b"".join([known[u] for u in h]) for h in heads] + [b""]
+        number = np.full(len(distinct), len(units) - 1)
+        number[used] = np.arange(len(spaced))
+        at = np.where(inner, number[at], len(units) - 1)
+        at[first] = len(spaced) + np.arange(len(first))
+        lengths = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        found = pa.array(units, pa.large_binary()).take(pa.array(at))
+        ids = np.frombuffer(found.buffers()[2] or b"", "<u4")
+        return ids, np.add.reduceat(lengths[at], first)
+
+    def _known(self, units: set[str]) -> dict[str, bytes]:
+        """All units remembered, those given among them. When a generation is full it becomes the one before, from which
+        units in use are carried over."""
+        if len(self.units) > REMEMBERED:
+            self.units, self.before = {}, self.units
+        known, before = self.units, self.before
+        new = []
+        for u in units.difference(known):
+            if (ids := before.get(u)) is None:
+                new.append(u)
             else:
-                # Here every space begins a word, and a piece can't end in it: cutting before spaces cuts no piece.
-                first, *rest = text.split(" ")
-                cut.append([first, *[" " + x for x in rest]] if first else [" " + x for x in rest])
-        known = self.units
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set().union(*cut)
-        new = list(new.difference(known))
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
-        return [b"".join([known[u] for u in units]) for units in cut]
+                known[u] = ids
+        if new:
+            self._learn(new)
+        return known
 
     def _learn(self, units: list[str]) -> None:
-        """Encodes units and remembers them."""
-        parts = [[p.encode("utf-8", "surrogatepass") for p in self.pieces(u)] for u in units]
-        done: dict[bytes, bytes] = {}
-        by_width: dict[int, list[bytes]] = {}
-        for p in set().union(*parts):
-            if (whole := self.ranks.get(p)) is not None:
-                done[p] = whole.to_bytes(4, "little")
-            elif len(p) > SHORT:
-                done[p] = np.array(self.merge_long(p), "<u4").tobytes()
-            else:
-                by_width.setdefault((len(p) - 1).bit_length(), []).append(p)
+        """Encodes units and remembers them. Words after a space are cut into pieces as one text, by their spaces alone."""
+        words = [u for u in units if len(u) > 1 and u[0] == " " and u[1] not in self.white]
+        other = list(set(units).difference(words))
+        parts = self.pieces("".join(words))
+        starts = [i for i, p in enumerate(parts) if p[0] == " "]
+        for u in other:
+            starts.append(len(parts))
+            parts += self.pieces(u)
+        done = dict.fromkeys(parts)
+        new: dict[str, bytes] = {}
+        by_width: dict[int, dict[str, bytes]] = {}
+        for p in done:
+            # A piece is the unit of which it is all: words with and without marks have theirs in common.
+            ids = self.units.get(p) or self.before.get(p)
+            if ids is None:
+                raw = p.encode()
+                if (whole := self.ranks.get(raw)) is not None:
+                    ids = whole.to_bytes(4, "little")
+                elif len(raw) > SHORT:
+                    ids = np.array(self.merge_long(raw), "<u4").tobytes()
+                else:
+                    by_width.setdefault((len(raw) - 1).bit_length(), {})[p] = raw
+            done[p] = ids
         for same in by_width.values():
-            done.update(zip(same, self.merge_short(same)))
-        for u, p in zip(units, parts):
-            self.units[u] = done[p[0]] if len(p) == 1 else b"".join([done[x] for x in p])
+            new.update(zip(same, self.merge_short(list(same.values()))))
+        done.update(new)
+        self.units.update(new)
+        for u, a, b in zip(words + other, starts, [*starts[1:], len(parts)]):
+            if b - a == 1:
+                self.units[u] = done[parts[a]]
+            else:
+                self.units[u] = b"".join([done[p] for p in parts[a:b]])
 
-    def decode(self, ids: bytes) -> bytes:
-        of = self.bytes_of
-        return b"".join([of[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    def decode(self, ids: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+        """(the bytes of all ids, where each id's begin, and the end)."""
+        found = self.tokens.take(pa.array(ids))
+        return found.buffers()[2], np.frombuffer(found.buffers()[1], np.int64)[: len(ids) + 1]
 
 
 _held: dict[tuple[int, str], Vocabulary] = {}
@@ -263,17 +318,18 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
         own = vocabulary(lines.value, pattern)
         for whole in batches:
             for b in batches_of(whole, at, BATCH_BYTES):
-                encoded = own.encode_batch([t or "" for t in b.column(at).to_pylist()])
+                ids, counts = own.encode_batch(b.column(at))
                 columns = [b.column(kept.index(c)) for c in names]
-                counts = pa.array([len(x) // 4 for x in encoded], pa.int64())
-                decoded = [own.decode(x) for x in encoded]
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                decoded, begins = own.decode(ids)
+                counts = pa.array(counts, pa.int64())
                 if digest:
-                    more = [pa.array([hashlib.sha256(x).hexdigest() for x in xs]) for xs in (encoded, decoded)]
+                    whole_of = ((memoryview(ids).cast("B"), ends * 4), (memoryview(decoded or b""), begins[ends]))
+                    more = [pa.array([hashlib.sha256(x[i:j]).hexdigest() for i, j in zip(e[:-1].tolist(), e[1:].tolist())], pa.string()) for x, e in whole_of]
                     yield pa.RecordBatch.from_arrays([*columns, counts, *more], [*names, "n_tokens", "ids_sha256", "decoded_sha256"])
                 else:
-                    flat = pa.array(np.frombuffer(b"".join(encoded), "<i4"), pa.int32())
-                    ends = pa.array(np.cumsum([0, *[len(x) // 4 for x in encoded]]), pa.int32())
-                    more = [pa.ListArray.from_arrays(ends, flat), pa.array(decoded, pa.binary())]
+                    texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(begins[ends]), decoded])
+                    more = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view("<i4"))), texts.cast(pa.binary())]
                     yield pa.RecordBatch.from_arrays([*columns, counts, *more], [*names, "n_tokens", "ids", "decoded"])
 
     tail = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "n_tokens long, ids array<int>, decoded binary"

@@ -47,10 +47,8 @@ class Version:
         if self.pattern is None:
             return tokenfile._encoder(self.content.decode()).counts(texts)
         own = bpe.vocabulary(self.content, self.pattern)
-        out = []
-        for b in batches_of(pa.RecordBatch.from_arrays([texts], ["text"]), 0, bpe.BATCH_BYTES):
-            out += [len(x) // 4 for x in own.encode_batch([t or "" for t in b.column(0).to_pylist()])]
-        return np.array(out, np.int64)
+        out = [own.encode_batch(b.column(0))[1] for b in batches_of(pa.RecordBatch.from_arrays([texts], ["text"]), 0, bpe.BATCH_BYTES)]
+        return np.concatenate([np.zeros(0, np.int64), *out])
 
 
 def versions(names: tuple = ("byte_bpe_50k.tiktoken", "word_bpe_49k.json")) -> list[Version]:

@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -56,6 +57,23 @@ def test_bpe_is_tiktoken(spark, odd):
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_bpe_merges_a_piece_once(monkeypatch):
+    """Whatever marks follow it and whatever batch it is in; units of the generation before are carried over."""
+    v = bpe.Vocabulary(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN)
+    merged, merge = [], v.merge_short
+    monkeypatch.setattr(v, "merge_short", lambda pieces: merged.extend(pieces) or merge(pieces))
+    monkeypatch.setattr(bpe, "REMEMBERED", 4)
+    enc = own_tiktoken()
+    batches = [["a qxzvkw, qxzvkw.\n", None, "qxzvkw qxzvkw!", "", " "], ["b qxzvkw? qxzvkw\t qxzvkw  qxzvkw", "é qxzvkw, ", "\u3000 \x1cqxzvkw \x1c"]]
+    for texts_ in batches:
+        ids, counts = v.encode_batch(pa.array(texts_, pa.string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [enc.encode_ordinary(t or "") for t in texts_]
+        found, begins = v.decode(ids)
+        assert bytes(found) == "".join(t or "" for t in texts_).encode() and begins[-1] == len(found)
+    assert len(merged) == len(set(merged)) and b" qxzvkw" in merged
+    assert [len(x) for x in v.encode_batch(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_segment_tree_by_batch_and_alone():
     v = bpe.Vocabulary(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN)
     rng = np.random.default_rng(3)
