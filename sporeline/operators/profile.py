@@ -4,7 +4,9 @@ A profile's nodes have a match, an insert and a delete state. The best local pat
 node with equal chance and leaves anywhere; scores are log odds, in bits, against equal bases, and inserted bases score
 nothing themselves. All sequences of a batch and all nodes go through a position at once: a chain of deletes within a
 position is a running maximum after the chain's cost is taken off. Where the path began is carried along, so no table is
-kept. Scores aren't calibrated to chance as an E-value is; a least score is the caller's.
+kept. A search first takes scores alone, from which it has each path's last base; only around the ends of paths that score
+enough, and as far back as such a path can reach, are beginnings carried along. Scores aren't calibrated to chance as an
+E-value is; a least score is the caller's.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from sporeline.functions import seq as S
 
 NEVER = -1e6
-#: Bases of sequences that go through a profile at once.
+#: Bases of sequences that go through a profile at once; their scores at a position stay in a core's cache.
 LOT = 200_000
 _CODE = np.full(256, 4, np.uint8)
 for _letters, _i in (("Aa", 0), ("Cc", 1), ("Gg", 2), ("TtUu", 3)):
@@ -94,20 +96,18 @@ def best_paths(profile: Profile, seqs: list[bytes]) -> list[tuple[float, int, in
     # The cost of a chain of deletes up to each node; where it can't go on, a step of NEVER.
     chain = np.concatenate([[0.0], np.cumsum(dd)])[:nodes]
     value = {x: np.full(shape, NEVER) for x in "MID"}
-    begin = {x: np.zeros((2, *shape), np.int32) for x in "MID"}
+    # Where a path began: its first base and node as one number.
+    begin = {x: np.zeros(shape, np.int64) for x in "MID"}
     best, found = np.full(len(seqs), NEVER), np.zeros((4, len(seqs)), np.int64)
     every, node = np.arange(len(seqs)), np.arange(nodes)
     for i in range(width):
-        ways = [np.full(shape, enter)]
-        starts = [np.stack([np.full(shape, i + 1), np.broadcast_to(node + 1, shape)]).astype(np.int32)]
+        match, match_begin = np.full(shape, enter), np.tile(i * nodes + node, (len(seqs), 1))
         for x, move in (("M", mm), ("I", im), ("D", dm)):
-            way, start = np.full(shape, NEVER), np.zeros((2, *shape), np.int32)
-            way[:, 1:], start[:, :, 1:] = value[x][:, :-1] + move[:-1], begin[x][:, :, :-1]
-            ways.append(way)
-            starts.append(start)
-        which = np.stack(ways).argmax(0)
-        match = np.maximum(np.max(ways, 0) + emit[code[:, i]], NEVER)
-        match_begin = np.choose(which, [s for s in starts])
+            way = value[x][:, :-1] + move[:-1]
+            better = way > match[:, 1:]
+            np.copyto(match[:, 1:], way, where=better)
+            np.copyto(match_begin[:, 1:], begin[x][:, :-1], where=better)
+        match = np.maximum(match + emit[code[:, i]], NEVER)
         open_, longer = value["M"] + mi, value["I"] + ii
         insert = np.where((code[:, i] == 5)[:, None], NEVER, np.maximum(np.maximum(open_, longer), NEVER))
         insert_begin = np.where(open_ >= longer, begin["M"], begin["I"])
@@ -116,17 +116,76 @@ def best_paths(profile: Profile, seqs: list[bytes]) -> list[tuple[float, int, in
         top = np.maximum.accumulate(lead, 1)
         source = np.maximum(np.maximum.accumulate(np.where(lead == top, node, 0), 1) - 1, 0)
         delete = np.maximum(top + chain, NEVER)
-        delete_begin = np.take_along_axis(match_begin, np.broadcast_to(source, (2, *shape)), 2)
+        delete_begin = np.take_along_axis(match_begin, source, 1)
         value, begin = {"M": match, "I": insert, "D": delete}, {"M": match_begin, "I": insert_begin, "D": delete_begin}
         last = match.argmax(1)
         now = match[every, last]
         better = now > best + 1e-9
         best[better] = now[better]
-        for k, x in enumerate((match_begin[0][every, last], np.full(len(seqs), i + 1), match_begin[1][every, last], last + 1)):
+        first = match_begin[every, last]
+        for k, x in enumerate((first // nodes + 1, np.full(len(seqs), i + 1), first % nodes + 1, last + 1)):
             found[k][better] = x[better]
     return [(float(b), *map(int, x)) for b, x in zip(best, found.T)]
 
 
+def best_ends(profile: Profile, seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, last bases) of ``best_paths``, without where the paths begin. All sums are those of ``best_paths``; its bounds
+    of NEVER are left out, as what is below the cost of entering is never the best way on."""
+    nodes, lengths = profile.length, np.fromiter(map(len, seqs), np.int64, len(seqs))
+    width = int(lengths.max(initial=0))
+    code = np.full((len(seqs), width), 5, np.uint8)
+    code[np.arange(width) < lengths[:, None]] = _CODE[np.frombuffer(b"".join(seqs), np.uint8)]
+    code = np.ascontiguousarray(code.T)
+    emit = np.concatenate([profile.match.T, np.full((2, nodes), 0.0)])
+    emit[5] = NEVER
+    emit = np.ascontiguousarray(emit.T)
+    mm, mi, md, im, ii, dm, dd = (x[:, None] for x in profile.moves.T)
+    enter = -np.log2(nodes)
+    chain = np.concatenate([[0.0], np.cumsum(dd)])[:nodes, None]
+    match, insert, delete = (np.full((nodes, len(seqs)), NEVER) for _ in range(3))
+    ways, other, longer = (np.empty_like(match) for _ in range(3))
+    best, last = np.full(len(seqs), NEVER), np.zeros(len(seqs), np.int64)
+    for i in range(width):
+        ways[0] = enter
+        np.add(match[:-1], mm[:-1], out=ways[1:])
+        for value, move in ((insert, im), (delete, dm)):
+            np.add(value[:-1], move[:-1], out=other[1:])
+            np.maximum(ways[1:], other[1:], out=ways[1:])
+        np.maximum(ways[1:], enter, out=ways[1:])
+        np.add(match, mi, out=other)
+        np.add(insert, ii, out=longer)
+        np.maximum(other, longer, out=insert)
+        np.take(emit, code[i], axis=1, out=match, mode="clip")
+        match += ways
+        delete[0] = NEVER
+        np.add(match[:-1], md[:-1], out=delete[1:])
+        delete[1:] -= chain[1:]
+        np.maximum.accumulate(delete, 0, out=delete)
+        delete += chain
+        now = match.max(0)
+        better = now > best + 1e-9
+        np.copyto(best, now, where=better)
+        last[better] = i + 1
+    return best, last
+
+
+def reach(profile: Profile, least: float) -> int | None:
+    """Bases that a path of at least ``least`` bits may have: one a node, and what its matches leave for inserts. None: any."""
+    spare = np.maximum(profile.match.max(1), 0.0).sum() - np.log2(profile.length) - least
+    cost = -profile.moves[:, [1, 4]].max()
+    return None if cost < 1e-3 or profile.moves.max() > 0 else profile.length + int(max(0.0, spare) / cost) + 2
+
+
+def _found(profile: Profile, seqs: list[bytes], least: float) -> list[tuple[int, tuple[float, int, int, int, int]]]:
+    """(number, best path) of the sequences whose best path has at least ``least`` bits."""
+    scores, last = best_ends(profile, seqs)
+    far = reach(profile, least)
+    own = np.flatnonzero((scores >= least) & (last > 0)).tolist()
+    begin = [0 if far is None else max(0, int(last[i]) - far) for i in own]
+    paths = best_paths(profile, [seqs[i][a : last[i]] for i, a in zip(own, begin)]) if own else []
+    return [(i, (score, first + a, end + a, *at)) for i, a, (score, first, end, *at) in zip(own, begin, paths)]
+
+
 def hits(seqs: DataFrame, profiles: list[Profile], least: float = 10.0, both_strands: bool = False) -> DataFrame:
     """(id, strand, profile, score, start, end, node_from, node_to) of seqs(id, seq): each profile's best path, of at least
     ``least`` bits; places are those on the strand. Null and empty sequences have none."""
@@ -151,10 +210,9 @@ def hits(seqs: DataFrame, profiles: list[Profile], least: float = 10.0, both_str
             index, out = [], []
             for p in shared.value:
                 for lot in lots:
-                    for i, (score, *places) in zip(lot, best_paths(p, [texts[i] for i in lot]) if lot else ()):
-                        if score >= least:
-                            index.append(i)
-                            out.append((p.name, score, *places))
+                    for i, path in _found(p, [texts[i] for i in lot], least):
+                        index.append(lot[i])
+                        out.append((p.name, *path))
             at = pa.array(index, pa.int32())
             types = (pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array([r[k] for r in out], t) for k, t in enumerate(types))], names)

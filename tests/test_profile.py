@@ -76,3 +76,23 @@ def test_regions_from_a_profile(spark, tmp_path):
 
     read_ = profile.regions(df.filter("id = 'a'"), read).select(intervals.parse_region(F.col("ITS1"), "ITS1", F.col("length")).alias("r")).select("r.*").first()
     assert (read_.start, read_.end) == (51, 120)
+
+
+def test_search_carries_beginnings_along_only_near_good_ends(monkeypatch):
+    """The search has the paths of ``best_paths`` over whole sequences, for which it looks at as much as such a path can reach."""
+    rng = np.random.default_rng(9)
+    letters = np.frombuffer(b"ACGTN", np.uint8)
+    p = profile.of_consensus("a", "ACCTGCGGAAGGATCATTA")
+    core = b"ACCTGCGGAAGGATCATTA"
+    inner = [core, core[:9] + b"GT" + core[9:], core[:6] + core[9:], b"ACCTGCGGAANGATCAT", b"", core + b"T" * 40 + core]
+    seqs = [rng.choice(letters, rng.integers(0, 120)).tobytes() + x + rng.choice(letters, rng.integers(0, 120)).tobytes() for x in inner * 20]
+    strange = profile.Profile("b", p.match, np.where(p.moves == p.moves[0, 6], profile.NEVER, p.moves))
+    whole, seen = profile.best_paths, []
+    monkeypatch.setattr(profile, "best_paths", lambda p, s: seen.extend(map(len, s)) or whole(p, s))
+    for own in (p, strange):
+        for least in (18.0, 6.0, 0.5):
+            seen.clear()
+            found = profile._found(own, seqs, least)
+            assert found == [(i, x) for i, x in enumerate(whole(own, seqs)) if x[0] >= least]
+            assert len(seen) == len(found) and max(seen) <= profile.reach(own, least)
+    assert profile._found(p, [], 1.0) == [] and profile.best_ends(p, [b""])[1].tolist() == [0]
