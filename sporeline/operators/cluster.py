@@ -160,19 +160,31 @@ def linclust(seqs: DataFrame, k: int, m: int, identity: float, coverage: float =
 
 
 def pair_stats(cells: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Co-occurrence of pairs(query, parent) over cells(OTU, SampleID, Abundance): totals, overlap and ratios."""
-    a = cells.select(F.col("OTU").alias("query"), "SampleID", F.col("Abundance").alias("q"))
-    b = cells.select(F.col("OTU").alias("parent"), "SampleID", F.col("Abundance").alias("p"))
+    """Co-occurrence of pairs(query, parent) over cells(OTU, SampleID, Abundance), an OTU once in a sample: totals, overlap
+    and ratios.
+
+    Only samples in common are rows of a join: both ways of a pair are told from them at once, and they are sought from the
+    cells of the OTU that has fewer. How many samples a query has is known from its total.
+    """
     total = cells.groupBy("OTU").agg(F.sum("Abundance").alias("total"), F.count("*").alias("spread"))
-    rows = pairs.join(a, "query").join(b, ["parent", "SampleID"], "left")
-    out = rows.groupBy("query", "parent").agg(
-        F.count("*").alias("query_spread"), F.count("p").alias("overlap"),
-        F.min(F.col("p") / F.col("q")).alias("min_ratio"), F.max(F.col("p") / F.col("q")).alias("max_ratio"),
-        (F.sum(F.col("p") / F.col("q")) / F.count("p")).alias("avg_ratio"),
+    t = lambda side: total.select(F.col("OTU").alias(side), F.col("total").alias(f"{side}_total"), F.col("spread").alias(f"{side}_n"))
+    asked = pairs.groupBy("query", "parent").agg(F.count("*").alias("times")).join(t("query"), "query").join(t("parent"), "parent")
+    fewer = (F.col("query_n") < F.col("parent_n")) | ((F.col("query_n") == F.col("parent_n")) & (F.col("query") <= F.col("parent")))
+    asked = asked.withColumns({"few": F.when(fewer, F.col("query")).otherwise(F.col("parent")), "many": F.when(fewer, F.col("parent")).otherwise(F.col("query"))})
+    asked = graph.settled(asked)
+    of = lambda side, n: cells.select(F.col("OTU").alias(side), "SampleID", F.col("Abundance").alias(n))
+    met = asked.select("few", "many").distinct().join(of("few", "x"), "few").join(of("many", "y"), ["many", "SampleID"])
+    ratio = lambda p, q: [f(F.try_divide(F.col(p), F.col(q))).alias(f"{k}_{p}") for k, f in (("min", F.min), ("max", F.max), ("sum", F.sum))]
+    both = met.groupBy("few", "many").agg(*[F.count(n).alias(f"n_{n}") for n in "xy"], *ratio("x", "y"), *ratio("y", "x"))
+    out = asked.join(both, ["few", "many"], "left")
+    # The parent's share of the ratios: the larger OTU's where the query is the smaller one.
+    side = lambda k: F.when(F.col("query") == F.col("few"), F.col(f"{k}_y")).otherwise(F.col(f"{k}_x"))
+    overlap = F.coalesce(side("n"), F.lit(0))
+    return out.select(
+        "parent", "query", (F.col("query_n") * F.col("times")).alias("query_spread"), (overlap * F.col("times")).alias("overlap"),
+        side("min").alias("min_ratio"), side("max").alias("max_ratio"), F.try_divide(side("sum"), overlap).alias("avg_ratio"),
+        "query_total", "parent_total", (overlap / F.col("query_n")).alias("cooccurrence"),
     )
-    t = lambda side: total.select(F.col("OTU").alias(side), F.col("total").alias(f"{side}_total"))
-    out = out.join(t("query"), "query").join(t("parent"), "parent")
-    return out.withColumn("cooccurrence", F.col("overlap") / F.col("query_spread"))
 
 
 def curate(cells: DataFrame, pairs: DataFrame, cooccurrence: float = 0.95, ratio: float = 1.0, ratio_type: str = "min", max_hits: int | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sporeline.operators import barcodes, candidates, cluster, denoise, graph, intervals, models, otu, tagjump, tags
@@ -106,3 +107,38 @@ def test_overlaps_keep_sequences_out_of_their_kmers(spark, monkeypatch):
     got = {(r.u, r.v) for r in cluster.overlap_links(rows).collect()}
     assert got == {x for s in seqs for x in ((s, s[1:] + "A"), (s[1:] + "A", s))}
     assert [c for c in written if "kmer" in c] and not [c for c in written if "kmer" in c and "seq" in c]
+
+
+def test_pairs_are_told_both_ways_from_the_samples_in_common(spark):
+    """By brute force, with pairs of one way, twice the same, of oneself, without samples in common and without cells; nothing
+    is divided by a query's 0. Samples of one side alone are no rows of a join: there is no outer join with cells."""
+    rng = random.Random(4)
+    own = {(o, s): rng.randrange(0, 5) for o in range(6) for s in range(12) if rng.random() < (0.2 + 0.15 * o)} | {(7, 99): 3}
+    pairs = [(a, b) for a in range(6) for b in range(6) if (a * 5 + b) % 3] + [(0, 1), (2, 2), (7, 0), (0, 7), (0, 8), (8, 0), (None, 1), (1, None)]
+    cells = spark.createDataFrame([(o, s, n) for (o, s), n in own.items()], "OTU long, SampleID long, Abundance long")
+    found = cluster.pair_stats(cells, spark.createDataFrame(pairs, "query long, parent long"))
+    want = {}
+    for q, p in set(pairs):
+        of = lambda o: {s: n for (x, s), n in own.items() if x == o}
+        a, b = of(q), of(p)
+        if not a or not b:
+            continue
+        times, both = pairs.count((q, p)), [(a[s], b[s]) for s in a if s in b]
+        r = [y / x for x, y in both if x]
+        want[q, p] = (len(a) * times, len(both) * times, min(r, default=None), max(r, default=None), round(sum(r) / len(both), 9) if r else None, sum(a.values()), sum(b.values()), len(both) / len(a))
+    got = {(r["query"], r["parent"]): (r.query_spread, r.overlap, r.min_ratio, r.max_ratio, None if r.avg_ratio is None else round(r.avg_ratio, 9), r.query_total, r.parent_total, r.cooccurrence) for r in found.collect()}
+    assert got == want and any(x[1] == 0 for x in got.values())
+
+
+def test_edits_are_counted_once_and_only_filed_lengths_are_looked_up(spark, monkeypatch):
+    looked, look, runs, file = [], candidates._look, [], candidates._file
+    monkeypatch.setattr(candidates, "_file", lambda *args: runs.append(file(*args)) or runs[-1])
+    monkeypatch.setattr(candidates, "_look", lambda least, filed=None: looked.append(sorted(least)) or look(least, filed))
+    rng = random.Random(8)
+    base = ["".join(rng.choices("ACGT", k=80)) for _ in range(30)]
+    rows = spark.createDataFrame([(x,) for x in {*base, *(b[:40] + b[41:] for b in base)}], "seq string")
+    links = graph.similar(rows, 0.95)
+    assert {(r.u, r.v) for r in links.collect()} == {tuple(sorted((b, b[:40] + b[41:]))) for b in base}
+    assert plan(links).count("levenshtein(") == 1
+    batch = pa.RecordBatch.from_pydict({"id": list(range(60)), "seq": [r.seq for r in rows.collect()]})
+    assert looked == [sorted({k for b in runs[0](iter([batch])) for k in b.column("bit").to_pylist()})]
