@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sporeline.llm.common import batches_of, table
+from sporeline.llm.common import batches_of, release, table
 
 #: Longest piece, in bytes, that is merged in a batch.
 SHORT = 32
@@ -314,7 +314,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
     out = [docs.schema[c] for c in kept if c != text] if digest else [docs.schema[c] for c in kept]
     names = [x.name for x in out]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(lines.value, pattern)
         for whole in batches:
             for b in batches_of(whole, at, BATCH_BYTES):
@@ -332,6 +332,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
                     more = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view("<i4"))), texts.cast(pa.binary())]
                     yield pa.RecordBatch.from_arrays([*columns, counts, *more], [*names, "n_tokens", "ids", "decoded"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from encoded(batches)
+        release()  # after the last batch is let go; idle workers stay beside later stages
+
     tail = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "n_tokens long, ids array<int>, decoded binary"
     ddl = ", ".join([*[f"`{x.name}` {x.dataType.simpleString()}" for x in out], tail])
     return docs.select(*kept).mapInArrow(run, ddl)

@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sporeline.llm.common import settle, table
+from sporeline.llm.common import batches_of, release, settle, table
 from sporeline.llm.components import roots
 
 #: Shingles whose bits are summed at once; a very long text is handled in several such parts.
 PART = 65_536
+#: Bytes of texts that are signed at once, about.
+BATCH_BYTES = 2_000_000
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -47,10 +49,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for b in batches_of(whole, 1, BATCH_BYTES):
+            fp = pa.array([fingerprint(t) for t in b.column(1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        fp = pa.array([fingerprint(t) for t in b.column(1).to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
+    yield from _signed(batches)
+    release()  # after the last batch is let go; idle workers stay beside later stages
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -77,7 +85,7 @@ def links(prints: DataFrame) -> DataFrame:
 
 @F.arrow_udf(T.LongType())
 def _print(texts: pa.Array) -> pa.Array:
-    return pa.array([fingerprint(t) for t in texts.to_pylist()], pa.int64())
+    return pa.array([fingerprint(t.as_py()) for t in texts], pa.int64())  # one text at a time
 
 
 def group(signed: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -133,6 +134,22 @@ def test_simhash_is_brute_force(spark, odd):
     assert {i: r.component_id for i, r in got.items()} == brute_groups(prints)
 
 
+def test_signing_holds_few_texts_at_once(monkeypatch):
+    """A batch's texts are never all Python strings together, and a finished task gives its memory back."""
+    rows = 2_000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(rows)), pa.array([f"{i} " + "x" * 10_000 for i in range(rows)])], ["doc_id", "text"])
+    freed = []
+    monkeypatch.setattr(simhash, "release", lambda: freed.append(1), raising=False)
+    tracemalloc.start()
+    try:
+        prints = [x for b in simhash._sign(iter([batch])) for x in b.column(1).to_pylist()]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert prints == [simhash.fingerprint(t) for t in batch.column(1).to_pylist()]
+    assert most < 8_000_000 and freed == [1]
+
+
 def test_pigeonring_links_all_pairs(spark):
     rng = np.random.default_rng(5)
     base = [int(x) for x in rng.integers(0, 2**63, 40)]
