@@ -3,12 +3,17 @@
 Words are counted in tasks and added up by Spark. The vocabulary is sorted and cut into shards, each a compact trie: chains
 of single children are one edge, nodes stand in breadth-first order, so that a node's children are a range, and edges' bytes
 are those of the sorted words themselves. Shards are built in tasks and have a bounded number of words and bytes; as many as fit
-in BROADCAST_BYTES are broadcast at a time, and every word meets every shard once.
+in BROADCAST_BYTES are broadcast at a time.
+
+There are shards of the words as they are and of the words spelt backwards. A neighbour that first differs in a word's second
+half has the first half in common, so it is in the shards whose range holds that beginning, one or two for most words; one
+that first differs in the first half is found in the same way by its end. So no word meets every shard, and the automaton
+tries errors only far from the roots, where nodes have few children.
 
 A word's Levenshtein automaton of distance one is run through a shard depth-first. A neighbour leaves the word where the
 two first differ, so the automaton follows the word without an error, and at each node tries an error into the children
 that differ from it (replaced or inserted) and past the word's own letter (deleted); after the error it follows what is
-left of the word exactly. So each neighbour is accepted once. A shard that has none of a word's beginnings is left at its root.
+left of the word exactly. So each neighbour is accepted once.
 
 Letters are below U+0100, so a word is handled as Latin-1, one byte each, whose order is that of code points.
 
@@ -22,6 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -138,8 +144,8 @@ class Trie:
                 return -1
             d, k = end, step
 
-    def near(self, w: bytes) -> list[int]:
-        """Numbers of the words that are one edit from w."""
+    def near(self, w: bytes, least: int = 0) -> list[int]:
+        """Numbers of the words that are one edit from w and share its first ``least`` letters."""
         words, first, rep, depth, label, rest = self.words, self.first, self.rep, self.depth, self.label, self._rest
         out: list[int] = []
         size, i, j = len(w), 0, 0
@@ -147,6 +153,8 @@ class Trie:
             s, end = words[rep[j]], depth[j]
             if s[i:end] != w[i:end]:  # the word leaves the trie within an edge
                 p = _common(s[:end], w, i)
+                if p < least:
+                    break
                 out.append(rest(j, p + 1, w, p))
                 if p < size:
                     out += (rest(j, p + 1, w, p + 1), rest(j, p, w, p + 1))
@@ -155,9 +163,14 @@ class Trie:
             if i == size:
                 out += [rest(c, i + 1, w, i) for c in range(a, b)]
                 break
+            x = w[i]
+            if i < least:
+                j = label.find(x, a, b)
+                if j < 0:
+                    break
+                continue
             if len(s) == i and size == i + 1:
                 out.append(rep[j])
-            x = w[i]
             y = w[i + 1] if i + 1 < size else -1
             for c in range(a, b):
                 if label[c] == x:
@@ -199,13 +212,17 @@ def _common(a: bytes, b: bytes, start: int) -> int:
 
 
 def _shards(most: int):
-    """Tries of sorted words (word, n)."""
+    """Tries of sorted words (word, n), with their first and last word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: list[bytes] = []
         counts: list[int] = []
         letters = 0
-        row = lambda: pa.RecordBatch.from_arrays([pa.array([words[0].decode("latin-1")]), pa.array([Trie(words, counts).packed()])], ["first", "trie"])
+
+        def row() -> pa.RecordBatch:
+            ends = [pa.array([x.decode("latin-1")]) for x in (words[0], words[-1])]
+            return pa.RecordBatch.from_arrays([*ends, pa.array([Trie(words, counts).packed()])], ["first", "last", "trie"])
+
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if words and (len(words) >= most or letters + len(word) > SHARD_LETTERS):
@@ -220,26 +237,48 @@ def _shards(most: int):
     return run
 
 
-def _neighbours(shared):
-    """(word, near, best): how many neighbours the shards have, and (n, word) of the best."""
+class Shards:
+    """Shards (first word, last word, packed trie) in order, of words spelt backwards if ``back``. Tries are unpacked when a
+    word asks for them."""
+
+    def __init__(self, packed: list[tuple[str, str, bytes]], back: bool):
+        self.back, self.packed = back, [t for _, _, t in packed]
+        self.first, self.last = ([x[k].encode("latin-1") for x in packed] for k in (0, 1))
+        self.tries: list[Trie | None] = [None] * len(packed)
+
+    def near(self, w: bytes) -> list[tuple[int, bytes]]:
+        """(-n, word) of w's neighbours that first differ from it in its second half or, if ``back``, in its first. All
+        words are spelt as the shards' are."""
+        half = len(w) // 2
+        # What differs first before ``half`` has all letters after it in common, and so as many at the other end.
+        least = len(w) - half if self.back else half
+        begin, other = w[:least], w[least:]
+        out: list[tuple[int, bytes]] = []
+        k = bisect_left(self.last, begin)
+        while k < len(self.first) and self.first[k][:least] <= begin:
+            if (trie := self.tries[k]) is None:
+                trie = self.tries[k] = Trie.unpacked(self.packed[k])
+            found = [(-trie.counts[i], trie.words[i]) for i in trie.near(w, least)]
+            out += [x for x in found if not x[1].endswith(other)] if self.back else found
+            k += 1
+        return out
+
+
+def _neighbours(shared, back: bool):
+    """(word, near, best): how many neighbours the shards have of words spelt as theirs, and (n, word) of the best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = [Trie.unpacked(b) for b in shared.value]
+        shards = Shards(shared.value, back)
+        step = -1 if back else 1
         for batch in batches:
             out: list[tuple] = []
             for word in batch.column(0).to_pylist():
-                w = word.encode("latin-1")
-                n, best = 0, None
-                for trie in tries:
-                    for i in trie.near(w):
-                        n += 1
-                        if best is None or (-trie.counts[i], trie.words[i]) < best:
-                            best = (-trie.counts[i], trie.words[i])
-                if best:
-                    out.append((word, n, -best[0], best[1].decode("latin-1")))
+                if found := shards.near(word.encode("latin-1")):
+                    m, best = min((m, w[::step]) for m, w in found)
+                    out.append((word[::step], len(found), -m, best.decode("latin-1")))
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["word", "near", "best_n", "best"])
-        del tries
+        del shards
         release()
 
     return run
@@ -259,25 +298,28 @@ def variants(words: DataFrame, shard_words: int = SHARD_WORDS, broadcast_bytes:
     spark = words.sparkSession
     words = settle(words.select("word", "n"))
     total = words.count()
-    sorted_words = words.repartitionByRange(max(1, -(-total // shard_words)), "word").sortWithinPartitions("word")
-    shards = settle(sorted_words.mapInArrow(_shards(shard_words), "first string, trie binary"))
-    sizes = shards.select("first", F.octet_length("trie").alias("bytes")).orderBy("first").collect()
-    rounds: list[list[str]] = []
-    room = 0
-    for row in sizes:
-        if not rounds or row.bytes > room:
-            rounds.append([])
-            room = broadcast_bytes
-        rounds[-1].append(row["first"])
-        room -= row.bytes
-    dealt = words.select("word").repartition(max(1, -(-total // TASK_WORDS)), "word")
     found = None
-    for i, names in enumerate(rounds):
-        own = shards.filter(F.col("first").between(names[0], names[-1])).select("trie")
-        shared = spark.sparkContext.broadcast([bytes(r.trie) for r in own.collect()])
-        part = settle(dealt.mapInArrow(_neighbours(shared), "word string, near long, best_n long, best string"))
-        shared.unpersist()
-        found = part if found is None else found.union(part)
+    for back in (False, True):
+        spelt = words.select(F.reverse("word").alias("word"), "n") if back else words
+        sorted_words = spelt.repartitionByRange(max(1, -(-total // shard_words)), "word").sortWithinPartitions("word")
+        shards = settle(sorted_words.mapInArrow(_shards(shard_words), "first string, last string, trie binary"))
+        sizes = shards.select("first", F.octet_length("trie").alias("bytes")).orderBy("first").collect()
+        rounds: list[list[str]] = []
+        room = 0
+        for row in sizes:
+            if not rounds or row.bytes > room:
+                rounds.append([])
+                room = broadcast_bytes
+            rounds[-1].append(row["first"])
+            room -= row.bytes
+        # By ranges, as words with one beginning ask for the same shards.
+        dealt = spelt.select("word").repartitionByRange(max(1, -(-total // TASK_WORDS)), "word")
+        for names in rounds:
+            own = shards.filter(F.col("first").between(names[0], names[-1])).orderBy("first")
+            shared = spark.sparkContext.broadcast([(r["first"], r["last"], bytes(r.trie)) for r in own.collect()])
+            part = settle(dealt.mapInArrow(_neighbours(shared, back), "word string, near long, best_n long, best string"))
+            shared.unpersist()
+            found = part if found is None else found.union(part)
     schema = "word string, n long, n_near long, form string, form_n long, root string"
     if found is None:
         return spark.createDataFrame([], schema)

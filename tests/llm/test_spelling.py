@@ -49,6 +49,26 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
 
 
+def test_each_half_finds_its_neighbours_once_in_few_shards():
+    rng = random.Random(5)
+    for trial in range(40):
+        letters = "ab" if trial % 2 else "abcdé"
+        words = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 8))) for _ in range(80)})
+        both = []
+        for back in (False, True):
+            own = sorted(w[::-1].encode("latin-1") if back else w.encode("latin-1") for w in words)
+            k = rng.randint(1, 30)
+            cut = [own[i : i + k] for i in range(0, len(own), k)]
+            both.append(spelling.Shards([(c[0].decode("latin-1"), c[-1].decode("latin-1"), spelling.Trie(c, [1] * len(c)).packed()) for c in cut], back))
+        for w in words + ["", "b" * 9, "zz"]:
+            got = [x for _, x in both[0].near(w.encode("latin-1"))] + [x[::-1] for _, x in both[1].near(w[::-1].encode("latin-1"))]
+            assert sorted(x.decode("latin-1") for x in got) == [x for x in words if one_edit(w, x)]
+    many = sorted("".join(rng.choice("abcdefgh") for _ in range(8)).encode() for _ in range(1000))
+    shards = spelling.Shards([(many[i].decode(), many[i + 9].decode(), spelling.Trie(many[i : i + 10], [1] * 10).packed()) for i in range(0, 1000, 10)], False)
+    shards.near(many[500])
+    assert sum(t is not None for t in shards.tries) <= 2
+
+
 def test_automaton_against_brute_force():
     rng = random.Random(2)
     for trial in range(40):
