@@ -77,10 +77,27 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Example vectors in posting lists with block maxima. terms, docs, weights: the vectors' entries, in any order."""
+    """Example vectors in posting lists with block maxima. terms, docs, weights: the vectors' entries, in any order.
+
+    Within the index examples stand in the order of their heaviest terms, so those that are alike share blocks: lists have
+    fewer blocks, and the bounds of the others are low.
+    """
 
     def __init__(self, terms: np.ndarray, docs: np.ndarray, weights: np.ndarray, n_docs: int, n_terms: int, cfg: Config):
         self.cfg, self.n = cfg, n_docs
+        tops, rest = [], np.ones(len(docs), bool)
+        for _ in range(2):
+            most, top = np.zeros(n_docs), np.full(n_docs, -1)
+            np.maximum.at(most, docs[rest], weights[rest])
+            heaviest = rest & (weights == most[docs])
+            np.maximum.at(top, docs[heaviest], terms[heaviest])
+            rest &= terms != top[docs]
+            tops.append(top)
+        #: An example's number by its place, and the reverse.
+        self.number = np.lexsort((tops[1], tops[0]))
+        place = np.empty(n_docs, np.int64)
+        place[self.number] = np.arange(n_docs)
+        docs = place[docs]
         order = np.lexsort((docs, terms))
         terms, self.docs, self.weights = terms[order], docs[order].astype(np.int32), weights[order]
         # An entry of the block lists: one term in one block, with its postings' span and their largest weight.
@@ -96,20 +113,21 @@ class Index:
         """(examples, cosines) of all examples at least as near as the k-th nearest, over 0; the nearest first."""
         n = self.of_term[terms + 1] - self.of_term[terms]
         entries, own = _spans(self.of_term[terms], n), np.repeat(weights, n)
-        bound = np.bincount(self.block[entries], own * self.peak[entries], self.blocks)
+        blocks = self.block[entries]
+        bound = np.bincount(blocks, own * self.peak[entries], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[: np.count_nonzero(bound > 1e-12)]
-        k, at, step, kth = self.cfg.k, 0, 4, 0.0
+        k, at, step, kth = self.cfg.k, 0, 12, 0.0
         docs, cosines = np.zeros(0, np.int64), np.zeros(0)
         while at < len(order):
             some = order[at : at + step]
             some = some[bound[some] >= kth - 1e-9]
             if not len(some):
                 break  # this block and those after it can't reach the k-th best
-            at, step = at + step, step * 4
+            at, step = at + step, self.blocks  # most texts are settled in two steps, each of which has its cost
             opened = np.zeros(self.blocks, bool)
             opened[some] = True
-            use = np.flatnonzero(opened[self.block[entries]])
+            use = np.flatnonzero(opened[blocks])
             e = entries[use]
             size = self.at[e + 1] - self.at[e]
             p = _spans(self.at[e], size)
@@ -119,7 +137,7 @@ class Index:
             if len(cosines) >= k:
                 kth = float(np.partition(cosines, len(cosines) - k)[len(cosines) - k])
         keep = cosines >= kth - 1e-9
-        docs, cosines = docs[keep], cosines[keep]
+        docs, cosines = self.number[docs[keep]], cosines[keep]
         order = np.lexsort((docs, -cosines))
         return docs[order], cosines[order]
 
@@ -150,13 +168,11 @@ class Scorer:
     def vote(self, text: str | None) -> tuple[float, list[int]]:
         """The neighbours' share of label 1, and the nearest ones' ids."""
         number, m = self.number, self.model
-        counts = Counter([number[w] for w in words_of(text) if w in number])
-        if not counts:
+        own = sorted([(number[w], n) for w, n in Counter(words_of(text)).items() if w in number])
+        if not own:
             return m.share, []
-        terms = np.fromiter(counts, np.int64, len(counts))
-        terms.sort()
-        n = np.array([counts[t] for t in terms.tolist()], float)
-        d, c = self.index.nearest(terms, weights(terms, n, m.worth))
+        terms, n = np.array(own, np.int64).T
+        d, c = self.index.nearest(terms, weights(terms, n.astype(float), m.worth))
         w = c**self.cfg.sharpness
         raw = (float((w * m.toxic[d]).sum()) + self.cfg.prior * m.share) / (float(w.sum()) + self.cfg.prior)
         return min(1.0, max(0.0, raw)), m.ids[d[: self.cfg.evidence]].tolist()

@@ -288,6 +288,18 @@ def brute_toxicity(train, cfg):
     return score
 
 
+def test_toxicity_index_puts_examples_that_are_alike_together():
+    """Ten topics in turn, each with a heavy term of its own: its list has a block or two, and examples keep their numbers."""
+    n, topics = 640, 10
+    docs, topic = np.arange(n), np.arange(n) % topics
+    light = np.full(n, 0.1)
+    index = toxicity.Index(np.concatenate([topic, np.full(n, topics)]), np.tile(docs, 2), np.concatenate([1 - docs / 1e4, light]), n, topics + 1, toxicity.Config())
+    assert np.diff(index.of_term)[:topics].max() <= 2
+    found, cosines = index.nearest(np.array([3, topics]), np.array([0.9, 0.1]))
+    assert found.tolist() == docs[topic == 3][:25].tolist()
+    assert np.allclose(cosines, 0.9 * (1 - found / 1e4) + 0.01)
+
+
 def test_toxicity_is_brute_force_accurate_and_calibrated(spark):
     d = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
