@@ -165,3 +165,50 @@ def test_matches_equal_all_alignments(spark):
         missed = {k for k in want if k not in got or abs(got[k] - want[k]) > 1e-12}
         assert not missed, (definition, both, len(missed))
         assert got.keys() == want.keys()
+
+
+def test_bits_between_fill_the_room_that_a_flank_leaves():
+    """As in a corpus of 360,000 sequences with a flank in common: bits of 8 bases meet 2,000 others by chance, those of 12 nine."""
+    import types
+
+    import pyarrow as pa
+
+    from sporeline.operators import candidates
+
+    rng = random.Random(9)
+    flank, menu, places = made(rng, 150), [8, 10, 12, 14, 16], 144_000_000
+    counts = np.stack([np.full(candidates.COUNTERS, places // min(4**k, candidates.COUNTERS)) for k in menu])
+    for row, k in enumerate(menu):
+        counts[row][candidates._counter(candidates._codes(flank.encode(), k))] += 180_000
+    seqs = [made(rng, own) + flank for own in (300, 450) for _ in range(10)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(seqs))), "seq": seqs})
+    filed = next(candidates._file(menu, types.SimpleNamespace(value=counts), 0.95, 1.0, None)(iter([batch]))).to_pylist()
+    assert 8 not in {r["bit"] for r in filed}
+    for i, s in enumerate(seqs):
+        own = sorted((r["u_at"], r["bit"], r["key"]) for r in filed if r["u_id"] == i)
+        assert len(own) == candidates.edits(len(s), 0.95) + 1 and own[-1][0] + own[-1][1] <= len(s) - 150 + 16
+        assert all(a + k <= b for (a, k, _), (b, _, _) in zip(own, own[1:]))
+        assert all(key == int(candidates._codes(s[a : a + k].encode(), k)[0].view(np.int64)) for a, k, key in own)
+
+
+def test_pairs_that_may_be_alike_are_kept_and_chance_ones_are_not():
+    rng = random.Random(10)
+    flank = made(rng, 150)
+    us = [made(rng, n) for n in (0, 1, 5, 6, 7, 40, 80, 200)] + ["ACNNGTacgt\u00e9" * 6, "A" * 60] + [made(rng, 80) for _ in range(600)]
+    vs = [mutated(rng, u, 0.06) for u in us]
+    far = [edits(u, v) for u, v in zip(us, vs)]
+    code = lambda xs: [x.encode() for x in xs]
+    assert align.alike(code(us), code(vs), np.array(far)).all() and max(far) > 5
+    us, vs = ([made(rng, 300) + flank for _ in range(50)] for _ in range(2))
+    assert not align.alike(code(us), code(vs), np.full(50, 23)).any()
+
+
+def test_of_one_length_the_lesser_is_first(spark):
+    from sporeline.operators import graph
+
+    rng = random.Random(11)
+    seqs = [made(rng, 80) for _ in range(40)]
+    rows = [s[:i] + c + s[i + 1 :] for s in seqs for i, c in ((30, "A"), (30, "T"), (50, "G"))]
+    for definition, both in ((1, False), (2, True)):
+        got = graph.matches(spark.createDataFrame([(s,) for s in rows], "seq string").repartition(7), 0.95, definition, 0.9, both).collect()
+        assert len(got) >= 60 and all(len(r.u) == len(r.v) and r.u < r.v for r in got)
