@@ -212,3 +212,22 @@ def test_of_one_length_the_lesser_is_first(spark):
     for definition, both in ((1, False), (2, True)):
         got = graph.matches(spark.createDataFrame([(s,) for s in rows], "seq string").repartition(7), 0.95, definition, 0.9, both).collect()
         assert len(got) >= 60 and all(len(r.u) == len(r.v) and r.u < r.v for r in got)
+
+
+def test_a_narrow_band_is_believed_only_where_none_outside_can_be_better(monkeypatch):
+    rng = random.Random(12)
+    us, vs = [], []
+    for i in range(400):
+        u = made(rng, rng.randint(0, 120)) if i % 4 else rng.choice(["ACAC", "AAAA", "ACG"]) * rng.randint(0, 30)
+        k = rng.randint(0, 40)
+        us.append(u.encode())
+        vs.append([mutated(rng, u, 0.05), u[k:] + made(rng, k), u[: k // 2] + made(rng, k) + u[k // 2 :], made(rng, k) + u[: len(u) - k]][i // 4 % 4].encode())
+    low, high = np.array([-rng.choice([30, 45, 500]) for _ in us]), np.array([rng.choice([30, 45, 500]) for _ in us])
+    runs, lots = [], align._lots
+    want = lots(us, vs, low, high, align.Scoring())
+    monkeypatch.setattr(align, "_lots", lambda *args: runs.append(args) or lots(*args))
+    for near in (align.NEAR, 0, 4):
+        monkeypatch.setattr(align, "NEAR", near)
+        runs.clear()
+        assert (align.align(us, vs, low, high) == want).all()
+        assert len(runs) == 2 and 0 < len(runs[1][0]) < len(us)
